@@ -200,4 +200,5 @@ def join_bounds(
     room = max(1, broadcast_bytes // baseline.row_bytes)
     hot, cold = (part.drop(READINGS) for part in _split_by_weight(df, baseline, bounds, same_rows, room))
     rest = df.join(F.broadcast(hot.select(key)), key, "left_anti")
-    return df.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+    # Hash the entities of each partition, so that the readings need no sort.
+    return df.join(F.broadcast(hot), key).unionByName(rest.join(cold.hint("shuffle_hash"), key))

@@ -1,0 +1,116 @@
+import logging
+from datetime import datetime
+
+import pytest
+from conftest import readings
+from pyspark.sql import functions as F
+
+import bandwright as bw
+
+
+def test_sample_has_one_window_in_utc(sample):
+    kept = bw.clean(sample, "turbine_id", "power_output")
+    (row,) = bw.window_stats(kept, "turbine_id", "timestamp", "power_output", label="power").collect()
+    assert row.asDict() == {
+        "turbine_id": 1,
+        "start": row["start"],
+        "end": row["end"],
+        "min_power": 90.0,
+        "max_power": 120.0,
+        "avg_power": pytest.approx(102.97777777777777),
+        "stddev_power": pytest.approx(10.494495911878973),
+    }
+    assert (row["end"] - row["start"]).total_seconds() == 24 * 3600
+
+
+def test_windows_follow_utc_not_the_session_zone(spark, request):
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.session.timeZone", "UTC"))
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Karachi")
+    df = spark.sql("SELECT 1 AS k, TIMESTAMP'2022-03-01 00:00:00' AS ts, 1D AS v UNION ALL "
+                   "SELECT 1, TIMESTAMP'2022-03-01 10:00:00', 2D")
+    assert bw.window_stats(df, "k", "ts", "v").count() == 2
+
+
+def test_single_reading_has_no_deviation(spark):
+    df = readings(spark, [("a", 1.0)]).withColumn("ts", F.lit("2022-03-01").cast("timestamp"))
+    (row,) = bw.window_stats(df, "sensor", "ts", "value").collect()
+    assert row["stddev_value"] is None and row["avg_value"] == 1.0
+
+
+def test_empty_input_gives_empty_stats(spark):
+    df = readings(spark, []).withColumn("ts", F.lit("2022-03-01").cast("timestamp"))
+    assert bw.window_stats(df, "sensor", "ts", "value").count() == 0
+
+
+def test_bad_arguments(sample):
+    for duration in ("", "  ", None, 24):
+        with pytest.raises(ValueError):
+            bw.window_stats(sample, "turbine_id", "timestamp", "power_output", duration)
+    with pytest.raises(ValueError):
+        bw.window_stats(None, "turbine_id", "timestamp", "power_output")
+    with pytest.raises(TypeError):
+        bw.window_stats({}, "turbine_id", "timestamp", "power_output")
+    with pytest.raises(bw.MissingColumnsError):
+        bw.window_stats(sample.drop("timestamp"), "turbine_id", "timestamp", "power_output")
+
+
+def test_completeness(spark, caplog):
+    rows = [("f1", k) for k in "abcde"] + [("f1", "a"), ("f2", "a"), ("f2", None), ("f3", None)]
+    df = spark.createDataFrame(rows, "file STRING, sensor STRING")
+    result = bw.group_completeness(df, "file", "sensor", 5)
+    assert {r["file"]: (r["distinct_keys"], r["is_valid"]) for r in result.collect()} == {
+        "f1": (5, True),
+        "f2": (1, False),
+        "f3": (0, False),
+    }
+    assert sorted(r["file"] for r in bw.incomplete_groups(result).collect()) == ["f2", "f3"]
+    with caplog.at_level(logging.ERROR):
+        assert bw.log_incomplete_groups(result, logging.getLogger("t")) == 2
+        assert bw.log_incomplete_groups(result, logging.getLogger("t"), lines=1) == 1
+    assert "file 'f2' holds 1 distinct entities" in caplog.text
+    with pytest.raises(ValueError):
+        bw.group_completeness(df, "file", "sensor", 0)
+
+
+def test_load_columns_fixed_and_current(spark):
+    df = spark.range(1)
+    (row,) = bw.with_load_columns(df, "2024-03-05 06:07:08.123456").collect()
+    assert (row.year, row.month, row.day) == (2024, 3, 5)
+    assert bw.with_load_columns(df, "2024-03-05").dtypes == [
+        ("id", "bigint"),
+        ("insert_timestamp", "timestamp"),
+        ("year", "int"),
+        ("month", "int"),
+        ("day", "int"),
+    ]
+    now = bw.with_load_columns(df).select(
+        (F.col("insert_timestamp") <= F.current_timestamp())
+        & (F.year(F.current_date()) == F.col("year"))
+        & (F.dayofmonth(F.current_date()) == F.col("day"))
+    )
+    assert now.first()[0]
+
+
+def test_load_date_follows_the_session_zone(spark, request):
+    from datetime import timezone
+
+    request.addfinalizer(lambda: spark.conf.set("spark.sql.session.timeZone", "UTC"))
+    stamp = datetime(2024, 12, 31, 22, 0, tzinfo=timezone.utc)
+    assert bw.with_load_columns(spark.range(1), stamp).first().year == 2024
+    spark.conf.set("spark.sql.session.timeZone", "Asia/Karachi")
+    assert bw.with_load_columns(spark.range(1), stamp).first().year == 2025
+
+
+def test_expectations_warn_and_keep(spark):
+    df = readings(spark, [("a", 1.0), ("a", -1.0), ("a", None)])
+    rules = {"positive": "value > 0", "named": F.col("sensor") == "a"}
+    watched, seen = bw.expect(df, rules)
+    assert watched.count() == 3
+    assert seen.get == {"rows": 3, "positive": 2, "named": 0}
+    assert bw.expectation_counts(df, rules).first().asDict() == {"rows": 3, "positive": 2, "named": 0}
+    with pytest.raises(ValueError):
+        bw.expect(df, {})
+    with pytest.raises(ValueError):
+        bw.expect(df, {"rows": "true"})
+    with pytest.raises(Exception, match="nope"):
+        bw.expect(df, {"bad": "nope > 1"})
