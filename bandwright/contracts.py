@@ -22,14 +22,16 @@ class ContractError(ValueError):
 
 @dataclass(frozen=True)
 class DatasetContract:
-    """`options` go to Spark's reader and writer as they are, so they may hold tuning options as well.
+    """`schema` may be a DDL string if a session is running.
+
+    `options` go to Spark's reader and writer as they are, so they may hold tuning options as well.
 
     File formats need `path`. JDBC needs driver, url, dbtable, user and password; `username` is accepted
     for `user`. JDBC ignores `partition_by`.
     """
 
     name: str
-    schema: StructType
+    schema: StructType | str
     format: str
     options: Mapping[str, str] = field(default_factory=dict, repr=False)
     partition_by: tuple[str, ...] = LOAD_DATE

@@ -9,65 +9,83 @@ from pyspark.sql.types import StructType
 from .contracts import DatasetContract
 from .spec import ReadingSpec
 
+
+def _schema(columns: Mapping[str, str]) -> StructType:
+    schema = StructType()
+    for name, kind in columns.items():
+        schema = schema.add(name, kind)
+    return schema
+
+
 # Column names, order and types of the stored datasets, and the default parameters.
-RAW_COLUMNS = """
-    timestamp TIMESTAMP,
-    turbine_id INT,
-    wind_speed DOUBLE,
-    wind_direction BIGINT,
-    power_output DOUBLE
-"""
-REJECTED_COLUMNS = """
-    timestamp TIMESTAMP,
-    turbine_id INT,
-    wind_speed DOUBLE,
-    wind_direction BIGINT,
-    power_output DOUBLE,
-    year INT NOT NULL,
-    month INT NOT NULL,
-    day INT NOT NULL,
-    insert_timestamp TIMESTAMP NOT NULL,
-    filename STRING NOT NULL
-"""
-ANOMALY_COLUMNS = """
-    timestamp TIMESTAMP NOT NULL,
-    turbine_id INT NOT NULL,
-    power_output DOUBLE NOT NULL,
-    mean_power DOUBLE NOT NULL,
-    stddev_power DOUBLE NOT NULL,
-    wind_speed DOUBLE NOT NULL,
-    wind_direction BIGINT NOT NULL,
-    filename STRING NOT NULL,
-    year INT NOT NULL,
-    month INT NOT NULL,
-    day INT NOT NULL,
-    insert_timestamp TIMESTAMP NOT NULL
-"""
-CLEANED_COLUMNS = """
-    timestamp TIMESTAMP NOT NULL,
-    turbine_id INT NOT NULL,
-    wind_speed DOUBLE NOT NULL,
-    wind_direction BIGINT NOT NULL,
-    power_output DOUBLE NOT NULL,
-    filename STRING NOT NULL,
-    year INT NOT NULL,
-    month INT NOT NULL,
-    day INT NOT NULL,
-    insert_timestamp TIMESTAMP NOT NULL
-"""
-STATS_COLUMNS = """
-    turbine_id INT NOT NULL,
-    start TIMESTAMP NOT NULL,
-    end TIMESTAMP NOT NULL,
-    min_power DOUBLE NOT NULL,
-    max_power DOUBLE NOT NULL,
-    avg_power DOUBLE NOT NULL,
-    stddev_power DOUBLE NOT NULL,
-    year INT NOT NULL,
-    month INT NOT NULL,
-    day INT NOT NULL,
-    insert_timestamp TIMESTAMP NOT NULL
-"""
+RAW_COLUMNS = _schema(
+    {
+        "timestamp": "timestamp",
+        "turbine_id": "integer",
+        "wind_speed": "double",
+        "wind_direction": "long",
+        "power_output": "double",
+    }
+)
+REJECTED_COLUMNS = _schema(
+    {
+        "timestamp": "timestamp",
+        "turbine_id": "integer",
+        "wind_speed": "double",
+        "wind_direction": "long",
+        "power_output": "double",
+        "year": "integer",
+        "month": "integer",
+        "day": "integer",
+        "insert_timestamp": "timestamp",
+        "filename": "string",
+    }
+)
+ANOMALY_COLUMNS = _schema(
+    {
+        "timestamp": "timestamp",
+        "turbine_id": "integer",
+        "power_output": "double",
+        "mean_power": "double",
+        "stddev_power": "double",
+        "wind_speed": "double",
+        "wind_direction": "long",
+        "filename": "string",
+        "year": "integer",
+        "month": "integer",
+        "day": "integer",
+        "insert_timestamp": "timestamp",
+    }
+)
+CLEANED_COLUMNS = _schema(
+    {
+        "timestamp": "timestamp",
+        "turbine_id": "integer",
+        "wind_speed": "double",
+        "wind_direction": "long",
+        "power_output": "double",
+        "filename": "string",
+        "year": "integer",
+        "month": "integer",
+        "day": "integer",
+        "insert_timestamp": "timestamp",
+    }
+)
+STATS_COLUMNS = _schema(
+    {
+        "turbine_id": "integer",
+        "start": "timestamp",
+        "end": "timestamp",
+        "min_power": "double",
+        "max_power": "double",
+        "avg_power": "double",
+        "stddev_power": "double",
+        "year": "integer",
+        "month": "integer",
+        "day": "integer",
+        "insert_timestamp": "timestamp",
+    }
+)
 THRESHOLD = 2
 WINDOW = "24 hours"
 TURBINES_PER_FILE = 5
@@ -95,8 +113,8 @@ def wind_power_spec(**changes) -> ReadingSpec:
         expected_keys=TURBINES_PER_FILE,
         label="power",
         count_name="unique_turbine_count",
-        anomaly_columns=tuple(StructType.fromDDL(ANOMALY_COLUMNS).names),
-        schema=StructType.fromDDL(RAW_COLUMNS),
+        anomaly_columns=tuple(ANOMALY_COLUMNS.names),
+        schema=RAW_COLUMNS,
     )
     return ReadingSpec(**(settings | changes))
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter
 
@@ -74,8 +75,8 @@ def write_contract(
         writer = writer.option("partitionOverwriteMode", "dynamic")
     try:
         writer.save()
-    except AnalysisException as problem:
-        if problem.getCondition() == "DATA_SOURCE_NOT_FOUND":
+    except (AnalysisException, Py4JJavaError) as problem:
+        if "[DATA_SOURCE_NOT_FOUND]" in str(problem):
             raise UnavailableFormatError(
                 f"{contract.name}: no connector for format {contract.format!r} on the class path"
             ) from problem

@@ -1,0 +1,114 @@
+import logging
+
+import pytest
+from conftest import five_turbines
+from pyspark.sql import functions as F
+
+import bandwright as bw
+from bandwright import presets
+
+SPEC = presets.wind_power_spec()
+FORMATS = {"cleaned": "parquet", "stats": "parquet", "anomalies": "csv", "rejected": "csv"}
+
+
+def contracts(root):
+    return presets.wind_power_contracts({name: {"path": str(root / name)} for name in FORMATS}, FORMATS)
+
+
+def test_good_files(spark, tmp_path):
+    source = five_turbines(tmp_path / "in", files=3)
+    with bw.run_batch(spark, source, SPEC) as outputs:
+        assert outputs.cleaned.count() == 60
+        assert outputs.stats.count() == 15
+        assert {"min_power", "max_power", "avg_power"} <= set(outputs.stats.columns)
+        assert outputs.cleaned.where("power_output IS NULL").count() == 0
+        assert outputs.anomalies.count() == 0
+        assert outputs.rejected.count() == 0
+        assert outputs.completeness.where("NOT is_valid").count() == 0
+        assert outputs.completeness.count() == 3
+
+
+def test_outputs_are_written_in_contract_order(spark, tmp_path, caplog):
+    broken = [f"2022-03-01T0{i}:00:00,1,11.0,169,101.5" for i in range(8)]
+    broken += ["2022-03-01T09:00:00,1,11.0,169,9999.0", "2022-03-01T10:00:00,2,11.0,169,", ",9,11.0,169,1.0"]
+    source = five_turbines(tmp_path / "in", broken=broken)
+    made = contracts(tmp_path / "out")
+    with caplog.at_level(logging.INFO), bw.run_batch(spark, source, SPEC, as_of="2024-03-05 06:07:08") as outputs:
+        written = bw.write_outputs(outputs, made)
+    assert written == {"cleaned": 28, "stats": 5, "anomalies": 1, "rejected": 2}
+    assert "anomalies: 1 rows" in caplog.text and "holds 6 distinct entities" in caplog.text
+    for name, contract in made.items():
+        back = bw.read_contract(spark, contract)
+        assert back.count() == written[name]
+        assert [str(r[0]) for r in back.select("insert_timestamp").distinct().collect()] == ["2024-03-05 06:07:08"]
+    (found,) = bw.read_contract(spark, made["anomalies"]).collect()
+    assert found.power_output == 9999.0 and found.filename.endswith("group_0.csv")
+    assert len(list((tmp_path / "out" / "anomalies").rglob("part-*"))) == 1
+
+
+def test_nothing_to_report_writes_nothing(spark, tmp_path):
+    made = contracts(tmp_path / "out")
+    with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC) as outputs:
+        assert bw.write_outputs(outputs, made) == {"cleaned": 20, "stats": 5, "anomalies": 0, "rejected": 0}
+    assert not (tmp_path / "out" / "anomalies").exists()
+    assert not (tmp_path / "out" / "rejected").exists()
+
+
+def test_appending_twice_doubles(spark, tmp_path):
+    made = contracts(tmp_path / "out")
+    for _ in range(2):
+        with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC) as outputs:
+            bw.write_outputs(outputs, made)
+    assert bw.read_contract(spark, made["cleaned"]).count() == 40
+
+
+def test_one_stamp_for_the_whole_run(spark, tmp_path):
+    with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC, storage_level=None) as outputs:
+        stamps = {outputs.cleaned.agg(F.max("insert_timestamp")).first()[0] for _ in range(2)}
+        stamps |= {outputs.stats.agg(F.min("insert_timestamp")).first()[0]}
+    assert len(stamps) == 1
+
+
+def test_only_own_frames_are_released(spark, tmp_path):
+    other = spark.range(10).cache()
+    other.count()
+    outputs = bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC)
+    (held,) = outputs.held
+    assert held.is_cached
+    outputs.release()
+    assert not held.is_cached and other.is_cached
+    other.unpersist()
+
+
+def test_failure_releases_the_cache(spark, tmp_path, monkeypatch):
+    from bandwright.plans import batch
+
+    freed = []
+    frame = type(spark.range(1))
+    real = frame.unpersist
+    monkeypatch.setattr(frame, "unpersist", lambda self, *a: freed.append(1) or real(self, *a))
+    monkeypatch.setattr(batch, "derive", lambda *a, **k: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC)
+    assert freed
+
+
+def test_guards(spark, tmp_path):
+    empty = five_turbines(tmp_path / "empty", readings_each=0)
+    with pytest.raises(bw.EmptyFrameError, match="no rows"):
+        bw.run_batch(spark, empty, SPEC, require_non_empty=True)
+    gaps = five_turbines(tmp_path / "gaps", readings_each=0, broken=["2022-03-01T05:00:00,1,11.0,169,"])
+    with pytest.raises(bw.EmptyFrameError, match="incomplete"):
+        bw.run_batch(spark, gaps, SPEC, require_non_empty=True)
+    with bw.run_batch(spark, gaps, SPEC) as outputs:
+        assert outputs.cleaned.count() == 0 and outputs.rejected_rows == 1
+    with pytest.raises(ValueError):
+        bw.run_batch(spark, "", SPEC)
+
+
+def test_frame_as_source(spark, sample):
+    with bw.run_batch(spark, sample, SPEC, storage_level=None) as outputs:
+        assert (outputs.rows, outputs.rejected_rows) == (11, 1)
+        assert outputs.cleaned.count() == 9
+        assert outputs.anomalies.count() == 1
+        assert outputs.stats.count() == 1
