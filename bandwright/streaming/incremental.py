@@ -88,6 +88,9 @@ def ingest(
     the way and are written where they were read: no shuffle. Returns the expectation counts.
     """
     stamped = with_load_columns(readings)
+    table = lake.table(BRONZE)
+    if table:
+        table.create(readings.sparkSession, stamped.schema)
     if rules:
         stamped, _ = expect(stamped, rules, "expectations")
     query = (
@@ -100,9 +103,6 @@ def ingest(
         .start()
     )
     query.awaitTermination()
-    table = lake.table(BRONZE)
-    if table:
-        table.create(readings.sparkSession, stamped.schema)
     return violations(query)
 
 

@@ -60,6 +60,7 @@ def test_named_tables(spark, tmp_path):
         described = spark.sql(f"DESCRIBE EXTENDED {table}").collect()
         about = {r.col_name: r.data_type for r in described}
         assert about["Comment"] == lake.comments[name]
+        assert "# col_name" in about, (name, about)
         start = [r.col_name for r in described].index("# col_name") + 1
         assert [r.col_name for r in described[start : start + 3]] == ["year", "month", "day"]
     spark.sql("DROP DATABASE graph CASCADE")
