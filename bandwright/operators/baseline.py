@@ -29,18 +29,24 @@ READINGS = "__readings"
 MEAN = "__mean"
 STDDEV = "__stddev"
 LOWEST = "__lowest"
+USED = "__used"
+VALUE = "__value"
 LOW = "__low"
 HIGH = "__high"
 
 
 @dataclass(frozen=True)
 class Baseline:
-    """One row per entity: key, number of readings, mean, sample deviation, smallest value."""
+    """One row per entity: key, number of readings, mean, sample deviation, smallest value.
+
+    `readings` counts all rows it was fitted on, `used` those whose value went into it.
+    """
 
     frame: DataFrame
     key: str
     entities: int
     readings: int
+    used: int
     key_bytes: int
 
     @property
@@ -117,7 +123,6 @@ def profile(
     aggregates, so an entity that holds most of the readings costs no more than any other.
     """
     require_columns(df, (key, value))
-    counters = {f"__{name}": condition for name, condition in (counters or {}).items()}
     if len(parts) == 1 and not counters:
         # A single condition can be a filter, which reaches the scan.
         (condition,) = parts.values()
@@ -125,17 +130,25 @@ def profile(
         df = df.where(known if condition is None else known & condition)
         parts = dict.fromkeys(parts)
     reading = (nan_to_null(df, value) if nan_is_null else F.col(value)).cast("double")
-
-    aggregates = [F.count(F.lit(1)).alias(READINGS)]
-    aggregates += [F.count_if(condition).alias(name) for name, condition in counters.items()]
-    for part, condition in parts.items():
-        v = reading if condition is None else F.when(condition, reading)
+    flags = {f"__{name}": condition for name, condition in (counters or {}).items()}
+
+    # Conditions are evaluated once per row, below the aggregation, not once per aggregate.
+    columns = [
+        (reading if condition is None else F.when(condition, reading)).alias(f"{part}{VALUE}")
+        for part, condition in parts.items()
+    ]
+    columns += [condition.alias(name) for name, condition in flags.items()]
+    aggregates = [F.count(F.lit(1)).alias(READINGS), *(F.count_if(name).alias(name) for name in flags)]
+    for part in parts:
+        v = F.col(f"{part}{VALUE}")
         aggregates += [
+            F.count(v).alias(f"{part}{USED}"),
             F.mean(v).alias(f"{part}{MEAN}"),
             F.stddev_samp(v).alias(f"{part}{STDDEV}"),
             F.min(v).alias(f"{part}{LOWEST}"),
         ]
-    held, size = _measured(df.groupBy(key).agg(*aggregates), key, tuple(counters))
+    totals = (*flags, *(f"{part}{USED}" for part in parts))
+    held, size = _measured(df.select(key, *columns).groupBy(key).agg(*aggregates), key, totals)
     held = held.where(F.col(key).isNotNull())
     fits = {
         part: Baseline(
@@ -147,11 +160,12 @@ def profile(
             key,
             size["entities"],
             size[READINGS],
+            size[f"{part}{USED}"],
             size["key_bytes"],
         )
         for part in parts
     }
-    return fits, {name.removeprefix("__"): size[name] for name in counters}
+    return fits, {name.removeprefix("__"): size[name] for name in flags}
 
 
 def fit_baseline(

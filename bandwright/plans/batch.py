@@ -71,22 +71,16 @@ def derive(
     require_columns(raw, (*spec.required, spec.group))
     judged = spec.judged_columns(raw.columns)
     complete = is_complete(raw, judged)
+    # Rows are either complete or rejected, unless NaN is told apart from NULL.
+    counters = {} if spec.nan_is_null else {"rejected": is_incomplete(raw, judged, nan_is_null=False)}
     fits, seen = profile(
-        raw,
-        spec.key,
-        spec.value,
-        {"complete": complete, "raw": None},
-        spec.nan_is_null,
-        {
-            "rows": F.lit(True),
-            "complete": complete,
-            "rejected": is_incomplete(raw, judged, spec.nan_is_null),
-        },
+        raw, spec.key, spec.value, {"complete": complete, "raw": None}, spec.nan_is_null, counters
     )
+    rows, usable = fits["raw"].readings, fits["complete"].used
     if require_non_empty:
-        if seen["rows"] == 0:
+        if rows == 0:
             raise EmptyFrameError("the input holds no rows")
-        if seen["complete"] == 0:
+        if usable == 0:
             raise EmptyFrameError("every input row is incomplete")
     cleaned = clean_with(
         raw.where(complete),
@@ -108,8 +102,8 @@ def derive(
         anomalies=report.anomalies,
         rejected=report.rejected,
         completeness=report.completeness,
-        rows=seen["rows"],
-        rejected_rows=seen["rejected"],
+        rows=rows,
+        rejected_rows=seen.get("rejected", rows - usable),
     )
 
 

@@ -1,0 +1,119 @@
+"""Hot entities, many entities, and the choice between broadcast and shuffle."""
+
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+import bandwright as bw
+from bandwright.operators.baseline import Baseline, _split_by_weight, join_bounds
+from test_plans import nodes
+
+BUDGET = 4096
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """30,000 readings of 400 sensors; one sensor holds a third of them."""
+    df = spark.range(30_000).select(
+        F.col("id"),
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("s"), F.xxhash64("id") % 200)).alias("sensor"),
+        (F.hash("id", F.lit(1)) % 1000 / 10.0 + F.when(F.hash("id") % 50 == 0, 500.0).otherwise(0.0)).alias("value"),
+    )
+    return df.cache()
+
+
+def brute_force(rows, k=2.0):
+    groups = {}
+    for row in rows:
+        groups.setdefault(row.sensor, []).append(row)
+    kept, found = set(), set()
+    for group in groups.values():
+        values = [row.value for row in group]
+        if len(values) < 2:
+            continue
+        mean = math.fsum(values) / len(values)
+        sd = math.sqrt(math.fsum((v - mean) ** 2 for v in values) / (len(values) - 1))
+        for row in group:
+            inside = sd == 0 or mean - k * sd <= row.value <= mean + k * sd
+            (kept if inside else found).add(row.id)
+    return kept, found
+
+
+def ids(df):
+    listed = [row.id for row in df.select("id").collect()]
+    assert len(listed) == len(set(listed))
+    return set(listed)
+
+
+@pytest.mark.parametrize("budget", [1 << 26, BUDGET, 1])
+def test_results_do_not_depend_on_the_strategy(skewed, budget):
+    kept, found = brute_force(skewed.collect())
+    assert len(found) > 100
+    assert ids(bw.clean(skewed, "sensor", "value", broadcast_bytes=budget)) == kept
+    assert ids(bw.detect_anomalies(skewed, "sensor", "value", broadcast_bytes=budget)) == found
+    elsewhere = bw.fit_baseline(skewed, "sensor", "value")
+    options = dict(baseline=elsewhere, broadcast_bytes=budget)
+    assert ids(bw.clean(skewed, "sensor", "value", **options)) == kept
+    assert ids(bw.detect_anomalies(skewed, "sensor", "value", **options)) == found
+
+
+def test_hot_entities_are_split_off_and_bounded(skewed):
+    baseline = bw.fit_baseline(skewed, "sensor", "value")
+    assert baseline.size_bytes > BUDGET
+    assert baseline.entities == skewed.select("sensor").distinct().count()
+    assert baseline.readings == baseline.used == 30_000
+    room = BUDGET // baseline.row_bytes
+    for same_rows in (True, False):
+        hot, cold = _split_by_weight(skewed, baseline, baseline.bounds(2.0), same_rows, room)
+        assert [row.sensor for row in hot.collect()] == ["hot"]
+        assert hot.count() < room and hot.count() + cold.count() == baseline.entities
+    # However the readings are spread, fewer entities than the room reach the limit.
+    for seed in range(20):
+        counts = [random.Random(seed).randint(1, 10 ** (1 + seed % 5)) for _ in range(500)]
+        for room in (1, 2, 7, 100):
+            assert sum(n >= sum(counts) // room + 1 for n in counts) < room
+
+
+def test_entities_hot_only_in_the_judged_rows(spark, skewed):
+    """The baseline's own counts say nothing about a new batch, so that batch is counted."""
+    baseline = bw.fit_baseline(skewed, "sensor", "value")
+    (other,) = baseline.frame.where("sensor <> 'hot'").select("sensor").limit(1).collect()
+    batch = skewed.withColumn("sensor", F.when(F.col("sensor") == "hot", F.lit(other.sensor)).otherwise(F.col("sensor")))
+    room = BUDGET // baseline.row_bytes
+    hot, _ = _split_by_weight(batch, baseline, baseline.bounds(2.0), False, room)
+    assert [row.sensor for row in hot.collect()] == [other.sensor]
+
+
+def test_plans_follow_the_measured_size(skewed):
+    baseline = bw.fit_baseline(skewed, "sensor", "value")
+    small = join_bounds(skewed, baseline, baseline.bounds(2.0), True)
+    assert nodes(small, "Exchange hashpartitioning") == 0 and nodes(small, "BroadcastHashJoin") == 1
+    split = join_bounds(skewed, baseline, baseline.bounds(2.0), True, BUDGET)
+    # Hot and anti joins are broadcast; only the remaining readings and their entities are shuffled.
+    assert nodes(split, "BroadcastHashJoin") == 2
+    assert nodes(split, "ShuffledHashJoin") == 1
+    assert nodes(split, "Exchange hashpartitioning") == 2
+
+
+def test_size_bound_grows_with_key_length(spark):
+    def size(key):
+        df = spark.createDataFrame([(key, 1.0), (key, 2.0)], "k STRING, v DOUBLE")
+        return bw.fit_baseline(df, "k", "v").size_bytes
+
+    assert size("x" * 1000) - size("x" * 10) == 2 * 990
+    empty = spark.createDataFrame([], "k STRING, v DOUBLE")
+    baseline = bw.fit_baseline(empty, "k", "v")
+    assert isinstance(baseline, Baseline) and baseline.size_bytes == 0
+    assert bw.clean(empty, "k", "v", broadcast_bytes=0).count() == 0
+
+
+def test_null_heavy_keys(spark):
+    """A third of the rows without an entity must neither match nor pile up."""
+    df = spark.range(3000).select(
+        "id", F.when(F.col("id") % 3 > 0, F.col("id") % 7).alias("sensor"), (F.col("id") % 11).cast("double").alias("value")
+    )
+    expected = ids(df.where("sensor IS NOT NULL"))
+    for budget in (1 << 26, 1):
+        assert ids(bw.clean(df, "sensor", "value", subset=["value"], broadcast_bytes=budget)) == expected
