@@ -33,6 +33,8 @@ def detect_anomalies(
 
     `keep` lists the output columns in order (default: all of `df`, then the two statistics). A NaN value
     counts as missing; with `nan_is_null=False` it takes part in the statistics and comparisons as is.
+
+    `same_rows=True` says that a `baseline` passed in was fitted on these very rows.
     """
     require_columns(df, (key, value))
     require_positive("k", k)

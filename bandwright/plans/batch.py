@@ -167,6 +167,7 @@ def write_outputs(
         seen = Observation()
         write_contract(frame.observe(seen, F.count(F.lit(1)).alias("rows")), contract, mode, **write_options)
         written[name] = seen.get["rows"]
-        (logger.warning if name in CONDITIONAL else logger.info)("%s: %d rows", name, written[name])
+        unusual = name in CONDITIONAL or written[name] == 0
+        logger.log(logging.WARNING if unusual else logging.INFO, "%s: %d rows", name, written[name])
     log_incomplete_groups(outputs.completeness, logger, incomplete_lines)
     return written

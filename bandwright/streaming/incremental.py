@@ -12,6 +12,7 @@ Two scopes, because they judge the same reading differently:
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -19,16 +20,19 @@ from datetime import datetime, timezone
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.audit import LOAD_DATE, with_load_columns
 from ..functions.checks import require_choice
 from ..operators.baseline import BROADCAST_BYTES
 from ..operators.expectations import expect
-from ..plans.batch import OUTPUTS, Outputs, derive
+from ..plans.batch import CONDITIONAL, OUTPUTS, Outputs, derive
 from ..sinks.tables import ManagedTable
 from ..sources.files import stream_csv
 from ..spec import ReadingSpec
 
+logger = logging.getLogger(__name__)
+
 SCOPES = ("history", "batch")
 BRONZE = "bronze"
 BATCH_ID = "batch_id"
@@ -43,10 +47,14 @@ COMMENTS = {
 
 @dataclass(frozen=True)
 class Lake:
-    """Where the tables live: one folder each below `root`, and named tables if a database is given."""
+    """Where the tables live: one folder each below `root`, and named tables if a database is given.
+
+    `format` may be any file format that takes streaming appends, such as delta where its connector is there.
+    """
 
     root: str
     database: str | None = None
+    format: str = "parquet"
     comments: Mapping[str, str] = field(default_factory=lambda: dict(COMMENTS))
 
     def path(self, name: str) -> str:
@@ -58,11 +66,16 @@ class Lake:
     def table(self, name: str) -> ManagedTable | None:
         if self.database is None:
             return None
-        return ManagedTable(f"{self.database}.{name}", self.comments.get(name, ""), LOAD_DATE, self.path(name))
+        return ManagedTable(
+            f"{self.database}.{name}", self.comments.get(name, ""), LOAD_DATE, self.path(name), self.format
+        )
 
-    def read(self, spark: SparkSession, name: str) -> DataFrame:
+    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
         """All committed rows of a table as a batch frame."""
-        return spark.read.parquet(self.path(name))
+        reader = spark.read.format(self.format)
+        if schema is not None and self.format != "delta":
+            reader = reader.schema(schema)
+        return reader.load(self.path(name))
 
 
 def violations(query: StreamingQuery, name: str = "expectations") -> dict[str, int]:
@@ -94,7 +107,7 @@ def ingest(
     if rules:
         stamped, _ = expect(stamped, rules, "expectations")
     query = (
-        stamped.writeStream.format("parquet")
+        stamped.writeStream.format(lake.format)
         .partitionBy(*LOAD_DATE)
         .option("path", lake.path(BRONZE))
         .option("checkpointLocation", lake.checkpoint(BRONZE))
@@ -106,24 +119,27 @@ def ingest(
     return violations(query)
 
 
-def rebuild(spark: SparkSession, lake: Lake, spec: ReadingSpec, **options) -> Outputs:
+def rebuild(spark: SparkSession, lake: Lake, spec: ReadingSpec, bronze: DataFrame | None = None, **options) -> Outputs:
     """Recompute every derived table from all of bronze.
 
     Bronze is columnar and partitioned, so each pass reads only the columns it needs; nothing is cached.
     """
     as_of = datetime.now(timezone.utc)
-    outputs = derive(lake.read(spark, BRONZE), spec, as_of, **options)
+    outputs = derive(lake.read(spark, BRONZE) if bronze is None else bronze, spec, as_of, **options)
     for name in OUTPUTS:
-        frame, table = getattr(outputs, name), lake.table(name)
-        if name in ("anomalies", "rejected"):
-            frame = frame.hint("rebalance")
+        frame, table = _sized(name, getattr(outputs, name)), lake.table(name)
         if table:
             table.save(frame)
         else:
-            frame.write.mode("overwrite").partitionBy(*LOAD_DATE).parquet(lake.path(name))
+            frame.write.format(lake.format).mode("overwrite").partitionBy(*LOAD_DATE).save(lake.path(name))
     return outputs
 
 
+def _sized(name: str, frame: DataFrame) -> DataFrame:
+    """Outputs that are a small part of a large scan get merged into files of sensible size."""
+    return frame.hint("rebalance") if name in CONDITIONAL else frame
+
+
 def write_batch(batch: DataFrame, batch_id: int, lake: Lake, spec: ReadingSpec, **options) -> None:
     """Judge one micro-batch by its own readings and store the results under its number.
 
@@ -136,11 +152,12 @@ def write_batch(batch: DataFrame, batch_id: int, lake: Lake, spec: ReadingSpec,
         outputs = derive(raw, spec, as_of, **options)
         for name, frame in [(BRONZE, raw), *((name, getattr(outputs, name)) for name in OUTPUTS)]:
             (
-                frame.withColumn(BATCH_ID, F.lit(batch_id))
-                .write.mode("overwrite")
+                _sized(name, frame.withColumn(BATCH_ID, F.lit(batch_id)))
+                .write.format(lake.format)
+                .mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(BATCH_ID)
-                .parquet(lake.path(name))
+                .save(lake.path(name))
             )
     finally:
         raw.unpersist()
@@ -184,5 +201,9 @@ def run_incremental(
         ingest_batches(readings, lake, spec, broadcast_bytes=broadcast_bytes)
         return {}
     counts = ingest(readings, lake, rules=rules)
-    rebuild(spark, lake, spec, broadcast_bytes=broadcast_bytes)
+    bronze = lake.read(spark, BRONZE, with_load_columns(readings).schema)
+    if bronze.isEmpty():
+        logger.info("no readings have arrived in %s yet", source_dir)
+    else:
+        rebuild(spark, lake, spec, bronze, broadcast_bytes=broadcast_bytes)
     return counts

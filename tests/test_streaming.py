@@ -48,6 +48,16 @@ def test_history_scope(spark, tmp_path):
             assert stored.exceptAll(direct).count() == 0 and direct.exceptAll(stored).count() == 0
 
 
+@pytest.mark.parametrize("scope", ["history", "batch"])
+def test_nothing_has_arrived_yet(spark, tmp_path, scope):
+    (tmp_path / "in").mkdir()
+    lake = bw.Lake(str(tmp_path / "lake"))
+    assert bw.run_incremental(spark, str(tmp_path / "in"), lake, SPEC, scope=scope) == {}
+    source = five_turbines(tmp_path / "in")
+    bw.run_incremental(spark, source, lake, SPEC, scope=scope)
+    assert lake.read(spark, "cleaned").count() == 20
+
+
 def test_named_tables(spark, tmp_path):
     spark.sql("CREATE DATABASE IF NOT EXISTS graph")
     lake = bw.Lake(str(tmp_path / "lake"), database="graph")
