@@ -12,9 +12,11 @@ from .operators import (
     fit_baseline,
     group_completeness,
     incomplete_groups,
+    load_baseline,
     log_incomplete_groups,
     quality_report,
     rejected_rows,
+    store_baseline,
     window_stats,
 )
 from .plans import Outputs, run_batch, write_outputs
@@ -44,6 +46,7 @@ __all__ = [
     "incomplete_groups",
     "is_complete",
     "is_incomplete",
+    "load_baseline",
     "log_incomplete_groups",
     "quality_report",
     "read_contract",
@@ -52,6 +55,7 @@ __all__ = [
     "rejected_rows",
     "run_batch",
     "run_incremental",
+    "store_baseline",
     "stream_csv",
     "window_stats",
     "with_load_columns",

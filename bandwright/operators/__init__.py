@@ -1,5 +1,5 @@
 from .anomalies import detect_anomalies
-from .baseline import BROADCAST_BYTES, Baseline, fit_baseline, profile
+from .baseline import BROADCAST_BYTES, Baseline, fit_baseline, load_baseline, profile, store_baseline
 from .clean import clean
 from .completeness import group_completeness, incomplete_groups, log_incomplete_groups
 from .expectations import expect, expectation_counts
@@ -18,9 +18,11 @@ __all__ = [
     "fit_baseline",
     "group_completeness",
     "incomplete_groups",
+    "load_baseline",
     "log_incomplete_groups",
     "profile",
     "quality_report",
     "rejected_rows",
+    "store_baseline",
     "window_stats",
 ]

@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import BinaryType, StringType
 
 from ..functions.checks import require_choice, require_columns, require_positive
@@ -176,6 +176,28 @@ def fit_baseline(
     return fits["all"]
 
 
+_STORED = {READINGS: "readings", MEAN: "mean", STDDEV: "stddev", LOWEST: "lowest"}
+
+
+def store_baseline(baseline: Baseline, path: str, mode: str = "error") -> None:
+    """Write a baseline as a Parquet table, to judge later readings by the same scale."""
+    renamed = (F.col(inner).alias(outer) for inner, outer in _STORED.items())
+    baseline.frame.select(baseline.key, *renamed).write.mode(mode).parquet(path)
+
+
+def load_baseline(spark: SparkSession, path: str, key: str) -> Baseline:
+    """Read a stored baseline and measure its size, which decides how it will be joined."""
+    stored = spark.read.parquet(path)
+    require_columns(stored, (key, *_STORED.values()))
+    frame = stored.select(key, *(F.col(outer).alias(inner) for inner, outer in _STORED.items()))
+    size = frame.agg(
+        F.count(F.lit(1)).alias("entities"),
+        F.coalesce(F.sum(READINGS), F.lit(0)).alias("readings"),
+        _key_width(frame, key).alias("key_bytes"),
+    ).first()
+    return Baseline(frame, key, size.entities, size.readings, size.readings, size.key_bytes)
+
+
 def _split_by_weight(
     df: DataFrame, baseline: Baseline, bounds: DataFrame, same_rows: bool, room: int
 ) -> tuple[DataFrame, DataFrame]:

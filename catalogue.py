@@ -2,6 +2,9 @@
 
 Missing values: the tables have none, so `_readings` takes the reading of one hour of the day away (a nightly
 maintenance hour). Rows stay; only their value goes. Everything runs over whole tables.
+
+Amounts are taken in hundredths. Sums of whole numbers are exact in any order of addition, so averages can be
+compared bit for bit with those of another engine.
 """
 
 from __future__ import annotations
@@ -23,8 +26,12 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def _hundredths(name: str) -> Column:
+    return F.round(F.col(name) * 100)
+
+
 def _value(nan: bool = False) -> Column:
-    kept = F.when(F.hour("ts") != 3, F.col("value"))
+    kept = F.when(F.hour("ts") != 3, _hundredths("value"))
     return F.when(F.hour("ts") == 4, F.lit(float("nan"))).otherwise(kept) if nan else kept
 
 
@@ -42,12 +49,18 @@ def _context_readings(spark: SparkSession, sf: str) -> DataFrame:
         F.col("user_id").alias("sensor"),
         "event_id",
         F.when(F.hour("ts") != 5, F.col("event_type")).alias("event_type"),
-        "value",
+        _hundredths("value").alias("value"),
+    )
+
+
+def _as_readings(events: DataFrame) -> DataFrame:
+    return events.select(
+        "ts", F.col("user_id").alias("sensor"), "event_id", "event_type", _hundredths("value").alias("value")
     )
 
 
 def _raw(spark: SparkSession, sf: str) -> DataFrame:
-    return _table(spark, sf, "events").select("ts", F.col("user_id").alias("sensor"), "event_id", "event_type", "value")
+    return _as_readings(_table(spark, sf, "events"))
 
 
 def _rounded(df: DataFrame, *names: str) -> DataFrame:
@@ -95,9 +108,16 @@ def clean_lineitem_keep(spark, sf):
     return bw.clean(df, "l_orderkey", "l_extendedprice", on_undefined="keep")
 
 
+def _taxes(spark: SparkSession, sf: str) -> DataFrame:
+    """Few distinct values per order, so that many orders are constant. The root keeps readings from lying at
+    exactly two deviations, where the last bit of the deviation would decide."""
+    return _table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_linenumber", F.sqrt(F.col("l_tax") * 100 + 2).alias("tax")
+    )
+
+
 def clean_lineitem_constant(spark, sf):
-    df = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_tax")
-    return bw.clean(df, "l_orderkey", "l_tax")
+    return bw.clean(_taxes(spark, sf), "l_orderkey", "tax")
 
 
 def anomalies_events(spark, sf):
@@ -141,14 +161,21 @@ def anomalies_static_baseline_split(spark, sf):
     return _anomalies(found)
 
 
+def anomalies_stored_baseline(spark, sf):
+    """The same baseline, stored and read back."""
+    path = fresh_path(spark, "baseline")
+    bw.store_baseline(_first_half(spark, sf), path)
+    found = bw.detect_anomalies(_raw(spark, sf), "sensor", "value", baseline=bw.load_baseline(spark, path, "sensor"))
+    return _anomalies(found)
+
+
 def anomalies_documents(spark, sf):
     df = _table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
     return _rounded(bw.detect_anomalies(df, "source", "n_chars", label="chars"), "mean_chars", "stddev_chars")
 
 
 def anomalies_lineitem_constant(spark, sf):
-    df = _table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_tax")
-    return _rounded(bw.detect_anomalies(df, "l_orderkey", "l_tax", label="tax"), "mean_tax", "stddev_tax")
+    return _rounded(bw.detect_anomalies(_taxes(spark, sf), "l_orderkey", "tax"), "mean_tax", "stddev_tax")
 
 
 def rejected_events(spark, sf):
@@ -195,12 +222,9 @@ def window_stats_7d(spark, sf):
 
 
 def window_stats_lineitem(spark, sf):
-    df = _table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", "l_extendedprice")
-    return _rounded(
-        bw.window_stats(df, "l_suppkey", "l_shipdate", "l_extendedprice", "30 days", label="price"),
-        "avg_price",
-        "stddev_price",
-    )
+    df = _table(spark, sf, "lineitem").select("l_suppkey", "l_shipdate", F.col("l_quantity").alias("quantity"))
+    stats = bw.window_stats(df, "l_suppkey", "l_shipdate", "quantity", "30 days")
+    return _rounded(stats, "avg_quantity", "stddev_quantity")
 
 
 def completeness_orders(spark, sf):
@@ -225,7 +249,7 @@ def load_columns_events(spark, sf):
 RULES = {
     "valid_ts": "ts > timestamp_ntz'2024-01-08'",
     "has_value": "value IS NOT NULL",
-    "small_value": "value < 100",
+    "small_value": "value < 10000",
 }
 
 
@@ -336,7 +360,7 @@ def batch_written(spark, sf):
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
     schema = _table(spark, sf, "events").schema
     stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
-    return stream.select("ts", F.col("user_id").alias("sensor"), "event_id", "event_type", "value")
+    return _as_readings(stream)
 
 
 def _ntz(df: DataFrame, *names: str) -> DataFrame:
@@ -415,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomalies_k1_5,
         anomalies_static_baseline,
         anomalies_static_baseline_split,
+        anomalies_stored_baseline,
         anomalies_documents,
         anomalies_lineitem_constant,
         rejected_events,
@@ -450,18 +475,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # The same questions in SQL
 
-_RAW = "SELECT ts, user_id AS sensor, event_id, event_type, value FROM events"
+_RAW = "SELECT ts, user_id AS sensor, event_id, event_type, round(value * 100) AS value FROM events"
 _INJECTED = (
     "SELECT ts, user_id AS sensor, event_id, event_type,"
-    " CASE WHEN extract(hour FROM ts) <> 3 THEN value END AS value FROM events"
+    " CASE WHEN extract(hour FROM ts) <> 3 THEN round(value * 100) END AS value FROM events"
 )
 _WITHOUT_3_AND_4 = (
     "SELECT ts, user_id AS sensor, event_id, event_type,"
-    " CASE WHEN extract(hour FROM ts) NOT IN (3, 4) THEN value END AS value FROM events"
+    " CASE WHEN extract(hour FROM ts) NOT IN (3, 4) THEN round(value * 100) END AS value FROM events"
 )
 _CONTEXT = (
     "SELECT ts, user_id AS sensor, event_id,"
-    " CASE WHEN extract(hour FROM ts) <> 5 THEN event_type END AS event_type, value FROM events"
+    " CASE WHEN extract(hour FROM ts) <> 5 THEN event_type END AS event_type, round(value * 100) AS value FROM events"
 )
 _EVENT_COLUMNS = "x.ts, x.sensor, x.event_id, x.event_type, x.value"
 
@@ -532,7 +557,7 @@ ORACLE: dict[str, str] = {
         undefined="OR s.sd IS NULL",
     ),
     "clean_lineitem_constant": _sql_clean(
-        _LINES.format("l_tax"), "l_orderkey", "l_tax", _LINE_COLUMNS.format("l_tax")
+        _LINES.format("sqrt(l_tax * 100 + 2) AS tax"), "l_orderkey", "tax", _LINE_COLUMNS.format("tax")
     ),
     "anomalies_events": _FOUND,
     "anomalies_events_split": _FOUND,
@@ -542,12 +567,13 @@ ORACLE: dict[str, str] = {
     "anomalies_k1_5": _sql_anomalies(_RAW, 1.5),
     "anomalies_static_baseline": _sql_anomalies(_RAW, history=_HISTORY),
     "anomalies_static_baseline_split": _sql_anomalies(_RAW, history=_HISTORY),
+    "anomalies_stored_baseline": _sql_anomalies(_RAW, history=_HISTORY),
     "anomalies_documents": _sql_anomalies(
         "SELECT doc_id, source, lang, n_chars FROM documents", 2, "source", "n_chars",
         "x.doc_id, x.source, x.lang, x.n_chars", "chars",
     ),
     "anomalies_lineitem_constant": _sql_anomalies(
-        _LINES.format("l_tax"), 2, "l_orderkey", "l_tax", _LINE_COLUMNS.format("l_tax"), "tax"
+        _LINES.format("sqrt(l_tax * 100 + 2) AS tax"), 2, "l_orderkey", "tax", _LINE_COLUMNS.format("tax"), "tax"
     ),
     "rejected_events": _REJECTED,
     "rejected_events_nan": (
@@ -564,7 +590,8 @@ UNION ALL SELECT 'total', count(*) FROM events""",
     "window_stats_6h": _sql_stats(_RAW, "6 hours"),
     "window_stats_7d": _sql_stats(_RAW, "7 days"),
     "window_stats_lineitem": _sql_stats(
-        "SELECT * FROM lineitem", "30 days", "l_suppkey", "l_shipdate", "l_extendedprice", "price"
+        "SELECT l_suppkey, l_shipdate, l_quantity AS quantity FROM lineitem",
+        "30 days", "l_suppkey", "l_shipdate", "quantity", "quantity",
     ),
     "completeness_orders": _ORDERS,
     "completeness_invalid_orders": f"SELECT * FROM ({_ORDERS}) WHERE NOT is_valid",
@@ -577,7 +604,7 @@ UNION ALL SELECT 'total', count(*) FROM events""",
 SELECT count(*) AS rows,
   count(*) FILTER (WHERE NOT coalesce(ts > TIMESTAMP '2024-01-08', false)) AS valid_ts,
   count(*) FILTER (WHERE value IS NULL) AS has_value,
-  count(*) FILTER (WHERE NOT coalesce(value < 100, false)) AS small_value
+  count(*) FILTER (WHERE NOT coalesce(value < 10000, false)) AS small_value
 FROM ({_INJECTED})""",
     "csv_roundtrip": f"SELECT *{_LOAD} FROM ({_CLEANED})",
     "parquet_roundtrip": f"SELECT *{_LOAD} FROM ({_CLEANED})",

@@ -58,6 +58,20 @@ def test_baseline_from_elsewhere(spark):
     assert sorted(r["id"] for r in kept.collect()) == [1, 3]
 
 
+@pytest.mark.parametrize("budget", [1 << 26, 200])
+def test_stored_baseline(spark, tmp_path, budget):
+    history = readings(spark, [(name, float(v)) for name in "abc" for v in (9, 10, 11)])
+    path = str(tmp_path / "baseline")
+    bw.store_baseline(bw.fit_baseline(history, "sensor", "value"), path)
+    stored = bw.load_baseline(spark, path, "sensor")
+    assert (stored.entities, stored.readings, stored.key_bytes) == (3, 9, 1)
+    new = readings(spark, [("a", 12.5), ("b", 11.9), ("c", 7.0)])
+    found = bw.detect_anomalies(new, "sensor", "value", baseline=stored, broadcast_bytes=budget)
+    assert sorted((r.id, r.mean_value, r.stddev_value) for r in found.collect()) == [(0, 10.0, 1.0), (2, 10.0, 1.0)]
+    with pytest.raises(bw.MissingColumnsError):
+        bw.load_baseline(spark, path, "turbine")
+
+
 def test_larger_k_finds_fewer(spark):
     df = readings(spark, [("a", math.sin(i * i) * i) for i in range(200)])
     counts = [bw.detect_anomalies(df, "sensor", "value", k=k).count() for k in (0.5, 1, 1.5, 2, 3)]
