@@ -14,7 +14,7 @@ VALUES = st.one_of(
     st.sampled_from([0.1, 0.0, 5.0, 1000.0, -1000.0, math.nan]),
 )
 ROWS = st.lists(st.tuples(st.sampled_from([None, *"abcdefghij"]), VALUES), max_size=80)
-FEW = settings(max_examples=12, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
+FEW = settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
 
 def frame(spark, rows):
