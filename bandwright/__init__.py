@@ -20,7 +20,15 @@ from .operators import (
     window_stats,
 )
 from .plans import Outputs, run_batch, write_outputs
-from .sinks import ManagedTable, UnavailableFormatError, write_contract
+from .sinks import (
+    ManagedTable,
+    UnavailableFormatError,
+    write_contract,
+    write_csv,
+    write_delta,
+    write_jdbc,
+    write_parquet,
+)
 from .sources import read_contract, read_csv, read_table, stream_csv
 from .spec import ReadingSpec
 from .streaming import Lake, run_incremental, write_window_stats
@@ -60,6 +68,10 @@ __all__ = [
     "window_stats",
     "with_load_columns",
     "write_contract",
+    "write_csv",
+    "write_delta",
+    "write_jdbc",
+    "write_parquet",
     "write_outputs",
     "write_window_stats",
 ]

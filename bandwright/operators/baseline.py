@@ -123,6 +123,8 @@ def profile(
     aggregates, so an entity that holds most of the readings costs no more than any other.
     """
     require_columns(df, (key, value))
+    if df.isStreaming:
+        raise ValueError("a baseline cannot be fitted on a stream; pass one fitted on a batch frame")
     if len(parts) == 1 and not counters:
         # A single condition can be a filter, which reaches the scan.
         (condition,) = parts.values()

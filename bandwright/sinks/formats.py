@@ -1,9 +1,6 @@
 """Options that writing and reading must agree on."""
 
 from __future__ import annotations
-
-from ..contracts import DatasetContract
-
 # Spark's default CSV formats keep milliseconds only; these keep microseconds. Quotes inside a quoted field
 # are doubled, so that a backslash before a quote survives. NULL is an empty field, as Spark writes it by
 # default, and an empty string reads back as NULL; set `nullValue` in a contract's options to tell them apart.
@@ -13,6 +10,3 @@ CSV_TIME_FORMATS = {
     "escape": '"',
 }
 
-
-def jdbc_options(contract: DatasetContract) -> dict[str, str]:
-    return dict(contract.options)

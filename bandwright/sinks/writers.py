@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, DataFrameWriter
 
 from ..contracts import ContractError, DatasetContract
+from ..functions.audit import LOAD_DATE
 from ..functions.checks import require_choice, require_frame, require_rows
-from .formats import CSV_TIME_FORMATS, jdbc_options
+from .formats import CSV_TIME_FORMATS
 
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
@@ -19,24 +20,64 @@ class UnavailableFormatError(RuntimeError):
     """The storage format's connector is not on the class path."""
 
 
-def _write_files(df: DataFrame, contract: DatasetContract) -> DataFrameWriter:
-    return df.write.format(contract.format).options(**contract.options).partitionBy(*contract.partition_by)
+def _save(writer: DataFrameWriter, fmt: str, mode: str, options: Mapping[str, str]) -> None:
+    require_choice("mode", mode, MODES)
+    try:
+        writer.format(fmt).options(**options).mode(mode).save()
+    except (AnalysisException, Py4JJavaError) as problem:
+        if "[DATA_SOURCE_NOT_FOUND]" in str(problem):
+            raise UnavailableFormatError(f"no connector for format {fmt!r} on the class path") from problem
+        raise
 
 
-def _write_csv(df: DataFrame, contract: DatasetContract) -> DataFrameWriter:
-    options = {**CSV_TIME_FORMATS, **contract.options}
-    return df.write.format("csv").options(**options).partitionBy(*contract.partition_by)
+def _save_files(
+    df: DataFrame, fmt: str, path: str, mode: str, partition_by: Sequence[str], options: Mapping[str, str]
+) -> None:
+    if not path:
+        raise ValueError("a path is required")
+    _save(df.write.partitionBy(*partition_by), fmt, mode, {**options, "path": path})
 
 
-def _write_jdbc(df: DataFrame, contract: DatasetContract) -> DataFrameWriter:
-    return df.write.format("jdbc").options(**jdbc_options(contract))
+def write_csv(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = LOAD_DATE, **options
+) -> None:
+    """CSV files without a header, one folder per partition, timestamps to the microsecond."""
+    _save_files(df, "csv", path, mode, partition_by, {**CSV_TIME_FORMATS, **options})
+
 
+def write_parquet(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = LOAD_DATE, **options
+) -> None:
+    _save_files(df, "parquet", path, mode, partition_by, options)
 
-WRITERS: dict[str, Callable[[DataFrame, DatasetContract], DataFrameWriter]] = {
-    "csv": _write_csv,
-    "parquet": _write_files,
-    "delta": _write_files,
-    "jdbc": _write_jdbc,
+
+def write_delta(
+    df: DataFrame, path: str, mode: str = "overwrite", partition_by: Sequence[str] = LOAD_DATE, **options
+) -> None:
+    """Needs the Delta connector on the class path."""
+    _save_files(df, "delta", path, mode, partition_by, options)
+
+
+def write_jdbc(
+    df: DataFrame, driver: str, url: str, dbtable: str, user: str, password: str, mode: str = "append", **options
+) -> None:
+    """Insert into a database table.
+
+    Each task inserts in its own transaction, so a retried task may repeat rows that were committed just
+    before it was lost. The option `numPartitions` bounds the number of connections.
+    """
+    needed = {"driver": driver, "url": url, "dbtable": dbtable, "user": user, "password": password}
+    absent = [name for name, value in needed.items() if not value]
+    if absent:
+        raise ValueError(f"missing JDBC options: {', '.join(absent)}")
+    _save(df.write, "jdbc", mode, {**options, **needed})
+
+
+WRITERS: dict[str, Callable[..., None]] = {
+    "csv": write_csv,
+    "parquet": write_parquet,
+    "delta": write_delta,
+    "jdbc": write_jdbc,
 }
 
 
@@ -55,9 +96,6 @@ def write_contract(
     `dynamic_overwrite` makes overwrite replace only the partitions that `df` holds rows for.
     `rebalance` lets adaptive execution merge the output into files of its advisory size: for results that
     are a small part of a large scan, which would otherwise leave a tiny file per task.
-
-    JDBC: each task inserts in its own transaction, so a retried task may repeat rows that were committed
-    just before it was lost. `numPartitions` in the options bounds the number of connections.
     """
     require_frame(df)
     if contract is None:
@@ -68,16 +106,11 @@ def write_contract(
         require_rows(df, f"{contract.name}: the frame to write is empty")
     if rebalance:
         df = df.hint("rebalance")
-    writer = WRITERS[contract.format](df, contract).mode(mode)
-    if dynamic_overwrite:
-        if contract.format == "jdbc":
-            raise ContractError(f"{contract.name}: a JDBC table has no partitions to overwrite")
-        writer = writer.option("partitionOverwriteMode", "dynamic")
-    try:
-        writer.save()
-    except (AnalysisException, Py4JJavaError) as problem:
-        if "[DATA_SOURCE_NOT_FOUND]" in str(problem):
-            raise UnavailableFormatError(
-                f"{contract.name}: no connector for format {contract.format!r} on the class path"
-            ) from problem
-        raise
+    options = dict(contract.options)
+    if contract.format != "jdbc":
+        options["partition_by"] = contract.partition_by
+        if dynamic_overwrite:
+            options["partitionOverwriteMode"] = "dynamic"
+    elif dynamic_overwrite:
+        raise ContractError(f"{contract.name}: a JDBC table has no partitions to overwrite")
+    WRITERS[contract.format](df, mode=mode, **options)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from ..contracts import DatasetContract
-from ..sinks.formats import CSV_TIME_FORMATS, jdbc_options
+from ..sinks.formats import CSV_TIME_FORMATS
 
 
 def _declared(schema: StructType | str, corrupt_column: str | None) -> StructType:
@@ -82,7 +82,7 @@ def read_contract(spark: SparkSession, contract: DatasetContract) -> DataFrame:
     Partition columns come back from the folder names and JDBC may change types, hence the casts.
     """
     if contract.format == "jdbc":
-        stored = spark.read.format("jdbc").options(**jdbc_options(contract)).load()
+        stored = spark.read.format("jdbc").options(**contract.options).load()
     else:
         options = CSV_TIME_FORMATS if contract.format == "csv" else {}
         reader = spark.read.options(**{**options, **contract.options})

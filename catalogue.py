@@ -281,12 +281,9 @@ def parquet_roundtrip(spark, sf):
 def _csv_files(spark: SparkSession, df: DataFrame, by_day: bool = False) -> str:
     """Readings as CSV files with a header, as they would arrive; with `by_day` in one folder per day."""
     path = fresh_path(spark, "arrived")
-    writer = df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    if by_day:
-        df = df.withColumn("on", F.to_date("ts"))
-        writer = df.write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-        writer = writer.partitionBy("on")
-    writer.csv(path)
+    writer = (df.withColumn("on", F.to_date("ts")) if by_day else df).write
+    writer = writer.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    (writer.partitionBy("on") if by_day else writer).csv(path)
     return path
 
 

@@ -167,12 +167,11 @@ def test_jdbc_options_reach_the_writer(stamped, monkeypatch):
         monkeypatch.setattr(DataFrameWriter, name, note(name))
     options = {"driver": "d", "url": "jdbc:x", "dbtable": "t", "username": "me", "password": "p", "numPartitions": "8"}
     contract = bw.DatasetContract("cleaned", presets.CLEANED_COLUMNS, "jdbc", options)
+    options_of = lambda contract: {name: contract.options[name] for name in bw.contracts.JDBC_OPTIONS}
     bw.write_contract(contract.conform(stamped), contract, "append")
     assert asked == {
         "format": [("jdbc",)],
-        "options": [
-            {"driver": "d", "url": "jdbc:x", "dbtable": "t", "user": "me", "password": "p", "numPartitions": "8"}
-        ],
+        "options": [{**options_of(contract), "numPartitions": "8"}],
         "mode": [("append",)],
         "save": [()],
     }
@@ -180,6 +179,24 @@ def test_jdbc_options_reach_the_writer(stamped, monkeypatch):
         bw.write_contract(contract.conform(stamped), contract, "overwrite", dynamic_overwrite=True)
 
 
+def test_plain_writers(spark, stamped, tmp_path):
+    bw.write_parquet(stamped, str(tmp_path / "p"))
+    assert (tmp_path / "p" / "year=2025").is_dir()
+    bw.write_parquet(stamped, str(tmp_path / "p"), "append", partition_by=["turbine_id"])
+    assert spark.read.parquet(str(tmp_path / "p" / "turbine_id=1")).count() == 1
+    bw.write_csv(stamped, str(tmp_path / "c"), header=True)
+    assert spark.read.option("header", True).csv(str(tmp_path / "c")).count() == 2
+    for write in (bw.write_csv, bw.write_parquet, bw.write_delta):
+        with pytest.raises(ValueError, match="path"):
+            write(stamped, "")
+        with pytest.raises(ValueError, match="mode"):
+            write(stamped, str(tmp_path / "x"), "replace")
+    good = {"driver": "d", "url": "u", "dbtable": "t", "user": "me", "password": "p"}
+    for name in good:
+        with pytest.raises(ValueError, match=f"missing JDBC options: {name}"):
+            bw.write_jdbc(stamped, **{**good, name: None})
+
+
 def test_jdbc_error_is_passed_on(stamped):
     options = {"driver": "no.such.Driver", "url": "jdbc:x", "dbtable": "t", "user": "me", "password": "p"}
     contract = bw.DatasetContract("cleaned", presets.CLEANED_COLUMNS, "jdbc", options)

@@ -1,0 +1,40 @@
+from types import SimpleNamespace
+
+import pytest
+
+import bandwright as bw
+from bandwright.storage import fresh_path, shared_folder
+
+
+def session(master, conf=None, current=None):
+    chosen = []
+    context = SimpleNamespace(
+        master=master, getCheckpointDir=lambda: chosen[-1] if chosen else current, setCheckpointDir=chosen.append
+    )
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default: conf or default), sparkContext=context), chosen
+
+
+def test_the_clusters_folder_is_used():
+    spark, chosen = session("yarn", conf="hdfs://shared/dir")
+    assert shared_folder(spark) == "hdfs://shared/dir" and chosen == ["hdfs://shared/dir"]
+    spark, chosen = session("yarn", current="hdfs://set/before")
+    assert shared_folder(spark) == "hdfs://set/before" and chosen == []
+
+
+def test_own_folder_in_local_mode_only():
+    spark, chosen = session("local[4]")
+    assert shared_folder(spark) == chosen[0]
+    spark, _ = session("spark://host:7077")
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(spark)
+
+
+def test_fresh_paths_differ_and_lie_in_the_shared_folder(spark):
+    one, two = fresh_path(spark, "x"), fresh_path(spark, "x")
+    assert one != two and one.startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_baselines_are_checkpointed_there(spark, sample):
+    baseline = bw.fit_baseline(sample, "turbine_id", "power_output")
+    text = baseline.frame._jdf.queryExecution().executedPlan().toString()
+    assert "Scan ExistingRDD" in text and "FileScan" not in text and "Aggregate" not in text

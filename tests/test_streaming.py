@@ -172,3 +172,15 @@ def test_approximate_completeness_on_a_stream(spark, tmp_path):
     query = result.writeStream.format("memory").queryName("complete").outputMode("complete")
     query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
     assert [tuple(r) for r in spark.table("complete").select("distinct_keys", "is_valid").collect()] == [(5, True)] * 2
+
+
+def test_a_stream_needs_a_baseline_and_has_no_emptiness(spark, tmp_path):
+    source = five_turbines(tmp_path / "in")
+    stream = bw.stream_csv(spark, source, SPEC.schema)
+    for judge in (bw.clean, bw.detect_anomalies):
+        with pytest.raises(ValueError, match="stream"):
+            judge(stream, SPEC.key, SPEC.value)
+    baseline = bw.fit_baseline(bw.read_csv(spark, source, SPEC.schema), SPEC.key, SPEC.value)
+    with pytest.raises(ValueError, match="stream"):
+        bw.clean(stream, SPEC.key, SPEC.value, baseline=baseline, require_non_empty=True)
+    assert bw.clean(stream, SPEC.key, SPEC.value, baseline=baseline).isStreaming
