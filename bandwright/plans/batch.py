@@ -120,19 +120,21 @@ def run_batch(
 ) -> Outputs:
     """Read (a CSV path, or take a frame), stamp, and derive all outputs.
 
-    The stamp is fixed here, once for the run. The stamped readings are cached so that text is parsed once;
-    blocks of a lost executor are parsed again from their files. Pass `storage_level=None` for a columnar
-    source, where re-reading a few columns is cheaper than caching all of them.
+    The stamp is fixed here, once for the run. The readings are cached so that text is parsed once; blocks of
+    a lost executor are parsed again from their files. Pass `storage_level=None` for a columnar source, where
+    re-reading a few columns is cheaper than caching all of them. A frame that is cached already stays so.
     """
     if isinstance(source, str):
         source = read_csv(
             spark, source, spec.schema, file_column=spec.group, corrupt_column=spec.corrupt_column, **csv_options
         )
     as_of = as_of or datetime.now(timezone.utc)
-    raw = with_load_columns(source, as_of)
-    held = [] if storage_level is None else [raw.persist(storage_level)]
+    # The stamp goes on top of the cache: as constants, the load date columns need no sort before a write.
+    held = []
+    if storage_level is not None and source.storageLevel == StorageLevel.NONE:
+        held = [source.persist(storage_level)]
     try:
-        outputs = derive(raw, spec, as_of, broadcast_bytes=broadcast_bytes, require_non_empty=require_non_empty)
+        outputs = derive(with_load_columns(source, as_of), spec, as_of, broadcast_bytes=broadcast_bytes, require_non_empty=require_non_empty)
     except BaseException:
         for frame in held:
             frame.unpersist()

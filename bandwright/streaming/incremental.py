@@ -147,7 +147,8 @@ def write_batch(batch: DataFrame, batch_id: int, lake: Lake, spec: ReadingSpec,
     batch only, so a replay replaces its rows instead of repeating them.
     """
     as_of = datetime.now(timezone.utc)
-    raw = with_load_columns(batch, as_of).persist(StorageLevel.MEMORY_AND_DISK)
+    batch.persist(StorageLevel.MEMORY_AND_DISK)
+    raw = with_load_columns(batch, as_of)
     try:
         outputs = derive(raw, spec, as_of, **options)
         for name, frame in [(BRONZE, raw), *((name, getattr(outputs, name)) for name in OUTPUTS)]:
@@ -160,7 +161,7 @@ def write_batch(batch: DataFrame, batch_id: int, lake: Lake, spec: ReadingSpec,
                 .save(lake.path(name))
             )
     finally:
-        raw.unpersist()
+        batch.unpersist()
 
 
 def ingest_batches(readings: DataFrame, lake: Lake, spec: ReadingSpec, **options) -> None:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import bandwright as bw
 from bandwright import presets
+from test_plans import plan
 
 SPEC = presets.wind_power_spec()
 FORMATS = {"cleaned": "parquet", "stats": "parquet", "anomalies": "csv", "rejected": "csv"}
@@ -80,6 +81,21 @@ def test_only_own_frames_are_released(spark, tmp_path):
     other.unpersist()
 
 
+def test_a_frame_cached_by_the_caller_stays_cached(spark, sample):
+    sample.cache()
+    with bw.run_batch(spark, sample, SPEC) as outputs:
+        assert outputs.held == [] and outputs.cleaned.count() == 9
+    assert sample.storageLevel.useMemory
+    sample.unpersist()
+
+
+def test_load_date_is_constant_on_top_of_the_cache(spark, tmp_path):
+    """A constant partition column needs no sort before the write."""
+    with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC, as_of="2024-03-05") as outputs:
+        for name in ("cleaned", "anomalies", "rejected"):
+            assert "2024 AS year" in plan(getattr(outputs, name)), name
+
+
 def test_failure_releases_the_cache(spark, tmp_path, monkeypatch):
     from bandwright.plans import batch
 
