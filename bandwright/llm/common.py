@@ -9,7 +9,8 @@ position first, so the largest group is ordered by many tasks and only one row p
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -27,6 +28,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def arrow_function(of: Callable, kind: str) -> Callable[[Column], Column]:
+    """A function from Arrow array to Arrow array as a column function. Where Python workers share the driver's files
+    they find this package beside it; a cluster gets it by `--py-files` or an installed package, as any other."""
+    environment = SparkSession.active().sparkContext.environment
+    root = str(Path(__file__).resolve().parents[2])
+    known = [path for path in environment.get("PYTHONPATH", "").split(":") if path]
+    if root not in known:
+        environment["PYTHONPATH"] = ":".join([root, *known])
+    return F.arrow_udf(of, kind)
+
+
 def shielded(df: DataFrame, *required: str) -> tuple[DataFrame, dict[str, str]]:
     """The frame with columns c0, c1, ... and where each original name went (its first place if repeated)."""
     require_columns(df, required)

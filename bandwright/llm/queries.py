@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import table
 from .mixing import mix
+from .pii import BASE_KINDS, find_personal_data, joined_spans
+from .quality_rules import quality_rules
+from .sentencepiece import decode, read_model, tokenize
 from .sharding import interleave
+from .simhash import near_duplicates
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,7 +33,42 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
+
+
+def _count(spans: Column, kind: str) -> Column:
+    return F.size(F.filter(spans, lambda x: x["kind"] == kind)).cast("long")
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_personal_data(table(spark, sf_dir, "documents"))
+    base = F.filter("pii", lambda x: x["kind"].isin(*BASE_KINDS))
+    counts = [_count(F.col("pii"), kind).alias(f"n_{kind}") for kind in BASE_KINDS]
+    return found.select(
+        "doc_id", *counts, F.sha2(joined_spans(base), 256).alias("base_sha256"), joined_spans(F.col("pii")).alias("spans")
+    )
+
+
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents"))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = read_model()
+    tokens = tokenize(table(spark, sf_dir, "documents"), model=model)
+    same = decode(F.col("ids"), model) == F.coalesce("text", F.lit(""))
+    return tokens.select("doc_id", "n_tokens", "ids", same.alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard": op2_shard,
+    "op5_simhash": op5_simhash,
+    "op6_pii": op6_pii,
+    "op8_quality_rules": op8_quality_rules,
+    "op9_sentencepiece": op9_sentencepiece,
 }
