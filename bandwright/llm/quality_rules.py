@@ -15,6 +15,7 @@ WINDOW = 5
 MIN_DOCUMENTS = 10
 SHARE = 0.02
 LOST_PERCENT = 70
+RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 
 
 def _lines(text: Column) -> Column:
@@ -78,7 +79,10 @@ def with_text_rules(df: DataFrame, text: Column) -> DataFrame:
     total = F.aggregate(covered, F.lit(0), lambda a, x: a + x)
     step = step.withColumn("n_repeat_words", F.coalesce(total, F.lit(0)).cast("long")).drop("__places")
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return step.withColumn("base_failed", failed)
+    step = step.withColumn("base_failed", failed)
+    # A later filter on these columns must not move below the steps above: it would inline them into each other's
+    # lambdas. It cannot move below a generator that makes the columns.
+    return step.select(*df.columns, F.inline(F.array(F.struct(*RULES))))
 
 
 def frequent_lines(
@@ -147,10 +151,7 @@ def quality_rules(
     * An input column named like an output gives way to it. No rows in, no rows out.
     """
     joined, _ = _judged(docs, text, host, min_documents, share, lost_percent)
-    outputs = (
-        "n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed lost kept".split()
-    )
-    return unshielded(joined, docs.columns, {name: F.col(name) for name in outputs})
+    return unshielded(joined, docs.columns, {name: F.col(name) for name in (*RULES, "lost", "kept")})
 
 
 def apply_quality_rules(
