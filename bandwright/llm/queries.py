@@ -8,11 +8,14 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import table
 from .mixing import mix
+from .neighbours import with_next
 from .pii import BASE_KINDS, find_personal_data, joined_spans
 from .quality_rules import quality_rules
 from .sentencepiece import decode, read_model, tokenize
+from .secrets import BASE_KINDS as SECRET_KINDS, find_secrets
 from .sharding import interleave
 from .simhash import near_duplicates
+from .sketch import containment, hex_digest, resemblance, sketch_documents, with_sketch
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -50,6 +53,18 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_secrets(table(spark, sf_dir, "documents"))
+    base = F.filter("secrets", lambda x: x["kind"].isin(*SECRET_KINDS))
+    counts = [_count(F.col("secrets"), kind).alias(f"n_{kind}") for kind in SECRET_KINDS]
+    return found.select(
+        "doc_id",
+        *counts,
+        F.sha2(joined_spans(base), 256).alias("base_sha256"),
+        joined_spans(F.col("secrets")).alias("spans"),
+    )
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents"))
     return judged.select(
@@ -64,11 +79,39 @@ def op9_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", "n_tokens", "ids", same.alias("round_trip"))
 
 
+def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sketched = sketch_documents(table(spark, sf_dir, "documents"))
+    text = F.coalesce("text", F.lit(""))
+    rows = with_next(
+        sketched.select(F.col("doc_id").alias("id"), F.xxhash64(text).alias("tie"), text.alias("text"), "sketch"),
+        ["text", "sketch"],
+    )
+    n, cut = F.length("text"), F.expr("length(text) div 3").cast("int")
+    edited = F.concat(F.substring("text", F.lit(1), n - cut), F.substring("next_text", F.lit(1), cut))
+    rows = rows.select(
+        F.col("id").alias("doc_id"), n.cast("long").alias("n_chars"), "sketch", "next_sketch", edited.alias("edited")
+    )
+    rows = with_sketch(rows, "edited", "edited_sketch")
+    own, other, following = F.col("sketch"), F.col("edited_sketch"), F.col("next_sketch")
+    return rows.select(
+        "doc_id",
+        "n_chars",
+        F.sha2("edited", 256).alias("edited_sha256"),
+        hex_digest(own).alias("fingerprint"),
+        hex_digest(other).alias("edited_fingerprint"),
+        resemblance(own, other).alias("near_edited"),
+        resemblance(own, following).alias("near_next"),
+        containment(own, other).alias("contained_in_edited"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard": op2_shard,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
+    "op7_secrets": op7_secrets,
     "op8_quality_rules": op8_quality_rules,
     "op9_sentencepiece": op9_sentencepiece,
+    "op10_sketch": op10_sketch,
 }

@@ -146,3 +146,38 @@ def quality(docs, min_documents=10, share=0.02, lost_percent=70):
         kept = not rules["base_failed"] and 100 * lost <= lost_percent * rules["n_words"]
         out.append((rules, lost, kept, "\n".join(line for line, b in zip(lines, bad) if not b)))
     return out
+
+
+# Secrets
+
+ASSIGN = re.compile(
+    r"""(?i:(password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
+)
+
+
+def secret_spans(text):
+    text = text or ""
+    found = [(m.start(), 0, m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= 8]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m.group()) >= 16]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m.group()) >= 32]
+    return [(("assign", "access", "hex")[k], i, j) for i, k, j in sorted(found)]
+
+
+# Documents in descending order of id, each with the next one's text at its end
+
+
+def edited_texts(docs):
+    """docs: (id, text) pairs with different ids. id -> (edited text, next text)."""
+    order = sorted(docs, reverse=True)
+    out = {}
+    for k, (key, text) in enumerate(order):
+        following = order[(k + 1) % len(order)][1] or ""
+        text = text or ""
+        cut = len(text) // 3
+        out[key] = (text[: len(text) - cut] + following[:cut], following)
+    return out
+
+
+def shingle_set(text, size=5):
+    w = words((text or "").lower())
+    return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
