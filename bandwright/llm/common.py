@@ -28,14 +28,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def arrow_function(of: Callable, kind: str) -> Callable[[Column], Column]:
-    """A function from Arrow array to Arrow array as a column function. Where Python workers share the driver's files
-    they find this package beside it; a cluster gets it by `--py-files` or an installed package, as any other."""
-    environment = SparkSession.active().sparkContext.environment
+def package_on_workers(spark: SparkSession) -> None:
+    """Let Python workers that share the driver's files find this package beside it. A cluster gets it by `--py-files`
+    or as an installed package, as any other."""
+    environment = spark.sparkContext.environment
     root = str(Path(__file__).resolve().parents[2])
     known = [path for path in environment.get("PYTHONPATH", "").split(":") if path]
     if root not in known:
         environment["PYTHONPATH"] = ":".join([root, *known])
+
+
+def arrow_function(of: Callable, kind: str) -> Callable[[Column], Column]:
+    """A function from Arrow array to Arrow array as a column function."""
+    package_on_workers(SparkSession.active())
     return F.arrow_udf(of, kind)
 
 

@@ -64,4 +64,18 @@ SELECT doc_id, size, source_size, target,
 FROM t3
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1}
+OP4 = """
+WITH payloads AS (
+  SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages
+), grouped AS (
+  SELECT *, CASE WHEN payload_bytes >= 1000 THEN max(page_id) OVER (PARTITION BY payload_digest) END AS first
+  FROM payloads
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM grouped
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op4_warc": OP4}

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..storage import fresh_path
 from .common import table
 from .mixing import mix
 from .neighbours import with_next
@@ -16,6 +17,7 @@ from .secrets import BASE_KINDS as SECRET_KINDS, find_secrets
 from .sharding import interleave
 from .simhash import near_duplicates
 from .sketch import containment, hex_digest, resemblance, sketch_documents, with_sketch
+from .warc import page_captures, read_archives, write_archives
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,6 +38,12 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "warc")
+    write_archives(table(spark, sf_dir, "pages"), path)
+    return page_captures(read_archives(spark, path, payload=False)).drop("url")
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, bits=4)
 
@@ -108,6 +116,7 @@ def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard": op2_shard,
+    "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
     "op7_secrets": op7_secrets,
