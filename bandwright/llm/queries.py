@@ -11,6 +11,7 @@ from .common import table
 from .mixing import mix
 from .neighbours import with_next
 from .pii import BASE_KINDS, find_personal_data, joined_spans
+from .quality_model import score_quality
 from .quality_rules import quality_rules
 from .sentencepiece import decode, read_model, tokenize
 from .secrets import BASE_KINDS as SECRET_KINDS, find_secrets
@@ -38,6 +39,10 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
@@ -116,6 +121,7 @@ def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard": op2_shard,
+    "op3_quality_model": op3_quality_model,
     "op4_warc": op4_warc,
     "op5_simhash": op5_simhash,
     "op6_pii": op6_pii,
