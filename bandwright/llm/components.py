@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .common import held
 
@@ -12,6 +12,10 @@ def _larger_to_smaller(edges: DataFrame) -> DataFrame:
     return ends.where(F.col("u") != F.col("v")).distinct()
 
 
+def _both_ways(rows: DataFrame, *edges: Column) -> DataFrame:
+    return rows.select(F.explode(F.array(*edges)).alias("edge")).select("edge.u", "edge.v")
+
+
 def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """`node` and `label`, the smallest node reachable, for every node that has an edge to another one.
 
@@ -26,13 +30,16 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
         if seen == before:
             break
         before = seen
-        both = stars.unionByName(stars.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = _both_ways(stars, F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        stars = held(_larger_to_smaller(small.unionByName(least.withColumnRenamed("m", "v"))))
-    centres = stars.select(F.col("v").alias("node")).distinct()
-    return stars.select(F.col("u").alias("node"), F.col("v").alias("label")).unionByName(
-        centres.select("node", F.col("node").alias("label"))
-    )
+        small = _both_ways(
+            large.join(least, "u"),
+            F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+            F.struct("u", F.col("m").alias("v")),
+        )
+        stars = held(_larger_to_smaller(small))
+    ends = F.struct(F.col("u").alias("node"), F.col("v").alias("label"))
+    centre = F.struct(F.col("v").alias("node"), F.col("v").alias("label"))
+    return stars.select(F.explode(F.array(ends, centre)).alias("at")).select("at.node", "at.label").distinct()
