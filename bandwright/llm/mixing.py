@@ -132,7 +132,7 @@ def mix(
     decided = attach(
         state.select("g", "a", "b", F.expr("size div n").alias("size"), "chosen"), facts, "g", F.col("a")
     )
-    copies = F.col("epochs") + F.col("chosen").cast("long")
+    copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("chosen").cast("long")).otherwise(0).cast("long")
     decided = held(decided.select("g", "a", "b", "size", "source_size", "target", copies.alias("copies")))
 
     marked = inner.select("*", *marks)
