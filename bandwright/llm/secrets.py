@@ -2,7 +2,7 @@
 
 Two first-order Markov models of characters, one of random strings and one of ordinary words, are counted over the
 whole corpus. A token is random if its log-likelihood ratio says so. Patterns label the samples: what they find is
-random, as are digests made for the purpose; long words of letters alone are ordinary.
+random, as are digests made for the purpose; other long words are ordinary.
 """
 
 from __future__ import annotations
@@ -23,10 +23,12 @@ KINDS = (*BASE_KINDS, "random")
 LEAST_VALUE, LEAST_ACCESS, LEAST_HEX = 8, 16, 32
 
 TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}"
-ORDINARY = r"(?<![A-Za-z])[A-Za-z]{12,}"
+ORDINARY = r"(?<![A-Za-z0-9_-])[A-Za-z0-9_-]{12,}"
 #: Mean log-likelihood ratio per pair of characters from which a token counts as random.
 THRESHOLD = 0.7
 CODES = 128
+#: Weight of a character's own frequency beside that after its predecessor; and the most that one pair can say.
+BACKOFF, CLIP = 4.0, 3.0
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
@@ -104,32 +106,43 @@ def count_pairs(samples: DataFrame) -> DataFrame:
 
 
 def fit_models(samples: DataFrame) -> MarkovModels:
-    """Two models from rows of `label` (1 random, 0 ordinary) and `token` (ASCII), with add-one smoothing.
+    """Two models from rows of `label` (1 random, 0 ordinary) and `token` (ASCII), backed off to single characters.
 
     All samples count; what reaches the driver is bounded by the alphabet.
     """
     counts = {(row["label"], row["pair"]): row["n"] for row in count_pairs(samples).collect()}
     used = sorted({code for _, pair in counts for code in divmod(pair, CODES)})
+    first: dict[tuple[int, int], int] = {}
+    second: dict[tuple[int, int], int] = {}
+    for (label, pair), n in counts.items():
+        a, b = divmod(pair, CODES)
+        first[label, a] = first.get((label, a), 0) + n
+        second[label, b] = second.get((label, b), 0) + n
+    whole = [sum(n for (label, _), n in first.items() if label == k) for k in (0, 1)]
+
+    def chance(label: int, a: int, b: int) -> float:
+        alone = (second.get((label, b), 0) + 0.5) / (whole[label] + 0.5 * len(used))
+        return (counts.get((label, a * CODES + b), 0) + BACKOFF * alone) / (first.get((label, a), 0) + BACKOFF)
+
     ratios = [0.0] * (CODES * CODES)
-    sums = {(label, a): sum(counts.get((label, a * CODES + b), 0) for b in used) for label in (0, 1) for a in used}
     for a in used:
         for b in used:
-            logs = [
-                math.log((counts.get((label, a * CODES + b), 0) + 1) / (sums[label, a] + len(used))) for label in (0, 1)
-            ]
-            ratios[a * CODES + b] = round(logs[1] - logs[0], 6)
+            ratio = math.log(chance(1, a, b) / chance(0, a, b))
+            ratios[a * CODES + b] = round(max(-CLIP, min(CLIP, ratio)), 6)
     return MarkovModels(tuple(ratios))
 
 
 def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     """Rows of `label` and `token` from all documents: what the base patterns find, and two digests of each text in
-    other alphabets, are random; its different words of at least 12 letters are ordinary."""
+    other alphabets, are random; its other words of at least 12 characters, each once a text, are ordinary."""
     inner, names = shielded(docs, text)
     based = _with_base(inner.select(F.coalesce(names[text], F.lit("")).alias("text")), "text")
     values = F.transform(F.concat("assign", "access", "hex"), lambda x: x["value"])
     digest = F.unhex(F.sha2(F.col("text"), 256))
     made = F.array(F.base64(digest), F.translate(F.base64(digest), "+/=", ""))
-    ordinary = F.array_distinct(F.regexp_extract_all(F.col("text"), F.lit(ORDINARY), F.lit(0)))
+    based = based.select(values.alias("values"), made.alias("made"), F.regexp_extract_all(F.col("text"), F.lit(ORDINARY), F.lit(0)).alias("long"))
+    values, made = F.col("values"), F.col("made")
+    ordinary = F.filter(F.array_distinct("long"), lambda x: ~F.exists(values, lambda v: F.contains(v, x)))
     return based.select(
         F.explode(
             F.concat(
