@@ -62,7 +62,7 @@ def mix(
     most: float = 2.0,
     quality: Column | None = None,
     seed: int = 42,
-    passes: int = 3,
+    passes: int = 2,
 ) -> DataFrame:
     """All documents with `size`, `source_size`, `target`, `copies` and `taken`.
 
@@ -70,7 +70,7 @@ def mix(
     * Sources in code point order, NULL last, have the `weights`, repeated. Targets: see `water_fill`.
     * A source's target is met by whole epochs (`floor(target / size)` copies of everything), then by documents in
       key order while they fit. What is still missing is filled from those left that are short enough, again in key
-      order, `passes` times; the last pass also takes the one document that crosses the line if that ends nearer.
+      order, `passes` times in all; then comes the one document, if any, with which the source ends nearest.
     * `quality` (default: `plain_text_weight`) is above 0; documents of higher quality come earlier.
     * Keys depend on `doc_id` and `seed` only: runs agree, whatever the partitioning. NULL ids share one key and are
       told apart by their text. Rows that are equal in id, source and text are taken together or not at all.
@@ -112,22 +112,21 @@ def mix(
     state = attach(narrow, sources.select("g", "room"), "g", F.col("a"))
     position = F.col("key") / (1 + F.col("key"))
     order = [F.col("key"), F.col("a"), F.col("b")]
-    for turn in range(passes):
+    for _ in range(passes):
         fits = ~F.col("chosen") & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
-        last = turn == passes - 1
-        if last:
-            fits = ~F.col("chosen") & (F.col("size") > 0) & (F.col("size") <= 2 * F.col("room"))
         tried = running(state, "g", position, order, F.when(fits, F.col("size")).otherwise(0), "size")
-        end = F.col("size_before") + F.col("size") * (0.5 if last else 1.0)
-        state = held(
-            tried.withColumn("now", fits & (end <= F.col("room")))
-            .withColumn("chosen", F.col("chosen") | F.col("now"))
-            .drop("size_before", "size_total")
-        )
-        if not last:
-            used = held(state.groupBy("g").agg(F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).alias("used")))
-            state = attach(state, used, "g", F.col("a")).withColumn("room", F.col("room") - F.col("used"))
-            state = state.drop("used", "now")
+        now = fits & (F.col("size_before") + F.col("size") <= F.col("room"))
+        tried = held(tried.withColumn("now", now).withColumn("chosen", F.col("chosen") | F.col("now")))
+        used = held(tried.groupBy("g").agg(F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).alias("used")))
+        state = attach(tried.drop("size_before", "size_total", "now"), used, "g", F.col("a"))
+        state = state.withColumn("room", F.col("room") - F.col("used")).drop("used")
+    gap = F.abs(F.col("size") - F.col("room"))
+    nearer = ~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("room"))
+    last = held(state.groupBy("g").agg(F.min(F.when(nearer, F.struct(gap.alias("gap"), "key", "a", "b"))).alias("last")))
+    is_last = (F.col("last.a") == F.col("a")) & (F.col("last.b") == F.col("b"))
+    state = attach(state, last, "g", F.col("a")).withColumn(
+        "chosen", F.col("chosen") | F.coalesce(is_last, F.lit(False))
+    )
     facts = sources.select("g", "source_size", "target", "epochs")
     decided = attach(
         state.select("g", "a", "b", F.expr("size div n").alias("size"), "chosen"), facts, "g", F.col("a")

@@ -54,14 +54,13 @@ WITH units AS (
          room - sum(CASE WHEN fits AND until <= room THEN size ELSE 0 END) OVER (PARTITION BY source) AS room
   FROM t2
 ), t3 AS (
-  SELECT *, NOT chosen AND size > 0 AND size <= 2 * room AS fits,
-         sum(CASE WHEN NOT chosen AND size > 0 AND size <= 2 * room THEN size ELSE 0 END)
-           OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS until
-  FROM p2
+  SELECT *, CASE WHEN NOT chosen AND size > 0 AND abs(size - room) < room THEN abs(size - room) END AS gap FROM p2
+), t4 AS (
+  SELECT *, gap IS NOT NULL AND row_number() OVER (PARTITION BY source ORDER BY gap NULLS LAST, key, doc_id) = 1 AS nearest
+  FROM t3
 )
-SELECT doc_id, size, source_size, target,
-       ((epochs + (chosen OR (fits AND until - size * 0.5 <= room))::INT) * size)::BIGINT AS taken
-FROM t3
+SELECT doc_id, size, source_size, target, ((epochs + (chosen OR nearest)::INT) * size)::BIGINT AS taken
+FROM t4
 """
 
 OP4 = """

@@ -91,7 +91,7 @@ def test_secret_patterns(spark):
 def test_random_strings_are_told_from_words(spark):
     rng = random.Random(11)
     letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
-    words = "configuration manager response container application service interface transaction".split()
+    words = "configuration transactional responsibility containerized applications interconnected serialization".split()
     plain = [" ".join(rng.choices(words, k=30)) for _ in range(300)]
     samples = secrets.labelled_samples(spark.createDataFrame(list(enumerate(plain)), "doc_id long, text string"))
     models = secrets.fit_models(samples)
