@@ -14,6 +14,7 @@ from .operators import (
     incomplete_groups,
     load_baseline,
     log_incomplete_groups,
+    merge_baselines,
     quality_report,
     rejected_rows,
     store_baseline,
@@ -56,6 +57,7 @@ __all__ = [
     "is_incomplete",
     "load_baseline",
     "log_incomplete_groups",
+    "merge_baselines",
     "quality_report",
     "read_contract",
     "read_csv",

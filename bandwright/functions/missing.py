@@ -48,6 +48,13 @@ def is_incomplete(df: DataFrame, subset: Sequence[str] | None = None, nan_is_nul
     return reduce(or_, tests)
 
 
+def is_infinite(df: DataFrame, name: str) -> Column:
+    """True where a floating-point column is infinite; never for other types."""
+    if _floating(df, name):
+        return F.coalesce(F.abs(F.col(name)) == F.lit(float("inf")), F.lit(False))
+    return F.lit(False)
+
+
 def nan_to_null(df: DataFrame, name: str) -> Column:
     """The column with NaN turned into NULL, so that one NaN cannot spoil an aggregate."""
     if _floating(df, name):

@@ -1,5 +1,5 @@
 from .anomalies import detect_anomalies
-from .baseline import BROADCAST_BYTES, Baseline, fit_baseline, load_baseline, profile, store_baseline
+from .baseline import BROADCAST_BYTES, Baseline, fit_baseline, load_baseline, merge_baselines, profile, store_baseline
 from .clean import clean
 from .completeness import group_completeness, incomplete_groups, log_incomplete_groups
 from .expectations import expect, expectation_counts
@@ -20,6 +20,7 @@ __all__ = [
     "incomplete_groups",
     "load_baseline",
     "log_incomplete_groups",
+    "merge_baselines",
     "profile",
     "quality_report",
     "rejected_rows",

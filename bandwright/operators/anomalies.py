@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.checks import require_columns, require_positive
-from ..functions.missing import nan_to_null
+from ..functions.missing import is_infinite, nan_to_null
 from .baseline import BROADCAST_BYTES, HIGH, LOW, MEAN, STDDEV, Baseline, fit_baseline, join_bounds
 
 
@@ -32,7 +32,8 @@ def detect_anomalies(
     any batch frame when `df` is a stream).
 
     `keep` lists the output columns in order (default: all of `df`, then the two statistics). A NaN value
-    counts as missing; with `nan_is_null=False` it takes part in the statistics and comparisons as is.
+    counts as missing; with `nan_is_null=False` it takes part in the statistics and comparisons as is. An infinite
+    value is an anomaly and shapes no band.
 
     `same_rows=True` says that a `baseline` passed in was fitted on these very rows.
     """
@@ -52,6 +53,7 @@ def detect_anomalies(
         df.where(F.col(value).isNotNull()), baseline, baseline.bounds(k, zero_band), same_rows, broadcast_bytes
     )
     statistics = {mean: F.col(MEAN).alias(mean), stddev: F.col(STDDEV).alias(stddev)}
-    return judged.where((reading > F.col(HIGH)) | (reading < F.col(LOW))).select(
+    outside = (reading > F.col(HIGH)) | (reading < F.col(LOW)) | is_infinite(df, value)
+    return judged.where(outside).select(
         *(statistics.get(name, F.col(name)) for name in keep)
     )

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 from pyspark.sql.types import BinaryType, StringType
 
 from ..functions.checks import require_choice, require_columns, require_positive
-from ..functions.missing import nan_to_null
+from ..functions.missing import is_infinite, nan_to_null
 from ..storage import shared_folder
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -115,7 +115,7 @@ def profile(
     nan_is_null: bool = True,
     counters: Mapping[str, Column] | None = None,
 ) -> tuple[dict[str, Baseline], dict[str, int]]:
-    """Fit one baseline per entry of `parts` (a row condition, or None for all rows) in one pass.
+    """Fit one baseline per entry of `parts` (a row condition, or None for all rows) in one pass, on finite values.
 
     `counters` are row conditions; how many rows of `df` meet each is returned beside the baselines.
 
@@ -132,6 +132,8 @@ def profile(
         df = df.where(known if condition is None else known & condition)
         parts = dict.fromkeys(parts)
     reading = (nan_to_null(df, value) if nan_is_null else F.col(value)).cast("double")
+    # One infinite value would make the mean infinite and the band empty, so that every reading was outside it.
+    reading = F.when(~is_infinite(df, value), reading)
     flags = {f"__{name}": condition for name, condition in (counters or {}).items()}
 
     # Conditions are evaluated once per row, below the aggregation, not once per aggregate.
@@ -157,7 +159,7 @@ def profile(
             held.select(
                 key,
                 READINGS,
-                *(F.col(f"{part}{name}").alias(name) for name in (MEAN, STDDEV, LOWEST)),
+                *(F.col(f"{part}{name}").alias(name) for name in (USED, MEAN, STDDEV, LOWEST)),
             ),
             key,
             size["entities"],
@@ -178,7 +180,7 @@ def fit_baseline(
     return fits["all"]
 
 
-_STORED = {READINGS: "readings", MEAN: "mean", STDDEV: "stddev", LOWEST: "lowest"}
+_STORED = {READINGS: "readings", USED: "used", MEAN: "mean", STDDEV: "stddev", LOWEST: "lowest"}
 
 
 def store_baseline(baseline: Baseline, path: str, mode: str = "error") -> None:
@@ -195,9 +197,44 @@ def load_baseline(spark: SparkSession, path: str, key: str) -> Baseline:
     size = frame.agg(
         F.count(F.lit(1)).alias("entities"),
         F.coalesce(F.sum(READINGS), F.lit(0)).alias("readings"),
+        F.coalesce(F.sum(USED), F.lit(0)).alias("used"),
         _key_width(frame, key).alias("key_bytes"),
     ).first()
-    return Baseline(frame, key, size.entities, size.readings, size.readings, size.key_bytes)
+    return Baseline(frame, key, size.entities, size.readings, size.used, size.key_bytes)
+
+
+def merge_baselines(first: Baseline, second: Baseline) -> Baseline:
+    """The baseline of two sets of readings together, from theirs: to rounding, as if fitted on both at once.
+
+    Counts add up; mean and squared deviation are combined from the difference of the means, which keeps digits that
+    sums of squares would lose. One join of the two entity tables; no reading is read again.
+    """
+    if first.key != second.key:
+        raise ValueError(f"the keys differ: {first.key!r} and {second.key!r}")
+    names = (READINGS, USED, MEAN, STDDEV, LOWEST)
+    left = first.frame.select(first.key, *(F.col(n).alias(f"{n}1") for n in names))
+    right = second.frame.select(first.key, *(F.col(n).alias(f"{n}2") for n in names))
+    both = left.join(right, first.key, "full")
+
+    def number(name: str, side: int) -> Column:
+        return F.coalesce(F.col(f"{name}{side}"), F.lit(0))
+
+    n1, n2 = number(USED, 1), number(USED, 2)
+    total = n1 + n2
+    delta = number(MEAN, 2) - number(MEAN, 1)
+    mean = number(MEAN, 1) + delta * n2 / total
+    squares = sum((number(STDDEV, side) * number(STDDEV, side) * (number(USED, side) - 1) for side in (1, 2)), F.lit(0.0))
+    mixed = F.when((n1 > 0) & (n2 > 0), delta * delta * n1 * n2 / total).otherwise(0.0)
+    merged = both.select(
+        first.key,
+        (number(READINGS, 1) + number(READINGS, 2)).alias(READINGS),
+        total.alias(USED),
+        F.when(n1 == 0, F.col(f"{MEAN}2")).when(n2 == 0, F.col(f"{MEAN}1")).otherwise(mean).alias(MEAN),
+        F.when(total > 1, F.sqrt((squares + mixed) / (total - 1))).alias(STDDEV),
+        F.least(f"{LOWEST}1", f"{LOWEST}2").alias(LOWEST),
+    )
+    held, size = _measured(merged, first.key, (USED,))
+    return Baseline(held, first.key, size["entities"], size[READINGS], size[USED], size["key_bytes"])
 
 
 def _split_by_weight(

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions.checks import EmptyFrameError, require_columns, require_positive, require_rows
-from ..functions.missing import is_complete
+from ..functions.missing import is_complete, is_infinite
 from .baseline import BROADCAST_BYTES, HIGH, LOW, Baseline, fit_baseline, join_bounds
 
 
@@ -25,6 +25,7 @@ def clean(
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Drop incomplete rows, then rows outside the band. Limits are inclusive, columns keep their order.
+    Infinite values are outside every band and shape none.
 
     The band comes from the complete rows of `df` itself, outliers included, over all its time span. It is
     fitted when this function is called; pass `baseline` to reuse one, or to judge a stream.
@@ -60,7 +61,7 @@ def clean_with(
     bounds = baseline.bounds(k, zero_band, on_undefined)
     kept = (
         join_bounds(complete_rows, baseline, bounds, same_rows, broadcast_bytes)
-        .where(F.col(value).between(F.col(LOW), F.col(HIGH)))
+        .where(F.col(value).between(F.col(LOW), F.col(HIGH)) & ~is_infinite(complete_rows, value))
         .select(*complete_rows.columns)
     )
     if require_non_empty:

@@ -25,7 +25,7 @@ from ..spec import ReadingSpec
 
 logger = logging.getLogger(__name__)
 
-OUTPUTS = ("cleaned", "stats", "anomalies", "rejected")
+OUTPUTS = ("cleaned", "stats", "anomalies", "rejected", "completeness")
 CONDITIONAL = ("anomalies", "rejected")
 
 
@@ -72,11 +72,14 @@ def derive(
     judged = spec.judged_columns(raw.columns)
     complete = is_complete(raw, judged)
     # Rows are either complete or rejected, unless NaN is told apart from NULL.
-    counters = {} if spec.nan_is_null else {"rejected": is_incomplete(raw, judged, nan_is_null=False)}
+    counters = {"rejected": is_incomplete(raw, judged, spec.nan_is_null)}
+    if not spec.nan_is_null:
+        counters["usable"] = complete
     fits, seen = profile(
         raw, spec.key, spec.value, {"complete": complete, "raw": None}, spec.nan_is_null, counters
     )
-    rows, usable = fits["raw"].readings, fits["complete"].used
+    rows = fits["raw"].readings
+    usable = seen.get("usable", rows - seen["rejected"])
     if require_non_empty:
         if rows == 0:
             raise EmptyFrameError("the input holds no rows")
@@ -94,16 +97,18 @@ def derive(
     )
     if require_non_empty:
         require_rows(cleaned, "every complete row is outside its band")
-    stats = window_stats(cleaned, spec.key, spec.ts, spec.value, spec.window, label=spec.label)
+    stats = window_stats(
+        cleaned, spec.key, spec.ts, spec.value, spec.window, label=spec.label, nan_is_null=spec.nan_is_null
+    )
     report = quality_report(raw, spec, fits["raw"], same_rows=True, broadcast_bytes=broadcast_bytes)
     return Outputs(
         cleaned=cleaned,
         stats=with_load_columns(stats, as_of),
         anomalies=report.anomalies,
         rejected=report.rejected,
-        completeness=report.completeness,
+        completeness=with_load_columns(report.completeness, as_of),
         rows=rows,
-        rejected_rows=seen.get("rejected", rows - usable),
+        rejected_rows=seen["rejected"],
     )
 
 
@@ -151,13 +156,16 @@ def write_outputs(
     incomplete_lines: int = 100,
     **write_options,
 ) -> dict[str, int]:
-    """Write cleaned, stats, anomalies and rejected, in this order, and return the rows written to each.
+    """Write cleaned, stats, anomalies, rejected and completeness, in this order; return the rows written to each.
 
     Columns are put into contract order first. Anomalies and rejected rows are written only if there are
-    any. Row counts are taken by the writing job itself. Groups that fail the completeness check are logged.
+    any, completeness only if `contracts` has it. Row counts are taken by the writing job itself. How many groups
+    fail the completeness check is logged, with the first `incomplete_lines` of them.
     """
     written = {}
     for name in OUTPUTS:
+        if name == "completeness" and name not in contracts:
+            continue
         frame, contract = contracts[name].conform(getattr(outputs, name)), contracts[name]
         if name == "rejected" and outputs.rejected_rows == 0 or name == "anomalies" and frame.isEmpty():
             logger.info("%s: none", name)

@@ -86,6 +86,17 @@ STATS_COLUMNS = _schema(
         "insert_timestamp": "timestamp",
     }
 )
+COMPLETENESS_COLUMNS = _schema(
+    {
+        "filename": "string",
+        "unique_turbine_count": "long",
+        "is_valid": "boolean",
+        "year": "integer",
+        "month": "integer",
+        "day": "integer",
+        "insert_timestamp": "timestamp",
+    }
+)
 THRESHOLD = 2
 WINDOW = "24 hours"
 TURBINES_PER_FILE = 5
@@ -97,6 +108,7 @@ _COLUMNS = {
     "stats": STATS_COLUMNS,
     "anomalies": ANOMALY_COLUMNS,
     "rejected": REJECTED_COLUMNS,
+    "completeness": COMPLETENESS_COLUMNS,
 }
 
 
@@ -126,8 +138,10 @@ def raw_contract(path: str) -> DatasetContract:
 def wind_power_contracts(
     options: Mapping[str, Mapping[str, str]], formats: Mapping[str, str] = DEFAULT_FORMATS
 ) -> dict[str, DatasetContract]:
-    """The four output contracts. `options` holds the connection options of each, `formats` its format."""
+    """The output contracts. `options` holds the connection options of each, `formats` its format. Completeness has
+    one only if it has options."""
     return {
-        name: DatasetContract(name, columns, formats[name], options[name])
+        name: DatasetContract(name, columns, formats.get(name, "csv"), options[name])
         for name, columns in _COLUMNS.items()
+        if name in options or name != "completeness"
     }

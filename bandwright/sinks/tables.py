@@ -10,6 +10,10 @@ from pyspark.sql.streaming import DataStreamWriter
 from ..functions.audit import LOAD_DATE
 
 
+def _literal(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
 @dataclass(frozen=True)
 class ManagedTable:
     """`name` may be qualified by a database. With `path` the files live there, else in the warehouse."""
@@ -24,8 +28,7 @@ class ManagedTable:
         return ".".join(f"`{part}`" for part in self.name.split("."))
 
     def _describe(self, spark: SparkSession) -> None:
-        text = self.comment.replace("\\", "\\\\").replace("'", "\\'")
-        spark.sql(f"COMMENT ON TABLE {self._quoted()} IS '{text}'")
+        spark.sql(f"COMMENT ON TABLE {self._quoted()} IS '{_literal(self.comment)}'")
 
     def save(self, df: DataFrame, mode: str = "overwrite") -> None:
         """Write a batch frame and record the comment."""
@@ -43,9 +46,16 @@ class ManagedTable:
             spark.sql(
                 f"CREATE TABLE {self._quoted()} ({columns}) USING {self.format}"
                 + (f" PARTITIONED BY ({partitions})" if partitions else "")
-                + (f" LOCATION '{self.path}'" if self.path else "")
+                + (f" LOCATION '{_literal(self.path)}'" if self.path else "")
             )
         self._describe(spark)
 
+    def refresh(self, spark: SparkSession) -> None:
+        """Make files known that were written to the folder directly: a catalogue keeps a list of partitions."""
+        tracked = spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"
+        if self.partition_by and tracked and self.format != "delta":
+            spark.catalog.recoverPartitions(self._quoted())
+        spark.catalog.refreshTable(self._quoted())
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.table(self.name)

@@ -8,6 +8,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 from ..contracts import DatasetContract
 from ..sinks.formats import CSV_TIME_FORMATS
 
+#: Older than any file.
+ANY_AGE = "36500d"
+
 
 def _declared(schema: StructType | str, corrupt_column: str | None) -> StructType:
     fields = StructType.fromDDL(schema) if isinstance(schema, str) else schema
@@ -64,9 +67,13 @@ def stream_csv(
 ) -> DataFrame:
     """The same rows as `read_csv`, as a stream of newly arrived files.
 
-    `maxFilesPerTrigger` or `maxBytesPerTrigger` bound one micro-batch.
+    `maxFilesPerTrigger` or `maxBytesPerTrigger` bound one micro-batch. No file is too old to be read: Spark by itself
+    passes over files a week older than the newest one. The stream therefore remembers every file name; where files
+    are many, let `cleanSource` archive or delete what was read, and pass a shorter `maxFileAge` only if nothing can
+    arrive later than that.
     """
     _check(path, schema)
+    options = {"maxFileAge": ANY_AGE, **options}
     reader = spark.readStream.options(**_csv_options(header, corrupt_column, options))
     return _with_lineage(reader.schema(_declared(schema, corrupt_column)).csv(path), file_column)
 

@@ -2,7 +2,8 @@
 
     bronze ──> cleaned ──> stats
        ├─────> anomalies
-       └─────> rejected
+       ├─────> rejected
+       └─────> completeness
 
 Two scopes, because they judge the same reading differently:
 
@@ -12,13 +13,16 @@ Two scopes, because they judge the same reading differently:
 
 from __future__ import annotations
 
+import json
 import logging
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
@@ -42,6 +46,7 @@ COMMENTS = {
     "stats": "Statistics of the cleaned readings per entity and time window",
     "anomalies": "Readings outside the band of their entity",
     "rejected": "Readings with a missing value",
+    "completeness": "Distinct entities per group of readings",
 }
 
 
@@ -63,23 +68,42 @@ class Lake:
     def checkpoint(self, name: str) -> str:
         return f"{self.root.rstrip('/')}/_checkpoints/{name}"
 
-    def table(self, name: str) -> ManagedTable | None:
+    def table(self, name: str, partition_by: tuple[str, ...] = LOAD_DATE) -> ManagedTable | None:
         if self.database is None:
             return None
         return ManagedTable(
-            f"{self.database}.{name}", self.comments.get(name, ""), LOAD_DATE, self.path(name), self.format
+            f"{self.database}.{name}", self.comments.get(name, ""), partition_by, self.path(name), self.format
         )
 
+    def _schema_path(self, name: str) -> str:
+        return f"{self.root.rstrip('/')}/_schemas/{name}"
+
+    def keep_schema(self, spark: SparkSession, name: str, schema: StructType) -> None:
+        """Note a table's columns, as a table without rows may have no file that knows them."""
+        if self.format != "delta" and self.schema(spark, name) != schema:
+            text = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
+            text.write.mode("overwrite").text(self._schema_path(name))
+
+    def schema(self, spark: SparkSession, name: str) -> StructType | None:
+        try:
+            row = spark.read.text(self._schema_path(name), wholetext=True).first()
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+        return StructType.fromJson(json.loads(row.value)) if row else None
+
     def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
-        """All committed rows of a table as a batch frame."""
+        """All committed rows of a table as a batch frame; an empty table has its columns too."""
         reader = spark.read.format(self.format)
-        if schema is not None and self.format != "delta":
-            reader = reader.schema(schema)
+        if self.format != "delta":
+            schema = schema or self.schema(spark, name)
+            reader = reader.schema(schema) if schema is not None else reader
         return reader.load(self.path(name))
 
 
 def violations(query: StreamingQuery, name: str = "expectations") -> dict[str, int]:
-    """Expectation counts of a finished query, summed over its micro-batches."""
+    """Expectation counts of a finished query, summed over the micro-batches it still holds the progress of."""
     total: dict[str, int] = {}
     for progress in query.recentProgress:
         observed = progress.observedMetrics.get(name)
@@ -89,6 +113,21 @@ def violations(query: StreamingQuery, name: str = "expectations") -> dict[str, i
     return total
 
 
+@contextmanager
+def _whole_progress(spark: SparkSession) -> Iterator[None]:
+    """A query started inside keeps the progress of all its micro-batches; by default it forgets all but 100."""
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, 2**31 - 1)
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(name)
+        else:
+            spark.conf.set(name, before)
+
+
 def ingest(
     readings: DataFrame,
     lake: Lake,
@@ -98,7 +137,8 @@ def ingest(
     """Append all files that have arrived since the last call to bronze, each exactly once, then return.
 
     `readings` is a file stream; the checkpoint remembers which files were taken. Rows get load columns on
-    the way and are written where they were read: no shuffle. Returns the expectation counts.
+    the way and are written where they were read: no shuffle. Returns the expectation counts of all
+    micro-batches of this call.
     """
     stamped = with_load_columns(readings)
     table = lake.table(BRONZE)
@@ -106,16 +146,20 @@ def ingest(
         table.create(readings.sparkSession, stamped.schema)
     if rules:
         stamped, _ = expect(stamped, rules, "expectations")
-    query = (
-        stamped.writeStream.format(lake.format)
-        .partitionBy(*LOAD_DATE)
-        .option("path", lake.path(BRONZE))
-        .option("checkpointLocation", lake.checkpoint(BRONZE))
-        .outputMode("append")
-        .trigger(availableNow=True)
-        .start()
-    )
-    query.awaitTermination()
+    lake.keep_schema(readings.sparkSession, BRONZE, stamped.schema)
+    with _whole_progress(readings.sparkSession):
+        query = (
+            stamped.writeStream.format(lake.format)
+            .partitionBy(*LOAD_DATE)
+            .option("path", lake.path(BRONZE))
+            .option("checkpointLocation", lake.checkpoint(BRONZE))
+            .outputMode("append")
+            .trigger(availableNow=True)
+            .start()
+        )
+        query.awaitTermination()
+    if table:
+        table.refresh(readings.sparkSession)
     return violations(query)
 
 
@@ -123,11 +167,14 @@ def rebuild(spark: SparkSession, lake: Lake, spec: ReadingSpec, bronze: DataFram
     """Recompute every derived table from all of bronze.
 
     Bronze is columnar and partitioned, so each pass reads only the columns it needs; nothing is cached.
+    The tables are overwritten one after the other: a reader may see some of a run and some of the run before,
+    and after a failure the next run puts them right.
     """
     as_of = datetime.now(timezone.utc)
     outputs = derive(lake.read(spark, BRONZE) if bronze is None else bronze, spec, as_of, **options)
     for name in OUTPUTS:
         frame, table = _sized(name, getattr(outputs, name)), lake.table(name)
+        lake.keep_schema(spark, name, frame.schema)
         if table:
             table.save(frame)
         else:
@@ -140,41 +187,70 @@ def _sized(name: str, frame: DataFrame) -> DataFrame:
     return frame.hint("rebalance") if name in CONDITIONAL else frame
 
 
-def write_batch(batch: DataFrame, batch_id: int, lake: Lake, spec: ReadingSpec, **options) -> None:
+def write_batch(
+    batch: DataFrame,
+    batch_id: int,
+    lake: Lake,
+    spec: ReadingSpec,
+    *,
+    rules: Mapping[str, str | Column] | None = None,
+    **options,
+) -> dict[str, int]:
     """Judge one micro-batch by its own readings and store the results under its number.
 
     A micro-batch may be replayed after a failure. Every table is overwritten in the partition of this
-    batch only, so a replay replaces its rows instead of repeating them.
+    batch only, so a replay replaces its rows instead of repeating them. Named tables have the load columns
+    and are partitioned by batch. Returns the expectation counts of the batch.
     """
     as_of = datetime.now(timezone.utc)
     batch.persist(StorageLevel.MEMORY_AND_DISK)
-    raw = with_load_columns(batch, as_of)
+    raw, spark = with_load_columns(batch, as_of), batch.sparkSession
+    counts = Observation()
     try:
         outputs = derive(raw, spec, as_of, **options)
         for name, frame in [(BRONZE, raw), *((name, getattr(outputs, name)) for name in OUTPUTS)]:
+            frame = frame.withColumn(BATCH_ID, F.lit(batch_id))
+            lake.keep_schema(spark, name, frame.schema)
+            table = lake.table(name, (BATCH_ID,))
+            if table:
+                table.create(spark, frame.schema)
+            if name == BRONZE and rules:
+                frame, _ = expect(frame, rules, counts)
             (
-                _sized(name, frame.withColumn(BATCH_ID, F.lit(batch_id)))
+                _sized(name, frame)
                 .write.format(lake.format)
                 .mode("overwrite")
                 .option("partitionOverwriteMode", "dynamic")
                 .partitionBy(BATCH_ID)
                 .save(lake.path(name))
             )
+            if table:
+                table.refresh(spark)
+        return {rule: count or 0 for rule, count in counts.get.items()} if rules else {}
     finally:
         batch.unpersist()
 
 
-def ingest_batches(readings: DataFrame, lake: Lake, spec: ReadingSpec, **options) -> None:
-    """Run `write_batch` on all files that have arrived since the last call, then return."""
+def ingest_batches(readings: DataFrame, lake: Lake, spec: ReadingSpec, **options) -> dict[str, int]:
+    """Run `write_batch` on all files that have arrived since the last call, then return the expectation counts,
+    each micro-batch counted once however often it is tried."""
+    by_batch: dict[int, dict[str, int]] = {}
+
+    def judge(batch: DataFrame, batch_id: int) -> None:
+        by_batch[batch_id] = write_batch(batch, batch_id, lake, spec, **options)
+
     query = (
-        readings.writeStream.foreachBatch(
-            lambda batch, batch_id: write_batch(batch, batch_id, lake, spec, **options)
-        )
+        readings.writeStream.foreachBatch(judge)
         .option("checkpointLocation", lake.checkpoint("batches"))
         .trigger(availableNow=True)
         .start()
     )
     query.awaitTermination()
+    total: dict[str, int] = {}
+    for counts in by_batch.values():
+        for rule, count in counts.items():
+            total[rule] = total.get(rule, 0) + count
+    return total
 
 
 def run_incremental(
@@ -191,7 +267,7 @@ def run_incremental(
     """Take in the CSV files that are new in `source_dir` and bring all tables up to date.
 
     `scope="batch"` without `maxFilesPerTrigger` takes the whole backlog as one micro-batch.
-    Returns the expectation counts (`history` scope).
+    Returns the expectation counts.
     """
     require_choice("scope", scope, SCOPES)
     lake = Lake(lake) if isinstance(lake, str) else lake
@@ -199,8 +275,7 @@ def run_incremental(
         spark, source_dir, spec.schema, file_column=spec.group, corrupt_column=spec.corrupt_column, **csv_options
     )
     if scope == "batch":
-        ingest_batches(readings, lake, spec, broadcast_bytes=broadcast_bytes)
-        return {}
+        return ingest_batches(readings, lake, spec, rules=rules, broadcast_bytes=broadcast_bytes)
     counts = ingest(readings, lake, rules=rules)
     bronze = lake.read(spark, BRONZE, with_load_columns(readings).schema)
     if bronze.isEmpty():

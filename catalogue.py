@@ -169,6 +169,27 @@ def anomalies_stored_baseline(spark, sf):
     return _anomalies(found)
 
 
+def anomalies_merged_baseline(spark, sf):
+    """Baselines of the two halves of the month, merged: as good as one of the whole."""
+    later = bw.fit_baseline(_raw(spark, sf), "sensor", "value", F.col("ts") >= F.lit("2024-01-16").cast("timestamp_ntz"))
+    merged = bw.merge_baselines(_first_half(spark, sf), later)
+    return _anomalies(bw.detect_anomalies(_raw(spark, sf), "sensor", "value", baseline=merged))
+
+
+def _infinite(spark: SparkSession, sf: str) -> DataFrame:
+    """Readings that are infinite during the first minutes of hour 4."""
+    broken = (F.hour("ts") == 4) & (F.minute("ts") < 10)
+    return _raw(spark, sf).withColumn("value", F.when(broken, F.lit(float("inf"))).otherwise(F.col("value")))
+
+
+def clean_events_infinite(spark, sf):
+    return bw.clean(_infinite(spark, sf), "sensor", "value")
+
+
+def anomalies_events_infinite(spark, sf):
+    return _anomalies(bw.detect_anomalies(_infinite(spark, sf), "sensor", "value"))
+
+
 def anomalies_documents(spark, sf):
     df = _table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars")
     return _rounded(bw.detect_anomalies(df, "source", "n_chars", label="chars"), "mean_chars", "stddev_chars")
@@ -217,6 +238,10 @@ def window_stats_6h(spark, sf):
     return _stats(bw.window_stats(_raw(spark, sf), "sensor", "ts", "value", "6 hours"))
 
 
+def window_stats_nan(spark, sf):
+    return _stats(bw.window_stats(_readings(spark, sf, nan=True), "sensor", "ts", "value"))
+
+
 def window_stats_7d(spark, sf):
     return _stats(bw.window_stats(_raw(spark, sf), "sensor", "ts", "value", "7 days"))
 
@@ -417,6 +442,33 @@ def graph_counts(spark, sf):
     return counted
 
 
+def graph_counts_clean(spark, sf):
+    """The same with nothing wrong: every sensor reads its own number, always. Two tables are empty."""
+    lake, counted = bw.Lake(fresh_path(spark, "lake-clean")), None
+    steady = _raw(spark, sf).withColumn("value", F.col("sensor").cast("double"))
+    bw.run_incremental(spark, _csv_files(spark, steady), lake, SPEC)
+    for name in ("bronze", "cleaned", "stats", "anomalies", "rejected"):
+        one = lake.read(spark, name).agg(F.count(F.lit(1)).alias("table_rows"))
+        one = one.select(F.lit(name).alias("table_name"), "table_rows")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
+def graph_expectations(spark, sf):
+    """Violations counted on the way into bronze."""
+    lake = bw.Lake(fresh_path(spark, "lake-rules"))
+    counts = bw.run_incremental(spark, _csv_files(spark, _readings(spark, sf)), lake, SPEC, rules=RULES)
+    return spark.createDataFrame(sorted(counts.items()), "rule STRING, violations LONG")
+
+
+def batch_expectations(spark, sf):
+    """The same in the scope of each micro-batch."""
+    lake = bw.Lake(fresh_path(spark, "lake-batch-rules"))
+    source = _csv_files(spark, _readings(spark, sf))
+    counts = bw.run_incremental(spark, source, lake, SPEC, scope="batch", rules=RULES)
+    return spark.createDataFrame(sorted(counts.items()), "rule STRING, violations LONG")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     query.__name__: query
     for query in (
@@ -437,6 +489,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         anomalies_static_baseline,
         anomalies_static_baseline_split,
         anomalies_stored_baseline,
+        anomalies_merged_baseline,
+        clean_events_infinite,
+        anomalies_events_infinite,
         anomalies_documents,
         anomalies_lineitem_constant,
         rejected_events,
@@ -445,6 +500,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         quality_summary,
         window_stats_events,
         window_stats_6h,
+        window_stats_nan,
         window_stats_7d,
         window_stats_lineitem,
         completeness_orders,
@@ -466,6 +522,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         stream_batch_outputs,
         graph_stats,
         graph_counts,
+        graph_counts_clean,
+        graph_expectations,
+        batch_expectations,
     )
 }
 
@@ -485,6 +544,15 @@ _CONTEXT = (
     "SELECT ts, user_id AS sensor, event_id,"
     " CASE WHEN extract(hour FROM ts) <> 5 THEN event_type END AS event_type, round(value * 100) AS value FROM events"
 )
+_MAY_BREAK = f"SELECT *, extract(hour FROM ts) = 4 AND extract(minute FROM ts) < 10 AS broken FROM ({_RAW})"
+_FINITE = f"SELECT ts, sensor, event_id, event_type, CASE WHEN NOT broken THEN value END AS value FROM ({_MAY_BREAK})"
+_STEADY = "SELECT ts, user_id AS sensor, event_id, event_type, user_id::DOUBLE AS value FROM events"
+_VIOLATIONS = f"""
+SELECT unnest(['rows', 'valid_ts', 'has_value', 'small_value']) AS rule, unnest([count(*),
+  count(*) FILTER (WHERE NOT coalesce(ts > TIMESTAMP '2024-01-08', false)),
+  count(*) FILTER (WHERE value IS NULL),
+  count(*) FILTER (WHERE NOT coalesce(value < 10000, false))]) AS violations
+FROM ({_INJECTED})"""
 _EVENT_COLUMNS = "x.ts, x.sensor, x.event_id, x.event_type, x.value"
 
 
@@ -565,6 +633,15 @@ ORACLE: dict[str, str] = {
     "anomalies_static_baseline": _sql_anomalies(_RAW, history=_HISTORY),
     "anomalies_static_baseline_split": _sql_anomalies(_RAW, history=_HISTORY),
     "anomalies_stored_baseline": _sql_anomalies(_RAW, history=_HISTORY),
+    "anomalies_merged_baseline": _sql_anomalies(_RAW),
+    "clean_events_infinite": _sql_clean(_FINITE),
+    "anomalies_events_infinite": f"""
+WITH f AS ({_FINITE}), s AS (SELECT sensor AS k, avg(value) AS m, stddev_samp(value) AS sd FROM f GROUP BY 1)
+SELECT x.ts, x.sensor, x.event_id, x.event_type,
+  CASE WHEN x.broken THEN 'Infinity'::DOUBLE ELSE x.value END AS value,
+  round(s.m, 6) AS mean_value, round(s.sd, 6) AS stddev_value
+FROM ({_MAY_BREAK}) x LEFT JOIN s ON x.sensor = s.k
+WHERE x.broken OR (s.sd > 0 AND (x.value > s.m + 2 * s.sd OR x.value < s.m - 2 * s.sd))""",
     "anomalies_documents": _sql_anomalies(
         "SELECT doc_id, source, lang, n_chars FROM documents", 2, "source", "n_chars",
         "x.doc_id, x.source, x.lang, x.n_chars", "chars",
@@ -585,6 +662,7 @@ UNION ALL SELECT 'rejected', count(*) FROM ({_REJECTED})
 UNION ALL SELECT 'total', count(*) FROM events""",
     "window_stats_events": _sql_stats(_CLEANED),
     "window_stats_6h": _sql_stats(_RAW, "6 hours"),
+    "window_stats_nan": _sql_stats(_WITHOUT_3_AND_4),
     "window_stats_7d": _sql_stats(_RAW, "7 days"),
     "window_stats_lineitem": _sql_stats(
         "SELECT l_suppkey, l_shipdate, l_quantity AS quantity FROM lineitem",
@@ -627,4 +705,12 @@ UNION ALL SELECT 'cleaned', count(*) FROM ({_CLEANED})
 UNION ALL SELECT 'stats', count(*) FROM ({_sql_stats(_CLEANED)})
 UNION ALL SELECT 'anomalies', count(*) FROM ({_FOUND})
 UNION ALL SELECT 'rejected', count(*) FROM ({_REJECTED})""",
+    "graph_counts_clean": f"""
+SELECT 'bronze' AS table_name, count(*) AS table_rows FROM events
+UNION ALL SELECT 'cleaned', count(*) FROM ({_sql_clean(_STEADY)})
+UNION ALL SELECT 'stats', count(*) FROM ({_sql_stats(_sql_clean(_STEADY))})
+UNION ALL SELECT 'anomalies', 0
+UNION ALL SELECT 'rejected', 0""",
+    "graph_expectations": _VIOLATIONS,
+    "batch_expectations": _VIOLATIONS,
 }

@@ -112,3 +112,29 @@ def test_column_names_do_not_clash(spark):
     )
     assert bw.detect_anomalies(df, "sensor", "value").count() == 1
     assert bw.clean(df.withColumnRenamed("sensor", "readings"), "readings", "value").count() == 8
+
+
+def test_one_infinite_reading_condemns_no_other(spark):
+    rows = [("a", 10.0 + i % 3) for i in range(8)] + [("a", float("inf")), ("b", float("-inf")), ("b", 1.0)]
+    df = readings(spark, rows)
+    found = bw.detect_anomalies(df, "sensor", "value").collect()
+    assert sorted(row.value for row in found) == [float("-inf"), float("inf")]
+    assert bw.clean(df, "sensor", "value").count() == 8
+    assert bw.clean(df, "sensor", "value", on_undefined="keep").count() == 9
+
+
+def test_merged_baselines_equal_one_of_all(spark, tmp_path):
+    rows = [("a", float(i * i % 17)) for i in range(20)] + [("b", 5.0), ("c", None), ("b", 5.0), ("d", 1.0), ("d", 4.0)]
+    df = readings(spark, rows)
+    halves = [bw.fit_baseline(df, "sensor", "value", F.col("id") % 3 == 0), bw.fit_baseline(df, "sensor", "value", F.col("id") % 3 != 0)]
+    whole, merged = bw.fit_baseline(df, "sensor", "value"), bw.merge_baselines(*halves)
+    bw.store_baseline(merged, str(tmp_path / "stored"))
+    again = bw.load_baseline(spark, str(tmp_path / "stored"), "sensor")
+    assert (whole.entities, whole.readings, whole.used) == (merged.entities, merged.readings, merged.used)
+    assert (again.readings, again.used) == (whole.readings, whole.used) == (25, 24)
+
+    def rounded(baseline):
+        rows = baseline.frame.collect()
+        return sorted(tuple(round(x, 9) if isinstance(x, float) else x for x in row) for row in rows)
+
+    assert rounded(whole) == rounded(merged) == rounded(again)

@@ -66,7 +66,7 @@ def test_completeness(spark, caplog):
     assert sorted(r["file"] for r in bw.incomplete_groups(result).collect()) == ["f2", "f3"]
     with caplog.at_level(logging.ERROR):
         assert bw.log_incomplete_groups(result, logging.getLogger("t")) == 2
-        assert bw.log_incomplete_groups(result, logging.getLogger("t"), lines=1) == 1
+        assert bw.log_incomplete_groups(result, logging.getLogger("t"), lines=1) == 2
     assert "file 'f2' holds 1 distinct entities" in caplog.text
     with pytest.raises(ValueError):
         bw.group_completeness(df, "file", "sensor", 0)

@@ -1,3 +1,5 @@
+import os
+
 import pytest
 from conftest import five_turbines
 from pyspark.sql import functions as F
@@ -166,12 +168,72 @@ def test_expectations_of_bronze_need_its_columns(spark, tmp_path):
         ingest(stream, bw.Lake(str(tmp_path / "lake")), rules={"bad": "nope > 1"})
 
 
-def test_approximate_completeness_on_a_stream(spark, tmp_path):
+def test_completeness_on_a_stream_is_approximate_by_name_only(spark, tmp_path):
     stream = bw.stream_csv(spark, five_turbines(tmp_path / "in", files=2), SPEC.schema)
-    result = bw.group_completeness(stream, "filename", "turbine_id", 5)
+    with pytest.raises(ValueError, match="stream"):
+        bw.group_completeness(stream, "filename", "turbine_id", 5)
+    result = bw.group_completeness(stream, "filename", "turbine_id", 5, approximate=True)
+    assert result.columns == ["filename", "approx_distinct_keys"]
     query = result.writeStream.format("memory").queryName("complete").outputMode("complete")
     query.option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
-    assert [tuple(r) for r in spark.table("complete").select("distinct_keys", "is_valid").collect()] == [(5, True)] * 2
+    assert [r.approx_distinct_keys for r in spark.table("complete").collect()] == [5, 5]
+
+
+@pytest.mark.parametrize("scope", ["history", "batch"])
+def test_completeness_is_stored(spark, tmp_path, scope):
+    lake = bw.Lake(str(tmp_path / "lake"))
+    source = five_turbines(tmp_path / "in", files=2)
+    (tmp_path / "in" / "short.csv").write_text(
+        "timestamp,turbine_id,wind_speed,wind_direction,power_output\n2022-03-01T00:00:00,1,11.0,169,100.0\n"
+    )
+    bw.run_incremental(spark, source, lake, SPEC, scope=scope, maxFilesPerTrigger=1)
+    stored = lake.read(spark, "completeness").select("unique_turbine_count", "is_valid").collect()
+    assert sorted(map(tuple, stored)) == [(1, False), (5, True), (5, True)]
+
+
+@pytest.mark.parametrize("scope", ["history", "batch"])
+def test_no_file_is_too_old_and_every_violation_counts(spark, tmp_path, scope):
+    lake, source = bw.Lake(str(tmp_path / "lake")), five_turbines(tmp_path / "in")
+    assert bw.run_incremental(spark, source, lake, SPEC, scope=scope)  == {}
+    five_turbines(tmp_path / "in", files=6)
+    day = 24 * 3600
+    for age, number in enumerate(range(1, 6)):
+        path = tmp_path / "in" / f"group_{number}.csv"
+        then = path.stat().st_mtime - 100 * day * age
+        os.utime(path, (then, then))
+    name = "spark.sql.streaming.numRecentProgressUpdates"
+    spark.conf.set(name, 2)
+    rules = {"never": "power_output < 0"}
+    try:
+        seen = bw.run_incremental(spark, source, lake, SPEC, scope=scope, rules=rules, maxFilesPerTrigger=1)
+        assert spark.conf.get(name) == "2"
+    finally:
+        spark.conf.unset(name)
+    assert seen == {"rows": 100, "never": 100}
+    assert lake.read(spark, "bronze").count() == 120
+
+
+@pytest.mark.parametrize("scope", ["history", "batch"])
+def test_empty_tables_can_be_read(spark, tmp_path, scope):
+    lake = bw.Lake(str(tmp_path / "lake"))
+    bw.run_incremental(spark, five_turbines(tmp_path / "in"), lake, SPEC, scope=scope)
+    for name in ("anomalies", "rejected"):
+        table = lake.read(spark, name)
+        assert table.count() == 0 and {"power_output", "insert_timestamp"} <= set(table.columns)
+
+
+def test_named_tables_of_batches(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS batches")
+    lake = bw.Lake(str(tmp_path / "it's a lake"), database="batches")
+    source = five_turbines(tmp_path / "in", broken=OUTLIER)
+    bw.run_incremental(spark, source, lake, SPEC, scope="batch")
+    five_turbines(tmp_path / "in", files=2, broken=OUTLIER)
+    bw.run_incremental(spark, source, lake, SPEC, scope="batch")
+    for name in (*TABLES, "completeness"):
+        table = bw.read_table(spark, f"batches.{name}")
+        assert table.count() == lake.read(spark, name).count() > 0
+        assert {"year", "month", "day", "batch_id"} <= set(table.columns)
+    spark.sql("DROP DATABASE batches CASCADE")
 
 
 def test_a_stream_needs_a_baseline_and_has_no_emptiness(spark, tmp_path):
