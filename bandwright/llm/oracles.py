@@ -77,4 +77,44 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM grouped
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op4_warc": OP4}
+OP8 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(source, '~') AS host, coalesce(text, '') AS text FROM documents
+), split AS (
+  SELECT doc_id, host, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS w,
+         list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM docs
+), windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 4], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS i FROM split)
+), twice AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, win) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS place FROM twice) GROUP BY doc_id
+), lines AS (
+  SELECT doc_id, host, text, trim(regexp_replace(lower(line), '[\x20\x09\x0B-\x0D]+', ' ', 'g')) AS line,
+         len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n
+  FROM (SELECT doc_id, host, text, unnest(lines) AS line FROM split)
+), sizes AS (
+  SELECT host, count(DISTINCT text) AS texts FROM docs GROUP BY host
+), often AS (
+  SELECT host, line FROM lines JOIN sizes USING (host) GROUP BY host, line, texts
+  HAVING count(DISTINCT text) > 10 AND count(DISTINCT text) > 0.02::DOUBLE * texts
+), lost AS (
+  SELECT doc_id, sum(n) AS n FROM lines JOIN often USING (host, line) GROUP BY doc_id
+), counted AS (
+  SELECT doc_id, len(w)::BIGINT AS n_words,
+         length(translate(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13), ''))::BIGINT AS word_chars,
+         (length(text) - length(translate(text, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines,
+         coalesce(covered.n, 0)::BIGINT AS n_repeat_words, coalesce(lost.n, 0) AS lost
+  FROM split LEFT JOIN covered USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND 100 * lost <= 70 * n_words AS kept
+FROM counted
+"""
+
+ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op4_warc": OP4, "op8_quality_rules": OP8}
