@@ -10,9 +10,20 @@ sys.path.insert(0, str(ROOT))
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
-# Eleven readings of one turbine, one of them missing, one far off.
-SAMPLE_TIMES = ["2022-03-01 00:00:00"] * 7 + ["2022-03-01 10:00:00"] * 4
-SAMPLE_POWER = [95.7, 95.8, 95.9, None, 120.0, 97.0, 200.0, 115.7, 105.8, 110.9, 90.0]
+# Eleven readings (time, power) of one turbine, one of them missing, one far off.
+SAMPLE = [
+    ("2022-03-01 00:00:00", 95.7),
+    ("2022-03-01 00:00:00", 95.8),
+    ("2022-03-01 00:00:00", 95.9),
+    ("2022-03-01 00:00:00", None),
+    ("2022-03-01 00:00:00", 120.0),
+    ("2022-03-01 10:00:00", 115.7),
+    ("2022-03-01 10:00:00", 105.8),
+    ("2022-03-01 10:00:00", 110.9),
+    ("2022-03-01 10:00:00", 90.0),
+    ("2022-03-01 00:00:00", 97.0),
+    ("2022-03-01 00:00:00", 200.0),
+]
 
 
 @pytest.fixture(scope="session")
@@ -49,9 +60,7 @@ def turbine_rows(spark, rows):
 
 @pytest.fixture
 def sample(spark):
-    return turbine_rows(
-        spark, [(time, 1, 11.8, 169, power) for time, power in zip(SAMPLE_TIMES, SAMPLE_POWER)]
-    )
+    return turbine_rows(spark, [(time, 1, 11.8, 169, power) for time, power in SAMPLE])
 
 
 def readings(spark, rows):
