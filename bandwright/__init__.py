@@ -15,6 +15,7 @@ from .operators import (
     load_baseline,
     log_incomplete_groups,
     merge_baselines,
+    quality_counts,
     quality_report,
     rejected_rows,
     store_baseline,
@@ -58,6 +59,7 @@ __all__ = [
     "load_baseline",
     "log_incomplete_groups",
     "merge_baselines",
+    "quality_counts",
     "quality_report",
     "read_contract",
     "read_csv",

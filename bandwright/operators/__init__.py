@@ -4,7 +4,7 @@ from .clean import clean
 from .completeness import group_completeness, incomplete_groups, log_incomplete_groups
 from .expectations import expect, expectation_counts
 from .rejected import rejected_rows
-from .report import QualityReport, quality_report
+from .report import QualityReport, quality_counts, quality_report
 from .window_stats import window_stats
 
 __all__ = [
@@ -22,6 +22,7 @@ __all__ = [
     "log_incomplete_groups",
     "merge_baselines",
     "profile",
+    "quality_counts",
     "quality_report",
     "rejected_rows",
     "store_baseline",

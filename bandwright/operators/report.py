@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..functions.checks import require_columns
+from ..functions.missing import is_complete, is_incomplete, is_infinite, nan_to_null
 from ..spec import ReadingSpec
 from .anomalies import detect_anomalies
-from .baseline import BROADCAST_BYTES, Baseline
+from .baseline import BROADCAST_BYTES, HIGH, LOW, Baseline, join_bounds, profile
 from .completeness import group_completeness
 from .rejected import rejected_rows
 
@@ -47,3 +48,32 @@ def quality_report(
         rejected_rows(df, spec.judged_columns(df.columns), spec.nan_is_null),
         group_completeness(df, spec.group, spec.key, spec.expected_keys, spec.count_name),
     )
+
+
+def quality_counts(
+    df: DataFrame, key: str, value: str, k: float = 2.0, *, broadcast_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Rows of `outcome` and `readings`: how many of `df` are cleaned, anomalies, rejected, and there in all.
+
+    One pass fits both bands and counts rejected rows; one more joins each reading with both bands and counts what
+    is inside the one and outside the other. `clean` and `detect_anomalies` give the rows themselves.
+    """
+    complete, counters = is_complete(df), {"rejected": is_incomplete(df)}
+    fits, seen = profile(df, key, value, {"complete": complete, "raw": None}, True, counters)
+    inner = fits["complete"].bounds(k).select(key, F.col(LOW).alias("__from"), F.col(HIGH).alias("__to"))
+    both = fits["raw"].bounds(k).join(inner, key)
+    known = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
+    judged = join_bounds(known, fits["raw"], both, True, broadcast_bytes)
+    reading, infinite = nan_to_null(df, value), is_infinite(df, value)
+    found = judged.agg(
+        F.count_if(complete & reading.between(F.col("__from"), F.col("__to")) & ~infinite).alias("cleaned"),
+        F.count_if((reading > F.col(HIGH)) | (reading < F.col(LOW)) | infinite).alias("anomalies"),
+    )
+    outcomes = {
+        "cleaned": F.col("cleaned"),
+        "anomalies": F.col("anomalies"),
+        "rejected": F.lit(seen["rejected"]).cast("long"),
+        "total": F.lit(fits["raw"].readings).cast("long"),
+    }
+    rows = [F.struct(F.lit(name).alias("outcome"), n.alias("readings")) for name, n in outcomes.items()]
+    return found.select(F.inline(F.array(*rows)))

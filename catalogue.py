@@ -213,18 +213,16 @@ def rejected_events_null_only(spark, sf):
 
 
 def quality_summary(spark, sf):
-    df = _readings(spark, sf)
-    frames = {
-        "cleaned": bw.clean(df, "sensor", "value"),
-        "anomalies": bw.detect_anomalies(df, "sensor", "value"),
-        "rejected": bw.rejected_rows(df),
-        "total": df,
-    }
-    tagged = None
-    for name, frame in frames.items():
-        one = frame.agg(F.count(F.lit(1)).alias("readings")).select(F.lit(name).alias("outcome"), "readings")
-        tagged = one if tagged is None else tagged.unionByName(one)
-    return tagged
+    return bw.quality_counts(_readings(spark, sf), "sensor", "value")
+
+
+def quality_summary_context(spark, sf):
+    """With a gap in another column, a reading can be rejected and anomalous at once."""
+    return bw.quality_counts(_context_readings(spark, sf), "sensor", "value")
+
+
+def quality_summary_split(spark, sf):
+    return bw.quality_counts(_readings(spark, sf), "sensor", "value", broadcast_bytes=SPLIT_BYTES)
 
 
 # Statistics, completeness, load columns, expectations
@@ -498,6 +496,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rejected_events_nan,
         rejected_events_null_only,
         quality_summary,
+        quality_summary_context,
+        quality_summary_split,
         window_stats_events,
         window_stats_6h,
         window_stats_nan,
@@ -600,6 +600,11 @@ _LOAD = (
 _CLEANED = _sql_clean(_INJECTED)
 _FOUND = _sql_anomalies(_INJECTED)
 _REJECTED = f"SELECT * FROM ({_INJECTED}) WHERE value IS NULL"
+_SUMMARY = f"""
+SELECT 'cleaned' AS outcome, count(*) AS readings FROM ({_CLEANED})
+UNION ALL SELECT 'anomalies', count(*) FROM ({_FOUND})
+UNION ALL SELECT 'rejected', count(*) FROM ({_REJECTED})
+UNION ALL SELECT 'total', count(*) FROM events"""
 _LINES = "SELECT l_orderkey, l_linenumber, {} FROM lineitem"
 _LINE_COLUMNS = "x.l_orderkey, x.l_linenumber, x.{}"
 _HISTORY = "WHERE ts < TIMESTAMP '2024-01-16'"
@@ -655,10 +660,12 @@ WHERE x.broken OR (s.sd > 0 AND (x.value > s.m + 2 * s.sd OR x.value < s.m - 2 *
         " FROM events WHERE extract(hour FROM ts) IN (3, 4)"
     ),
     "rejected_events_null_only": _REJECTED,
-    "quality_summary": f"""
-SELECT 'cleaned' AS outcome, count(*) AS readings FROM ({_CLEANED})
-UNION ALL SELECT 'anomalies', count(*) FROM ({_FOUND})
-UNION ALL SELECT 'rejected', count(*) FROM ({_REJECTED})
+    "quality_summary": _SUMMARY,
+    "quality_summary_split": _SUMMARY,
+    "quality_summary_context": f"""
+SELECT 'cleaned' AS outcome, count(*) AS readings FROM ({_sql_clean(_CONTEXT, complete="event_type IS NOT NULL")})
+UNION ALL SELECT 'anomalies', count(*) FROM ({_sql_anomalies(_CONTEXT)})
+UNION ALL SELECT 'rejected', count(*) FROM ({_CONTEXT}) WHERE event_type IS NULL
 UNION ALL SELECT 'total', count(*) FROM events""",
     "window_stats_events": _sql_stats(_CLEANED),
     "window_stats_6h": _sql_stats(_RAW, "6 hours"),
