@@ -15,7 +15,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from ..functions.checks import require_choice, require_columns, require_positive
 from ..functions.missing import is_infinite, nan_to_null
@@ -85,9 +85,13 @@ class Baseline:
 
 
 def _key_width(df: DataFrame, key: str) -> Column:
-    """Bytes of the longest key."""
-    variable = isinstance(df.schema[key].dataType, (StringType, BinaryType))
-    return F.coalesce(F.max(F.octet_length(key) if variable else F.lit(16)), F.lit(0))
+    """Bytes of the longest key; of a nested key, those of its text and as much again for its fields."""
+    kind, width = df.schema[key].dataType, F.lit(16)
+    if isinstance(kind, (StringType, BinaryType)):
+        width = F.octet_length(key)
+    elif isinstance(kind, (StructType, ArrayType)):
+        width = 2 * F.octet_length(F.col(key).cast("string")) + 64
+    return F.coalesce(F.max(width), F.lit(0))
 
 
 def _measured(df: DataFrame, key: str, counters: tuple[str, ...] = ()) -> tuple[DataFrame, dict]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from uuid import uuid4
 
@@ -18,7 +19,7 @@ def shared_folder(spark: SparkSession) -> str:
     """
     folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):  # not local-cluster, whose executors are apart
             raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
         folder = tempfile.mkdtemp(prefix="bandwright-")
     if spark.sparkContext.getCheckpointDir() is None:

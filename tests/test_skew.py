@@ -103,6 +103,8 @@ def test_size_bound_grows_with_key_length(spark):
         return bw.fit_baseline(df, "k", "v").size_bytes
 
     assert size("x" * 1000) - size("x" * 10) == 2 * 990
+    nested = spark.createDataFrame([(("x" * 5000,), 1.0)], "k STRUCT<a: STRING>, v DOUBLE")
+    assert bw.fit_baseline(nested, "k", "v").size_bytes > 10_000
     empty = spark.createDataFrame([], "k STRING, v DOUBLE")
     baseline = bw.fit_baseline(empty, "k", "v")
     assert isinstance(baseline, Baseline) and baseline.size_bytes == 0

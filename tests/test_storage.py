@@ -24,9 +24,10 @@ def test_the_clusters_folder_is_used():
 def test_own_folder_in_local_mode_only():
     spark, chosen = session("local[4]")
     assert shared_folder(spark) == chosen[0]
-    spark, _ = session("spark://host:7077")
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        shared_folder(spark)
+    for master in ("spark://host:7077", "local-cluster[2,1,1024]"):
+        spark, _ = session(master)
+        with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+            shared_folder(spark)
 
 
 def test_fresh_paths_differ_and_lie_in_the_shared_folder(spark):
