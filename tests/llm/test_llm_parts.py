@@ -64,18 +64,19 @@ def test_streaming_without_word_ends(text):
 
 
 def test_stream_keeps_a_short_window():
-    mine, longest = encoder(read_model()), 0
-
-    def watched():
-        nonlocal longest
-        for i in range(20_000):
-            fed[0] = i
-            yield random.Random(i).choice("thequickbrown")
-
-    fed = [0]
-    for n, _ in enumerate(mine.stream(watched())):
-        longest = max(longest, fed[0] - n * 1)
-    assert longest < 20_000
+    """Without a single word end, ids still follow closely behind the characters that were read."""
+    mine, rng, read, written, behind = encoder(read_model()), random.Random(2), 0, 0, 0
+
+    def characters():
+        nonlocal read
+        for _ in range(20_000):
+            read += 1
+            yield rng.choice("thequickbrown")
+
+    for number in mine.stream(characters()):
+        behind = max(behind, read - written)
+        written += len(mine.vocabulary.pieces[number])
+    assert written == read == 20_000 and behind < 20 * mine.vocabulary.longest
 
 
 def test_secret_patterns(spark):
