@@ -11,7 +11,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -26,7 +25,9 @@ SPACE = "▁"
 #: Words kept with their ids in each Python worker, and the longest word kept.
 CACHED_WORDS = 400_000
 CACHED_LENGTH = 48
-_CHUNKS = re.compile(f"[^{SPACE}\n]+|{SPACE}+[^{SPACE}\n]*|\n")
+#: What ends at a boundary, where it is no piece: a character outside the vocabulary or the start; not known yet.
+OTHER, UNSEEN = -1, -2
+_LETTER = re.compile(r"[^\W\d_]")
 
 
 class Vocabulary:
@@ -42,13 +43,40 @@ class Vocabulary:
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i] and i not in is_byte}
         self.rank = {i: -loaded.get_score(i) for i in self.ids.values()}
         self.longest = max(map(len, self.ids))
-        # A piece holds the space mark only in front, so no piece reaches over the start of a word.
-        self.splits_at_words = not any(SPACE in piece.lstrip(SPACE) for piece in self.ids)
+        # A tree of all pieces: under each character the id of the piece that ends with it, if one does, and what
+        # may follow.
+        self.tree: dict[str, list] = {}
+        for piece, number in self.ids.items():
+            node = self.tree
+            for character in piece[:-1]:
+                node = node.setdefault(character, [-1, {}])[1]
+            node.setdefault(piece[-1], [-1, {}])[0] = number
+        self.runs = self._runs()
         self.bytes_of = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(self.pieces, special)]
         for value, i in enumerate(self.byte_ids):
             self.bytes_of[i] = bytes([value])
-        self._agree: dict[int, bool] = {}
-        self._whole: dict[int, bool] = {}
+        self.agreed: dict[int, bool] = {}
+
+    def _runs(self) -> re.Pattern | None:
+        """The pattern that cuts a text where no piece can reach over: before a space mark that follows another
+        character, and between letters and all else. None if some piece has the mark elsewhere than in front.
+
+        Letters that some piece holds beside another kind of character count as that kind.
+        """
+        if any(SPACE in piece.lstrip(SPACE) for piece in self.ids):
+            return None
+        mixed: set[str] = set()
+        pairs = {pair for piece in self.ids for pair in zip(piece, piece[1:]) if SPACE not in pair}
+        while True:
+            odd = set()
+            for pair in pairs:
+                letters = [c for c in pair if _LETTER.match(c) and c not in mixed]
+                odd.update(letters if len(letters) == 1 else ())
+            if not odd:
+                break
+            mixed |= odd
+        out = "".join(map(re.escape, sorted(mixed)))
+        return re.compile(rf"{SPACE}*[^\W\d_{out}]+|{SPACE}*(?:(?!{SPACE})[\W\d_{out}])+|{SPACE}+")
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging neighbours, best rank first, leftmost first."""
@@ -67,87 +95,114 @@ class Vocabulary:
             at = best[1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def agree(self, left: int | None, right: int) -> bool:
-        """Whether piece `right` can follow `left` (None: the start, or a character outside the vocabulary)."""
-        if left is None:
-            if (known := self._whole.get(right)) is None:
-                known = self._whole[right] = self.merged(self.pieces[right]) == [self.pieces[right]]
-            return known
-        key = left * len(self.pieces) + right
-        if (known := self._agree.get(key)) is None:
-            two = [self.pieces[left], self.pieces[right]]
-            known = self._agree[key] = self.merged(two[0] + two[1]) == two
+    def agree(self, left: int, right: int) -> bool:
+        """Whether piece `right` can follow `left` (OTHER: the start, or a character outside the vocabulary)."""
+        two = [self.pieces[right]] if left == OTHER else [self.pieces[left], self.pieces[right]]
+        known = self.agreed[left * len(self.pieces) + right] = self.merged("".join(two)) == two
         return known
 
 
 class Encoder:
     def __init__(self, model: bytes):
         self.vocabulary = Vocabulary(model)
-        self._words: dict[str, array] = {}
+        # Two generations: when the newer one is full it replaces the older one.
+        self._words: dict[str, tuple[int, ...]] = {}
+        self._older: dict[str, tuple[int, ...]] = {}
 
-    def stream(self, characters: Iterable[str]) -> Iterator[int]:
-        """Ids of a text given piecemeal. Held: the characters since the last common boundary."""
+    def _reach(self, window: str, ends: list[int], starts: list[int], first: int, last: int) -> None:
+        """From each boundary in [first, last), find the pieces that start there and agree with the one that ends there.
+
+        Of all pieces that end at a boundary, one agrees with what comes before: a text has one encoding.
+        """
         vocabulary = self.vocabulary
-        ids, agree, reach = vocabulary.ids, vocabulary.agree, vocabulary.longest
-        window, ends, starts = "", [None], [0]
-        limit = 4 * reach
-        for character in characters:
-            window += character
-            at = len(window)
-            for start in range(max(0, at - reach), at):
-                piece = ids.get(window[start:at])
-                if piece is not None and agree(ends[start], piece):
+        tree, agreed, agree = vocabulary.tree, vocabulary.agreed, vocabulary.agree
+        size, length = len(vocabulary.pieces), len(window)
+        for at in range(first, last):
+            before = ends[at]
+            row = before * size
+            if window[at] not in tree:  # outside the vocabulary: bytes, whatever is beside it
+                ends[at + 1], starts[at + 1] = OTHER, at
+                continue
+            node = tree
+            for end in range(at + 1, length + 1):
+                found = node.get(window[end - 1])
+                if found is None:
                     break
-            else:
-                start, piece = at - 1, None
-            ends.append(piece)
-            starts.append(start)
-            if at >= limit:
-                cut = self._common(starts, reach)
-                yield from self._path(window, ends, starts, cut)
-                window, ends, starts = window[cut:], ends[cut:], [max(0, s - cut) for s in starts[cut:]]
-                limit = max(4 * reach, 2 * len(window))
+                piece, node = found
+                if piece >= 0 and ends[end] == UNSEEN:
+                    known = agreed.get(row + piece)
+                    if known or known is None and agree(before, piece):
+                        ends[end], starts[end] = piece, at
+
+    def stream(self, characters: Iterable[str]) -> Iterator[int]:
+        """Ids of a text given piecemeal. Held: the characters since the last boundary common to all paths."""
+        reach = self.vocabulary.longest
+        window, ends, starts, done = "", [OTHER], [0], 0
+        limit = 8 * reach
+        for characters in characters:
+            window += characters
+            ends += [UNSEEN] * len(characters)
+            starts += [0] * len(characters)
+            if len(window) < limit:
+                continue
+            ready = len(window) - reach
+            self._reach(window, ends, starts, done, ready)
+            # A later piece starts at `ready` or after it; what crosses it has started before.
+            cut = self._common(starts, {ready} | {starts[k] for k in range(ready + 1, len(ends)) if ends[k] != UNSEEN})
+            yield from self._path(window, ends, starts, cut)
+            window, ends, starts = window[cut:], ends[cut:], [max(0, k - cut) for k in starts[cut:]]
+            done = ready - cut
+            limit = max(8 * reach, 2 * len(window))
+        self._reach(window, ends, starts, done, len(window))
         yield from self._path(window, ends, starts, len(window))
 
     @staticmethod
-    def _common(starts: list[int], reach: int) -> int:
-        """The last boundary on the paths of all boundaries from which a later piece can start."""
-        alive = set(range(max(0, len(starts) - reach), len(starts)))
+    def _common(starts: list[int], alive: set[int]) -> int:
+        """The last boundary on the paths of all boundaries in `alive`."""
         while len(alive) > 1:
             last = max(alive)
             alive.remove(last)
             alive.add(starts[last])
         return alive.pop()
 
-    def _path(self, window: str, ends: list, starts: list[int], at: int) -> list[int]:
+    def _path(self, window: str, ends: list[int], starts: list[int], at: int) -> list[int]:
         path = []
         while at > 0:
-            if ends[at] is None:
+            if ends[at] == OTHER:
                 path += [self.vocabulary.byte_ids[b] for b in reversed(window[at - 1].encode())]
             else:
                 path.append(ends[at])
             at = starts[at]
         return path[::-1]
 
-    def encode(self, text: str) -> array:
-        """All ids of a text; empty for an empty text. Words seen before are looked up."""
-        out = array("i")
+    def _run(self, run: str) -> tuple[int, ...]:
+        if len(run) > CACHED_LENGTH:
+            return tuple(self.stream(run[k : k + 64] for k in range(0, len(run), 64)))
+        ids = self._older.get(run)
+        if ids is None:
+            ends, starts = [OTHER] + [UNSEEN] * len(run), [0] * (len(run) + 1)
+            self._reach(run, ends, starts, 0, len(run))
+            ids = tuple(self._path(run, ends, starts, len(run)))
+        if len(self._words) >= CACHED_WORDS // 2:
+            self._older, self._words = self._words, {}
+        self._words[run] = ids
+        return ids
+
+    def encode(self, text: str) -> list[int]:
+        """All ids of a text; empty for an empty text. Runs seen before are looked up."""
         if not text:
-            return out
+            return []
         marked = SPACE + text.replace(" ", SPACE)
-        if not self.vocabulary.splits_at_words:
-            out.extend(self.stream(marked))
-            return out
+        if self.vocabulary.runs is None:
+            return list(self.stream(marked))
+        out: list[int] = []
         words = self._words
-        for chunk in _CHUNKS.findall(marked):
-            ids = words.get(chunk)
+        for run in self.vocabulary.runs.findall(marked):
+            ids = words.get(run)
             if ids is None:
-                ids = array("i", self.stream(chunk))
-                if len(chunk) <= CACHED_LENGTH:
-                    if len(words) >= CACHED_WORDS:
-                        words.clear()
-                    words[chunk] = ids
-            out.extend(ids)
+                ids = self._run(run)
+                words = self._words
+            out += ids
         return out
 
     def decode(self, ids: Iterable[int]) -> str:
@@ -178,12 +233,12 @@ def encode(text: Column, model: bytes) -> Column:
 
     def of(batch: pa.Array) -> pa.Array:
         with_model = encoder(model)
-        values, offsets = array("i"), np.zeros(len(batch) + 1, np.int32)
+        parts, offsets = [np.zeros(0, np.int32)], np.zeros(len(batch) + 1, np.int32)
         for i, value in enumerate(batch):
-            if value.is_valid:
-                values.extend(with_model.encode(value.as_py()))
-            offsets[i + 1] = len(values)
-        flat = pa.array(np.frombuffer(values, np.int32) if values else np.zeros(0, np.int32))
+            ids = with_model.encode(value.as_py()) if value.is_valid else []
+            parts.append(np.array(ids, np.int32))
+            offsets[i + 1] = offsets[i] + len(ids)
+        flat = pa.array(np.concatenate(parts))
         return pa.ListArray.from_arrays(pa.array(offsets), flat)
 
     return arrow_function(of, "array<int>")(F.coalesce(text, F.lit("")))
