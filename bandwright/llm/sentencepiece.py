@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -23,7 +24,7 @@ from .common import arrow_function, shielded, unshielded
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Words kept with their ids in each Python worker, and the longest word kept.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 800_000
 CACHED_LENGTH = 48
 #: What ends at a boundary, where it is no piece: a character outside the vocabulary or the start; not known yet.
 OTHER, UNSEEN = -1, -2
@@ -55,7 +56,7 @@ class Vocabulary:
         self.bytes_of = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(self.pieces, special)]
         for value, i in enumerate(self.byte_ids):
             self.bytes_of[i] = bytes([value])
-        self.agreed: dict[int, bool] = {}
+        self.agreed: defaultdict[int, dict[int, bool]] = defaultdict(dict)
 
     def _runs(self) -> re.Pattern | None:
         """The pattern that cuts a text where no piece can reach over: before a space mark that follows another
@@ -98,7 +99,7 @@ class Vocabulary:
     def agree(self, left: int, right: int) -> bool:
         """Whether piece `right` can follow `left` (OTHER: the start, or a character outside the vocabulary)."""
         two = [self.pieces[right]] if left == OTHER else [self.pieces[left], self.pieces[right]]
-        known = self.agreed[left * len(self.pieces) + right] = self.merged("".join(two)) == two
+        known = self.agreed[left][right] = self.merged("".join(two)) == two
         return known
 
 
@@ -116,10 +117,10 @@ class Encoder:
         """
         vocabulary = self.vocabulary
         tree, agreed, agree = vocabulary.tree, vocabulary.agreed, vocabulary.agree
-        size, length = len(vocabulary.pieces), len(window)
+        length = len(window)
         for at in range(first, last):
             before = ends[at]
-            row = before * size
+            known_after = agreed[before]
             if window[at] not in tree:  # outside the vocabulary: bytes, whatever is beside it
                 ends[at + 1], starts[at + 1] = OTHER, at
                 continue
@@ -130,7 +131,7 @@ class Encoder:
                     break
                 piece, node = found
                 if piece >= 0 and ends[end] == UNSEEN:
-                    known = agreed.get(row + piece)
+                    known = known_after.get(piece)
                     if known or known is None and agree(before, piece):
                         ends[end], starts[end] = piece, at
 
