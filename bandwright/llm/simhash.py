@@ -129,7 +129,7 @@ def linked_fingerprints(fingerprints: DataFrame, bits: int = 4) -> DataFrame:
     return held(components(stars.unionByName(more), "fp", "other"))
 
 
-def _identity(doc_id: Column, text: Column) -> list[Column]:
+def identity(doc_id: Column, text: Column) -> list[Column]:
     return [
         F.xxhash64(group_key(doc_id), text).alias("a"),
         F.xxhash64(text, group_key(doc_id), F.lit(1)).alias("b"),
@@ -140,10 +140,15 @@ def _assigned(docs: DataFrame, text: str, doc_id: str, words: int, bits: int) ->
     """Per document: id, identity, fingerprint, component and the identity of the one that stands for it."""
     inner, names = shielded(docs, text, doc_id)
     body, key = F.col(names[text]), F.col(names[doc_id])
-    rows = held(inner.select(key.alias("id"), *_identity(key, body), fingerprint(body, words).alias("fp")))
+    rows = held(inner.select(key.alias("id"), *identity(key, body), fingerprint(body, words).alias("fp")))
     first = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "a", "b"))
     groups = held(rows.groupBy("fp").agg(first.alias("first"), F.count(F.lit(1)).alias("n")))
     labels = linked_fingerprints(groups.select("fp"), bits).withColumnRenamed("node", "fp")
+    return first_of_component(rows, groups, labels)
+
+
+def first_of_component(rows: DataFrame, groups: DataFrame, labels: DataFrame) -> DataFrame:
+    """Add `first` of the component to the rows; NULL for a row that is alone."""
     linked = groups.join(labels, "fp")
     least = linked.groupBy("label").agg(F.min("first").alias("first"))
     joined = linked.select("fp", "label").join(least, "label").select("fp", "first")
@@ -181,10 +186,15 @@ def deduplicate(
 
     Rows equal in id and text count as one document, of which one row stays. See `near_duplicates` for the rest.
     """
-    assigned = held(_assigned(docs, text, doc_id, words, bits).select("a", "b", "first"))
+    return standing(docs, _assigned(docs, text, doc_id, words, bits), text, doc_id)
+
+
+def standing(docs: DataFrame, assigned: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """The documents that are `first` of their component or alone, once each."""
+    assigned = held(assigned.select("a", "b", "first"))
     gone = assigned.where((F.col("first.a") != F.col("a")) | (F.col("first.b") != F.col("b")))
     inner, names = shielded(docs, text, doc_id)
-    marked = inner.select("*", *_identity(F.col(names[doc_id]), F.col(names[text])))
+    marked = inner.select("*", *identity(F.col(names[doc_id]), F.col(names[text])))
     kept = marked.join(gone.select("a", "b").distinct(), ["a", "b"], "left_anti")
     if not assigned.where("first.a = a AND first.b = b").groupBy("a", "b").count().where("count > 1").isEmpty():
         kept = kept.dropDuplicates(["a", "b"])
