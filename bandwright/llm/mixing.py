@@ -8,6 +8,7 @@ size is first taken whole, as often as it fits, and only the rest of the target
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -52,6 +53,10 @@ def water_fill(sources: DataFrame, share: float, most: float) -> DataFrame:
     return sources.withColumn("target", target.cast("double"))
 
 
+def _union(parts: Sequence[DataFrame], like: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts) if parts else like.where("false")
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -62,7 +67,7 @@ def mix(
     most: float = 2.0,
     quality: Column | None = None,
     seed: int = 42,
-    passes: int = 2,
+    passes: int | None = 2,
 ) -> DataFrame:
     """All documents with `size`, `source_size`, `target`, `copies` and `taken`.
 
@@ -70,7 +75,9 @@ def mix(
     * Sources in code point order, NULL last, have the `weights`, repeated. Targets: see `water_fill`.
     * A source's target is met by whole epochs (`floor(target / size)` copies of everything), then by documents in
       key order while they fit. What is still missing is filled from those left that are short enough, again in key
-      order, `passes` times in all; then comes the one document, if any, with which the source ends nearest.
+      order, `passes` times in all (None: until nothing left fits); then comes the one document, if any, with which
+      the source ends nearest. After k passes a source misses its target by up to half of the document that stopped
+      the k-th; with None, by up to half of the smallest document left.
     * `quality` (default: `plain_text_weight`) is above 0; documents of higher quality come earlier.
     * Keys depend on `doc_id` and `seed` only: runs agree, whatever the partitioning. NULL ids share one key and are
       told apart by their text. Rows that are equal in id, source and text are taken together or not at all.
@@ -108,18 +115,30 @@ def mix(
         )
     )
 
-    narrow = units.select("g", "a", "b", "size", "n", "key", F.lit(False).alias("chosen"))
-    state = attach(narrow, sources.select("g", "room"), "g", F.col("a"))
+    narrow = units.select("g", "a", "b", "size", "n", "key")
     position = F.col("key") / (1 + F.col("key"))
     order = [F.col("key"), F.col("a"), F.col("b")]
-    for _ in range(passes):
-        fits = ~F.col("chosen") & (F.col("size") > 0) & (F.col("size") <= F.col("room"))
-        tried = running(state, "g", position, order, F.when(fits, F.col("size")).otherwise(0), "size")
-        now = fits & (F.col("size_before") + F.col("size") <= F.col("room"))
-        tried = held(tried.withColumn("now", now).withColumn("chosen", F.col("chosen") | F.col("now")))
-        used = held(tried.groupBy("g").agg(F.sum(F.when(F.col("now"), F.col("size")).otherwise(0)).alias("used")))
-        state = attach(tried.drop("size_before", "size_total", "now"), used, "g", F.col("a"))
-        state = state.withColumn("room", F.col("room") - F.col("used")).drop("used")
+    rooms, taken, passed, done = held(sources.select("g", "room")), [], [], 0
+    rows = attach(narrow, rooms, "g", F.col("a"))
+    while True:
+        # What does not fit by now never will: room only shrinks.
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("room"))
+        passed.append(rows.where(~fits).drop("room"))
+        tried = rows.where(fits)
+        if done == passes or passes is None and tried.isEmpty():
+            passed.append(tried.drop("room"))
+            break
+        tried = running(tried, "g", position, order, F.col("size"), "size")
+        now = F.col("size_before") + F.col("size") <= F.col("room")
+        tried = held(tried.select(*narrow.columns, now.alias("now")))
+        taken.append(tried.where("now").drop("now"))
+        used = taken[-1].groupBy("g").agg(F.sum("size").alias("used"))
+        room = F.col("room") - F.coalesce("used", F.lit(0))
+        rooms = held(rooms.join(used, "g", "left").select("g", room.alias("room")))
+        rows, done = held(attach(tried.where("NOT now").drop("now"), rooms, "g", F.col("a"))), done + 1
+    left = attach(_union(passed, narrow), rooms, "g", F.col("a")).withColumn("chosen", F.lit(False))
+    filled = _union(taken, narrow).select(*narrow.columns, F.lit(0.0).alias("room"), F.lit(True).alias("chosen"))
+    state = left.select(*filled.columns).unionByName(filled)
     gap = F.abs(F.col("size") - F.col("room"))
     nearer = ~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("room"))
     last = held(state.groupBy("g").agg(F.min(F.when(nearer, F.struct(gap.alias("gap"), "key", "a", "b"))).alias("last")))

@@ -1,5 +1,7 @@
 """NULLs in any column, empty and very long texts, ties, repeated rows, empty tables, clashing names."""
 
+import hashlib
+
 import brute
 import pytest
 from bandwright.llm import pii, quality_rules, secrets, sentencepiece, sharding, simhash, sketch
@@ -204,3 +206,25 @@ def test_single_source_holds_most_rows(spark):
     assert all(abs(r.t - r.x) <= 2 for r in sums.values())
     shards = sharding.interleave(rows).groupBy("shard", "source").count().collect()
     assert {r["count"] for r in shards if r.source == "small"} <= {37, 38}
+
+
+def test_mix_fills_until_nothing_fits(spark):
+    # Key order is that of the ids' uniform numbers; 50 short, one of 130, 20 short, one of 100, 1,000 short; room 150.
+    sizes = [1] * 50 + [130] + [1] * 20 + [100] + [1] * 1000
+    ids = sorted(range(len(sizes)), key=lambda i: -int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:13], 16))
+    rows = [(i, " ".join(["w"] * n), "en", "one") for i, n in zip(ids, sizes)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    share = 150 / sum(sizes)
+    took = lambda **x: mix(docs, share=share, **x).agg(F.sum("taken")).first()[0]
+    assert took() == 170  # two passes leave 80 words of room and 1,000 short documents
+    assert took(passes=None) == 150
+    many = [(k, " ".join(["w"] * (1 + k * k % 97)), "en", f"s{k % 3}") for k in range(400)]
+    docs = spark.createDataFrame(many, "doc_id long, text string, lang string, source string")
+    left = F.expr("copies = floor(target / source_size)")
+    for row in (
+        mix(docs, share=0.7, passes=None)
+        .groupBy("source")
+        .agg(F.sum("taken").alias("t"), F.max("target").alias("x"), F.min(F.when(left, F.col("size"))).alias("s"))
+        .collect()
+    ):
+        assert abs(row.t - row.x) <= (row.s or 0) / 2
