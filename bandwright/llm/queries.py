@@ -7,12 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..storage import fresh_path
+from .alignment import align_tokenizers
+from .clusters import centroid_clusters
 from .common import table
 from .mixing import mix
 from .neighbours import with_next
 from .pii import BASE_KINDS, find_personal_data, joined_spans
 from .quality_model import score_quality
 from .quality_rules import quality_rules
+from .repeats import remove_repeats
 from .sentencepiece import decode, read_model, tokenize
 from .secrets import BASE_KINDS as SECRET_KINDS, find_secrets
 from .sharding import interleave
@@ -118,6 +121,24 @@ def op10_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    clustered, _ = centroid_clusters(table(spark, sf_dir, "embeddings"), k=40, rounds=5, dims=64)
+    return clustered.select("vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents"), window=50)
+    return kept.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
+def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align_tokenizers(table(spark, sf_dir, "documents"))
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return aligned.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", digest.alias("groups_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": op1_mix_sources,
     "op2_shard": op2_shard,
@@ -129,4 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_sentencepiece": op9_sentencepiece,
     "op10_sketch": op10_sketch,
+    "op11_centroid_clusters": op11_centroid_clusters,
+    "op12_substring_dedup": op12_substring_dedup,
+    "op13_tokenizer_alignment": op13_tokenizer_alignment,
 }

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
@@ -181,3 +182,101 @@ def edited_texts(docs):
 def shingle_set(text, size=5):
     w = words((text or "").lower())
     return {tuple(w[i : i + size]) for i in range(max(1, len(w) - size + 1))} if w else set()
+
+
+# Centroid clusters
+
+
+def clusters(vectors, k, rounds, dims, seed=2, scale=256):
+    """Per kept (id, vector): cluster, distance, inertia of the cluster; then the inertia of all and the centroids."""
+    kept = [
+        (i, [math.floor(scale * float(x)) for x in v])
+        for i, v in vectors
+        if v is not None and len(v) == dims and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    order = sorted(kept, key=lambda row: (sha256(f"{seed}:{'null' if row[0] is None else row[0]}"), row[1]))
+    centroids = [list(v) for _, v in order[:k]]
+
+    def nearest(v):
+        return min((sum((x - y) ** 2 for x, y in zip(v, c)), n) for n, c in enumerate(centroids))
+
+    for _ in range(rounds):
+        members = {}
+        for _, v in kept:
+            members.setdefault(nearest(v)[1], []).append(v)
+        for n, rows in members.items():
+            centroids[n] = [sum(x) // len(rows) for x in zip(*rows)]
+    found = [(i, *nearest(v)[::-1]) for i, v in kept]
+    inertia = Counter()
+    for _, n, d in found:
+        inertia[n] += d
+    return [(i, n, d, inertia[n]) for i, n, d in found], sum(inertia.values()), centroids
+
+
+# Repeats
+
+
+def without_repeats(docs, window):
+    """Per (id, text): words, words removed, kept text."""
+    least = {}
+    place = lambda i: (i is None, i or 0)
+    for i, text in docs:
+        w = words(text)
+        for at in range(len(w) - window + 1):
+            key = tuple(w[at : at + window])
+            least[key] = min(least.get(key, place(i)), place(i))
+    out = []
+    for i, text in docs:
+        w = words(text)
+        gone = set()
+        for at in range(len(w) - window + 1):
+            if least[tuple(w[at : at + window])] < place(i):
+                gone.update(range(at, at + window))
+        out.append((i, len(w), len(gone), " ".join(x for at, x in enumerate(w) if at not in gone)))
+    return out
+
+
+# Two tokenizers
+
+
+def alignment(texts, a, b):
+    """Per text: n_a, n_b, n_groups, n_links, n_best, count_sum, groups. `a` and `b` give (id, bytes) of a text."""
+    found, counts = [], Counter()
+    for text in texts:
+        x, y = (a(" " + text), b(text)) if text else ([], [])
+        whole = (" " + (text or "")).encode()
+        if not text or b"".join(t for _, t in x) != whole or b"".join(t for _, t in y) != whole:
+            found.append(None)
+            continue
+        spans = []
+        for side in (x, y):
+            at, out = 0, []
+            for number, token in side:
+                out.append((number, at, at + len(token)))
+                at += len(token)
+            spans.append(out)
+        links, j = [], 0
+        for n, s, e in spans[0]:
+            while spans[1][j][2] <= s:
+                j += 1
+            k = j
+            while k < len(spans[1]) and spans[1][k][1] < e:
+                links.append((n, spans[1][k][0]))
+                k += 1
+        ends = sorted({e for _, _, e in spans[0]} & {e for _, _, e in spans[1]})
+        start, groups = 0, []
+        for end in ends:
+            sides = [",".join(str(n) for n, s, e in side if start <= s and e <= end) for side in spans] if len(ends) < 400 else None
+            groups.append(sides and "|".join(sides))
+            start = end
+        found.append((len(x), len(y), len(ends), links, ";".join(groups) if groups and groups[0] else None))
+        counts.update(set(links))
+    best = {}
+    for (n, _), c in counts.items():
+        best[n] = max(best.get(n, 0), c)
+    return [
+        (0, 0, 0, 0, 0, 0, "")
+        if f is None
+        else (*f[:3], len(f[3]), sum(counts[p] == best[p[0]] for p in f[3]), sum(counts[p] for p in f[3]), f[4])
+        for f in found
+    ]
