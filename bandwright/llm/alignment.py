@@ -22,6 +22,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import sentencepiece
+import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .common import arrow_function, group_key, package_on_workers, shielded, staged, unshielded
@@ -33,11 +34,14 @@ SPACE = "▁"
 MOST_PAIRS = 8_000_000
 #: Tasks that hold a whole vector of counts, how many meet in a first sum, and the places of a slice.
 VECTORS, FAN, SLICE = 128, 16, 1 << 16
-#: Characters that are encoded at once, and the entries of a task's counts before they are written.
-BLOCK, HELD = 1 << 20, 1 << 20
-_PIECE = 1 << 16
-_CUT = re.compile(r"[^\s](?= [^\s])")
-_NUMBER = 32
+#: Characters of the documents read at once, words known at most, entries of a task's counts before they are written.
+BLOCK, CACHED, HELD = 1 << 20, 500_000, 1 << 20
+#: White space and what follows it, up to the next white space that a cut may precede.
+_WORDS = re.compile(r"\s*\S+(?:[^\S \t\n]\s*\S*)*|\s+")
+_INNER = re.compile(rf"[^{SPACE} \t\n][{SPACE} \t\n]")
+_STABLE = re.compile(r"[\x00-\x7f\xa1-\u024f]*")
+# Fixed value: where byte-level tokenizers cut a text before they merge.
+BYTE_LEVEL_CUT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
 def byte_values() -> dict[str, int]:
@@ -48,8 +52,14 @@ def byte_values() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + i): b for i, b in enumerate(rest)}
 
 
-class Tokenizers:
-    """Both tokenizers, the bytes of every entry, and texts as ids."""
+class Aligner:
+    """Both tokenizers, and the words they have met.
+
+    Neither tokenizer reaches over the start of white space behind another character, so a text is cut there into words
+    with the white space in front of them, and both sides end a token at every cut: ids, groups and links of a text are
+    those of its words one after the other. What a word gives is kept in arrays by the word's number, until `CACHED` words
+    are known and all is learned anew.
+    """
 
     def __init__(self, byte_bpe: str, piece_bpe: bytes):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -66,76 +76,193 @@ class Tokenizers:
         ]
         self.b = sentencepiece.SentencePieceProcessor(model_proto=piece_bpe)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.vocab_size())]
+        if any(_INNER.search(piece) for piece in pieces):
+            raise ValueError("a piece has white space behind another character: texts cannot be cut into words")
         self.b_bytes = [
             bytes([int(piece[1:-1], 16)]) if self.b.is_byte(i) else piece.replace(SPACE, " ").encode()
             for i, piece in enumerate(pieces)
         ]
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
-        #: No piece goes on after a space, so a text may be cut before a single space between other characters.
-        self.cuts = not any(SPACE in piece.lstrip(SPACE) for piece in pieces)
-        # What `written` writes: ids of A with a comma, with the bar; ids of B with a comma, with the semicolon.
+        # Ids of A with a comma or the bar after them, ids of B with a comma or the semicolon.
         ids = [(f"{i},", f"{i}|") for i in range(len(self.a_bytes))], [(f"{i},", f"{i};") for i in range(len(pieces))]
         self.signs = np.array([text for side in ids for entry in side for text in entry], object)
-
-    def _parts(self, text: str) -> list[str]:
-        parts, start = [], 0
-        while self.cuts and len(text) - start > _PIECE:
-            cut = _CUT.search(text, start + _PIECE)
-            if cut is None:
-                break
-            parts.append(text[start : cut.end()])
-            start = cut.end()
-        return [*parts, text[start:]]
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids of both tokenizers; None for a text without any, or that one of them does not give back."""
-        if not text:
+        # Words are encoded behind a sign of their own.
+        self.a_skip, self.b_skip = len(self.a.encode(" a", add_special_tokens=False).ids), len(self.b.encode("a"))
+        self.fast = self._same_by_rank(json.loads(byte_bpe)["model"])
+        self.forget()
+
+    def _same_by_rank(self, model: dict) -> tiktoken.Encoding | None:
+        """A's merging by rank in another library, several times faster, for text of characters that every version of
+        Unicode puts into the same class (`_STABLE`); None if the merges do not come in the order of their ids."""
+        merged = ["".join(pair.split(" ") if isinstance(pair, str) else pair) for pair in model["merges"]]
+        order = [model["vocab"][entry] for entry in merged]
+        if order != sorted(order):
+            return None
+        ranks = {self.a_bytes[i]: i for i in model["vocab"].values() if self.a_bytes[i]}
+        return tiktoken.Encoding("a", pat_str=BYTE_LEVEL_CUT, mergeable_ranks=ranks, special_tokens={})
+
+    def forget(self, writing: bool = False) -> None:
+        self.writing = writing
+        self.numbers: dict[str, int] = {}
+        self.groups: list[str] = []
+        #: Per word: whether both sides give its bytes back, ids of A and B, groups, links.
+        self.sizes = np.zeros((5, 0), np.int64)
+        self.links = np.zeros(0, np.int64)
+        self.starts = np.zeros(1, np.int64)
+        #: Per word: links that are the best of their A id, and the sum of their counts, as looked up in `source`.
+        self.counts, self.source = np.zeros((2, 0), np.int64), None
+
+    def _of_a(self, text: str) -> list[int]:
+        """A's ids of a text that follows a sign."""
+        if self.fast is not None and _STABLE.fullmatch(text):
+            return self.fast.encode_ordinary(" a" + text)[self.a_skip :]
+        return self.a.encode(" a" + text, add_special_tokens=False).ids[self.a_skip :]
+
+    def _of_both(self, text: str) -> tuple[list[int], list[int]] | None:
+        """Ids of a text that follows a sign; None if a side does not give it back."""
+        a, b = self._of_a(text), self.b.encode("a" + text)
+        if b"".join([self.a_bytes[i] for i in a]) != text.encode() or self.b.decode(b) != "a" + text:
             return None
-        parts = self._parts(" " + text)
-        a = np.concatenate([np.array(self.a.encode(part, add_special_tokens=False).ids, np.int64) for part in parts])
-        # B puts the space in front itself.
-        b = np.concatenate([np.array(ids, np.int64) for ids in self.b.encode([part[1:] for part in parts], num_threads=1)])
-        whole = (" " + text).encode()
-        same = b"".join([self.a_bytes[i] for i in a.tolist()]) == whole == b"".join([self.b_bytes[i] for i in b.tolist()])
-        return (a, b) if same else None
-
-    def written(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> str:
-        """Groups as text: `a1,a2|b1;a3|b2,b3`."""
-        a_last = np.r_[a_group[1:] != a_group[:-1], True]
-        b_last = np.r_[b_group[1:] != b_group[:-1], True]
+        return a, b[self.b_skip :]
+
+    def _ids(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[str]] | None:
+        """Ids of the words one after the other, and the words in the order in which they were taken: those of letters
+        that both of A's libraries know, the others, and one by one those that end in white space. None if a side does not
+        give all of them back."""
+        plain, odd = ([], []), []
+        for word in words:
+            if word[-1].isspace():
+                odd.append(word)
+            else:
+                plain[word.isascii() or _STABLE.fullmatch(word) is not None].append(word)
+        parts = ["".join(plain[True]), "".join(plain[False]), *odd]
+        found = [self._of_both(part) for part in parts]
+        if any(ids is None for ids in found):
+            return None
+        a, b = zip(*found)
+        return [np.array(x, np.int64) for x in a], [np.array(x, np.int64) for x in b], plain[True] + plain[False] + odd
+
+    def _signs(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> list[str]:
+        """Ids as text, group by group, those of A first."""
+        a_last, b_last = (np.r_[group[1:] != group[:-1], True][: len(group)] for group in (a_group, b_group))
         signs = np.concatenate([2 * a + a_last, 2 * (len(self.a_bytes) + b) + b_last])
         order = np.argsort(np.concatenate([2 * a_group, 2 * b_group + 1]), kind="stable")
-        return "".join(self.signs[signs[order]].tolist())[:-1]
+        return self.signs[signs[order]].tolist()
+
+    def learn(self, words: list[str]) -> None:
+        """Take in words that are not known yet."""
+        bad = [w for w in words if SPACE in w]
+        good = [w for w in words if SPACE not in w]
+        found = self._ids(good)
+        if found is None:
+            same = [self._of_both(w) is not None for w in good]
+            bad += [w for w, kept in zip(good, same) if not kept]
+            found = self._ids([w for w, kept in zip(good, same) if kept])
+        a, b, good = np.concatenate(found[0]), np.concatenate(found[1]), found[2]
+        word_end = np.cumsum(np.array([len(w.encode()) for w in good], np.int64))
+        a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
+        # Between two neighbouring ends of either side lies the overlap of exactly one token of each.
+        ends = _distinct(np.concatenate([a_end, b_end]))
+        links = a[np.searchsorted(a_end, ends)] * len(self.b_bytes) + b[np.searchsorted(b_end, ends)]
+        both = np.sort(np.concatenate([a_end, b_end]), kind="stable")
+        common = both[:-1][both[1:] == both[:-1]]
+        n = len(good)
+        a_n, b_n, group_n, link_n = (
+            np.bincount(np.searchsorted(word_end, at), minlength=n) for at in (a_end, b_end, common, ends)
+        )
+        if self.writing:
+            signs, cuts = self._signs(a, b, np.searchsorted(common, a_end), np.searchsorted(common, b_end)), np.cumsum(a_n + b_n).tolist()
+            self.groups += ["".join(signs[i:j]) for i, j in zip([0, *cuts], cuts)] + [""] * len(bad)
+        for word in [*good, *bad]:
+            self.numbers[word] = len(self.numbers)
+        sizes = np.zeros((5, n + len(bad)), np.int64)
+        sizes[:, :n] = np.ones(n, np.int64), a_n, b_n, group_n, link_n
+        self.sizes = np.concatenate([self.sizes, sizes], axis=1)
+        self.links = np.concatenate([self.links, links])
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes[4])])
+
+    def read(self, texts: list[str], writing: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the words of the texts one after the other, and where each text ends. An empty text has none.
+        `writing` says that their groups will be written."""
+        words, ends = [], []
+        for text in texts:
+            if text:
+                words += _WORDS.findall(" " + text)
+            ends.append(len(words))
+        if len(self.numbers) > CACHED or writing > self.writing:
+            self.forget(writing)
+        numbers = self.numbers
+        new = set(words).difference(numbers)
+        if new:
+            self.learn(list(new))
+        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), np.array(ends, np.int64)
+
+    def links_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Links of the words one after the other, and how many each has."""
+        n = self.sizes[4][words]
+        ends = np.cumsum(n)
+        return self.links[np.repeat(self.starts[words] - (ends - n), n) + np.arange(int(ends[-1]) if len(ends) else 0)], n
+
+
+    def counted(self, source: PairCounts) -> np.ndarray:
+        """`counts` of all words known; only those that are new are looked up."""
+        if self.source is not source:
+            self.counts, self.source = np.zeros((2, 0), np.int64), source
+        done = self.counts.shape[1]
+        first = self.starts[done]
+        new = _sums(source.looked_up(self.links[first:]), self.starts[done + 1 :] - first)
+        self.counts = np.concatenate([self.counts, new], axis=1)
+        return self.counts
 
 
 @functools.lru_cache(maxsize=2)
-def tokenizers(byte_bpe: str, piece_bpe: bytes) -> Tokenizers:
-    return Tokenizers(byte_bpe, piece_bpe)
+def aligner(byte_bpe: str, piece_bpe: bytes) -> Aligner:
+    return Aligner(byte_bpe, piece_bpe)
 
 
-@dataclass(frozen=True)
-class Alignment:
-    """Ids of both sides, the group of each, and the linked pairs in order (A's id above B's)."""
+def _distinct(values: np.ndarray) -> np.ndarray:
+    values = np.sort(values)
+    return values[np.r_[True, values[1:] != values[:-1]][: len(values)]]
 
-    a: np.ndarray
-    b: np.ndarray
-    a_group: np.ndarray
-    b_group: np.ndarray
-    links: np.ndarray
 
+def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Sums of consecutive stretches (along the last axis) that end at `ends`; a stretch may be empty."""
+    running = np.concatenate([np.zeros((*values.shape[:-1], 1), np.int64), np.cumsum(values, axis=-1)], axis=-1)
+    return running[..., ends] - running[..., np.r_[0, ends[:-1]]]
 
-def align(known: Tokenizers, text: str) -> Alignment | None:
-    ids = known.encode(text)
-    if ids is None:
-        return None
-    a, b = ids
-    a_end, b_end = np.cumsum(known.a_length[a]), np.cumsum(known.b_length[b])
-    # Between two neighbouring ends of either side lies the overlap of exactly one token of each.
-    ends = np.union1d(a_end, b_end)
-    links = (a[np.searchsorted(a_end, ends)] << _NUMBER) | b[np.searchsorted(b_end, ends)]
-    common = np.intersect1d(a_end, b_end, assume_unique=True)
-    return Alignment(a, b, np.searchsorted(common, a_end), np.searchsorted(common, b_end), links)
+
+@dataclass(frozen=True)
+class Block:
+    """Texts as word numbers: `ends` by text; `whole` texts have words and all of them come back from both sides."""
+
+    words: np.ndarray
+    ends: np.ndarray
+    whole: np.ndarray
+    sizes: np.ndarray
+
+    @classmethod
+    def of(cls, known: Aligner, texts: list[str], writing: bool = True) -> Block:
+        words, ends = known.read(texts, writing)
+        sizes = _sums(known.sizes[:, words], ends)
+        length = np.diff(np.r_[0, ends])
+        whole = (length > 0) & (sizes[0] == length)
+        return cls(words, ends, whole, np.where(whole, sizes[1:], 0))
+
+    def pairs(self, known: Aligner) -> np.ndarray:
+        """The linked pairs of each whole text, once each, text after text."""
+        text = np.repeat(np.arange(len(self.ends)), np.diff(np.r_[0, self.ends]))
+        kept = self.whole[text]
+        once = _distinct(text[kept] * len(known.numbers) + self.words[kept])
+        links, n = known.links_of(once % len(known.numbers) if len(once) else once)
+        base = len(known.a_bytes) * len(known.b_bytes)
+        return _distinct(np.repeat(once // max(1, len(known.numbers)), n) * base + links) % base
+
+    def groups(self, known: Aligner) -> list[str]:
+        texts, words = [], self.words.tolist()
+        for start, end, whole in zip([0, *self.ends.tolist()], self.ends.tolist(), self.whole.tolist()):
+            texts.append("".join([known.groups[w] for w in words[start:end]])[:-1] if whole else "")
+        return texts
 
 
 def _mixed(keys: np.ndarray, level: int) -> np.ndarray:
@@ -189,15 +316,15 @@ class PairIndex:
         return np.where((places >= 0) & (self.keys[places] == keys), places, -1)
 
 
-def _texts(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
-    """Consecutive rows in blocks of about `BLOCK` characters: first row, end, texts."""
-    first, held, texts = 0, 0, []
+def _texts(column: pa.Array) -> Iterator[list[str]]:
+    """The texts in order, in blocks of about `BLOCK` characters."""
+    held, texts = 0, []
     for i, value in enumerate(column):
         texts.append(value.as_py() or "")
         held += len(texts[-1])
         if held >= BLOCK or i + 1 == len(column):
-            yield first, i + 1, texts
-            first, held, texts = i + 1, 0, []
+            yield texts
+            held, texts = 0, []
 
 
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -211,18 +338,15 @@ def _pairs_of(models):
     """Rows `pair`, `n`: in how many documents of the task a pair is linked. A pair may have several rows."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = tokenizers(*models.value)
+        known = aligner(*models.value)
         keys, counts, held = [], [], 0
 
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, counts)], ["pair", "n"])
 
         for batch in batches:
-            for _, _, texts in _texts(batch.column(0)):
-                found = [np.unique(x.links) for x in (align(known, text) for text in texts) if x is not None]
-                if not found:
-                    continue
-                different, n = np.unique(np.concatenate(found), return_counts=True)
+            for texts in _texts(batch.column(0)):
+                different, n = np.unique(Block.of(known, texts, False).pairs(known), return_counts=True)
                 keys.append(different)
                 counts.append(n)
                 held += len(different)
@@ -232,7 +356,7 @@ def _pairs_of(models):
                     if held > HELD // 2:
                         yield out()
                         keys, counts, held = [], [], 0
-        if keys:
+        if held:
             yield out()
 
     return of
@@ -284,67 +408,68 @@ class PairCounts:
     index: PairIndex
     counts: np.ndarray
     best: np.ndarray
+    b_size: int
 
     @classmethod
-    def of(cls, index: PairIndex, counts: np.ndarray) -> PairCounts:
-        first = index.keys >> _NUMBER
+    def of(cls, index: PairIndex, counts: np.ndarray, b_size: int) -> PairCounts:
+        first = index.keys // b_size
         best = np.zeros(int(first.max()) + 1 if len(first) else 0, np.int64)
         np.maximum.at(best, first, counts)
-        return cls(index, counts, best)
+        return cls(index, counts, best, b_size)
 
+    def looked_up(self, links: np.ndarray) -> np.ndarray:
+        """Two rows: whether a link's count is the highest of its A id, and the count. A pair that no document of the
+        first pass linked (a word of a text that does not come back) counts 0."""
+        places = self.index.places(links)
+        counts = np.where(places >= 0, self.counts[places], 0) if len(self.index) else np.zeros(len(links), np.int64)
+        best = (counts > 0) & (counts == self.best[np.minimum(links // self.b_size, len(self.best) - 1)]) if len(self.best) else counts > 0
+        return np.stack([best.astype(np.int64), counts])
 
-_SHAPE = pa.struct([("n_a", pa.int64()), ("n_b", pa.int64()), ("n_groups", pa.int64()), ("n_links", pa.int64()), ("groups", pa.string())])
-_COUNTED = pa.struct([*_SHAPE, pa.field("n_best", pa.int64()), pa.field("count_sum", pa.int64())])
-_LINKED = pa.struct([*_SHAPE, pa.field("links", pa.list_(pa.int64()))])
+
+_SHAPE = {"n_a": pa.int64(), "n_b": pa.int64(), "n_groups": pa.int64(), "n_links": pa.int64(), "groups": pa.string()}
 _SHAPE_DDL = "n_a: long, n_b: long, n_groups: long, n_links: long, groups: string"
 
 
-def _shape(known: Tokenizers, found: Alignment | None) -> dict:
-    if found is None:
-        return {"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups": ""}
-    return {
-        "n_a": len(found.a),
-        "n_b": len(found.b),
-        "n_groups": int(found.a_group[-1]) + 1,
-        "n_links": len(found.links),
-        "groups": known.written(found.a, found.b, found.a_group, found.b_group),
-    }
+def _shape(known: Aligner, block: Block) -> dict[str, pa.Array]:
+    sizes = dict(zip(_SHAPE, map(pa.array, block.sizes)))
+    return sizes | {"groups": pa.array(block.groups(known), pa.string())}
+
+
+def _structs(blocks: list[dict[str, pa.Array]], kinds: dict[str, pa.DataType]) -> pa.StructArray:
+    columns = [pa.concat_arrays([block[name] for block in blocks]) if blocks else pa.array([], kind) for name, kind in kinds.items()]
+    return pa.StructArray.from_arrays(columns, list(kinds))
 
 
-def _counted(models, pairs) -> callable:
+def _counted(models, pairs):
     def of(batch: pa.Array) -> pa.Array:
-        known, counted, blocks = tokenizers(*models.value), pairs.value, []
-        for _, _, texts in _texts(batch):
-            found = [align(known, text) for text in texts]
-            links = np.concatenate([np.zeros(0, np.int64), *(x.links for x in found if x is not None)])
-            counts = counted.counts[counted.index.places(links)]
-            best = counts == counted.best[links >> _NUMBER] if len(links) else np.zeros(0, bool)
-            rows, at = [], 0
-            for x in found:
-                n = 0 if x is None else len(x.links)
-                sums = {"n_best": int(best[at : at + n].sum()), "count_sum": int(counts[at : at + n].sum())}
-                rows.append(_shape(known, x) | sums)
-                at += n
-            blocks.append(pa.array(rows, _COUNTED))
-        return pa.concat_arrays(blocks) if blocks else pa.array([], _COUNTED)
+        known, counted, blocks = aligner(*models.value), pairs.value, []
+        for texts in _texts(batch):
+            block = Block.of(known, texts)
+            counts = known.counted(counted)
+            best, total = np.where(block.whole, _sums(counts[:, block.words], block.ends), 0)
+            blocks.append(_shape(known, block) | {"n_best": pa.array(best), "count_sum": pa.array(total)})
+        return _structs(blocks, _SHAPE | {"n_best": pa.int64(), "count_sum": pa.int64()})
 
     return of
 
 
-def _linked(models) -> callable:
+def _linked(models):
     def of(batch: pa.Array) -> pa.Array:
-        known, rows = tokenizers(*models.value), []
-        for value in batch:
-            found = align(known, value.as_py() or "")
-            rows.append(_shape(known, found) | {"links": [] if found is None else found.links.tolist()})
-        return pa.array(rows, _LINKED)
+        known, blocks, kind = aligner(*models.value), [], pa.list_(pa.int64())
+        for texts in _texts(batch):
+            block = Block.of(known, texts)
+            links, n = known.links_of(block.words)
+            of_text = np.split(links, np.cumsum(_sums(n, block.ends))[:-1])
+            lists = [found if whole else np.zeros(0, np.int64) for found, whole in zip(of_text, block.whole)]
+            blocks.append(_shape(known, block) | {"links": pa.array(lists, kind)})
+        return _structs(blocks, _SHAPE | {"links": kind})
 
     return of
 
 
-def _joined(rows: DataFrame, partial: DataFrame, models) -> DataFrame:
+def _joined(rows: DataFrame, partial: DataFrame, models, b_size: int) -> DataFrame:
     """The second pass where the counts stay a table: each document's links are joined to them, equal documents once."""
-    totals = partial.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("a", F.shiftright("pair", _NUMBER))
+    totals = partial.groupBy("pair").agg(F.sum("n").alias("count")).withColumn("a", F.expr(f"pair div {b_size}"))
     totals = staged(totals, "alignment-counts")
     best = totals.groupBy("a").agg(F.max("count").alias("best"))
     totals = staged(totals.join(F.broadcast(best), "a").select("pair", "count", (F.col("count") == F.col("best")).alias("top")), "alignment-best")
@@ -377,15 +502,16 @@ def align_tokenizers(
     of their A id, `count_sum` adds up the counts of all links, `groups` lists the ids: `a1,a2|b1;a3|b2,b3`.
 
     * NULL or empty text, or text whose bytes a tokenizer does not give back, has zeros and empty `groups`.
-    * Every row is a document: repeated rows count each. Long texts are cut before a single space, where neither
-      tokenizer reaches over, so that memory follows the longest run without one. An input column named like an output
-      gives way. No rows in, no rows out.
+    * Every row is a document: repeated rows count each. Texts are encoded word by word, see `Aligner`. An input column
+      named like an output gives way. No rows in, no rows out.
     * The tokenizer files are read by the driver and sent to the executors.
     """
     spark: SparkSession = docs.sparkSession
     package_on_workers(spark)
     with open(byte_bpe, encoding="utf-8") as a, open(piece_bpe, "rb") as b:
-        models = spark.sparkContext.broadcast((a.read(), b.read()))
+        files = a.read(), b.read()
+    b_size = sentencepiece.SentencePieceProcessor(model_proto=files[1]).vocab_size()
+    models = spark.sparkContext.broadcast(files)
     inner, names = shielded(docs, text)
     body = F.coalesce(F.col(names[text]), F.lit(""))
     rows = inner.withColumn("body", body)
@@ -394,11 +520,11 @@ def align_tokenizers(
     n = distinct.count()
     if n > most_pairs:
         keyed = rows.withColumns({"k1": F.xxhash64("body"), "k2": F.xxhash64(F.lit(1), "body")})
-        result = _joined(keyed, partial, models)
+        result = _joined(keyed, partial, models, b_size)
     else:
         index = PairIndex(distinct.toArrow()["pair"].to_numpy())
         sent = spark.sparkContext.broadcast(index)
-        pairs = spark.sparkContext.broadcast(PairCounts.of(index, summed_vectors(partial, sent)))
+        pairs = spark.sparkContext.broadcast(PairCounts.of(index, summed_vectors(partial, sent), b_size))
         counted = arrow_function(_counted(models, pairs), f"struct<{_SHAPE_DDL}, n_best: long, count_sum: long>")
         result = rows.withColumn("r", counted(F.col("body")))
     outputs = ("n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups")
