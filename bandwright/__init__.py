@@ -33,7 +33,7 @@ from .sinks import (
 )
 from .sources import read_contract, read_csv, read_table, stream_csv
 from .spec import ReadingSpec
-from .streaming import Lake, run_incremental, write_window_stats
+from .streaming import Lake, run_incremental, stream_completeness, write_stream_completeness, write_window_stats
 
 __all__ = [
     "Baseline",
@@ -68,6 +68,7 @@ __all__ = [
     "run_batch",
     "run_incremental",
     "store_baseline",
+    "stream_completeness",
     "stream_csv",
     "window_stats",
     "with_load_columns",
@@ -77,5 +78,6 @@ __all__ = [
     "write_jdbc",
     "write_parquet",
     "write_outputs",
+    "write_stream_completeness",
     "write_window_stats",
 ]

@@ -5,8 +5,8 @@ So it is computed once, checkpointed to the shared folder, and its size measured
 readings meet it is decided from that size:
 
 * it fits `broadcast_bytes`: broadcast; the readings are filtered where they lie and never shuffled;
-* it does not: entities that hold a large share of the readings are broadcast (their number is bounded,
-  see `_split_by_weight`), all others go through a shuffle join in which no key is hot.
+* it does not: one shuffle join on entity and salt. Readings of an entity that would outgrow its share of a partition are
+  spread over salts, and its row of the baseline is there once per salt (see `salted`). The readings are scanned once.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window, functions as F
 from pyspark.sql.types import ArrayType, BinaryType, StringType, StructType
 
 from ..functions.checks import require_choice, require_columns, require_positive
@@ -22,6 +22,9 @@ from ..functions.missing import is_infinite, nan_to_null
 from ..storage import shared_folder
 
 BROADCAST_BYTES = 64 * 1024 * 1024
+#: Readings of one entity that one task may sort for window functions.
+WINDOW_READINGS = 1 << 20
+PLANS = ("join", "window")
 ZERO_BAND = ("constant", "reference")
 ON_UNDEFINED = ("drop", "keep")
 
@@ -33,6 +36,32 @@ USED = "__used"
 VALUE = "__value"
 LOW = "__low"
 HIGH = "__high"
+SALT = "__salt"
+SALTS = "__salts"
+
+
+def band(part: str, k: float, zero_band: str = "constant", on_undefined: str = "drop") -> tuple[Column, Column]:
+    """The inclusive limits of the band, from the statistics whose names begin with `part`.
+
+    * deviation 0: all readings had one value. `mean` is a rounded sum and may miss that value by one bit, so the limits
+      are the value itself. `zero_band="reference"` uses mean ± 0 instead.
+    * deviation NULL (a single reading): no limits, so the reading is neither inside nor outside. `on_undefined="keep"`
+      opens the band instead.
+    """
+    require_positive("k", k)
+    require_choice("zero_band", zero_band, ZERO_BAND)
+    require_choice("on_undefined", on_undefined, ON_UNDEFINED)
+    mean, stddev, lowest = (F.col(f"{part}{name}") for name in (MEAN, STDDEV, LOWEST))
+
+    def limit(side: int) -> Column:
+        edge = mean + side * F.lit(float(k)) * stddev
+        if zero_band == "constant":
+            edge = F.when(stddev == 0, lowest).otherwise(edge)
+        if on_undefined == "keep":
+            edge = F.when(stddev.isNull(), F.lit(side * float("inf"))).otherwise(edge)
+        return edge
+
+    return limit(-1), limit(+1)
 
 
 @dataclass(frozen=True)
@@ -60,28 +89,36 @@ class Baseline:
         return self.entities * self.row_bytes
 
     def bounds(self, k: float, zero_band: str = "constant", on_undefined: str = "drop") -> DataFrame:
-        """Key, mean, deviation and the inclusive limits of the band.
-
-        * deviation 0: all readings had one value. `mean` is a rounded sum and may miss that value by one
-          bit, so the limits are the value itself. `zero_band="reference"` uses mean ± 0 instead.
-        * deviation NULL (a single reading): no limits, so the reading is neither inside nor outside.
-          `on_undefined="keep"` opens the band instead.
-        """
-        require_positive("k", k)
-        require_choice("zero_band", zero_band, ZERO_BAND)
-        require_choice("on_undefined", on_undefined, ON_UNDEFINED)
-
-        def limit(side: int) -> Column:
-            edge = F.col(MEAN) + side * F.lit(float(k)) * F.col(STDDEV)
-            if zero_band == "constant":
-                edge = F.when(F.col(STDDEV) == 0, F.col(LOWEST)).otherwise(edge)
-            if on_undefined == "keep":
-                edge = F.when(F.col(STDDEV).isNull(), F.lit(side * float("inf"))).otherwise(edge)
-            return edge
-
-        return self.frame.select(
-            self.key, READINGS, MEAN, STDDEV, limit(-1).alias(LOW), limit(+1).alias(HIGH)
-        )
+        """Key, mean, deviation and the limits of the band, see `band`."""
+        low, high = band("", k, zero_band, on_undefined)
+        return self.frame.select(self.key, READINGS, MEAN, STDDEV, low.alias(LOW), high.alias(HIGH))
+
+
+@dataclass(frozen=True)
+class Profile:
+    """One row per entity with the statistics of several baselines, side by side under prefixed names.
+
+    `used` says how many readings went into each of them, `counters` how many rows met each condition.
+    """
+
+    frame: DataFrame
+    key: str
+    entities: int
+    readings: int
+    key_bytes: int
+    used: dict[str, int]
+    counters: dict[str, int]
+
+    def baseline(self, part: str) -> Baseline:
+        statistics = (F.col(f"{part}{name}").alias(name) for name in (USED, MEAN, STDDEV, LOWEST))
+        frame = self.frame.where(F.col(self.key).isNotNull()).select(self.key, READINGS, *statistics)
+        return Baseline(frame, self.key, self.entities, self.readings, self.used[part], self.key_bytes)
+
+    @property
+    def sizes(self) -> dict:
+        """All but the frame, to be stored beside it."""
+        names = ("key", "entities", "readings", "key_bytes", "used", "counters")
+        return {name: getattr(self, name) for name in names}
 
 
 def _key_width(df: DataFrame, key: str) -> Column:
@@ -118,7 +155,7 @@ def profile(
     parts: Mapping[str, Column | None],
     nan_is_null: bool = True,
     counters: Mapping[str, Column] | None = None,
-) -> tuple[dict[str, Baseline], dict[str, int]]:
+) -> Profile:
     """Fit one baseline per entry of `parts` (a row condition, or None for all rows) in one pass, on finite values.
 
     `counters` are row conditions; how many rows of `df` meet each is returned beside the baselines.
@@ -155,33 +192,21 @@ def profile(
             F.stddev_samp(v).alias(f"{part}{STDDEV}"),
             F.min(v).alias(f"{part}{LOWEST}"),
         ]
-    totals = (*flags, *(f"{part}{USED}" for part in parts))
-    held, size = _measured(df.select(key, *columns).groupBy(key).agg(*aggregates), key, totals)
-    held = held.where(F.col(key).isNotNull())
-    fits = {
-        part: Baseline(
-            held.select(
-                key,
-                READINGS,
-                *(F.col(f"{part}{name}").alias(name) for name in (USED, MEAN, STDDEV, LOWEST)),
-            ),
-            key,
-            size["entities"],
-            size[READINGS],
-            size[f"{part}{USED}"],
-            size["key_bytes"],
-        )
-        for part in parts
-    }
-    return fits, {name.removeprefix("__"): size[name] for name in flags}
+    return _profiled(df.select(key, *columns).groupBy(key).agg(*aggregates), key, tuple(parts), tuple(flags))
+
+
+def _profiled(frame: DataFrame, key: str, parts: tuple[str, ...], flags: tuple[str, ...]) -> Profile:
+    held, size = _measured(frame, key, (*flags, *(f"{part}{USED}" for part in parts)))
+    used = {part: size[f"{part}{USED}"] for part in parts}
+    counters = {name.removeprefix("__"): size[name] for name in flags}
+    return Profile(held, key, size["entities"], size[READINGS], size["key_bytes"], used, counters)
 
 
 def fit_baseline(
     df: DataFrame, key: str, value: str, where: Column | None = None, nan_is_null: bool = True
 ) -> Baseline:
     """Mean and sample deviation of `value` per `key`, over the rows that satisfy `where`."""
-    fits, _ = profile(df, key, value, {"all": where}, nan_is_null)
-    return fits["all"]
+    return profile(df, key, value, {"all": where}, nan_is_null).baseline("all")
 
 
 _STORED = {READINGS: "readings", USED: "used", MEAN: "mean", STDDEV: "stddev", LOWEST: "lowest"}
@@ -208,57 +233,97 @@ def load_baseline(spark: SparkSession, path: str, key: str) -> Baseline:
 
 
 def merge_baselines(first: Baseline, second: Baseline) -> Baseline:
-    """The baseline of two sets of readings together, from theirs: to rounding, as if fitted on both at once.
-
-    Counts add up; mean and squared deviation are combined from the difference of the means, which keeps digits that
-    sums of squares would lose. One join of the two entity tables; no reading is read again.
-    """
+    """The baseline of two sets of readings together, from theirs: to rounding, as if fitted on both at once."""
     if first.key != second.key:
         raise ValueError(f"the keys differ: {first.key!r} and {second.key!r}")
-    names = (READINGS, USED, MEAN, STDDEV, LOWEST)
-    left = first.frame.select(first.key, *(F.col(n).alias(f"{n}1") for n in names))
-    right = second.frame.select(first.key, *(F.col(n).alias(f"{n}2") for n in names))
-    both = left.join(right, first.key, "full")
+    merged = _merged(first.frame, second.frame, first.key, ("",), ())
+    held, size = _measured(merged, first.key, (USED,))
+    return Baseline(held, first.key, size["entities"], size[READINGS], size[USED], size["key_bytes"])
+
+
+def merge_profiles(first: Profile, second: Profile) -> Profile:
+    """The profile of two sets of readings together, as `merge_baselines` does it for each of their baselines."""
+    if (first.key, set(first.used), set(first.counters)) != (second.key, set(second.used), set(second.counters)):
+        raise ValueError("the profiles differ in key, baselines or counters")
+    parts, flags = tuple(first.used), tuple(f"__{name}" for name in first.counters)
+    return _profiled(_merged(first.frame, second.frame, first.key, parts, flags), first.key, parts, flags)
+
+
+def _merged(left: DataFrame, right: DataFrame, key: str, parts: tuple[str, ...], flags: tuple[str, ...]) -> DataFrame:
+    """Counts add up; mean and squared deviation are combined from the difference of the means, which keeps digits that
+    sums of squares would lose. One join of the two entity tables; no reading is read again."""
+    names = [READINGS, *flags, *(f"{part}{name}" for part in parts for name in (USED, MEAN, STDDEV, LOWEST))]
+    sides = [
+        # Rows without an entity count, and must meet although NULL equals nothing.
+        frame.select(
+            F.col(key).alias(f"{key}{side}"), *(F.col(name).alias(f"{name}{side}") for name in names)
+        )
+        for side, frame in ((1, left), (2, right))
+    ]
+    both = sides[0].join(sides[1], F.col(f"`{key}1`").eqNullSafe(F.col(f"`{key}2`")), "full")
 
     def number(name: str, side: int) -> Column:
         return F.coalesce(F.col(f"{name}{side}"), F.lit(0))
 
-    n1, n2 = number(USED, 1), number(USED, 2)
-    total = n1 + n2
-    delta = number(MEAN, 2) - number(MEAN, 1)
-    mean = number(MEAN, 1) + delta * n2 / total
-    squares = sum((number(STDDEV, side) * number(STDDEV, side) * (number(USED, side) - 1) for side in (1, 2)), F.lit(0.0))
-    mixed = F.when((n1 > 0) & (n2 > 0), delta * delta * n1 * n2 / total).otherwise(0.0)
-    merged = both.select(
-        first.key,
-        (number(READINGS, 1) + number(READINGS, 2)).alias(READINGS),
-        total.alias(USED),
-        F.when(n1 == 0, F.col(f"{MEAN}2")).when(n2 == 0, F.col(f"{MEAN}1")).otherwise(mean).alias(MEAN),
-        F.when(total > 1, F.sqrt((squares + mixed) / (total - 1))).alias(STDDEV),
-        F.least(f"{LOWEST}1", f"{LOWEST}2").alias(LOWEST),
+    columns = [F.coalesce(F.col(f"`{key}1`"), F.col(f"`{key}2`")).alias(key)]
+    columns += [(number(name, 1) + number(name, 2)).alias(name) for name in (READINGS, *flags)]
+    for part in parts:
+        used, mean, stddev, lowest = (f"{part}{name}" for name in (USED, MEAN, STDDEV, LOWEST))
+        n1, n2 = number(used, 1), number(used, 2)
+        total = n1 + n2
+        delta = number(mean, 2) - number(mean, 1)
+        squares = sum(
+            (number(stddev, i) * number(stddev, i) * (number(used, i) - 1) for i in (1, 2)), F.lit(0.0)
+        )
+        mixed = F.when((n1 > 0) & (n2 > 0), delta * delta * n1 * n2 / total).otherwise(0.0)
+        joint = number(mean, 1) + delta * n2 / F.nullif(total, F.lit(0))
+        columns += [
+            total.alias(used),
+            F.when(n1 == 0, F.col(f"{mean}2")).when(n2 == 0, F.col(f"{mean}1")).otherwise(joint).alias(mean),
+            F.when(total > 1, F.sqrt((squares + mixed) / (total - 1))).alias(stddev),
+            F.least(f"{lowest}1", f"{lowest}2").alias(lowest),
+        ]
+    return both.select(*columns)
+
+
+def largest_entity(df: DataFrame, key: str) -> int:
+    """Readings of the entity that has most; one pass over the key alone."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+    return counts.agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+
+
+def windowed_bounds(
+    df: DataFrame, key: str, reading: Column, k: float, zero_band: str = "constant", on_undefined: str = "drop"
+) -> DataFrame:
+    """Readings with the limits of their entity, from window functions over these very rows: one scan and one shuffle, no
+    baseline in between. All readings of an entity meet in one task, so this is for entities of bounded size."""
+    over = Window.partitionBy(key)
+    rows = df.where(F.col(key).isNotNull()).withColumn(VALUE, reading.cast("double"))
+    rows = rows.withColumns(
+        {MEAN: F.mean(VALUE).over(over), STDDEV: F.stddev_samp(VALUE).over(over), LOWEST: F.min(VALUE).over(over)}
     )
-    held, size = _measured(merged, first.key, (USED,))
-    return Baseline(held, first.key, size["entities"], size[READINGS], size[USED], size["key_bytes"])
+    low, high = band("", k, zero_band, on_undefined)
+    return rows.withColumns({LOW: low, HIGH: high}).drop(VALUE, LOWEST)
 
 
-def _split_by_weight(
-    df: DataFrame, baseline: Baseline, bounds: DataFrame, same_rows: bool, room: int
-) -> tuple[DataFrame, DataFrame]:
-    """Split `bounds` into the entities that dominate `df` and the rest.
+def salted(df: DataFrame, baseline: Baseline, same_rows: bool, broadcast_bytes: int) -> tuple[DataFrame, int]:
+    """Entities whose readings are to be spread, with the number of their salts, and the readings one salt may hold.
 
-    An entity counts as hot from `readings // room + 1` readings on. Fewer than `room` entities can reach
-    that, whatever the data, so the hot part always fits the broadcast budget, and every other entity
-    holds at most 1/room of the readings.
+    That is half of an average shuffle partition. Fewer than two entities per partition can reach it, whatever the data;
+    where even so many would outgrow the broadcast budget, a salt holds more.
     """
-    key = baseline.key
-    if same_rows or df.isStreaming:
-        floor = baseline.readings // room + 1
-        return bounds.where(F.col(READINGS) >= floor), bounds.where(F.col(READINGS) < floor)
-    counts, size = _measured(
-        df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias(READINGS)), key
-    )
-    hot_keys = F.broadcast(counts.where(F.col(READINGS) >= size[READINGS] // room + 1).select(key))
-    return bounds.join(hot_keys, key, "left_semi"), bounds.join(hot_keys, key, "left_anti")
+    key, spark = baseline.key, df.sparkSession
+    counts, total = baseline.frame.select(key, READINGS), baseline.readings
+    if not (same_rows or df.isStreaming):
+        # The baseline's counts say nothing about other rows.
+        known = df.where(F.col(key).isNotNull())
+        counts, size = _measured(known.groupBy(key).agg(F.count(F.lit(1)).alias(READINGS)), key)
+        total = size[READINGS]
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    room = max(1, min(2 * partitions, broadcast_bytes // baseline.row_bytes))
+    piece = total // room + 1
+    salts = F.ceil(F.col(READINGS) / piece).cast("int")
+    return counts.where(F.col(READINGS) > piece).select(key, salts.alias(SALTS)), piece
 
 
 def join_bounds(
@@ -267,17 +332,26 @@ def join_bounds(
     bounds: DataFrame,
     same_rows: bool,
     broadcast_bytes: int = BROADCAST_BYTES,
+    how: str = "inner",
 ) -> DataFrame:
-    """Inner join of readings with the limits of their entity.
+    """Join (inner or left) of readings with the limits of their entity.
 
-    `same_rows` says that the baseline was fitted on (a superset of) these rows, so that its counts tell
-    which entities are hot here; otherwise they are counted when the choice depends on it.
+    `same_rows` says that the baseline was fitted on (a superset of) these rows, so that its counts tell which entities
+    are hot here; otherwise they are counted when the choice depends on it. A stream is judged by the baseline's counts.
     """
     key = baseline.key
+    bounds = bounds.drop(READINGS)
     if baseline.size_bytes <= broadcast_bytes:
-        return df.join(F.broadcast(bounds.drop(READINGS)), key)
-    room = max(1, broadcast_bytes // baseline.row_bytes)
-    hot, cold = (part.drop(READINGS) for part in _split_by_weight(df, baseline, bounds, same_rows, room))
-    rest = df.join(F.broadcast(hot.select(key)), key, "left_anti")
-    # Hash the entities of each partition, so that the readings need no sort.
-    return df.join(F.broadcast(hot), key).unionByName(rest.join(cold.hint("shuffle_hash"), key))
+        return df.join(F.broadcast(bounds), key, how)
+    hot, _ = salted(df, baseline, same_rows, broadcast_bytes)
+    hot = F.broadcast(hot)
+    every = F.xxhash64(*(name for name, kind in df.dtypes if not kind.startswith("map")))
+    # Rows without an entity find nothing, so any salt will do for them.
+    spread = F.when(F.col(key).isNull(), F.pmod(every, F.lit(1024))).otherwise(F.pmod(every, F.col(SALTS)))
+    readings = df.join(hot, key, "left").withColumn(SALT, F.coalesce(spread, F.lit(0)).cast("int")).drop(SALTS)
+    repeated = (
+        bounds.join(hot, key, "left")
+        .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1)))
+        .drop(SALTS)
+    )
+    return readings.join(repeated, [key, SALT], how).drop(SALT)

@@ -10,7 +10,7 @@ from ..functions.checks import require_columns
 from ..functions.missing import is_complete, is_incomplete, is_infinite, nan_to_null
 from ..spec import ReadingSpec
 from .anomalies import detect_anomalies
-from .baseline import BROADCAST_BYTES, HIGH, LOW, Baseline, join_bounds, profile
+from .baseline import BROADCAST_BYTES, HIGH, LOW, Baseline, band, join_bounds, profile
 from .completeness import group_completeness
 from .rejected import rejected_rows
 
@@ -59,21 +59,23 @@ def quality_counts(
     is inside the one and outside the other. `clean` and `detect_anomalies` give the rows themselves.
     """
     complete, counters = is_complete(df), {"rejected": is_incomplete(df)}
-    fits, seen = profile(df, key, value, {"complete": complete, "raw": None}, True, counters)
-    inner = fits["complete"].bounds(k).select(key, F.col(LOW).alias("__from"), F.col(HIGH).alias("__to"))
-    both = fits["raw"].bounds(k).join(inner, key)
+    found = profile(df, key, value, {"complete": complete, "raw": None}, True, counters)
+    (inner_low, inner_high), (low, high) = band("complete", k), band("raw", k)
+    both = found.frame.where(F.col(key).isNotNull()).select(
+        key, inner_low.alias("__from"), inner_high.alias("__to"), low.alias(LOW), high.alias(HIGH)
+    )
     known = df.where(F.col(key).isNotNull() & F.col(value).isNotNull())
-    judged = join_bounds(known, fits["raw"], both, True, broadcast_bytes)
+    judged = join_bounds(known, found.baseline("raw"), both, True, broadcast_bytes)
     reading, infinite = nan_to_null(df, value), is_infinite(df, value)
-    found = judged.agg(
+    counts = judged.agg(
         F.count_if(complete & reading.between(F.col("__from"), F.col("__to")) & ~infinite).alias("cleaned"),
         F.count_if((reading > F.col(HIGH)) | (reading < F.col(LOW)) | infinite).alias("anomalies"),
     )
     outcomes = {
         "cleaned": F.col("cleaned"),
         "anomalies": F.col("anomalies"),
-        "rejected": F.lit(seen["rejected"]).cast("long"),
-        "total": F.lit(fits["raw"].readings).cast("long"),
+        "rejected": F.lit(found.counters["rejected"]).cast("long"),
+        "total": F.lit(found.readings).cast("long"),
     }
     rows = [F.struct(F.lit(name).alias("outcome"), n.alias("readings")) for name, n in outcomes.items()]
-    return found.select(F.inline(F.array(*rows)))
+    return counts.select(F.inline(F.array(*rows)))

@@ -50,6 +50,20 @@ class ManagedTable:
             )
         self._describe(spark)
 
+    def point(self, spark: SparkSession, schema) -> None:
+        """Let the name stand for the files in this table's folder from now on; its columns stay those it was made with."""
+        if spark.catalog.tableExists(self.name):
+            spark.sql(f"ALTER TABLE {self._quoted()} SET LOCATION '{_literal(self.path)}'")
+            tracked = spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"
+            if self.partition_by and tracked and self.format != "delta":
+                # The catalogue's partitions still lead to the former folder.
+                for row in spark.sql(f"SHOW PARTITIONS {self._quoted()}").collect():
+                    parts = (part.split("=", 1) for part in row.partition.split("/"))
+                    named = ", ".join(f"`{name}` = '{_literal(value)}'" for name, value in parts)
+                    spark.sql(f"ALTER TABLE {self._quoted()} DROP IF EXISTS PARTITION ({named})")
+        self.create(spark, schema)
+        self.refresh(spark)
+
     def refresh(self, spark: SparkSession) -> None:
         """Make files known that were written to the folder directly: a catalogue keeps a list of partitions."""
         tracked = spark.conf.get("spark.sql.hive.manageFilesourcePartitions") == "true"

@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping, Sequence
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, DataFrameWriter
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 from ..contracts import ContractError, DatasetContract
 from ..functions.audit import LOAD_DATE
 from ..functions.checks import require_choice, require_frame, require_rows
+from ..storage import remove
 from .formats import CSV_TIME_FORMATS
 
+RUN = "run_id"
 MODES = ("append", "overwrite", "ignore", "error", "errorifexists")
 
 
@@ -89,6 +92,7 @@ def write_contract(
     require_non_empty: bool = False,
     dynamic_overwrite: bool = False,
     rebalance: bool = False,
+    run_id: str | None = None,
 ) -> None:
     """Check a frame against its contract and write it to the contract's sink.
 
@@ -96,6 +100,8 @@ def write_contract(
     `dynamic_overwrite` makes overwrite replace only the partitions that `df` holds rows for.
     `rebalance` lets adaptive execution merge the output into files of its advisory size: for results that
     are a small part of a large scan, which would otherwise leave a tiny file per task.
+    `run_id` makes append repeatable: the rows go to the dataset's folder `run_id=<run_id>`, in place of what a former
+    try of the same run left there. A dataset is written either with run names or without.
     """
     require_frame(df)
     if contract is None:
@@ -107,6 +113,10 @@ def write_contract(
     if rebalance:
         df = df.hint("rebalance")
     options = dict(contract.options)
+    if run_id is not None:
+        if mode != "append" or dynamic_overwrite:
+            raise ValueError("a run name is for mode append")
+        options["path"], mode = _run_folder(contract, run_id), "overwrite"
     if contract.format != "jdbc":
         options["partition_by"] = contract.partition_by
         if dynamic_overwrite:
@@ -114,3 +124,16 @@ def write_contract(
     elif dynamic_overwrite:
         raise ContractError(f"{contract.name}: a JDBC table has no partitions to overwrite")
     WRITERS[contract.format](df, mode=mode, **options)
+
+
+def _run_folder(contract: DatasetContract, run_id: str) -> str:
+    if contract.format not in ("csv", "parquet"):
+        raise ContractError(f"{contract.name}: a {contract.format} table has no folder for each run")
+    if not re.fullmatch(r"[A-Za-z0-9._-]+", run_id):
+        raise ValueError(f"a run name is letters, digits, '.', '_' and '-', not {run_id!r}")
+    return f"{contract.path.rstrip('/')}/{RUN}={run_id}"
+
+
+def withdraw_run(spark: SparkSession, contract: DatasetContract, run_id: str) -> None:
+    """Remove what a run wrote to a dataset; nothing if it wrote nothing."""
+    remove(spark, _run_folder(contract, run_id))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 from uuid import uuid4
@@ -32,20 +33,65 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/bandwright/{name}-{uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Computed once and kept as a Parquet table in the shared folder, of which later plans read the columns they need.
+def _at(spark: SparkSession, path: str):
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place
+
+
+def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Computed once and kept as a Parquet table in the shared folder, of which later plans read the columns they need;
+    and where it lies.
 
     The table goes when the application ends, or before that by `remove`.
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(place)
-    return spark.read.schema(df.schema).parquet(path)
+    files, place = _at(spark, path)
+    files.deleteOnExit(place)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def staged(df: DataFrame, name: str) -> DataFrame:
+    """The frame of `stage`, to be kept until the application ends."""
+    return stage(df, name)[0]
 
 
 def remove(spark: SparkSession, path: str) -> None:
-    """Delete a folder that nothing reads any more."""
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    """Delete a folder or file that nothing reads any more."""
+    files, place = _at(spark, path)
+    files.delete(place, True)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names of the files and folders in a folder, sorted; none if it does not exist."""
+    files, place = _at(spark, path)
+    return sorted(status.getPath().getName() for status in files.listStatus(place)) if files.exists(place) else []
+
+
+def read_note(spark: SparkSession, path: str) -> dict | None:
+    """A small JSON document, read by the driver without a job; None if there is none."""
+    files, place = _at(spark, path)
+    if not files.exists(place):
+        return None
+    stream = files.open(place)
+    try:
+        return json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+
+
+def write_note(spark: SparkSession, path: str, note: dict) -> None:
+    """Write a small JSON document. It appears under its name whole: it is written beside it and renamed."""
+    files, place = _at(spark, path)
+    _, beside = _at(spark, f"{path}.{uuid4().hex}.tmp")
+    stream = files.create(beside, True)
+    try:
+        stream.write(bytearray(json.dumps(note).encode()))
+    finally:
+        stream.close()
+    if files.exists(place):
+        files.delete(place, False)
+    if not files.rename(beside, place):
+        files.delete(beside, False)
+        raise RuntimeError(f"could not write {path}")

@@ -1,13 +1,18 @@
-from .incremental import Lake, ingest, ingest_batches, rebuild, run_incremental, violations, write_batch
+from .completeness import stream_completeness, write_stream_completeness
+from .incremental import ingest, ingest_batches, merged_profile, rebuild, run_incremental, write_batch
+from .lake import Lake, Version
 from .windows import write_window_stats
 
 __all__ = [
     "Lake",
+    "Version",
     "ingest",
     "ingest_batches",
+    "merged_profile",
     "rebuild",
     "run_incremental",
-    "violations",
+    "stream_completeness",
     "write_batch",
+    "write_stream_completeness",
     "write_window_stats",
 ]

@@ -7,179 +7,83 @@
 
 Two scopes, because they judge the same reading differently:
 
-* `history`: bronze grows by a stream; the other tables are recomputed from all of bronze.
+* `history`: bronze grows by a stream; the other tables are recomputed from all of bronze and published together. The
+  statistics that readings are judged by are not: those of new readings are merged into the stored ones.
 * `batch`: each micro-batch is judged on its own and its results are kept under its batch number.
 """
 
 from __future__ import annotations
 
-import json
 import logging
-from collections.abc import Iterator, Mapping
-from contextlib import contextmanager
-from dataclasses import dataclass, field
+from collections.abc import Callable, Mapping
 from datetime import datetime, timezone
 
-from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from ..functions.audit import LOAD_DATE, with_load_columns
 from ..functions.checks import require_choice
-from ..operators.baseline import BROADCAST_BYTES
+from ..operators.baseline import BROADCAST_BYTES, Profile, merge_profiles
 from ..operators.expectations import expect
-from ..plans.batch import CONDITIONAL, OUTPUTS, Outputs, derive
-from ..sinks.tables import ManagedTable
+from ..plans.batch import CONDITIONAL, OUTPUTS, Outputs, derive, profiled
 from ..sources.files import stream_csv
 from ..spec import ReadingSpec
+from .lake import BATCH_ID, BRONZE, Lake, Version
 
 logger = logging.getLogger(__name__)
 
 SCOPES = ("history", "batch")
-BRONZE = "bronze"
-BATCH_ID = "batch_id"
-COMMENTS = {
-    BRONZE: "Readings as ingested, with load columns",
-    "cleaned": "Complete readings inside the band of their entity",
-    "stats": "Statistics of the cleaned readings per entity and time window",
-    "anomalies": "Readings outside the band of their entity",
-    "rejected": "Readings with a missing value",
-    "completeness": "Distinct entities per group of readings",
-}
-
-
-@dataclass(frozen=True)
-class Lake:
-    """Where the tables live: one folder each below `root`, and named tables if a database is given.
-
-    `format` may be any file format that takes streaming appends, such as delta where its connector is there.
-    """
+BATCHES = "batches"
+_STATE = "profile"
 
-    root: str
-    database: str | None = None
-    format: str = "parquet"
-    comments: Mapping[str, str] = field(default_factory=lambda: dict(COMMENTS))
-
-    def path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/{name}"
-
-    def checkpoint(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/_checkpoints/{name}"
-
-    def table(self, name: str, partition_by: tuple[str, ...] = LOAD_DATE) -> ManagedTable | None:
-        if self.database is None:
-            return None
-        return ManagedTable(
-            f"{self.database}.{name}", self.comments.get(name, ""), partition_by, self.path(name), self.format
-        )
-
-    def _schema_path(self, name: str) -> str:
-        return f"{self.root.rstrip('/')}/_schemas/{name}"
-
-    def keep_schema(self, spark: SparkSession, name: str, schema: StructType) -> None:
-        """Note a table's columns, as a table without rows may have no file that knows them."""
-        if self.format != "delta" and self.schema(spark, name) != schema:
-            text = spark.createDataFrame([(schema.json(),)], "value string").coalesce(1)
-            text.write.mode("overwrite").text(self._schema_path(name))
-
-    def schema(self, spark: SparkSession, name: str) -> StructType | None:
-        try:
-            row = spark.read.text(self._schema_path(name), wholetext=True).first()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return None
-        return StructType.fromJson(json.loads(row.value)) if row else None
-
-    def read(self, spark: SparkSession, name: str, schema: StructType | None = None) -> DataFrame:
-        """All committed rows of a table as a batch frame; an empty table has its columns too."""
-        reader = spark.read.format(self.format)
-        if self.format != "delta":
-            schema = schema or self.schema(spark, name)
-            reader = reader.schema(schema) if schema is not None else reader
-        return reader.load(self.path(name))
-
-
-def violations(query: StreamingQuery, name: str = "expectations") -> dict[str, int]:
-    """Expectation counts of a finished query, summed over the micro-batches it still holds the progress of."""
-    total: dict[str, int] = {}
-    for progress in query.recentProgress:
-        observed = progress.observedMetrics.get(name)
-        if observed is not None:
-            for rule, count in observed.asDict().items():
-                total[rule] = total.get(rule, 0) + (count or 0)
-    return total
-
-
-@contextmanager
-def _whole_progress(spark: SparkSession) -> Iterator[None]:
-    """A query started inside keeps the progress of all its micro-batches; by default it forgets all but 100."""
-    name = "spark.sql.streaming.numRecentProgressUpdates"
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, 2**31 - 1)
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(name)
-        else:
-            spark.conf.set(name, before)
-
-
-def ingest(
-    readings: DataFrame,
-    lake: Lake,
-    *,
-    rules: Mapping[str, str | Column] | None = None,
-) -> dict[str, int]:
-    """Append all files that have arrived since the last call to bronze, each exactly once, then return.
 
-    `readings` is a file stream; the checkpoint remembers which files were taken. Rows get load columns on
-    the way and are written where they were read: no shuffle. Returns the expectation counts of all
-    micro-batches of this call.
+def _run(readings: DataFrame, checkpoint: str, of_batch: Callable[[DataFrame, int], None]) -> list[int]:
+    """Hand all files that have arrived since the last call to `of_batch`, then return the numbers of the micro-batches."""
+    done: list[int] = []
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        of_batch(batch, batch_id)
+        done.append(batch_id)
+
+    query = readings.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint)
+    query.trigger(availableNow=True).start().awaitTermination()
+    return sorted(set(done))
+
+
+def _store(
+    batch: DataFrame, batch_id: int, lake: Lake, query: str, partition_by: tuple[str, ...], rules: Mapping | None
+) -> datetime:
+    """Write a micro-batch to its own partition of bronze and its counts to the ledger; return its load time.
+
+    A micro-batch may be replayed after a failure. Its load time is noted before any row is written, so the replay writes
+    the same partition and replaces the rows.
     """
-    stamped = with_load_columns(readings)
-    table = lake.table(BRONZE)
+    spark = batch.sparkSession
+    noted = lake.recorded(spark, query, batch_id).get("loaded")
+    as_of = datetime.fromisoformat(noted) if noted else datetime.now(timezone.utc)
+    if not noted:
+        lake.record(spark, query, batch_id, loaded=as_of.isoformat())
+    rows = with_load_columns(batch, as_of).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
+    if BRONZE not in lake.version(spark).tables:
+        lake.publish(spark, {BRONZE: (BRONZE, rows.schema)})
+    table, counts = lake.table(BRONZE, partition_by), Observation()
     if table:
-        table.create(readings.sparkSession, stamped.schema)
+        table.create(spark, rows.schema)
     if rules:
-        stamped, _ = expect(stamped, rules, "expectations")
-    lake.keep_schema(readings.sparkSession, BRONZE, stamped.schema)
-    with _whole_progress(readings.sparkSession):
-        query = (
-            stamped.writeStream.format(lake.format)
-            .partitionBy(*LOAD_DATE)
-            .option("path", lake.path(BRONZE))
-            .option("checkpointLocation", lake.checkpoint(BRONZE))
-            .outputMode("append")
-            .trigger(availableNow=True)
-            .start()
-        )
-        query.awaitTermination()
+        rows, _ = expect(rows, rules, counts)
+    _replace(rows, lake, BRONZE, partition_by)
     if table:
-        table.refresh(readings.sparkSession)
-    return violations(query)
-
+        table.refresh(spark)
+    if rules:
+        found = {rule: count or 0 for rule, count in counts.get.items()}
+        lake.record(spark, query, batch_id, loaded=as_of.isoformat(), violations=found)
+    return as_of
 
-def rebuild(spark: SparkSession, lake: Lake, spec: ReadingSpec, bronze: DataFrame | None = None, **options) -> Outputs:
-    """Recompute every derived table from all of bronze.
 
-    Bronze is columnar and partitioned, so each pass reads only the columns it needs; nothing is cached.
-    The tables are overwritten one after the other: a reader may see some of a run and some of the run before,
-    and after a failure the next run puts them right.
-    """
-    as_of = datetime.now(timezone.utc)
-    outputs = derive(lake.read(spark, BRONZE) if bronze is None else bronze, spec, as_of, **options)
-    for name in OUTPUTS:
-        frame, table = _sized(name, getattr(outputs, name)), lake.table(name)
-        lake.keep_schema(spark, name, frame.schema)
-        if table:
-            table.save(frame)
-        else:
-            frame.write.format(lake.format).mode("overwrite").partitionBy(*LOAD_DATE).save(lake.path(name))
-    return outputs
+def _replace(rows: DataFrame, lake: Lake, folder: str, partition_by: tuple[str, ...]) -> None:
+    """Write rows in place of those in the same partitions."""
+    writer = rows.write.format(lake.format).mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(*partition_by).save(lake.path(folder))
 
 
 def _sized(name: str, frame: DataFrame) -> DataFrame:
@@ -187,6 +91,76 @@ def _sized(name: str, frame: DataFrame) -> DataFrame:
     return frame.hint("rebalance") if name in CONDITIONAL else frame
 
 
+def ingest(readings: DataFrame, lake: Lake, *, rules: Mapping[str, str | Column] | None = None) -> dict[str, int]:
+    """Append all files that have arrived since the last call to bronze, each exactly once, then return.
+
+    `readings` is a file stream; the checkpoint remembers which files were taken. Rows get load columns and the number of
+    their micro-batch on the way and are written where they were read: no shuffle. Returns the expectation counts of all
+    micro-batches of this call, from the ledger.
+    """
+    spark = readings.sparkSession
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        _store(batch, batch_id, lake, BRONZE, (*LOAD_DATE, BATCH_ID), rules)
+
+    if rules:
+        # A rule that bronze cannot answer fails here, not in a micro-batch.
+        expect(with_load_columns(readings), rules, "rules")
+    return lake.violations(spark, BRONZE, _run(readings, lake.checkpoint(BRONZE), store))
+
+
+def merged_profile(spark: SparkSession, lake: Lake, spec: ReadingSpec, version: Version) -> tuple[Profile, dict]:
+    """The statistics of all of bronze, and the note under which they are stored.
+
+    Only micro-batches after those of the stored statistics are read and fitted; theirs are merged into them and stored
+    anew. Statistics fitted for another entity, value or set of columns are not used.
+    """
+    bronze = lake.read(spark, BRONZE, version)
+    kind = [spec.key, spec.value, spec.nan_is_null, spec.judged_columns(bronze.columns)]
+    note = version.notes.get(_STATE)
+    last = bronze.agg(F.max(BATCH_ID)).first()[0]
+    stored = None
+    if note and note["kind"] == kind:
+        if note["through"] == last:
+            return _loaded(spark, lake, note), note
+        stored, bronze = _loaded(spark, lake, note), bronze.where(F.col(BATCH_ID) > note["through"])
+    found = profiled(bronze, spec)
+    if stored is not None:
+        found = merge_profiles(stored, found)
+    folder = lake.fresh_folder("_profile")
+    found.frame.write.parquet(lake.path(folder))
+    note = {"folder": folder, "kind": kind, "through": last, "schema": found.frame.schema.jsonValue(), **found.sizes}
+    return _loaded(spark, lake, note), note
+
+
+def _loaded(spark: SparkSession, lake: Lake, note: Mapping) -> Profile:
+    frame = spark.read.schema(StructType.fromJson(note["schema"])).parquet(lake.path(note["folder"]))
+    names = ("key", "entities", "readings", "key_bytes", "used", "counters")
+    return Profile(frame, **{name: note[name] for name in names})
+
+
+def rebuild(spark: SparkSession, lake: Lake, spec: ReadingSpec, **options) -> Version:
+    """Recompute every derived table from all of bronze and publish them at once.
+
+    Each table is written to a folder of its own, and only when all are there do readers see any of them; a failure on the
+    way leaves the former tables whole. Bronze is read once for judging, and its new micro-batches once for fitting.
+    """
+    as_of, version = datetime.now(timezone.utc), lake.version(spark)
+    found, note = merged_profile(spark, lake, spec, version)
+    written, tables = {}, {}
+    with derive(lake.read(spark, BRONZE, version), spec, as_of, found=found, **options) as outputs:
+        for name in OUTPUTS:
+            frame, folder = _sized(name, getattr(outputs, name)), lake.fresh_folder(name)
+            frame.write.format(lake.format).partitionBy(*LOAD_DATE).save(lake.path(folder))
+            written[name] = (folder, frame.schema)
+            tables[name] = lake.table(name, folder=folder)
+    published = lake.publish(spark, written, {_STATE: note}, version)
+    for name, table in tables.items():
+        if table:
+            table.point(spark, written[name][1])
+    return published
+
+
 def write_batch(
     batch: DataFrame,
     batch_id: int,
@@ -195,62 +169,45 @@ def write_batch(
     *,
     rules: Mapping[str, str | Column] | None = None,
     **options,
-) -> dict[str, int]:
+) -> None:
     """Judge one micro-batch by its own readings and store the results under its number.
 
-    A micro-batch may be replayed after a failure. Every table is overwritten in the partition of this
-    batch only, so a replay replaces its rows instead of repeating them. Named tables have the load columns
-    and are partitioned by batch. Returns the expectation counts of the batch.
+    The files are parsed once, on the way into bronze; all else reads the partition of this batch there. Every table is
+    overwritten in that partition only, so a replay replaces its rows instead of repeating them.
     """
-    as_of = datetime.now(timezone.utc)
-    batch.persist(StorageLevel.MEMORY_AND_DISK)
-    raw, spark = with_load_columns(batch, as_of), batch.sparkSession
-    counts = Observation()
-    try:
-        outputs = derive(raw, spec, as_of, **options)
-        for name, frame in [(BRONZE, raw), *((name, getattr(outputs, name)) for name in OUTPUTS)]:
-            frame = frame.withColumn(BATCH_ID, F.lit(batch_id))
-            lake.keep_schema(spark, name, frame.schema)
+    spark = batch.sparkSession
+    as_of = _store(batch, batch_id, lake, BATCHES, (BATCH_ID,), rules)
+    raw = lake.read(spark, BRONZE).where(F.col(BATCH_ID) == batch_id).drop(BATCH_ID)
+    with derive(raw, spec, as_of, **options) as outputs:
+        frames = {
+            name: getattr(outputs, name).withColumn(BATCH_ID, F.lit(batch_id).cast("long")) for name in OUTPUTS
+        }
+        lake.publish(spark, {name: (name, frame.schema) for name, frame in frames.items()})
+        for name, frame in frames.items():
             table = lake.table(name, (BATCH_ID,))
             if table:
                 table.create(spark, frame.schema)
-            if name == BRONZE and rules:
-                frame, _ = expect(frame, rules, counts)
-            (
-                _sized(name, frame)
-                .write.format(lake.format)
-                .mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy(BATCH_ID)
-                .save(lake.path(name))
-            )
+            _replace(_sized(name, frame), lake, name, (BATCH_ID,))
             if table:
                 table.refresh(spark)
-        return {rule: count or 0 for rule, count in counts.get.items()} if rules else {}
-    finally:
-        batch.unpersist()
-
-
-def ingest_batches(readings: DataFrame, lake: Lake, spec: ReadingSpec, **options) -> dict[str, int]:
-    """Run `write_batch` on all files that have arrived since the last call, then return the expectation counts,
-    each micro-batch counted once however often it is tried."""
-    by_batch: dict[int, dict[str, int]] = {}
 
-    def judge(batch: DataFrame, batch_id: int) -> None:
-        by_batch[batch_id] = write_batch(batch, batch_id, lake, spec, **options)
 
-    query = (
-        readings.writeStream.foreachBatch(judge)
-        .option("checkpointLocation", lake.checkpoint("batches"))
-        .trigger(availableNow=True)
-        .start()
+def ingest_batches(
+    readings: DataFrame,
+    lake: Lake,
+    spec: ReadingSpec,
+    *,
+    rules: Mapping[str, str | Column] | None = None,
+    **options,
+) -> dict[str, int]:
+    """Run `write_batch` on all files that have arrived since the last call, then return the expectation counts, each
+    micro-batch counted once however often it is tried."""
+    done = _run(
+        readings,
+        lake.checkpoint(BATCHES),
+        lambda batch, batch_id: write_batch(batch, batch_id, lake, spec, rules=rules, **options),
     )
-    query.awaitTermination()
-    total: dict[str, int] = {}
-    for counts in by_batch.values():
-        for rule, count in counts.items():
-            total[rule] = total.get(rule, 0) + count
-    return total
+    return lake.violations(readings.sparkSession, BATCHES, done)
 
 
 def run_incremental(
@@ -277,9 +234,8 @@ def run_incremental(
     if scope == "batch":
         return ingest_batches(readings, lake, spec, rules=rules, broadcast_bytes=broadcast_bytes)
     counts = ingest(readings, lake, rules=rules)
-    bronze = lake.read(spark, BRONZE, with_load_columns(readings).schema)
-    if bronze.isEmpty():
+    if BRONZE not in lake.version(spark).tables:
         logger.info("no readings have arrived in %s yet", source_dir)
     else:
-        rebuild(spark, lake, spec, bronze, broadcast_bytes=broadcast_bytes)
+        rebuild(spark, lake, spec, broadcast_bytes=broadcast_bytes)
     return counts

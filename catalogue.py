@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import bandwright as bw
@@ -86,6 +87,14 @@ def clean_events_split(spark, sf):
     return bw.clean(_readings(spark, sf), "sensor", "value", broadcast_bytes=SPLIT_BYTES)
 
 
+def clean_events_window(spark, sf):
+    return bw.clean(_readings(spark, sf), "sensor", "value", plan="window")
+
+
+def anomalies_events_window(spark, sf):
+    return _anomalies(bw.detect_anomalies(_readings(spark, sf), "sensor", "value", plan="window"))
+
+
 def clean_events_nan(spark, sf):
     return bw.clean(_readings(spark, sf, nan=True), "sensor", "value")
 
@@ -264,6 +273,39 @@ def completeness_sources(spark, sf):
     return bw.group_completeness(df, "source", "lang", 4, "languages")
 
 
+def _few_sensors(spark: SparkSession, sf: str) -> DataFrame:
+    """Events as readings of five sensors, one of which is silent on every third day."""
+    df = _raw(spark, sf).withColumn("sensor", F.col("sensor") % 5).withColumn("day_name", F.date_format("ts", "yyyy-MM-dd"))
+    return df.where((F.dayofmonth("ts") % 3 != 0) | (F.col("sensor") != 0))
+
+
+def completeness_days(spark, sf):
+    """Days with all five sensors, and days without one of them."""
+    return bw.group_completeness(_few_sensors(spark, sf), "day_name", "sensor", 5, "sensors")
+
+
+def quality_gate(spark, sf):
+    """What the quality gate finds, by kind."""
+    spec = bw.ReadingSpec(key="sensor", ts="ts", value="value", group="day_name", expected_keys=5)
+    gaps = F.when(F.hour("ts") != 3, F.col("value"))
+    report = bw.quality_report(_few_sensors(spark, sf).withColumn("value", gaps), spec)
+    kinds = {
+        "anomalies": report.anomalies,
+        "rejected": report.rejected,
+        "complete groups": report.completeness.where("is_valid"),
+        "incomplete groups": bw.incomplete_groups(report.completeness),
+    }
+    return _table_counts(kinds)
+
+
+def _table_counts(frames: dict[str, DataFrame]) -> DataFrame:
+    counted = None
+    for name, frame in frames.items():
+        one = frame.agg(F.count(F.lit(1)).alias("table_rows")).select(F.lit(name).alias("table_name"), "table_rows")
+        counted = one if counted is None else counted.unionByName(one)
+    return counted
+
+
 def load_columns_events(spark, sf):
     stamped = bw.with_load_columns(_table(spark, sf, "events").select("event_id", "value"), AS_OF)
     return stamped.withColumn("insert_timestamp", F.col("insert_timestamp").cast("timestamp_ntz"))
@@ -301,6 +343,25 @@ def parquet_roundtrip(spark, sf):
     return _roundtrip(spark, sf, "parquet")
 
 
+def save_modes(spark, sf):
+    """Rows of a dataset after writes in each mode."""
+    rows, frames = _raw(spark, sf), {}
+    contract = {
+        mode: bw.DatasetContract(mode, READING_COLUMNS, "parquet", {"path": fresh_path(spark, mode)}, ())
+        for mode in ("append", "overwrite", "ignore", "error")
+    }
+    for mode, target in contract.items():
+        bw.write_contract(rows.where("sensor % 2 = 0"), target, "error")
+        try:
+            bw.write_contract(rows, target, mode)
+        except AnalysisException as problem:
+            if mode != "error":
+                raise
+            assert problem.getCondition() == "PATH_ALREADY_EXISTS"
+        frames[mode] = bw.read_contract(spark, target)
+    return _table_counts(frames)
+
+
 def _csv_files(spark: SparkSession, df: DataFrame, by_day: bool = False) -> str:
     """Readings as CSV files with a header, as they would arrive; with `by_day` in one folder per day."""
     path = fresh_path(spark, "arrived")
@@ -353,8 +414,7 @@ def batch_rejected(spark, sf):
     return _stamped(_run(spark, sf).rejected)
 
 
-def batch_written(spark, sf):
-    """All four outputs written under their contracts; anomalies read back."""
+def _contracts(spark: SparkSession) -> dict[str, bw.DatasetContract]:
     columns = {
         "cleaned": STORED_COLUMNS,
         "stats": "sensor BIGINT, start TIMESTAMP_NTZ, end TIMESTAMP_NTZ, min_value DOUBLE, max_value DOUBLE, "
@@ -365,15 +425,47 @@ def batch_written(spark, sf):
     }
     formats = {"cleaned": "parquet", "stats": "parquet", "anomalies": "csv", "rejected": "csv"}
     root = fresh_path(spark, "batch")
-    contracts = {
+    return {
         name: bw.DatasetContract(name, columns[name], formats[name], {"path": f"{root}/{name}"}) for name in columns
     }
-    source = _csv_files(spark, _readings(spark, sf))
+
+
+def batch_written(spark, sf):
+    """All four outputs written under their contracts; anomalies read back."""
+    contracts, source = _contracts(spark), _csv_files(spark, _readings(spark, sf))
     with bw.run_batch(spark, source, SPEC, as_of=AS_OF) as outputs:
         bw.write_outputs(outputs, contracts)
     return _anomalies(_stamped(bw.read_contract(spark, contracts["anomalies"])))
 
 
+def _written(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    contracts, source = _contracts(spark), _csv_files(spark, _readings(spark, sf))
+    with bw.run_batch(spark, source, SPEC, as_of=AS_OF) as outputs:
+        bw.write_outputs(outputs, contracts)
+    return _stamped(bw.read_contract(spark, contracts[name]))
+
+
+def batch_written_cleaned(spark, sf):
+    return _written(spark, sf, "cleaned")
+
+
+def batch_written_stats(spark, sf):
+    return _stats(_written(spark, sf, "stats"))
+
+
+def batch_written_rejected(spark, sf):
+    return _written(spark, sf, "rejected")
+
+
+def batch_rerun(spark, sf):
+    """Rows of each output after the same run was written twice, and another one once."""
+    contracts, source = _contracts(spark), _csv_files(spark, _readings(spark, sf))
+    with bw.run_batch(spark, source, SPEC, as_of=AS_OF) as outputs:
+        for run_id in ("first", "second", "first"):
+            bw.write_outputs(outputs, contracts, run_id=run_id)
+    return _table_counts({name: bw.read_contract(spark, contract) for name, contract in contracts.items()})
+
+
 # Streaming
 
 
@@ -406,6 +498,19 @@ def stream_static_anomalies(spark, sf):
     return _anomalies(spark.read.parquet(f"{root}/anomalies"))
 
 
+def stream_completeness(spark, sf):
+    """Distinct sensors per day and event type of a stream: the days that the watermark has closed."""
+    root = fresh_path(spark, "stream-completeness")
+    schema = _table(spark, sf, "events").schema
+    stream = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
+    sensors = _as_readings(stream).withColumn("sensor", F.col("sensor") % 5)
+    sensors = sensors.where((F.dayofmonth("ts") % 3 != 0) | (F.col("sensor") != 0)).withColumn("plant", F.lit("one"))
+    bw.write_stream_completeness(
+        sensors, "plant", "sensor", "ts", 5, count_name="sensors", path=f"{root}/judged", checkpoint=f"{root}/checkpoint"
+    ).awaitTermination()
+    return _ntz(spark.read.parquet(f"{root}/judged"), "start", "end")
+
+
 def stream_batch_outputs(spark, sf):
     """Each micro-batch judged by its own readings; here the backlog is one micro-batch."""
     lake = bw.Lake(fresh_path(spark, "lake-batch"))
@@ -417,6 +522,9 @@ def stream_batch_outputs(spark, sf):
     return _anomalies(found)
 
 
+GRAPH = ("bronze", "cleaned", "stats", "anomalies", "rejected")
+
+
 def _graph(spark: SparkSession, sf: str) -> bw.Lake:
     lake = bw.Lake(fresh_path(spark, "lake-history"))
     source = _csv_files(spark, _readings(spark, sf))
@@ -432,24 +540,67 @@ def graph_stats(spark, sf):
 
 def graph_counts(spark, sf):
     """Rows of every table of the graph."""
-    lake, counted = _graph(spark, sf), None
-    for name in ("bronze", "cleaned", "stats", "anomalies", "rejected"):
-        one = lake.read(spark, name).agg(F.count(F.lit(1)).alias("table_rows"))
-        one = one.select(F.lit(name).alias("table_name"), "table_rows")
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    lake = _graph(spark, sf)
+    return _table_counts({name: lake.read(spark, name) for name in GRAPH})
 
 
 def graph_counts_clean(spark, sf):
     """The same with nothing wrong: every sensor reads its own number, always. Two tables are empty."""
-    lake, counted = bw.Lake(fresh_path(spark, "lake-clean")), None
+    lake = bw.Lake(fresh_path(spark, "lake-clean"))
     steady = _raw(spark, sf).withColumn("value", F.col("sensor").cast("double"))
     bw.run_incremental(spark, _csv_files(spark, steady), lake, SPEC)
-    for name in ("bronze", "cleaned", "stats", "anomalies", "rejected"):
-        one = lake.read(spark, name).agg(F.count(F.lit(1)).alias("table_rows"))
-        one = one.select(F.lit(name).alias("table_name"), "table_rows")
-        counted = one if counted is None else counted.unionByName(one)
-    return counted
+    return _table_counts({name: lake.read(spark, name) for name in GRAPH})
+
+
+def _two_arrivals(spark: SparkSession, sf: str, lake: bw.Lake, **options) -> None:
+    """The first half of the month is ingested and judged, then the second half."""
+    source = fresh_path(spark, "arrivals")
+    for part, days in (("a", F.dayofmonth("ts") < 16), ("b", F.dayofmonth("ts") >= 16)):
+        writer = _readings(spark, sf).where(days).write.option("header", True)
+        writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(f"{source}/{part}")
+        bw.run_incremental(spark, source, lake, SPEC, recursiveFileLookup=True, **options)
+
+
+def graph_merged_history(spark, sf):
+    """Anomalies after two arrivals: the statistics of the second are merged into those of the first."""
+    lake = bw.Lake(fresh_path(spark, "lake-merged"))
+    _two_arrivals(spark, sf, lake)
+    found = lake.read(spark, "anomalies").select(
+        "ts", "sensor", "event_id", "event_type", "value", "mean_value", "stddev_value"
+    )
+    return _anomalies(found)
+
+
+def graph_ledger(spark, sf):
+    """Violations of both arrivals, from the ledger."""
+    lake = bw.Lake(fresh_path(spark, "lake-ledger"))
+    _two_arrivals(spark, sf, lake, rules=RULES)
+    return lake.ledger(spark).groupBy("rule").agg(F.sum("violations").alias("violations"))
+
+
+def graph_completeness(spark, sf):
+    """Stored completeness per day, in a lake that was built in two arrivals."""
+    lake, source = bw.Lake(fresh_path(spark, "lake-days")), fresh_path(spark, "arrivals")
+    spec = bw.ReadingSpec(
+        key="sensor", ts="ts", value="value", group="day_name", expected_keys=5, count_name="sensors",
+        schema=READING_COLUMNS + ", day_name STRING",
+    )
+    for part, days in (("a", F.dayofmonth("ts") < 16), ("b", F.dayofmonth("ts") >= 16)):
+        writer = _few_sensors(spark, sf).where(days).write.option("header", True)
+        writer.option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").csv(f"{source}/{part}")
+        stream = bw.stream_csv(spark, source, spec.schema, file_column=None, recursiveFileLookup=True)
+        ingest(stream, lake)
+        rebuild(spark, lake, spec)
+    return lake.read(spark, "completeness").select("day_name", "sensors", "is_valid")
+
+
+def graph_named_tables(spark, sf):
+    """Rows of the named tables of the graph after two arrivals."""
+    root = fresh_path(spark, "lake-named")
+    database = "graph_" + root.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/_database'")
+    _two_arrivals(spark, sf, bw.Lake(root, database=database))
+    return _table_counts({name: bw.read_table(spark, f"{database}.{name}") for name in GRAPH})
 
 
 def graph_expectations(spark, sf):
@@ -472,6 +623,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for query in (
         clean_events,
         clean_events_split,
+        clean_events_window,
+        anomalies_events_window,
         clean_events_nan,
         clean_events_context,
         clean_events_subset,
@@ -506,6 +659,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         completeness_orders,
         completeness_invalid_orders,
         completeness_sources,
+        completeness_days,
+        quality_gate,
+        save_modes,
         load_columns_events,
         expectation_counts,
         csv_roundtrip,
@@ -517,12 +673,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         batch_anomalies,
         batch_rejected,
         batch_written,
+        batch_written_cleaned,
+        batch_written_stats,
+        batch_written_rejected,
+        batch_rerun,
         stream_stats_closed,
+        stream_completeness,
         stream_static_anomalies,
         stream_batch_outputs,
         graph_stats,
         graph_counts,
         graph_counts_clean,
+        graph_merged_history,
+        graph_ledger,
+        graph_completeness,
+        graph_named_tables,
         graph_expectations,
         batch_expectations,
     )
@@ -607,6 +772,12 @@ UNION ALL SELECT 'rejected', count(*) FROM ({_REJECTED})
 UNION ALL SELECT 'total', count(*) FROM events"""
 _LINES = "SELECT l_orderkey, l_linenumber, {} FROM lineitem"
 _LINE_COLUMNS = "x.l_orderkey, x.l_linenumber, x.{}"
+_FEW = (
+    "SELECT ts, user_id % 5 AS sensor, event_id, event_type, round(value * 100) AS value,"
+    " strftime(ts, '%Y-%m-%d') AS day_name FROM events WHERE day(ts) % 3 <> 0 OR user_id % 5 <> 0"
+)
+_FEW_GAPS = f"SELECT * REPLACE (CASE WHEN extract(hour FROM ts) <> 3 THEN value END AS value) FROM ({_FEW})"
+_DAYS = f"SELECT day_name, count(DISTINCT sensor) AS sensors, count(DISTINCT sensor) = 5 AS is_valid FROM ({_FEW}) GROUP BY 1"
 _HISTORY = "WHERE ts < TIMESTAMP '2024-01-16'"
 _ORDERS = (
     "SELECT l_orderkey, count(DISTINCT l_linenumber) AS lines, count(DISTINCT l_linenumber) = 5 AS is_valid"
@@ -681,6 +852,19 @@ UNION ALL SELECT 'total', count(*) FROM events""",
         "SELECT source, count(DISTINCT lang) AS languages, count(DISTINCT lang) = 4 AS is_valid"
         " FROM documents GROUP BY 1"
     ),
+    "completeness_days": _DAYS,
+    "graph_completeness": _DAYS,
+    "quality_gate": f"""
+SELECT 'anomalies' AS table_name, count(*) AS table_rows FROM ({_sql_anomalies(_FEW_GAPS)})
+UNION ALL SELECT 'rejected', count(*) FROM ({_FEW_GAPS}) WHERE value IS NULL
+UNION ALL SELECT 'complete groups', count(*) FROM ({_DAYS}) WHERE is_valid
+UNION ALL SELECT 'incomplete groups', count(*) FROM ({_DAYS}) WHERE NOT is_valid""",
+    "save_modes": """
+WITH n AS (SELECT count(*) AS whole, count(*) FILTER (WHERE user_id % 2 = 0) AS half FROM events)
+SELECT unnest(['append', 'overwrite', 'ignore', 'error']) AS table_name,
+  unnest([whole + half, whole, half, half]) AS table_rows FROM n""",
+    "clean_events_window": _CLEANED,
+    "anomalies_events_window": _FOUND,
     "load_columns_events": f"SELECT event_id, value{_LOAD} FROM events",
     "expectation_counts": f"""
 SELECT count(*) AS rows,
@@ -700,12 +884,27 @@ FROM ({_INJECTED})""",
     "batch_anomalies": f"SELECT *{_LOAD} FROM ({_FOUND})",
     "batch_rejected": f"SELECT *{_LOAD} FROM ({_REJECTED})",
     "batch_written": f"SELECT *{_LOAD} FROM ({_FOUND})",
+    "batch_written_cleaned": f"SELECT *{_LOAD} FROM ({_CLEANED})",
+    "batch_written_stats": _sql_stats(_CLEANED, extra=_LOAD),
+    "batch_written_rejected": f"SELECT *{_LOAD} FROM ({_REJECTED})",
+    "batch_rerun": f"""
+SELECT 'cleaned' AS table_name, 2 * count(*) AS table_rows FROM ({_CLEANED})
+UNION ALL SELECT 'stats', 2 * count(*) FROM ({_sql_stats(_CLEANED)})
+UNION ALL SELECT 'anomalies', 2 * count(*) FROM ({_FOUND})
+UNION ALL SELECT 'rejected', 2 * count(*) FROM ({_REJECTED})""",
+    "stream_completeness": f"""
+WITH d AS (SELECT time_bucket(INTERVAL '24 hours', ts, TIMESTAMP '1970-01-01') AS "start", sensor FROM ({_FEW}))
+SELECT 'one' AS plant, "start", "start" + INTERVAL '24 hours' AS "end", count(DISTINCT sensor) AS sensors,
+  count(DISTINCT sensor) = 5 AS is_valid FROM d GROUP BY "start"
+HAVING "start" + INTERVAL '24 hours' <= (SELECT max(ts) FROM ({_FEW})) - INTERVAL '1 hour'""",
     "stream_stats_closed": _sql_stats(
         _RAW, having="""HAVING "start" + INTERVAL '24 hours' <= (SELECT max(ts) FROM events) - INTERVAL '1 hour'"""
     ),
     "stream_static_anomalies": _sql_anomalies(_RAW, history=_HISTORY),
     "stream_batch_outputs": _FOUND,
     "graph_stats": _sql_stats(_CLEANED),
+    "graph_merged_history": _FOUND,
+    "graph_ledger": _VIOLATIONS,
     "graph_counts": f"""
 SELECT 'bronze' AS table_name, count(*) AS table_rows FROM events
 UNION ALL SELECT 'cleaned', count(*) FROM ({_CLEANED})
@@ -721,3 +920,4 @@ UNION ALL SELECT 'rejected', 0""",
     "graph_expectations": _VIOLATIONS,
     "batch_expectations": _VIOLATIONS,
 }
+ORACLE["graph_named_tables"] = ORACLE["graph_counts"]

@@ -1,7 +1,9 @@
 import logging
+import os
 
 import pytest
 from conftest import five_turbines
+from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 import bandwright as bw
@@ -73,12 +75,14 @@ def test_one_stamp_for_the_whole_run(spark, tmp_path):
 def test_only_own_frames_are_released(spark, tmp_path):
     other = spark.range(10).cache()
     other.count()
-    outputs = bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC)
+    outputs = bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC, storage_level=StorageLevel.MEMORY_AND_DISK)
     (held,) = outputs.held
-    assert held.is_cached
+    assert held.is_cached and os.path.exists(outputs.path)
     outputs.release()
-    assert not held.is_cached and other.is_cached
+    assert not held.is_cached and other.is_cached and not os.path.exists(outputs.path)
     other.unpersist()
+    with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC) as outputs:
+        assert outputs.held == []  # nothing is cached unless asked for
 
 
 def test_a_frame_cached_by_the_caller_stays_cached(spark, sample):
@@ -89,7 +93,7 @@ def test_a_frame_cached_by_the_caller_stays_cached(spark, sample):
     sample.unpersist()
 
 
-def test_load_date_is_constant_on_top_of_the_cache(spark, tmp_path):
+def test_load_date_is_constant_on_top_of_the_judged_rows(spark, tmp_path):
     """A constant partition column needs no sort before the write."""
     with bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC, as_of="2024-03-05") as outputs:
         for name in ("cleaned", "anomalies", "rejected"):
@@ -105,7 +109,7 @@ def test_failure_releases_the_cache(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(frame, "unpersist", lambda self, *a: freed.append(1) or real(self, *a))
     monkeypatch.setattr(batch, "derive", lambda *a, **k: 1 / 0)
     with pytest.raises(ZeroDivisionError):
-        bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC)
+        bw.run_batch(spark, five_turbines(tmp_path / "in"), SPEC, storage_level=StorageLevel.MEMORY_AND_DISK)
     assert freed
 
 
@@ -128,3 +132,86 @@ def test_frame_as_source(spark, sample):
         assert outputs.cleaned.count() == 9
         assert outputs.anomalies.count() == 1
         assert outputs.stats.count() == 1
+
+
+def test_source_is_read_twice_and_outputs_read_their_verdicts(spark, tmp_path, monkeypatch):
+    from bandwright.operators import routing
+    from bandwright.plans import batch
+
+    source = five_turbines(tmp_path / "in", broken=["2022-03-01T09:00:00,1,11.0,169,9999.0", "2022-03-01T10:00:00,2,11.0,169,"])
+    read = spark.sparkContext.accumulator(0)
+    scans = []
+    real = batch.profile, batch.judge
+    monkeypatch.setattr(batch, "profile", lambda df, *a, **k: scans.append(df) or real[0](df, *a, **k))
+    monkeypatch.setattr(batch, "judge", lambda df, *a, **k: scans.append(df) or real[1](df, *a, **k))
+    with bw.run_batch(spark, source, SPEC, as_of="2024-03-05") as outputs:
+        assert len(scans) == 2 and read.value == 0
+        for name, verdicts in (("cleaned", routing.KEPT_VERDICTS), ("anomalies", routing.ANOMALY_VERDICTS),
+                               ("rejected", routing.REJECTED_VERDICTS), ("stats", routing.KEPT_VERDICTS), ("completeness", ())):
+            text = plan(getattr(outputs, name))
+            assert "FileScan csv" not in text and text.count("FileScan parquet") == 1
+            assert all(verdict in text for verdict in verdicts)
+            if verdicts:
+                assert "PartitionFilters: [__verdict" in text.replace("isnotnull(__verdict", "__verdict")
+        assert "ReadSchema: struct<timestamp:timestamp,turbine_id:int,power_output:double>" in plan(outputs.stats)
+        assert (outputs.anomaly_rows, outputs.rejected_rows, outputs.rows) == (0, 1, 22)
+
+
+@pytest.mark.parametrize("nan_is_null", [True, False])
+@pytest.mark.parametrize("budget", [1 << 26, 1])
+def test_routed_outputs_are_those_of_the_operators(spark, nan_is_null, budget):
+    nan, inf = float("nan"), float("inf")
+    values = [10.0, 11.0, 12.0, 9.0, 10.5, 11.5, 10.2, 300.0, None, nan, inf]
+    rows = [(i, f"s{i % 3}" if i % 17 else None, v, None if i % 7 == 0 else "x") for i, v in enumerate(values * 9)]
+    rows += [(1000, "single", 5.0, "x"), (1001, "same", 1.0, "x"), (1002, "same", 1.0, "x")]
+    df = spark.createDataFrame(rows, "id INT, sensor STRING, value DOUBLE, note STRING")
+    df = df.withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp")).withColumn("filename", F.lit("f"))
+    for undefined in ("drop", "keep"):
+        spec = bw.ReadingSpec("sensor", "ts", "value", nan_is_null=nan_is_null, on_undefined=undefined)
+        with bw.run_batch(spark, df, spec, as_of="2024-03-05", broadcast_bytes=budget) as outputs:
+            direct = {
+                "cleaned": bw.clean(df, "sensor", "value", on_undefined=undefined),
+                "anomalies": bw.detect_anomalies(df, "sensor", "value", nan_is_null=nan_is_null),
+                "rejected": bw.rejected_rows(df, nan_is_null=nan_is_null),
+            }
+            for name, want in direct.items():
+                columns = ["id", "mean_value", "stddev_value"] if name == "anomalies" else ["id"]
+                pairs = [[str(tuple(r)) for r in frame.select(columns).collect()] for frame in (getattr(outputs, name), want)]
+                assert sorted(pairs[0]) == sorted(pairs[1]) and pairs[0], (name, undefined)
+
+
+def test_a_run_repeated_under_its_name_adds_nothing(spark, tmp_path, monkeypatch):
+    from bandwright.plans import batch
+
+    broken = [f"2022-03-01T0{i}:00:00,1,11.0,169,101.5" for i in range(8)]
+    broken += ["2022-03-01T09:00:00,1,11.0,169,9999.0", "2022-03-01T10:00:00,2,11.0,169,"]
+    source, made = five_turbines(tmp_path / "in", broken=broken), contracts(tmp_path / "out")
+
+    def run(name, source=source):
+        with bw.run_batch(spark, source, SPEC) as outputs:
+            return bw.write_outputs(outputs, made, run_id=name)
+
+    real = batch.write_contract
+
+    def failing(frame, contract, *args, **kwargs):
+        if contract is made["anomalies"]:
+            raise OSError("lost")
+        return real(frame, contract, *args, **kwargs)
+
+    monkeypatch.setattr(batch, "write_contract", failing)
+    with pytest.raises(OSError, match="lost"):
+        run("monday")
+    monkeypatch.setattr(batch, "write_contract", real)
+    written = run("monday")
+    stored = lambda: {name: bw.read_contract(spark, made[name]).count() for name in made}
+    assert stored() == written == run("monday") == {"cleaned": 28, "stats": 5, "anomalies": 1, "rejected": 1}
+    run("tuesday")
+    assert stored() == {name: 2 * n for name, n in written.items()}
+    # The same run on corrected files: what it reported before is gone.
+    run("tuesday", five_turbines(tmp_path / "clean"))
+    assert stored() == {"cleaned": 48, "stats": 10, "anomalies": 1, "rejected": 1}
+    for bad in ("a/b", "", ".. /"):
+        with pytest.raises(ValueError, match="run name"):
+            run(bad)
+    with bw.run_batch(spark, source, SPEC) as outputs, pytest.raises(ValueError, match="appended"):
+        bw.write_outputs(outputs, made, "overwrite", run_id="x")

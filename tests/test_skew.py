@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import bandwright as bw
-from bandwright.operators.baseline import Baseline, _split_by_weight, join_bounds
+from bandwright.operators.baseline import SALTS, Baseline, join_bounds, salted
 from test_plans import nodes
 
 BUDGET = 4096
@@ -59,21 +59,22 @@ def test_results_do_not_depend_on_the_strategy(skewed, budget):
     assert ids(bw.detect_anomalies(skewed, "sensor", "value", **options)) == found
 
 
-def test_hot_entities_are_split_off_and_bounded(skewed):
+def test_hot_entities_are_salted_and_bounded(skewed):
     baseline = bw.fit_baseline(skewed, "sensor", "value")
     assert baseline.size_bytes > BUDGET
     assert baseline.entities == skewed.select("sensor").distinct().count()
     assert baseline.readings == baseline.used == 30_000
-    room = BUDGET // baseline.row_bytes
     for same_rows in (True, False):
-        hot, cold = _split_by_weight(skewed, baseline, baseline.bounds(2.0), same_rows, room)
-        assert [row.sensor for row in hot.collect()] == ["hot"]
-        assert hot.count() < room and hot.count() + cold.count() == baseline.entities
-    # However the readings are spread, fewer entities than the room reach the limit.
+        hot, piece = salted(skewed, baseline, same_rows, BUDGET)
+        (row,) = hot.collect()
+        assert row.sensor == "hot" and row[SALTS] == -(-10_000 // piece) > 1
+    # However the readings are spread, fewer entities than the room outgrow a piece, and no salt holds more than one.
     for seed in range(20):
         counts = [random.Random(seed).randint(1, 10 ** (1 + seed % 5)) for _ in range(500)]
         for room in (1, 2, 7, 100):
-            assert sum(n >= sum(counts) // room + 1 for n in counts) < room
+            piece = sum(counts) // room + 1
+            assert sum(n > piece for n in counts) < room
+            assert all(n / -(-n // piece) <= piece for n in counts)
 
 
 def test_entities_hot_only_in_the_judged_rows(spark, skewed):
@@ -81,20 +82,41 @@ def test_entities_hot_only_in_the_judged_rows(spark, skewed):
     baseline = bw.fit_baseline(skewed, "sensor", "value")
     (other,) = baseline.frame.where("sensor <> 'hot'").select("sensor").limit(1).collect()
     batch = skewed.withColumn("sensor", F.when(F.col("sensor") == "hot", F.lit(other.sensor)).otherwise(F.col("sensor")))
-    room = BUDGET // baseline.row_bytes
-    hot, _ = _split_by_weight(batch, baseline, baseline.bounds(2.0), False, room)
+    hot, _ = salted(batch, baseline, False, BUDGET)
     assert [row.sensor for row in hot.collect()] == [other.sensor]
 
 
-def test_plans_follow_the_measured_size(skewed):
-    baseline = bw.fit_baseline(skewed, "sensor", "value")
-    small = join_bounds(skewed, baseline, baseline.bounds(2.0), True)
+def test_plans_follow_the_measured_size(spark, sf):
+    events = spark.read.parquet(f"{sf}/events.parquet").select("user_id", "ts", "value")
+    baseline = bw.fit_baseline(events, "user_id", "value")
+    small = join_bounds(events, baseline, baseline.bounds(2.0), True)
     assert nodes(small, "Exchange hashpartitioning") == 0 and nodes(small, "BroadcastHashJoin") == 1
-    split = join_bounds(skewed, baseline, baseline.bounds(2.0), True, BUDGET)
-    # Hot and anti joins are broadcast; only the remaining readings and their entities are shuffled.
-    assert nodes(split, "BroadcastHashJoin") == 2
-    assert nodes(split, "ShuffledHashJoin") == 1
-    assert nodes(split, "Exchange hashpartitioning") == 2
+    spread = join_bounds(events, baseline, baseline.bounds(2.0), True, 1)
+    # One scan of the readings; the salts are broadcast; readings and baseline are shuffled once each.
+    assert nodes(spread, "FileScan parquet") == 1
+    assert nodes(spread, "BroadcastHashJoin") == 2
+    assert nodes(spread, "SortMergeJoin") == 1
+    assert nodes(spread, "Exchange hashpartitioning") == 2
+
+
+def test_no_partition_of_the_salted_join_is_hot(spark):
+    """A third of the readings of one entity and a third without any: no task of the join gets more than its share."""
+    df = spark.range(60_000).select(
+        "id",
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).when(F.col("id") % 3 == 1, F.concat(F.lit("s"), F.col("id") % 5000)).alias("sensor"),
+        (F.col("id") % 1000).cast("double").alias("value"),
+    )
+    baseline = bw.fit_baseline(df, "sensor", "value")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 32)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = join_bounds(df, baseline, baseline.bounds(2.0), True, baseline.size_bytes - 1, "left")
+        counts = [r["count"] for r in joined.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert sum(counts) == 60_000 and len(counts) == 32 and max(counts) < 2.5 * 60_000 / 32
 
 
 def test_size_bound_grows_with_key_length(spark):
