@@ -15,7 +15,7 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.checks import require_columns
-from ..storage import shared_folder, staged
+from ..storage import remove, shared_folder, stage, staged
 
 WORD = r"[^\x20\x09-\x0D]+"
 SPACES = " \t\n\x0b\f\r"

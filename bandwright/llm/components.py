@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import held
+from .common import remove, stage, staged
 
 
 def _larger_to_smaller(edges: DataFrame) -> DataFrame:
@@ -23,7 +23,8 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     path. Edges of a node with very many neighbours are counted by partial aggregation and joined to one row, a
     join that adaptive execution can split. Only a count and a checksum per round reach the driver.
     """
-    stars = held(_larger_to_smaller(edges.select(F.col(left).alias("u"), F.col(right).alias("v"))))
+    spark = edges.sparkSession
+    stars, path = stage(_larger_to_smaller(edges.select(F.col(left).alias("u"), F.col(right).alias("v"))), "components")
     before = None
     while True:
         seen = stars.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v") % (1 << 32)).alias("sum")).first()
@@ -39,7 +40,10 @@ def components(edges: DataFrame, left: str, right: str) -> DataFrame:
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
             F.struct("u", F.col("m").alias("v")),
         )
-        stars = held(_larger_to_smaller(small))
+        last = path
+        stars, path = stage(_larger_to_smaller(small), "components")
+        remove(spark, last)
     ends = F.struct(F.col("u").alias("node"), F.col("v").alias("label"))
     centre = F.struct(F.col("v").alias("node"), F.col("v").alias("label"))
-    return stars.select(F.explode(F.array(ends, centre)).alias("at")).select("at.node", "at.label").distinct()
+    nodes = stars.select(F.explode(F.array(ends, centre)).alias("at")).select("at.node", "at.label").distinct()
+    return staged(nodes, "components-nodes")
