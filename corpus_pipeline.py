@@ -14,7 +14,7 @@ from bandwright.llm.mixing import mixed_rows
 from bandwright.llm.pii import redact
 from bandwright.llm.quality_rules import apply_quality_rules
 from bandwright.llm.sentencepiece import tokenize
-from bandwright.llm.similarity import deduplicate_similar
+from bandwright.llm.simhash import deduplicate
 from bandwright.storage import fresh_path
 
 
@@ -24,9 +24,9 @@ def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays, that with the smallest id: those that pairs of similarity
-    0.8 or more join, by shingles of five words."""
-    return deduplicate_similar(docs, words=5, similarity=0.8)
+    """One document of each group of near-duplicates stays, that with the smallest id: SimHash of four-word shingles,
+    linked at four differing bits or fewer."""
+    return deduplicate(docs, words=4, bits=4)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -36,7 +36,7 @@ def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Sample and repeat documents so that the sources meet their target weights; a document taken twice is two rows."""
-    return mixed_rows(docs, passes=None)
+    return mixed_rows(docs)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
