@@ -46,7 +46,8 @@ def stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
     """
     spark = df.sparkSession
     path = fresh_path(spark, name)
-    df.write.parquet(path)
+    # Not the default codec, whose buffers lie outside the heap until they are collected.
+    df.write.option("compression", "zstd").parquet(path)
     files, place = _at(spark, path)
     files.deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path), path
