@@ -12,9 +12,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import WORD, attach, group_key, held, ranked, running, shielded, uniform, unshielded, without
+from .common import WORD, attach, group_key, ranked, running, shielded, staged, uniform, unshielded, without
 
 SYMBOLS = "#*$%&|<>"
+#: A source that ends farther from its target, as a share of it, is filled once more.
+NEAR = 0.01
 
 
 def word_count(text: Column) -> Column:
@@ -57,6 +59,61 @@ def _union(parts: Sequence[DataFrame], like: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, parts) if parts else like.where("false")
 
 
+def _filled(narrow: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fill the `room` of each source: the rows with `chosen`, and how far each source ends from its room, `missed`."""
+    position = F.col("key") / (1 + F.col("key"))
+    order = [F.col("key"), F.col("a"), F.col("b")]
+    rooms, taken, passed = staged(rooms, "mixing-rooms"), [], []
+    rows = attach(narrow, rooms, "g", F.col("a"))
+    while True:
+        # What does not fit by now never will: room only shrinks.
+        fits = (F.col("size") > 0) & (F.col("size") <= F.col("room"))
+        passed.append(rows.where(~fits).drop("room"))
+        tried = rows.where(fits)
+        if tried.isEmpty():
+            break
+        tried = running(tried, "g", position, order, F.col("size"), "size")
+        now = F.col("size_before") + F.col("size") <= F.col("room")
+        tried = staged(tried.select(*narrow.columns, now.alias("now")), "mixing-tried")
+        taken.append(tried.where("now").drop("now"))
+        used = taken[-1].groupBy("g").agg(F.sum("size").alias("used"))
+        room = F.col("room") - F.coalesce("used", F.lit(0))
+        rooms = staged(rooms.join(used, "g", "left").select("g", room.alias("room")), "mixing-rooms")
+        rows = staged(attach(tried.where("NOT now").drop("now"), rooms, "g", F.col("a")), "mixing-left")
+    left = attach(_union(passed, narrow), rooms, "g", F.col("a"))
+    gap = F.abs(F.col("size") - F.col("room"))
+    last = left.where((F.col("size") > 0) & (gap < F.col("room"))).groupBy("g")
+    last = last.agg(F.min(F.struct(gap.alias("gap"), "key", "a", "b")).alias("last"))
+    last = staged(rooms.join(last, "g", "left").select("g", "room", "last"), "mixing-last")
+    is_last = (F.col("last.a") == F.col("a")) & (F.col("last.b") == F.col("b"))
+    ended = attach(left.drop("room"), last, "g", F.col("a"))
+    ended = ended.select(*narrow.columns, F.coalesce(is_last, F.lit(False)).alias("chosen"))
+    filled = _union(taken, narrow).select(*narrow.columns, F.lit(True).alias("chosen"))
+    return ended.unionByName(filled), last.select("g", F.coalesce("last.gap", "room").alias("missed"))
+
+
+def _nearer(narrow: DataFrame, far: DataFrame, state: DataFrame) -> DataFrame:
+    """`state` after another try for the sources in `far`: the first document by key that fits the whole room, but not
+    what those before it left, goes first."""
+    rows = attach(narrow, far.select("g", "room"), "g", F.col("a"))
+    rows = rows.where((F.col("size") > 0) & (F.col("size") <= F.col("room")))
+    position = F.col("key") / (1 + F.col("key"))
+    placed = running(rows, "g", position, [F.col("key"), F.col("a"), F.col("b")], F.col("size"), "size")
+    stopped = placed.where(F.col("size_before") + F.col("size") > F.col("room"))
+    heads = stopped.groupBy("g", "room").agg(F.min(F.struct("key", "a", "b", "size")).alias("head"))
+    heads = staged(heads, "mixing-heads")
+    is_head = (F.col("head.a") == F.col("a")) & (F.col("head.b") == F.col("b"))
+    marked = attach(narrow, heads.select("g", "head"), "g", F.col("a")).select(*narrow.columns, is_head.alias("chosen"))
+    marked = staged(marked, "mixing-again")
+    others, missed = _filled(
+        marked.where("NOT chosen").drop("chosen"), heads.select("g", (F.col("room") - F.col("head.size")).alias("room"))
+    )
+    again = others.unionByName(marked.where("chosen"))
+    better = missed.withColumnRenamed("missed", "now").join(far.select("g", "missed"), "g").where("now < missed")
+    better = staged(better.select("g"), "mixing-better")
+    return state.join(better, "g", "left_anti").unionByName(attach(again, better, "g", F.col("a")))
+
+
 def mix(
     docs: DataFrame,
     text: str = "text",
@@ -67,7 +124,6 @@ def mix(
     most: float = 2.0,
     quality: Column | None = None,
     seed: int = 42,
-    passes: int | None = 2,
 ) -> DataFrame:
     """All documents with `size`, `source_size`, `target`, `copies` and `taken`.
 
@@ -75,12 +131,13 @@ def mix(
     * Sources in code point order, NULL last, have the `weights`, repeated. Targets: see `water_fill`.
     * A source's target is met by whole epochs (`floor(target / size)` copies of everything), then by documents in
       key order while they fit. What is still missing is filled from those left that are short enough, again in key
-      order, `passes` times in all (None: until nothing left fits); then comes the one document, if any, with which
-      the source ends nearest. After k passes a source misses its target by up to half of the document that stopped
-      the k-th; with None, by up to half of the smallest document left.
+      order, until nothing left fits; then comes the one document, if any, with which the source ends nearest. It then
+      misses its target by up to half of the smallest document left.
+    * Where that is over `NEAR` of the target, which takes a source of few documents, the source is filled once more
+      with the first document that did not fit at its head, and the nearer of the two stays.
     * `quality` (default: `plain_text_weight`) is above 0; documents of higher quality come earlier.
-    * Keys depend on `doc_id` and `seed` only: runs agree, whatever the partitioning. NULL ids share one key and are
-      told apart by their text. Rows that are equal in id, source and text are taken together or not at all.
+    * Keys depend on `doc_id`, text and `seed` only: runs agree, whatever the partitioning, and rows of one id (or none)
+      are spread like others. Rows that are equal in id, source and text are taken together or not at all.
     * No rows in, no rows out. An input column named like an output gives way to it.
 
     One scan counts words; all else until the final join handles narrow rows. A source with most of the rows is cut
@@ -99,59 +156,38 @@ def mix(
         F.xxhash64(group_key(key), body).alias("a"),
         F.xxhash64(body, group_key(key), F.lit(1)).alias("b"),
     ]
-    units = held(
-        inner.select(*marks, word_count(body).alias("words"), worth.alias("w"), uniform(key, seed).alias("u"))
+    named = F.concat_ws(":", F.coalesce(key.cast("string"), F.lit("null")), F.md5(F.coalesce(body, F.lit("")).cast("binary")))
+    units = staged(
+        inner.select(*marks, word_count(body).alias("words"), worth.alias("w"), uniform(named, seed).alias("u"))
         .groupBy("g", "a", "b")
         .agg(F.sum("words").alias("size"), F.max("w").alias("w"), F.max("u").alias("u"), F.count(F.lit(1)).alias("n"))
-        .withColumn("key", -F.ln("u") / F.col("w"))
+        .withColumn("key", -F.ln("u") / F.col("w")),
+        "mixing-units",
     )
     found = ranked(units.groupBy("g").agg(F.sum("size").alias("size")), F.col("g"))
     weight = F.array(*(F.lit(float(w)) for w in weights))[F.col("__rank") % len(weights)]
     sources = water_fill(found.withColumn("weight", weight), share, most)
     epochs = F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(0).cast("long")
-    sources = held(
+    sources = staged(
         sources.select("g", F.col("size").alias("source_size"), "target", epochs.alias("epochs")).withColumn(
             "room", F.col("target") - F.col("epochs") * F.col("source_size")
-        )
+        ),
+        "mixing-sources",
     )
-
     narrow = units.select("g", "a", "b", "size", "n", "key")
-    position = F.col("key") / (1 + F.col("key"))
-    order = [F.col("key"), F.col("a"), F.col("b")]
-    rooms, taken, passed, done = held(sources.select("g", "room")), [], [], 0
-    rows = attach(narrow, rooms, "g", F.col("a"))
-    while True:
-        # What does not fit by now never will: room only shrinks.
-        fits = (F.col("size") > 0) & (F.col("size") <= F.col("room"))
-        passed.append(rows.where(~fits).drop("room"))
-        tried = rows.where(fits)
-        if done == passes or passes is None and tried.isEmpty():
-            passed.append(tried.drop("room"))
-            break
-        tried = running(tried, "g", position, order, F.col("size"), "size")
-        now = F.col("size_before") + F.col("size") <= F.col("room")
-        tried = held(tried.select(*narrow.columns, now.alias("now")))
-        taken.append(tried.where("now").drop("now"))
-        used = taken[-1].groupBy("g").agg(F.sum("size").alias("used"))
-        room = F.col("room") - F.coalesce("used", F.lit(0))
-        rooms = held(rooms.join(used, "g", "left").select("g", room.alias("room")))
-        rows, done = held(attach(tried.where("NOT now").drop("now"), rooms, "g", F.col("a"))), done + 1
-    left = attach(_union(passed, narrow), rooms, "g", F.col("a")).withColumn("chosen", F.lit(False))
-    filled = _union(taken, narrow).select(*narrow.columns, F.lit(0.0).alias("room"), F.lit(True).alias("chosen"))
-    state = left.select(*filled.columns).unionByName(filled)
-    gap = F.abs(F.col("size") - F.col("room"))
-    nearer = ~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("room"))
-    last = held(state.groupBy("g").agg(F.min(F.when(nearer, F.struct(gap.alias("gap"), "key", "a", "b"))).alias("last")))
-    is_last = (F.col("last.a") == F.col("a")) & (F.col("last.b") == F.col("b"))
-    state = attach(state, last, "g", F.col("a")).withColumn(
-        "chosen", F.col("chosen") | F.coalesce(is_last, F.lit(False))
-    )
+    state, missed = _filled(narrow, sources.select("g", "room"))
+    far = sources.join(missed, "g").where(F.col("missed") > NEAR * F.col("target")).select("g", "room", "missed")
+    far = staged(far, "mixing-far")
+    if not far.isEmpty():
+        state = _nearer(narrow, far, state)
     facts = sources.select("g", "source_size", "target", "epochs")
     decided = attach(
         state.select("g", "a", "b", F.expr("size div n").alias("size"), "chosen"), facts, "g", F.col("a")
     )
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("chosen").cast("long")).otherwise(0).cast("long")
-    decided = held(decided.select("g", "a", "b", "size", "source_size", "target", copies.alias("copies")))
+    decided = staged(
+        decided.select("g", "a", "b", "size", "source_size", "target", copies.alias("copies")), "mixing-decided"
+    )
 
     marked = inner.select("*", *marks)
     joined = marked.join(decided, ["g", "a", "b"])

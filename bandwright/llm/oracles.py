@@ -1,10 +1,11 @@
 """DuckDB SQL for the rows of the queries that SQL can express."""
 
 _WORDS = r"coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)"
-_U = "((('0x' || substr(md5('42:' || coalesce(doc_id::VARCHAR, 'null')), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
+_NAME = "coalesce(doc_id::VARCHAR, 'null') || ':' || md5(coalesce(text, ''))"
+_U = f"((('0x' || substr(md5('42:' || {_NAME}), 1, 13))::BIGINT)::DOUBLE + 0.5) / 4503599627370496.0"
 
 OP1 = rf"""
-WITH units AS (
+WITH RECURSIVE units AS (
   SELECT doc_id, source, {_WORDS}::BIGINT AS size,
          CASE WHEN length(text) > 0 THEN greatest(0.1::DOUBLE, 1.0::DOUBLE - 4.0::DOUBLE
               * (length(text) - length(translate(text, '#*$%&|<>', '')))::DOUBLE / length(text)::DOUBLE)
@@ -33,34 +34,58 @@ WITH units AS (
 ), rooms AS (
   SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size)::BIGINT ELSE 0 END AS epochs FROM targets
 ), p0 AS (
-  SELECT k.*, r.source_size, r.target, r.epochs, r.target - r.epochs * r.source_size AS room, FALSE AS chosen
+  SELECT k.doc_id, k.source, k.size, k.key, r.target, r.target - r.epochs * r.source_size AS room
   FROM keyed k JOIN rooms r ON k.source IS NOT DISTINCT FROM r.source
-), t1 AS (
-  SELECT *, NOT chosen AND size > 0 AND size <= room AS fits,
-         sum(CASE WHEN NOT chosen AND size > 0 AND size <= room THEN size ELSE 0 END)
-           OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS until
-  FROM p0
-), p1 AS (
-  SELECT doc_id, source, size, key, source_size, target, epochs, fits AND until <= room AS chosen,
-         room - sum(CASE WHEN fits AND until <= room THEN size ELSE 0 END) OVER (PARTITION BY source) AS room
-  FROM t1
-), t2 AS (
-  SELECT *, NOT chosen AND size > 0 AND size <= room AS fits,
-         sum(CASE WHEN NOT chosen AND size > 0 AND size <= room THEN size ELSE 0 END)
-           OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS until
-  FROM p1
-), p2 AS (
-  SELECT doc_id, source, size, key, source_size, target, epochs, chosen OR (fits AND until <= room) AS chosen,
-         room - sum(CASE WHEN fits AND until <= room THEN size ELSE 0 END) OVER (PARTITION BY source) AS room
-  FROM t2
-), t3 AS (
-  SELECT *, CASE WHEN NOT chosen AND size > 0 AND abs(size - room) < room THEN abs(size - room) END AS gap FROM p2
-), t4 AS (
-  SELECT *, gap IS NOT NULL AND row_number() OVER (PARTITION BY source ORDER BY gap NULLS LAST, key, doc_id) = 1 AS nearest
-  FROM t3
+), stopped AS (
+  -- Documents that fit the whole room, but not what those before them left.
+  SELECT * FROM (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS until
+    FROM p0 WHERE size > 0 AND size <= room
+  ) WHERE until > room
+), heads AS (
+  SELECT source, room, arg_min(doc_id, key) AS head, arg_min(size, key) AS head_size FROM stopped GROUP BY source, room
+), starts AS (
+  SELECT 1 AS try, p0.* FROM p0
+  UNION ALL
+  SELECT 2, p0.doc_id, p0.source, p0.size, p0.key, p0.target, heads.room - head_size
+  FROM p0 JOIN heads ON p0.source IS NOT DISTINCT FROM heads.source WHERE p0.doc_id <> head
+), passes AS (
+  -- Each pass takes in key order what fits, and goes on with the rest in what room is left.
+  SELECT 0 AS pass, try, doc_id, source, size, key, room, FALSE AS now FROM starts WHERE size > 0 AND size <= room
+  UNION ALL
+  SELECT pass + 1, try, doc_id, source, size, key,
+         room - sum(CASE WHEN until <= room THEN size ELSE 0 END) OVER (PARTITION BY try, source), until <= room
+  FROM (
+    SELECT *, sum(size) OVER (PARTITION BY try, source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) AS until
+    FROM passes WHERE NOT now AND size <= room
+  )
+), taken AS (
+  SELECT try, doc_id, source, size FROM passes WHERE now
+), used AS (
+  SELECT try, source, sum(size) AS used FROM taken GROUP BY try, source
+), lefts AS (
+  SELECT s.*, s.room - coalesce(u.used, 0) AS remaining
+  FROM starts s LEFT JOIN used u ON s.try = u.try AND s.source IS NOT DISTINCT FROM u.source
+), lasts AS (
+  SELECT l.*, abs(l.size - remaining) AS gap FROM lefts l ANTI JOIN taken t ON l.try = t.try AND l.doc_id = t.doc_id
+  WHERE l.size > 0 AND abs(l.size - remaining) < remaining
+  QUALIFY row_number() OVER (PARTITION BY l.try, l.source ORDER BY gap, l.key, l.doc_id) = 1
+), missed AS (
+  SELECT l.try, l.source, any_value(l.target) AS target, coalesce(min(x.gap), any_value(l.remaining)) AS missed
+  FROM lefts l LEFT JOIN lasts x ON l.try = x.try AND l.source IS NOT DISTINCT FROM x.source GROUP BY l.try, l.source
+), tries AS (
+  SELECT m1.source, CASE WHEN m1.missed > 0.01::DOUBLE * m1.target AND m2.missed < m1.missed THEN 2 ELSE 1 END AS try
+  FROM missed m1 LEFT JOIN missed m2 ON m2.try = 2 AND m1.source IS NOT DISTINCT FROM m2.source WHERE m1.try = 1
+), chosen AS (
+  SELECT try, doc_id, source FROM taken
+  UNION ALL SELECT try, doc_id, source FROM lasts
+  UNION ALL SELECT 2, head, source FROM heads
+), final AS (
+  SELECT c.doc_id FROM chosen c JOIN tries t ON c.try = t.try AND c.source IS NOT DISTINCT FROM t.source
 )
-SELECT doc_id, size, source_size, target, ((epochs + (chosen OR nearest)::INT) * size)::BIGINT AS taken
-FROM t4
+SELECT k.doc_id, k.size, r.source_size, r.target,
+       ((r.epochs + (k.doc_id IN (SELECT doc_id FROM final))::INT) * k.size)::BIGINT AS taken
+FROM keyed k JOIN rooms r ON k.source IS NOT DISTINCT FROM r.source
 """
 
 OP4 = """

@@ -23,7 +23,7 @@ def test_stages(spark, sf, tmp_path):
     assert {r.doc_id: r.text for r in outputs["quality_rules"]} == good
 
     ids = sorted(good)
-    _, least = brute.components([(i, good[i]) for i in ids], size=5)
+    _, least = brute.components([(i, good[i]) for i in ids], bits=4, size=4)
     assert sorted(r.doc_id for r in outputs["simhash_near_dedup"]) == sorted(set(least))
 
     for row in outputs["pii"]:
