@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 #: Ranges of the order that are sorted one by one; at most so many rows (their heads) reach the driver.
 RANGES = 65_536
@@ -12,30 +12,41 @@ ROWS_PER_RANGE = 512
 _COARSE = 64
 
 
-def _range_of(rows: DataFrame, n: int):
-    """Number of the range a row lies in, growing with `id`; rows without id have negative numbers, by `tie`."""
-    cuts = rows.stat.approxQuantile("id", [i / _COARSE for i in range(_COARSE + 1)], 0.002) if n else []
-    cuts = sorted(set(cuts))
-    fine = max(1, min(RANGES, -(-n // ROWS_PER_RANGE)) // max(1, len(cuts)))
-    by_tie = (-1 - F.pmod("tie", F.lit(fine * max(1, len(cuts))))).cast("long")
+def _range_of(rows: DataFrame, n: int) -> Column:
+    """Number of the range a row lies in, growing with `id` and, where rows have the id of a cut, with `tie`; rows without
+    id have negative numbers, by `tie`. An id that many rows share is a cut, and gets ranges by its share of the cuts."""
+    drawn = rows.stat.approxQuantile("id", [i / _COARSE for i in range(_COARSE + 1)], 0.002) if n else []
+    cuts, whole = sorted(set(drawn)), max(1, min(RANGES, -(-n // ROWS_PER_RANGE)))
+
+    def by_tie(ranges: Column) -> Column:
+        return F.least(F.floor((F.col("tie") / 2.0**64 + 0.5) * ranges), ranges - 1).cast("long")
+
+    without = by_tie(F.lit(whole)) - whole
     if not cuts:
-        return by_tie
+        return without
+    # Each cut has ranges for rows with that very id, then ranges for those up to the next cut.
+    between = max(1, whole // len(cuts))
+    own = [max(1, drawn.count(cut) * whole // len(drawn)) for cut in cuts]
+    starts = [sum(own[:j]) + j * between for j in range(len(cuts))]
     key = F.col("id").cast("double")
-    coarse = F.lit(0)
+    piece = F.lit(0)
     for cut in cuts[1:]:
-        coarse = coarse + (key >= cut).cast("int")
-    low = F.array(*(F.lit(c) for c in cuts))
-    high = F.array(*(F.lit(c) for c in [*cuts[1:], cuts[-1] + 1]))
-    share = (key - F.get(low, coarse)) / (F.get(high, coarse) - F.get(low, coarse))
-    inside = F.greatest(F.least(F.floor(share * fine), F.lit(fine - 1)), F.lit(0))
-    return F.when(F.col("id").isNotNull(), coarse * fine + inside).otherwise(by_tie).cast("long")
+        piece = piece + (key >= cut).cast("int")
+
+    def of_piece(values: list) -> Column:
+        return F.get(F.array(*(F.lit(value) for value in values)), piece)
+
+    low, high = of_piece(cuts), of_piece([*cuts[1:], cuts[-1] + 1])
+    share = F.greatest(F.least(F.floor((key - low) / (high - low) * between), F.lit(between - 1)), F.lit(0))
+    inside = F.when(key == low, by_tie(of_piece(own))).otherwise(of_piece(own) + share)
+    return F.when(F.col("id").isNotNull(), of_piece(starts) + inside).otherwise(without).cast("long")
 
 
 def with_next(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     """Add `next_{name}` for each name: its value in the row that follows in descending `id`, then `tie`; the last row
     is followed by the first.
 
-    `rows` must have `id` (a number) and `tie` (a long). Rows without id come last. Rows are dealt by ranges of the
+    `rows` must have `id` (a number) and `tie` (a long hash, spread over all longs). Rows without id come last. Rows are dealt by ranges of the
     order in one shuffle; the first row of each range is also dealt to the range before, so no range needs another.
     """
     spark = rows.sparkSession

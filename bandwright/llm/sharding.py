@@ -1,7 +1,8 @@
 """Cut a corpus into shards that all have its mixture of sources, by proportional stratified interleaving.
 
-Rows of a source are put into a seeded random order and numbered; the i-th of n rows stands at (i + 1/2) / n. Sorted
-by that fraction, every stretch of the corpus holds each source in proportion, so equal cuts make equal shards.
+Rows of a source are put into a seeded random order and numbered; the i-th of n rows stands at (i + p) / n, where p,
+between 0 and 1, is drawn once for the source. Sorted by that fraction, every stretch of the corpus holds each source in
+proportion, so equal cuts make equal shards.
 """
 
 from __future__ import annotations
@@ -31,14 +32,14 @@ def interleave(
 
     * Numbers of rows in two shards differ by at most one, and so do those of each source, but for the rows of other
       sources that share a boundary. Slots of a shard count from 0 without gaps, in interleaved order.
-    * The random order depends on `doc_id` and `seed`; rows with equal (or NULL) ids are ordered by checksum and size,
-      and rows equal in those too are interchangeable.
+    * The random order depends on `doc_id`, size, checksum and `seed`, so rows without an id, or of the same one, are
+      spread like others; rows of a source that are equal in all of them are interchangeable.
     * A NULL source is a source of its own, a NULL text has no bytes and checksum 0. Fewer rows than shards leave
       shards empty. An input column named like an output gives way to it.
 
-    Rows are shuffled twice: by source and stretch of the random order, then by stretch of the corpus. Neither has a
-    hot key: a source with most of the rows has as many more rows per stretch, and no stretch of the corpus has more
-    than its share.
+    Rows are shuffled twice: by source and stretch of the random order, then by stretch of the corpus. A source with most
+    of the rows is ordered in as many stretches as any other, and very many small sources are spread by their p. Only
+    repeated rows (source, id, size and checksum alike) stay together in one stretch.
     """
     if shards < 1:
         raise ValueError(f"shards must be at least 1, not {shards}")
@@ -47,13 +48,15 @@ def interleave(
     rows = inner.select(
         "*",
         group_key(F.col(names[source])).alias("g"),
-        uniform(key, seed).alias("u"),
+        key.cast("string").alias("name"),
         text_bytes(body).alias("size"),
         text_crc32(body).alias("crc"),
     )
+    drawn = F.concat_ws(":", F.coalesce("name", F.lit("null")), "size", "crc")
+    rows = rows.withColumn("u", uniform(drawn, seed))
     shuffled = [F.col("u"), key, F.col("crc"), F.col("size")]
     inside = running(rows, "g", F.col("u"), shuffled, F.lit(1), "source")
-    at = (2 * F.col("source_before") + 1).cast("double") / (2 * F.col("source_total")).cast("double")
+    at = (F.col("source_before") + uniform(F.col("g"), seed)) / F.col("source_total")
     spread = inside.select("*", at.alias("at"), F.lit("").alias("all"))
     placed = running(spread, "all", F.col("at"), [F.col("at"), F.col("g"), F.col("source_before")], F.lit(1), "row")
     shard = F.expr(f"CAST((row_before * {shards}) div row_total AS INT)")

@@ -4,7 +4,7 @@ import hashlib
 
 import brute
 import pytest
-from bandwright.llm import pii, quality_rules, secrets, sentencepiece, sharding, simhash, sketch
+from bandwright.llm import common, mixing, neighbours, pii, quality_rules, secrets, sentencepiece, sharding, simhash, sketch
 from bandwright.llm.mixing import mix, mixed_rows
 from bandwright.llm.neighbours import with_next
 from bandwright.llm.quality_model import score_quality
@@ -209,22 +209,78 @@ def test_single_source_holds_most_rows(spark):
 
 
 def test_mix_fills_until_nothing_fits(spark):
-    # Key order is that of the ids' uniform numbers; 50 short, one of 130, 20 short, one of 100, 1,000 short; room 150.
+    # In key order: 50 short, one of 130, 20 short, one of 100, 1,000 short; room 150.
     sizes = [1] * 50 + [130] + [1] * 20 + [100] + [1] * 1000
-    ids = sorted(range(len(sizes)), key=lambda i: -int(hashlib.md5(f"42:{i}".encode()).hexdigest()[:13], 16))
-    rows = [(i, " ".join(["w"] * n), "en", "one") for i, n in zip(ids, sizes)]
+    digest = lambda text: hashlib.md5(text.encode()).hexdigest()
+    rows, number = [], 0
+    drawn = [{n: int(digest(f"42:{i}:{digest(' '.join(['w'] * n))}")[:13], 16) for n in {1, 100, 130}} for i in range(60_000)]
+    for n, top in zip(sizes, range(len(sizes), 0, -1)):
+        # The next id whose key lies in the next slice of the order.
+        low, high = (top - 1) / len(sizes) * 2**52, top / len(sizes) * 2**52
+        number = next(i for i, keys in enumerate(drawn) if keys is not None and low <= keys[n] < high)
+        drawn[number] = None
+        rows.append((number, " ".join(["w"] * n), "en", "one"))
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
     share = 150 / sum(sizes)
-    took = lambda **x: mix(docs, share=share, **x).agg(F.sum("taken")).first()[0]
-    assert took() == 170  # two passes leave 80 words of room and 1,000 short documents
-    assert took(passes=None) == 150
+    assert mix(docs, share=share).agg(F.sum("taken")).first()[0] == 150
     many = [(k, " ".join(["w"] * (1 + k * k % 97)), "en", f"s{k % 3}") for k in range(400)]
     docs = spark.createDataFrame(many, "doc_id long, text string, lang string, source string")
     left = F.expr("copies = floor(target / source_size)")
     for row in (
-        mix(docs, share=0.7, passes=None)
+        mix(docs, share=0.7)
         .groupBy("source")
         .agg(F.sum("taken").alias("t"), F.max("target").alias("x"), F.min(F.when(left, F.col("size"))).alias("s"))
         .collect()
     ):
         assert abs(row.t - row.x) <= (row.s or 0) / 2
+
+
+def test_mix_tries_the_first_that_did_not_fit(spark, monkeypatch):
+    sizes = [2, 16, 47, 71, 275, 350, 443, 636, 665, 2770]
+    docs = spark.createDataFrame([(i, " ".join(["w"] * n), "s") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    missed = {}
+    for near in (mixing.NEAR, 1.0):
+        monkeypatch.setattr(mixing, "NEAR", near)
+        row = mix(docs, share=2864.66 / sum(sizes)).agg(F.sum("taken").alias("t"), F.max("target").alias("x")).first()
+        missed[near] = abs(row.t - row.x)
+    assert missed[0.01] <= 30 < 300 < missed[1.0]
+
+
+def _hot(spark, n=30_000):
+    """A third of the rows without an id, a third with one and the same, and the sources of one row each."""
+    key = F.when(F.col("id") % 3 == 0, None).when(F.col("id") % 3 == 1, F.lit(7)).otherwise(F.col("id"))
+    return spark.range(n).select(
+        key.alias("doc_id"), F.concat(F.lit("text "), F.col("id")).alias("text"), F.lit("en").alias("lang"),
+        F.col("id").cast("string").alias("single"), F.lit("one").alias("source"),
+    )
+
+
+@pytest.mark.parametrize("source", ["source", "single"])
+def test_ties_are_spread(spark, source, monkeypatch):
+    docs, seen = _hot(spark), []
+    real = common.running
+
+    def spied(df, group, position, *rest):
+        bucket = F.floor(position * common.BUCKETS)
+        whole, largest = df.groupBy(group, bucket.alias("b")).count().agg(F.sum("count"), F.max("count")).first()
+        seen.append(largest / whole)
+        return real(df, group, position, *rest)
+
+    monkeypatch.setattr(sharding, "running", spied)
+    monkeypatch.setattr(mixing, "running", spied)
+    placed = sharding.interleave(docs, source=source)
+    counts = {r.shard: r["count"] for r in placed.groupBy("shard").count().collect()}
+    assert sorted(counts) == list(range(8)) and max(counts.values()) - min(counts.values()) <= 1
+    if source == "source":
+        mix(docs).count()
+    assert len(seen) >= 2 and max(seen) < 0.01
+
+
+def test_next_of_hot_ids_is_spread(spark):
+    rows = _hot(spark).select(F.col("doc_id").alias("id"), F.xxhash64("text").alias("tie"), "text")
+    n = rows.count()
+    placed = rows.groupBy(neighbours._range_of(rows.select("id", "tie"), n).alias("range")).count()
+    assert placed.agg(F.max("count")).first()[0] < 0.1 * n
+    got = neighbours.with_next(rows, ["text"]).collect()
+    order = sorted(got, key=lambda r: (r.id is not None, r.id or 0, r.tie), reverse=True)
+    assert [r.next_text for r in order] == [r.text for r in [*order[1:], order[0]]]
