@@ -7,10 +7,11 @@ starts make up the maximal repeat. The tree is never whole anywhere:
 1. Every window is known by its anchor, the shingle of `PREFIX` words inside it with the smallest hash. Equal windows have
    equal anchors, and neighbouring windows mostly share theirs, so one word in twenty is an anchor. Windows whose anchor
    stands in one text only cannot repeat and leave here.
-2. An anchor of at most `MOST` texts is the prefix of one group: the stretches of words around it, of whose suffixes one
-   task builds the subtree in memory (`deep_nodes`). Groups follow each other in a partition, sorted; one is held at a time.
-3. An anchor of more texts is too short a prefix: its suffixes get the longest one, the window itself. What shares that
-   is one node, so partial aggregation finds its smallest document and no task gathers it.
+2. An anchor of at most `MOST` stretches (consecutive windows of one anchor, less than two windows long) is the prefix of
+   one group, of whose suffixes one task builds the subtree in memory (`deep_nodes`). Groups follow each other in a
+   partition, sorted; one is held at a time.
+3. An anchor of more stretches is too short a prefix: its suffixes get the longest one, the window itself. What shares
+   that is one node, so partial aggregation finds its smallest document and no task gathers it.
 
 Equal texts are one text throughout. Nothing is sampled or capped, and no pair of documents is formed.
 """
@@ -28,16 +29,18 @@ from .common import BROADCAST_BYTES, SALTS, arrow_function, package_on_workers,
 
 WINDOW = 50
 PREFIX = 8
-#: Texts under one prefix; a group holds so many stretches of less than two windows each (about 1 MB).
+#: Stretches under one prefix, about 1 MB of text.
 MOST = 2048
+#: Stretches of small groups whose subtrees are built at once.
+TOGETHER = 1024
 _TIMES = np.random.default_rng(12).integers(0, 1 << 64, PREFIX + 1, np.uint64) | np.uint64(1)
 
 
-def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For every window of the words: hash and place of its anchor, the first of several."""
+def anchors(words: list[bytes], window: int) -> np.ndarray:
+    """For every window of the words: its anchor, a hash."""
     size = min(PREFIX, window)
     if len(words) < window:
-        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
+        return np.zeros(0, np.int64)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     mixed = np.zeros(len(words) - size + 1, np.uint64)
     for i in range(size):
@@ -45,75 +48,74 @@ def anchors(words: list[bytes], window: int) -> tuple[np.ndarray, np.ndarray]:
     mixed ^= mixed >> np.uint64(31)
     mixed *= _TIMES[PREFIX]
     mixed ^= mixed >> np.uint64(29)
-    inside = np.lib.stride_tricks.sliding_window_view(mixed, window - size + 1)
-    places = inside.argmin(axis=1) + np.arange(len(inside))
-    return mixed[places], places
+    return np.lib.stride_tricks.sliding_window_view(mixed, window - size + 1).min(axis=1).view(np.int64)
 
 
-def _words(value: pa.Scalar) -> list[bytes]:
-    return value.as_buffer().to_pybytes().split() if value.is_valid else []
+def stretches(anchor: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of each stretch: neighbours with one anchor, at most `window` of them."""
+    change = np.r_[True, anchor[1:] != anchor[:-1]][: len(anchor)]
+    first = np.flatnonzero(change)
+    inside = np.arange(len(anchor)) - np.repeat(first, np.diff(np.r_[first, len(anchor)]))
+    starts = np.flatnonzero(inside % window == 0)
+    return starts, np.r_[starts[1:], len(anchor)][: len(starts)] - 1
 
 
-def _listed(parts: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, parts)], dtype=np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])))
+def _words(value: pa.Scalar) -> list[bytes]:
+    return value.as_buffer().to_pybytes().split() if value.is_valid else []
 
 
 def anchored(text: Column, window: int) -> Column:
-    """Struct of `n`, the number of words, and `anchors`, the different anchors of the text's windows."""
+    """The different anchors of the text's windows, each with the number of its stretches."""
 
     def of(batch: pa.Array) -> pa.Array:
-        counts, found = np.zeros(len(batch), np.int64), []
-        for i, value in enumerate(batch):
-            words = _words(value)
-            counts[i] = len(words)
-            found.append(np.unique(anchors(words, window)[0]).view(np.int64))
-        return pa.StructArray.from_arrays([pa.array(counts), _listed(found)], ["n", "anchors"])
-
-    return arrow_function(of, "struct<n: long, anchors: array<long>>")(text)
-
-
-_SUFFIXES = pa.struct(
-    [
-        ("stretches", pa.list_(pa.struct([("anchor", pa.int64()), ("at", pa.int64()), ("words", pa.string())]))),
-        ("windows", pa.list_(pa.struct([("w1", pa.int64()), ("w2", pa.int64()), ("at", pa.int64())]))),
-    ]
-)
-_SUFFIXES_DDL = (
-    "struct<stretches: array<struct<anchor: long, at: long, words: string>>,"
-    " windows: array<struct<w1: long, w2: long, at: long>>>"
-)
-
-
-def _suffixes(words: list[bytes], window: int, few: np.ndarray, many: np.ndarray) -> tuple[list, list]:
-    """The stretches around anchors in `few`, and the windows with an anchor in `many`, each with the place of its first
-    word."""
-    hashes, places = anchors(words, window)
-    hashes = hashes.view(np.int64)
-    chosen = np.isin(hashes, few)
-    # A stretch ends where the anchor changes its place or windows are not wanted any more.
-    starts = np.flatnonzero(chosen & np.r_[True, (places[1:] != places[:-1]) | ~chosen[:-1]][: len(chosen)])
-    ends = np.flatnonzero(chosen & np.r_[(places[1:] != places[:-1]) | ~chosen[1:], True][: len(chosen)])
-    stretches = [
-        {"anchor": int(hashes[i]), "at": i, "words": b" ".join(words[i : j + window]).decode()}
-        for i, j in zip(starts.tolist(), ends.tolist())
-    ]
-    windows = []
-    for i in np.flatnonzero(np.isin(hashes, many)).tolist():
-        digest = np.frombuffer(xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), ">i8")
-        windows.append({"w1": int(digest[0]), "w2": int(digest[1]), "at": i})
-    return stretches, windows
+        found, counts = [], []
+        for value in batch:
+            anchor = anchors(_words(value), window)
+            different, n = np.unique(anchor[stretches(anchor, window)[0]], return_counts=True)
+            found.append(different)
+            counts.append(n)
+        flat = [pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])) for parts in (found, counts)]
+        return _nested([len(x) for x in found], dict(zip(("anchor", "n"), flat)))
+
+    return arrow_function(of, "array<struct<anchor: long, n: long>>")(text)
+
+
+def _suffixes(words: list[bytes], window: int, few: np.ndarray, many: np.ndarray) -> tuple:
+    """The stretches of anchors in `few` (anchors, places, words), and the different windows with an anchor in `many`: their
+    hashes, one after the other, and the places of each. A place is that of the first word."""
+    anchor = anchors(words, window)
+    starts, ends = stretches(anchor, window)
+    chosen = np.isin(anchor[starts], few)
+    starts, ends = starts[chosen], ends[chosen]
+    bodies = [b" ".join(words[i : j + window]) for i, j in zip(starts.tolist(), ends.tolist())]
+    windows: dict[bytes, list[int]] = {}
+    for i in np.flatnonzero(np.isin(anchor, many)).tolist():
+        windows.setdefault(xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), []).append(i)
+    return anchor[starts], starts, bodies, list(windows.values()), b"".join(windows)
+
+
+def _nested(counts: list[int], fields: dict[str, pa.Array]) -> pa.ListArray:
+    inner = pa.StructArray.from_arrays(list(fields.values()), list(fields))
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts], dtype=np.int32)), inner)
 
 
 def _suffixes_of(text: Column, few: Column, many: Column, window: int) -> Column:
     def of(texts: pa.Array, few: pa.Array, many: pa.Array) -> pa.Array:
-        rows = []
-        for value, few_here, many_here in zip(texts, few, many):
-            sets = (np.array(x.as_py() or [], np.int64) for x in (few_here, many_here))
-            rows.append(dict(zip(("stretches", "windows"), _suffixes(_words(value), window, *sets))))
-        return pa.array(rows, _SUFFIXES)
-
-    return arrow_function(of, _SUFFIXES_DDL)(text, few, many)
+        rows = [
+            _suffixes(_words(value), window, *(np.array(x.as_py() or [], np.int64) for x in sets))
+            for value, *sets in zip(texts, few, many)
+        ]
+        prefix, at, bodies, places, digests = zip(*rows) if rows else ((),) * 5
+        flat = lambda parts: pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]))
+        halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
+        words = pa.array([body for part in bodies for body in part], pa.binary()).cast(pa.string())
+        stretches = {"anchor": flat(prefix), "at": flat(at), "words": words}
+        windows = {"w1": pa.array(halves[:, 0]), "w2": pa.array(halves[:, 1]), "at": pa.array([x for part in places for x in part], pa.list_(pa.int64()))}
+        lists = [_nested([len(x) for x in at], stretches), _nested([len(x) for x in places], windows)]
+        return pa.StructArray.from_arrays(lists, ["stretches", "windows"])
+
+    kind = "array<struct<anchor: long, at: long, words: string>>", "array<struct<w1: long, w2: long, at: array<long>>>"
+    return arrow_function(of, f"struct<stretches: {kind[0]}, windows: {kind[1]}>")(text, few, many)
 
 
 def deep_nodes(tokens: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -172,11 +174,15 @@ def _subtrees(window: int):
                 continue
             rows = pa.Table.from_batches([batch])
             rows = rows if rest is None else pa.concat_tables([rest, rows])
+            # Whole groups, some small ones together; the last may go on in the next batch.
             prefix = rows["anchor"].to_numpy()
-            cut = int(np.searchsorted(prefix, prefix[-1]))
-            rest = rows.slice(cut)
-            if cut:
-                yield from repeated_spans(rows.slice(0, cut), window).to_batches()
+            starts = np.flatnonzero(np.r_[True, prefix[1:] != prefix[:-1]])
+            done = 0
+            while done < starts[-1]:
+                cut = int(starts[min(np.searchsorted(starts, done + TOGETHER), len(starts) - 1)])
+                yield from repeated_spans(rows.slice(done, cut - done), window).to_batches()
+                done = cut
+            rest = rows.slice(done)
         if rest is not None:
             yield from repeated_spans(rest, window).to_batches()
 
@@ -202,20 +208,20 @@ def repeated_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     words (start, end; not merged) that repeat in a text of a smaller id. Only texts with copies or spans have a row."""
     keyed, _ = _keyed(docs, text, doc_id)
     light = staged(
-        keyed.select("a", "b", "place", anchored(F.col("body"), window).alias("t"))
-        .select("a", "b", "place", "t.anchors")
+        keyed.select("a", "b", "place", anchored(F.col("body"), window).alias("anchors"))
         .groupBy("a", "b")
         .agg(F.min("place").alias("least"), F.max("place").alias("most"), F.count(F.lit(1)).alias("n"), F.first("anchors").alias("anchors")),
         "repeats-texts",
     )
-    spread = light.select("a", "b", F.explode("anchors").alias("anchor"))
-    counts = staged(spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts")).where("texts > 1"), "repeats-anchors")
+    spread = light.select("a", "b", F.explode("anchors").alias("s")).select("a", "b", "s.*")
+    counts = spread.groupBy("anchor").agg(F.count(F.lit(1)).alias("texts"), F.sum("n").alias("stretches"))
+    counts = staged(counts.where("texts > 1").select("anchor", "stretches"), "repeats-anchors")
     if counts.count() * 64 <= BROADCAST_BYTES:
         shared = spread.join(F.broadcast(counts), "anchor")
     else:  # An anchor of very many texts is spread over salts.
         salted = counts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
         shared = spread.withColumn("salt", F.pmod("a", F.lit(SALTS)).cast("int")).join(salted, ["anchor", "salt"])
-    few, many = (F.when(F.col("texts") <= MOST, F.col("anchor")), F.when(F.col("texts") > MOST, F.col("anchor")))
+    few, many = (F.when(F.col("stretches") <= MOST, F.col("anchor")), F.when(F.col("stretches") > MOST, F.col("anchor")))
     wanted = staged(
         shared.groupBy("a", "b").agg(F.collect_list(few).alias("few"), F.collect_list(many).alias("many")),
         "repeats-wanted",
@@ -245,32 +251,35 @@ def repeated_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     nodes = staged(windows.groupBy("w1", "w2").agg(F.min("place").alias("least")), "repeats-nodes")
     deep = _met(windows, nodes, ["w1", "w2"], 128).where(F.col("place") > F.col("least"))
     span = F.struct("start", "end")
-    spans = found.unionByName(deep.select("a", "b", F.col("at").alias("start"), (F.col("at") + window).alias("end")))
+    deep = deep.select("a", "b", F.explode("at").alias("start"))
+    spans = found.unionByName(deep.select("a", "b", "start", (F.col("start") + window).alias("end")))
     spans = spans.groupBy("a", "b").agg(F.collect_set(span).alias("spans"))
     copied = light.where("least <> most OR (least IS NULL) <> (most IS NULL)").select("a", "b")
     known = spans.join(copied, ["a", "b"], "full").join(light.select("a", "b", "least"), ["a", "b"])
     return staged(known.select("a", "b", "least", F.coalesce("spans", F.array()).alias("spans")), "repeats-spans")
 
 
+def _kept(value: pa.Scalar, cuts: pa.Scalar, gone: bool, window: int) -> tuple[int, int, str]:
+    words = _words(value)
+    covered = np.zeros(len(words) + 1, np.int64)
+    if gone and len(words) >= window:
+        covered[0], covered[-1] = 1, -1
+    elif cuts.is_valid and len(cuts):
+        np.add.at(covered, cuts.values.field("start").to_numpy(), 1)
+        np.add.at(covered, cuts.values.field("end").to_numpy(), -1)
+    left = np.flatnonzero(np.cumsum(covered)[:-1] == 0)
+    kept = words if len(left) == len(words) else [words[i] for i in left.tolist()]
+    return len(words), len(words) - len(left), b" ".join(kept).decode()
+
+
 def _without(text: Column, spans: Column, whole: Column, window: int) -> Column:
     """Struct of `n_words`, `n_removed` and `kept`, the words left with one space between them."""
 
     def of(texts: pa.Array, spans: pa.Array, whole: pa.Array) -> pa.Array:
-        counts, removed, kept = [], [], []
-        for value, cuts, gone in zip(texts, spans, whole):
-            words = _words(value)
-            covered = np.zeros(len(words) + 1, np.int64)
-            if gone.as_py() and len(words) >= window:
-                covered[0], covered[-1] = 1, -1
-            elif cuts.is_valid and len(cuts):
-                np.add.at(covered, cuts.values.field("start").to_numpy(), 1)
-                np.add.at(covered, cuts.values.field("end").to_numpy(), -1)
-            left = np.flatnonzero(np.cumsum(covered)[:-1] == 0)
-            counts.append(len(words))
-            removed.append(len(words) - len(left))
-            kept.append(b" ".join(words if len(left) == len(words) else [words[i] for i in left.tolist()]).decode())
-        fields = [pa.array(counts, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())]
-        return pa.StructArray.from_arrays(fields, ["n_words", "n_removed", "kept"])
+        rows = [_kept(value, cuts, gone.as_py(), window) for value, cuts, gone in zip(texts, spans, whole)]
+        kinds = {"n_words": pa.int64(), "n_removed": pa.int64(), "kept": pa.string()}
+        columns = zip(*rows) if rows else ((),) * 3
+        return pa.StructArray.from_arrays([pa.array(x, kind) for x, kind in zip(columns, kinds.values())], list(kinds))
 
     return arrow_function(of, "struct<n_words: long, n_removed: long, kept: string>")(text, spans, whole)
 

@@ -170,15 +170,32 @@ def test_alignment_of_the_table(spark, sf, sides):
             assert r.groups_sha256 == (brute.sha256(w[6]) if w[6] else "")
 
 
-def test_alignment_of_long_texts_is_cut_unseen(sides, monkeypatch):
-    known = alignment.tokenizers(open(alignment.BYTE_BPE, encoding="utf-8").read(), open(alignment.PIECE_BPE, "rb").read())
-    draw = random.Random(3)
-    text = "".join(draw.choice(["the", " cat", "  ", " 漢", "\n", " don't", "5", " é", "aa"]) for _ in range(3000))
-    whole = alignment.align(known, text)
-    monkeypatch.setattr(alignment, "_PIECE", 40)
-    cut = alignment.align(known, text)
-    assert len(known._parts(" " + text)) > 50
-    assert whole.a.tolist() == cut.a.tolist() and whole.b.tolist() == cut.b.tolist()
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(["the", " cat", "  ", " 漢", "\n", " don't", "5", " é", "aa", "\t ", "\r\n", "▁", "\u00a0", "\u3000 x", "\x1c", " "]),
+                         max_size=12).map("".join), max_size=5))
+def test_words_give_what_texts_give(texts):
+    known = alignment.aligner(open(alignment.BYTE_BPE, encoding="utf-8").read(), open(alignment.PIECE_BPE, "rb").read())
+    block = alignment.Block.of(known, texts)
+    for i, (text, groups) in enumerate(zip(texts, block.groups(known))):
+        a = known.a.encode(" " + text, add_special_tokens=False).ids if text else []
+        b = known.b.encode(text)
+        same = b"".join(known.b_bytes[j] for j in b) == (" " + text).encode()
+        assert bool(block.whole[i]) == bool(text and same)
+        if block.whole[i]:
+            sides = [[int(x) for g in groups.split(";") for x in g.split("|")[side].split(",")] for side in (0, 1)]
+            assert sides == [a, b] and block.sizes[:2, i].tolist() == [len(a), len(b)]
+
+
+def test_forgotten_words_are_learned_again(spark, sf, monkeypatch):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(60)
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    known = alignment.Aligner(open(alignment.BYTE_BPE, encoding="utf-8").read(), open(alignment.PIECE_BPE, "rb").read())
+    whole = alignment.Block.of(known, texts)
+    monkeypatch.setattr(alignment, "CACHED", 300)
+    for i, text in enumerate(texts):
+        one = alignment.Block.of(known, [text])
+        assert one.sizes[:, 0].tolist() == whole.sizes[:, i].tolist()
+    assert len(known.numbers) < 6000
 
 
 def test_alignment_of_nothing(spark):
