@@ -35,7 +35,7 @@ MOST_PAIRS = 8_000_000
 #: Tasks that hold a whole vector of counts, how many meet in a first sum, and the places of a slice.
 VECTORS, FAN, SLICE = 128, 16, 1 << 16
 #: Characters of the documents read at once, words known at most, entries of a task's counts before they are written.
-BLOCK, CACHED, HELD = 1 << 20, 500_000, 1 << 20
+BLOCK, CACHED, HELD = 1 << 20, 300_000, 1 << 20
 #: White space and what follows it, up to the next white space that a cut may precede.
 _WORDS = re.compile(r"\s*\S+(?:[^\S \t\n]\s*\S*)*|\s+")
 _INNER = re.compile(rf"[^{SPACE} \t\n][{SPACE} \t\n]")
