@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import math
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -32,6 +33,45 @@ BACKOFF, CLIP = 4.0, 3.0
 SPAN = "array<struct<start:int,end:int,value:string>>"
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of a value that is worked out once, however often it is used, in lambdas too."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _running(items: Column, value: Callable[[Column], Column], join: Callable[[Column, Column], Column], zero: Column) -> Column:
+    """For each item of an array, `value` of all up to it joined (sums, or the largest so far).
+
+    An aggregate that appends copies what it has, so one over n items would copy n * n. Here the array is cut into as many
+    blocks as a block has items, each block is run through by itself, and then the blocks' ends are: n * sqrt(n).
+    """
+
+    def through(array: Column, of: Callable[[Column], Column]) -> Column:
+        """What precedes each item, and last what all give."""
+        return F.aggregate(
+            array, F.array(zero), lambda done, x: F.concat(done, F.array(join(F.element_at(done, -1), of(x))))
+        )
+
+    def in_blocks(array: Column) -> Column:
+        width = F.greatest(F.lit(1), F.ceil(F.sqrt(F.size(array)))).cast("int")
+        starts = F.when(F.size(array) > 0, F.sequence(F.lit(0), F.size(array) - 1, width))
+        starts = F.coalesce(starts, F.array().cast("array<int>"))
+        return _let(width, lambda n: F.transform(starts, lambda at: through(F.slice(array, at + 1, n), value)))
+
+    def joined(blocks: Column) -> Column:
+        return F.flatten(
+            F.zip_with(
+                blocks,
+                through(blocks, lambda block: F.element_at(block, -1)),
+                lambda block, first: F.transform(
+                    F.slice(F.coalesce(block, F.array(zero)), 2, F.size(F.coalesce(block, F.array(zero))) - 1),
+                    lambda x: join(first, x),
+                ),
+            )
+        )
+
+    return _let(items, lambda array: _let(in_blocks(array), joined))
+
+
 def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     """Start, end and a group of every match, in code points.
 
@@ -40,18 +80,44 @@ def _matches(text: Column, pattern: str, group: int = 0) -> Column:
     found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = F.regexp_extract_all(text, F.lit(pattern), F.lit(group)) if group else found
     pieces = F.arrays_zip(found.alias("m"), F.split(text, pattern, -1).alias("gap"), values.alias("v"))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(SPAN).alias("out"))
 
-    def step(done: Column, piece: Column) -> Column:
-        begin = done["at"] + F.length(piece["gap"])
-        end = begin + F.length(piece["m"])
-        span = F.struct(begin.alias("start"), end.alias("end"), piece["v"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(done["out"], F.array(span)).alias("out"))
+    def placed(pieces: Column) -> Column:
+        ends = _running(pieces, lambda x: F.length(x["gap"]) + F.length(x["m"]), lambda a, b: a + b, F.lit(0))
+        return F.zip_with(
+            pieces,
+            ends,
+            lambda x, end: F.struct((end - F.length(x["m"])).alias("start"), end.alias("end"), x["v"].alias("value")),
+        )
 
-    places = F.aggregate(F.filter(pieces, lambda x: x["m"].isNotNull()), start, step, lambda done: done["out"])
+    places = _let(F.filter(pieces, lambda x: x["m"].isNotNull()), placed)
     return F.when(F.regexp_like(text, F.lit(pattern)), places).otherwise(F.array().cast(SPAN))
 
 
+def _apart(spans: Column, others: Column) -> Column:
+    """The spans (by start, not overlapping) that none of the others overlaps: all are sorted by start, and each span
+    is compared with the furthest end before it and the nearest start after it."""
+
+    def tagged(part: Column, other: bool) -> Column:
+        return F.transform(
+            part, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), F.lit(other).alias("other"), x["value"].alias("value"))
+        )
+
+    def kept(every: Column) -> Column:
+        most = F.lit(2**31 - 1)
+        ended = _running(every, lambda x: F.when(x["other"], x["end"]).otherwise(0), F.greatest, F.lit(0))
+        following = _running(F.reverse(every), lambda x: F.when(x["other"], x["start"]).otherwise(most), F.least, most)
+        marked = F.arrays_zip(every.alias("x"), ended.alias("ended"), F.reverse(following).alias("next"))
+        alone = F.filter(
+            marked, lambda m: ~m["x"]["other"] & (m["ended"] <= m["x"]["start"]) & (m["next"] >= m["x"]["end"])
+        )
+        return F.transform(
+            alone, lambda m: F.struct(m["x"]["start"].alias("start"), m["x"]["end"].alias("end"), m["x"]["value"].alias("value"))
+        )
+
+    every = F.array_sort(F.concat(tagged(spans, False), tagged(others, True)))
+    return F.when((F.size(spans) > 0) & (F.size(others) > 0), _let(every, kept)).otherwise(spans)
+
+
 def _with_base(df: DataFrame, text: str) -> DataFrame:
     """Add `assign`, `access` and `hex`: the spans of the base patterns."""
     body, lowered = F.col(text), F.lower(text)
@@ -142,7 +208,9 @@ def labelled_samples(docs: DataFrame, text: str = "text") -> DataFrame:
     made = F.array(F.base64(digest), F.translate(F.base64(digest), "+/=", ""))
     based = based.select(values.alias("values"), made.alias("made"), F.regexp_extract_all(F.col("text"), F.lit(ORDINARY), F.lit(0)).alias("long"))
     values, made = F.col("values"), F.col("made")
-    ordinary = F.filter(F.array_distinct("long"), lambda x: ~F.exists(values, lambda v: F.contains(v, x)))
+    # No word has a space, so what stands in any of the values stands in all of them together.
+    together = F.concat_ws(" ", values)
+    ordinary = F.filter(F.array_distinct("long"), lambda x: ~F.contains(together, x))
     return based.select(
         F.explode(
             F.concat(
@@ -173,11 +241,7 @@ def find_secrets(
     found = found.withColumn("likely", likely)
     placed = F.filter(_matches(F.col("text"), TOKEN), lambda x: F.array_contains(F.col("likely"), x["value"]))
     found = found.withColumn("random", F.when(F.size("likely") > 0, placed).otherwise(F.array().cast(SPAN)))
-    base = F.concat("assign", "access", "hex")
-    alone = F.filter(
-        "random", lambda x: ~F.exists(base, lambda b: (b["start"] < x["end"]) & (x["start"] < b["end"]))
-    )
-    found = found.withColumn("random", alone)
+    found = found.withColumn("random", _apart(F.col("random"), F.concat("assign", "access", "hex")))
 
     def named(kind: str) -> Column:
         order = KINDS.index(kind)
