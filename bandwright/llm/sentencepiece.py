@@ -12,7 +12,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections import defaultdict
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -26,6 +26,9 @@ SPACE = "▁"
 #: Words kept with their ids in each Python worker, and the longest word kept.
 CACHED_WORDS = 800_000
 CACHED_LENGTH = 48
+#: Pairs of pieces of which a worker remembers whether they agree, and the characters read at once.
+MOST_AGREED = 1_000_000
+BLOCK = 1 << 16
 #: What ends at a boundary, where it is no piece: a character outside the vocabulary or the start; not known yet.
 OTHER, UNSEEN = -1, -2
 _LETTER = re.compile(r"[^\W\d_]")
@@ -56,7 +59,9 @@ class Vocabulary:
         self.bytes_of = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(self.pieces, special)]
         for value, i in enumerate(self.byte_ids):
             self.bytes_of[i] = bytes([value])
+        #: Which pairs of pieces agree, as far as asked; forgotten when too many are known.
         self.agreed: defaultdict[int, dict[int, bool]] = defaultdict(dict)
+        self.n_agreed = 0
 
     def _runs(self) -> re.Pattern | None:
         """The pattern that cuts a text where no piece can reach over: before a space mark that follows another
@@ -99,10 +104,71 @@ class Vocabulary:
     def agree(self, left: int, right: int) -> bool:
         """Whether piece `right` can follow `left` (OTHER: the start, or a character outside the vocabulary)."""
         two = [self.pieces[right]] if left == OTHER else [self.pieces[left], self.pieces[right]]
+        if self.n_agreed >= MOST_AGREED:
+            self.agreed.clear()
+            self.n_agreed = 0
         known = self.agreed[left][right] = self.merged("".join(two)) == two
+        self.n_agreed += 1
         return known
 
 
+class _Window:
+    """The Viterbi pass over one run of characters, given piecemeal: boundaries, the piece that ends at each, and where it
+    starts. What is settled is committed and forgotten."""
+
+    def __init__(self, encoder: Encoder):
+        self.encoder, self.reach = encoder, encoder.vocabulary.longest
+        self._clear()
+
+    def _clear(self) -> None:
+        self.text, self.ends, self.starts, self.done = "", [OTHER], [0], 0
+        self.limit, self.fresh = 8 * self.reach, True
+
+    def feed(self, characters: str) -> list[int]:
+        """Take characters in; return the ids that are certain by now."""
+        self.text += characters
+        self.ends += [UNSEEN] * len(characters)
+        self.starts += [0] * len(characters)
+        if len(self.text) < self.limit:
+            return []
+        ready = len(self.text) - self.reach
+        self.encoder._reach(self.text, self.ends, self.starts, self.done, ready)
+        # A later piece starts at `ready` or after it; what crosses it has started before.
+        ends, starts = self.ends, self.starts
+        cut = self._common({ready} | {starts[k] for k in range(ready + 1, len(ends)) if ends[k] != UNSEEN})
+        path = self._path(cut)
+        self.fresh = False
+        self.text, self.ends, self.starts = self.text[cut:], ends[cut:], [max(0, k - cut) for k in starts[cut:]]
+        self.done = ready - cut
+        self.limit = max(8 * self.reach, 2 * len(self.text))
+        return path
+
+    def finish(self) -> list[int]:
+        """The rest of the ids, at the end of the run; the window is then empty."""
+        self.encoder._reach(self.text, self.ends, self.starts, self.done, len(self.text))
+        path = self._path(len(self.text))
+        self._clear()
+        return path
+
+    def _path(self, at: int) -> list[int]:
+        path = []
+        while at > 0:
+            if self.ends[at] == OTHER:
+                path += [self.encoder.vocabulary.byte_ids[b] for b in reversed(self.text[at - 1].encode())]
+            else:
+                path.append(self.ends[at])
+            at = self.starts[at]
+        return path[::-1]
+
+    def _common(self, alive: set[int]) -> int:
+        """The last boundary on the paths of all boundaries in `alive`."""
+        while len(alive) > 1:
+            last = max(alive)
+            alive.remove(last)
+            alive.add(self.starts[last])
+        return alive.pop()
+
+
 class Encoder:
     def __init__(self, model: bytes):
         self.vocabulary = Vocabulary(model)
@@ -135,74 +201,63 @@ class Encoder:
                     if known or known is None and agree(before, piece):
                         ends[end], starts[end] = piece, at
 
-    def stream(self, characters: Iterable[str]) -> Iterator[int]:
-        """Ids of a text given piecemeal. Held: the characters since the last boundary common to all paths."""
-        reach = self.vocabulary.longest
-        window, ends, starts, done = "", [OTHER], [0], 0
-        limit = 8 * reach
-        for characters in characters:
-            window += characters
-            ends += [UNSEEN] * len(characters)
-            starts += [0] * len(characters)
-            if len(window) < limit:
-                continue
-            ready = len(window) - reach
-            self._reach(window, ends, starts, done, ready)
-            # A later piece starts at `ready` or after it; what crosses it has started before.
-            cut = self._common(starts, {ready} | {starts[k] for k in range(ready + 1, len(ends)) if ends[k] != UNSEEN})
-            yield from self._path(window, ends, starts, cut)
-            window, ends, starts = window[cut:], ends[cut:], [max(0, k - cut) for k in starts[cut:]]
-            done = ready - cut
-            limit = max(8 * reach, 2 * len(window))
-        self._reach(window, ends, starts, done, len(window))
-        yield from self._path(window, ends, starts, len(window))
-
-    @staticmethod
-    def _common(starts: list[int], alive: set[int]) -> int:
-        """The last boundary on the paths of all boundaries in `alive`."""
-        while len(alive) > 1:
-            last = max(alive)
-            alive.remove(last)
-            alive.add(starts[last])
-        return alive.pop()
-
-    def _path(self, window: str, ends: list[int], starts: list[int], at: int) -> list[int]:
-        path = []
-        while at > 0:
-            if ends[at] == OTHER:
-                path += [self.vocabulary.byte_ids[b] for b in reversed(window[at - 1].encode())]
-            else:
-                path.append(ends[at])
-            at = starts[at]
-        return path[::-1]
+    def _committed(self, blocks: Iterable[str]) -> Iterator[list[int]]:
+        """Ids of a marked text given in blocks, as far as each block settles them. Paths run through one boundary at the
+        end of every run, over which no piece reaches, and now and then inside a run too long to be held; there they are
+        committed. Held: the open run, or its window."""
+        runs, window, tail = self.vocabulary.runs, _Window(self), ""
+        for block in blocks:
+            # The open run's last character tells how it goes on.
+            found = [tail + block] if runs is None else runs.findall(tail + block)
+            out, last = [], len(found) - 1
+            for k, run in enumerate(found):
+                if k == 0 and tail:
+                    out += window.feed(run[len(tail) :])
+                elif k < last:
+                    out += self._words.get(run) or self._run(run)
+                else:
+                    out += window.feed(run)
+                if k == 0 and tail and last:
+                    out += self._ended(window)
+            yield out
+            tail = block[-1:] or tail
+        yield self._ended(window)
+
+    def _ended(self, window: _Window) -> Sequence[int]:
+        if window.fresh and 0 < len(window.text) <= CACHED_LENGTH:
+            run = window.text
+            window._clear()
+            return self._run(run)
+        return window.finish()
+
+    def stream(self, blocks: Iterable[str]) -> Iterator[int]:
+        """Ids of a marked text given in blocks, one by one."""
+        for ids in self._committed(blocks):
+            yield from ids
 
     def _run(self, run: str) -> tuple[int, ...]:
-        if len(run) > CACHED_LENGTH:
-            return tuple(self.stream(run[k : k + 64] for k in range(0, len(run), 64)))
+        """Ids of a whole run; those of short ones are remembered."""
+        ids = self._words.get(run)
+        if ids is not None:
+            return ids
         ids = self._older.get(run)
         if ids is None:
-            ends, starts = [OTHER] + [UNSEEN] * len(run), [0] * (len(run) + 1)
-            self._reach(run, ends, starts, 0, len(run))
-            ids = tuple(self._path(run, ends, starts, len(run)))
+            window = _Window(self)
+            ids = (*window.feed(run), *window.finish())
+        if len(run) > CACHED_LENGTH:
+            return ids
         if len(self._words) >= CACHED_WORDS // 2:
             self._older, self._words = self._words, {}
         self._words[run] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
-        """All ids of a text; empty for an empty text. Runs seen before are looked up."""
+        """All ids of a text; empty for an empty text."""
         if not text:
             return []
         marked = SPACE + text.replace(" ", SPACE)
-        if self.vocabulary.runs is None:
-            return list(self.stream(marked))
         out: list[int] = []
-        words = self._words
-        for run in self.vocabulary.runs.findall(marked):
-            ids = words.get(run)
-            if ids is None:
-                ids = self._run(run)
-                words = self._words
+        for ids in self._committed(marked[at : at + BLOCK] for at in range(0, len(marked), BLOCK)):
             out += ids
         return out
 
