@@ -31,7 +31,7 @@ from .sinks import (
     write_jdbc,
     write_parquet,
 )
-from .sources import read_contract, read_csv, read_table, stream_csv
+from .sources import admit_late_files, read_contract, read_csv, read_table, stream_csv
 from .spec import ReadingSpec
 from .streaming import Lake, run_incremental, stream_completeness, write_stream_completeness, write_window_stats
 
@@ -47,6 +47,7 @@ __all__ = [
     "QualityReport",
     "ReadingSpec",
     "UnavailableFormatError",
+    "admit_late_files",
     "clean",
     "detect_anomalies",
     "expect",

@@ -96,3 +96,20 @@ def write_note(spark: SparkSession, path: str, note: dict) -> None:
     if not files.rename(beside, place):
         files.delete(beside, False)
         raise RuntimeError(f"could not write {path}")
+
+
+def files_in(spark: SparkSession, path: str) -> list[tuple[str, int]]:
+    """Files below a folder that a scan would read, with the time of their last change in milliseconds."""
+    files, place = _at(spark, path)
+    found, listed = [], files.listFiles(place, True) if files.exists(place) else None
+    while listed is not None and listed.hasNext():
+        status = listed.next()
+        if not status.getPath().getName().startswith(("_", ".")):
+            found.append((status.getPath().toUri().toString(), status.getModificationTime()))
+    return found
+
+
+def touch(spark: SparkSession, uri: str, at: int) -> None:
+    """Set the time of a file's last change, in milliseconds."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(spark.sparkContext._jvm.java.net.URI(uri))
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).setTimes(place, at, -1)

@@ -26,7 +26,7 @@ from ..functions.checks import require_choice
 from ..operators.baseline import BROADCAST_BYTES, Profile, merge_profiles
 from ..operators.expectations import expect
 from ..plans.batch import CONDITIONAL, OUTPUTS, Outputs, derive, profiled
-from ..sources.files import stream_csv
+from ..sources.files import REMEMBER_DAYS, admit_late_files, stream_csv
 from ..spec import ReadingSpec
 from .lake import BATCH_ID, BRONZE, Lake, Version
 
@@ -219,15 +219,22 @@ def run_incremental(
     scope: str = "history",
     rules: Mapping[str, str | Column] | None = None,
     broadcast_bytes: int = BROADCAST_BYTES,
+    archive_dir: str | None = None,
+    remember_days: int = REMEMBER_DAYS,
     **csv_options,
 ) -> dict[str, int]:
     """Take in the CSV files that are new in `source_dir` and bring all tables up to date.
 
-    `scope="batch"` without `maxFilesPerTrigger` takes the whole backlog as one micro-batch.
-    Returns the expectation counts.
+    `scope="batch"` without `maxFilesPerTrigger` takes the whole backlog as one micro-batch. With `archive_dir` files
+    that were read are moved there, so that neither the folder nor the stream's log of names grows for ever; what arrives
+    late is still taken in (`admit_late_files`). Returns the expectation counts.
     """
     require_choice("scope", scope, SCOPES)
     lake = Lake(lake) if isinstance(lake, str) else lake
+    if archive_dir:
+        seen = lake.read(spark, BRONZE) if BRONZE in lake.version(spark).tables else None
+        admit_late_files(spark, source_dir, seen, spec.group, remember_days)
+        csv_options |= {"archive_dir": archive_dir, "remember_days": remember_days}
     readings = stream_csv(
         spark, source_dir, spec.schema, file_column=spec.group, corrupt_column=spec.corrupt_column, **csv_options
     )

@@ -1,6 +1,8 @@
 """Versions, the ledger, merged statistics and streamed completeness."""
 
 import importlib
+import os
+import time
 
 import pytest
 from conftest import five_turbines, readings
@@ -203,3 +205,41 @@ def test_batch_and_stream_completeness_agree(spark, sf):
     direct = bw.group_completeness(events.withColumn("g", F.concat_ws("/", "day", "event_type")), "g", "user_id", 20)
     counts = lambda df: sorted(map(tuple, df.select("distinct_keys", "is_valid").collect()))
     assert counts(whole) == counts(direct)
+
+
+@pytest.mark.parametrize("scope", ["history", "batch"])
+def test_read_files_are_archived_and_late_ones_come_in_once(spark, tmp_path, scope):
+    lake, source, archive = bw.Lake(str(tmp_path / "lake")), tmp_path / "in", tmp_path / "archive"
+    five_turbines(source)
+
+    def run():
+        bw.run_incremental(spark, str(source), lake, SPEC, scope=scope, archive_dir=str(archive), remember_days=7)
+        return lake.read(spark, "bronze").groupBy("filename").count().collect()
+
+    def left(n):
+        # Files are moved in the background, after the next batch has begun.
+        until = time.time() + 20
+        while len(list(source.glob("*.csv"))) > n and time.time() < until:
+            time.sleep(0.1)
+        return sorted(path.name for path in source.glob("*.csv"))
+
+    assert len(run()) == 1
+    text = (source / "group_0.csv").read_text()
+    for number in (1, 2):
+        (source / f"group_{number}.csv").write_text(text)
+        assert len(run()) == number + 1
+    assert left(1) == ["group_2.csv"]
+    assert sorted(path.name for path in archive.rglob("*.csv")) == ["group_0.csv", "group_1.csv"]
+    # Older than what the stream remembers, by far; one with a name that needs quoting.
+    for name in ("late.csv", "very late.csv"):
+        (source / name).write_text(text)
+        then = time.time() - 90 * 24 * 3600
+        os.utime(source / name, (then, then))
+    # And one that was read already but waits to be archived.
+    os.utime(source / "group_2.csv", (then, then))
+    counts = run()
+    assert len(counts) == 5 and {row["count"] for row in counts} == {20}
+    assert {row["count"] for row in run()} == {20}
+    (source / "group_3.csv").write_text(text)
+    counts = run()
+    assert len(counts) == 6 and {row["count"] for row in counts} == {20}
