@@ -12,8 +12,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .common import shielded, unshielded, words
 
 SIZE = 5
-#: One hash in 2 ** 3 is retained.
-FRACTION_BITS = 3
+#: One hash in 2 ** 2 is retained.
+FRACTION_BITS = 2
 _TOP = -(1 << 63)
 
 

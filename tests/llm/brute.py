@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import zlib
 from collections import Counter
 
 import xxhash
@@ -280,3 +281,70 @@ def alignment(texts, a, b):
         else (*f[:3], len(f[3]), sum(counts[p] == best[p[0]] for p in f[3]), sum(counts[p] for p in f[3]), f[4])
         for f in found
     ]
+
+
+# Shards
+
+
+def uniform(name, seed=42):
+    return (int(hashlib.md5(f"{seed}:{name}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+
+
+def shards(docs, n, seed=42):
+    """docs: (id, source, text). id -> (shard, slot), for different ids."""
+    groups = {}
+    for key, source, text in docs:
+        body = (text or "").encode()
+        size, crc = len(body) + 1, zlib.crc32(body)
+        drawn = uniform(f"{'null' if key is None else key}:{size}:{crc}", seed)
+        groups.setdefault("~" if source is None else f"={source}", []).append((drawn, key, crc, size))
+    placed = []
+    for g, rows in groups.items():
+        phase = uniform(g, seed)
+        placed += [((i + phase) / len(rows), g, i, row[1]) for i, row in enumerate(sorted(rows))]
+    order = [row[-1] for row in sorted(placed)]
+    first = [-(-k * len(order) // n) for k in range(n)]
+    return {key: (i * n // len(order), i - first[i * n // len(order)]) for i, key in enumerate(order)}
+
+
+# Sketches
+
+
+def spark_long(value):
+    return value - (1 << 64) if value >> 63 else value
+
+
+def spark_hash(values):
+    """XXH64 of strings or longs one after the other, each seeded by the one before, as Spark takes it."""
+    seed = 42
+    for value in values:
+        data = value.encode() if isinstance(value, str) else (value & (1 << 64) - 1).to_bytes(8, "little")
+        seed = xxhash.xxh64_intdigest(data, seed)
+    return seed
+
+
+def sketch(text, fraction_bits, size=5):
+    w = [spark_hash([x]) for x in words((text or "").lower())]
+    every = [spark_hash(w[i : i + size]) for i in range(len(w) - size + 1)]
+    if 0 < len(w) < size:
+        every = [spark_hash(w)]
+    low = {x for x in every if x < 1 << (64 - fraction_bits)}
+    return sorted(low or ({min(every)} if every else set()))
+
+
+def likeness(a, b):
+    a, b = set(a), set(b)
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+# Additive model
+
+
+def additive_score(model, x):
+    """One document: the number of edges at or below each value is its bin; one number for each feature and each pair."""
+    total = model.prior
+    for value, edges, table in zip(x, model.edges, model.tables):
+        total += table[sum(edge <= value for edge in edges)]
+    for (i, j), table in model.pairs.items():
+        total += table[sum(e <= x[i] for e in model.coarse[i])][sum(e <= x[j] for e in model.coarse[j])]
+    return 1 / (1 + math.exp(-total))

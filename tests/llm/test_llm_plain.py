@@ -1,0 +1,109 @@
+"""Shards, sketches, scores and random strings against plain versions."""
+
+import base64
+import random
+
+import brute
+import numpy as np
+import pytest
+from bandwright.llm import queries, secrets, sketch
+from bandwright.llm.quality_model import FEATURES, features, fit, fit_labelled, held_out, scores
+from bandwright.llm.sharding import interleave
+from pyspark.sql import functions as F
+
+
+@pytest.fixture(scope="module")
+def docs(spark, sf):
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "source", "text").collect()
+    return [tuple(row) for row in rows]
+
+
+def test_shards_and_slots(spark, sf, docs):
+    got = {r.doc_id: (r.shard, r.slot) for r in queries.op2_shard(spark, sf).collect()}
+    assert got == brute.shards(docs, 8)
+
+
+@pytest.mark.parametrize("shards", [1, 3, 7])
+def test_shards_of_odd_rows(spark, shards):
+    rows = [(i, None if i % 5 == 0 else f"s{i * i % 7}", None if i % 4 == 0 else "x" * (i % 9)) for i in range(40)]
+    rows += [(None, "s1", "one"), (100, "alone", ""), (101, "", "y")]
+    frame = spark.createDataFrame(rows, "doc_id long, source string, text string")
+    out = interleave(frame, shards=shards)
+    assert {r.doc_id: (r.shard, r.slot) for r in out.collect()} == brute.shards(rows, shards)
+    nothing = {r.doc_id: (r["size"], r.text_crc32) for r in out.where("text IS NULL").collect()}
+    assert nothing and set(nothing.values()) == {(1, 0)}
+
+
+def test_fingerprints(spark, sf, docs):
+    got = {r.doc_id: r for r in queries.op10_sketch(spark, sf).collect()}
+    edited = brute.edited_texts([(key, text) for key, _, text in docs])
+    for key, _, text in docs:
+        own, changed, following = (brute.sketch(x, sketch.FRACTION_BITS) for x in (text, *edited[key]))
+        row = got[key]
+        assert row.fingerprint == "".join(f"{x:016x}" for x in own)
+        assert row.edited_fingerprint == "".join(f"{x:016x}" for x in changed)
+        assert abs(row.near_edited - brute.likeness(own, changed)) < 1e-9
+        assert abs(row.near_next - brute.likeness(own, following)) < 1e-9
+
+
+def test_scores_are_sums_of_table_entries(spark, sf):
+    documents, labels = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("documents", "labels"))
+    rows = features(documents.select("doc_id", "text"), F.col("text")).select("doc_id", "features")
+    learned = rows.where(~held_out(F.col("doc_id"))).join(labels.select("doc_id", F.col("quality").alias("label")), "doc_id")
+    model = fit_labelled(learned.withColumn("key", F.col("doc_id")))
+    assert model.pairs and any(table.any() for table in model.tables)
+    own = {r.doc_id: r.score for r in queries.op3_quality_model(spark, sf).collect()}
+    for r in rows.withColumn("score", scores(model, F.col("features"))).collect():
+        assert abs(r.score - brute.additive_score(model, r.features)) < 1e-9
+        assert abs(r.score - own[r.doc_id]) < 1e-9
+
+
+def test_scores_on_edges():
+    rng = np.random.default_rng(3)
+    x = rng.integers(0, 6, (900, len(FEATURES))).astype(float)
+    model = fit(x, ((x[:, 0] > 2) ^ (x[:, 1] > 3)).astype(float))
+    points = rng.integers(-1, 8, (300, len(FEATURES))).astype(float)
+    assert np.allclose(model.score(points), [brute.additive_score(model, row) for row in points], atol=1e-12)
+
+
+def test_random_strings_are_told_from_words(spark, sf):
+    """Held out: keys of several alphabets against words and names that the models have not seen."""
+    documents = spark.read.parquet(f"{sf}/documents.parquet")
+    models = secrets.fit_models(secrets.labelled_samples(documents))
+    rng = random.Random(9)
+    alphabets = ["ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", "abcdefghijklmnopqrstuvwxyz234567"]
+    keys = ["".join(rng.choices(rng.choice(alphabets), k=rng.randrange(24, 48))) for _ in range(300)]
+    keys += [base64.urlsafe_b64encode(rng.randbytes(24)).decode().rstrip("=") for _ in range(200)]
+    keys = [k for k in keys if any(c.isdigit() for c in k) and any(c.isalpha() for c in k)]
+    vocabulary = sorted({w for r in documents.select("text").collect() for w in brute.words(r.text) if w.isascii() and w.isalpha() and len(w) > 3})
+    names = ["_".join(rng.choices(vocabulary, k=4))[:40] + f"_{rng.randrange(100)}" for _ in range(500)]
+    names = [n for n in names if len(n) >= 20]
+    rows = [(i, f"x {token} y") for i, token in enumerate(keys + names)]
+    found = secrets.find_secrets(spark.createDataFrame(rows, "doc_id long, text string"), models=models)
+    hit = {r.doc_id for r in found.where("size(secrets) > 0").collect()}
+    recall = sum(i in hit for i in range(len(keys))) / len(keys)
+    alarms = sum(i in hit for i in range(len(keys), len(rows))) / len(names)
+    assert recall >= 0.9 and alarms <= 0.05, (recall, alarms)
+    print("recall", recall, "false alarms", alarms)
+
+
+@pytest.mark.parametrize("k", [0, 1, 2, 17, 300])
+def test_running_sums_and_overlaps(spark, k):
+    rng = random.Random(k)
+    text = "".join(rng.choice(["", "-", " é "]) + rng.choice(["ab", "a", "abab"]) + " " for _ in range(k))
+    import re
+
+    frame = spark.createDataFrame([(text,)], "text string")
+    (row,) = frame.select(secrets._matches(F.col("text"), "(ab)+").alias("m")).collect()
+    assert [(m.start, m.end, m.value) for m in row.m] == [(m.start(), m.end(), m.group()) for m in re.finditer("(ab)+", text)]
+    spans, at = [], 0
+    for _ in range(k):
+        at += rng.randrange(1, 6)
+        end = at + rng.randrange(1, 6)
+        spans.append((at, end, "s"))
+        at = end
+    others = [(a, a + rng.randrange(1, 9), "o") for a in (rng.randrange(at + 5) for _ in range(k // 3))]
+    frame = spark.createDataFrame([(spans, others)], f"a {secrets.SPAN}, b {secrets.SPAN}")
+    (row,) = frame.select(secrets._apart(F.col("a"), F.col("b")).alias("x")).collect()
+    apart = [s for s in spans if not any(o[0] < s[1] and s[0] < o[1] for o in others)]
+    assert [tuple(x) for x in row.x] == apart
