@@ -15,7 +15,7 @@ from bandwright.llm.pii import redact
 from bandwright.llm.quality_rules import apply_quality_rules
 from bandwright.llm.sentencepiece import tokenize
 from bandwright.llm.simhash import deduplicate
-from bandwright.storage import fresh_path
+from bandwright.storage import remove, stage
 
 
 def keep_good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -57,10 +57,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table of documents, each written to the shared folder and read again by the next."""
-    docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES:
-        path = fresh_path(spark, f"pipeline-{name}")
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+    """All stages over the table of documents, each written to the shared folder and read again by the next. A stage's
+    table goes when the next one's is there."""
+    docs, done = table(spark, sf_dir, "documents"), None
+    for name, of in STAGES:
+        docs, path = stage(of(spark, docs, sf_dir), f"pipeline-{name}")
+        if done:
+            remove(spark, done)
+        done = path
     return docs
