@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..storage import fresh_path
+from ..storage import fresh_path, remove
 from .alignment import align_tokenizers
 from .clusters import centroid_clusters
 from .common import table
@@ -49,7 +49,9 @@ def op3_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "warc")
     write_archives(table(spark, sf_dir, "pages"), path)
-    return page_captures(read_archives(spark, path, payload=False)).drop("url")
+    captures = page_captures(read_archives(spark, path, payload=False)).drop("url")
+    remove(spark, path)  # the captures are stored by now
+    return captures
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import BROADCAST_BYTES, held, package_on_workers, shielded
+from .common import BROADCAST_BYTES, package_on_workers, shielded, staged
 
 LEAST_SHARED = 1000
 #: Text bytes per archive file aimed at; a file is decompressed record by record.
@@ -54,13 +54,25 @@ def _uuid(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *(F.substring(h, *cut) for cut in cuts)), F.lit(">"))
 
 
-def shared_payloads(pages: DataFrame, html: str, page_id: str, least: int = LEAST_SHARED) -> DataFrame:
-    """Held table of the payloads of at least `least` bytes that more than one page has: digest, largest id."""
+def shared_payloads(
+    pages: DataFrame, html: str, page_id: str, least: int = LEAST_SHARED, url: str | None = None
+) -> DataFrame:
+    """Stored table of the payloads of at least `least` bytes that more than one page has: digest, and the page that stands
+    for them: largest id (`first`), of several the largest url (`first_url`), and how many rows have both (`firsts`)."""
     inner, names = shielded(pages, html, page_id)
     body = F.coalesce(names[html], F.lit(""))
-    sums = inner.select(F.sha1(body.cast("binary")).alias("digest"), _bytes(body).alias("n"), F.col(names[page_id]).alias("id"))
-    groups = sums.where(F.col("n") >= least).groupBy("digest")
-    return held(groups.agg(F.max("id").alias("first"), F.count(F.lit(1)).alias("pages")).where("pages > 1"))
+    sums = inner.select(
+        F.sha1(body.cast("binary")).alias("digest"),
+        _bytes(body).alias("n"),
+        F.col(names[page_id]).alias("id"),
+        (F.col(names[url]) if url else F.lit(None).cast("string")).alias("url"),
+    )
+    alike = sums.where(F.col("n") >= least).groupBy("digest", "id", "url").agg(F.count(F.lit(1)).alias("rows"))
+    groups = alike.groupBy("digest").agg(
+        F.max(F.struct("id", "url", "rows")).alias("top"), F.sum("rows").alias("pages")
+    )
+    facts = ("digest", F.col("top.id").alias("first"), F.col("top.url").alias("first_url"), F.col("top.rows").alias("firsts"))
+    return staged(groups.where("pages > 1").select(*facts), "warc-shared")
 
 
 def write_archives(
@@ -75,14 +87,14 @@ def write_archives(
     """Write three records per page to gzip-compressed archives in the folder `path`.
 
     * Pages with equal payloads of at least `least` bytes: that with the largest id is the response, all others are
-      revisits of it, without payload. Rows that share that id and payload are responses all; rows without id are
+      revisits of it, without payload, and name its record and target URI. Rows that share that id and payload are responses all; rows without id are
       revisits if a page with an id has their payload, else responses.
     * A NULL html is an empty payload. The url may be NULL or hold any characters: the target URI has line ends and
       blanks percent-encoded, and the metadata record holds id and url as JSON.
     * Files end after as many records as fit `FILE_BYTES` on average. Pages are not shuffled; the join with the shared
       payloads is a broadcast if those fit its bound, else a shuffle join that adaptive execution can split.
     """
-    shared = shared_payloads(pages, html, page_id, least)
+    shared = shared_payloads(pages, html, page_id, least, url)
     inner, names = shielded(pages, html, url, page_id)
     body = F.coalesce(names[html], F.lit(""))
     size = inner.agg(F.count(F.lit(1)).alias("n"), F.sum(_bytes(body)).alias("bytes")).first()
@@ -102,8 +114,14 @@ def write_archives(
     def identity(role: str) -> Column:
         return _uuid(F.lit(role), F.col("digest"), F.col("number"))
 
-    plain = F.regexp_replace(F.coalesce("url", F.lit("about:blank")), "[\r\n\t ]+", "%20")
-    rows = rows.select("*", plain.alias("uri"), identity("response").alias("capture"))
+    def plain(column: str) -> Column:
+        return F.regexp_replace(F.coalesce(column, F.lit("about:blank")), "[\r\n\t ]+", "%20")
+
+    # The response that others repeat is known by its payload alone, so that they can name it; unless it is there twice.
+    named, original = F.col("firsts") == 1, _uuid(F.lit("original"), F.col("digest"))
+    stands = named & F.col("id").eqNullSafe(F.col("first")) & F.col("url").eqNullSafe(F.col("first_url"))
+    capture = F.when(stands, original).otherwise(identity("response"))
+    rows = rows.select("*", plain("url").alias("uri"), capture.alias("capture"))
     uri, capture = F.col("uri"), F.col("capture")
     host = F.regexp_extract(uri, "^[a-zA-Z]+://([^/?#]+)", 1)
     target = F.regexp_extract(uri, "^[a-zA-Z]+://[^/?#]+([^#]*)", 1)
@@ -117,9 +135,13 @@ def write_archives(
         F.lit(END),
         F.when(F.col("again"), F.lit("")).otherwise(F.col("html")),
     )
-    same = F.when(
-        F.col("again"), F.lit("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-    )
+    again, profile = F.col("again"), "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+    same = [
+        F.when(again, F.lit(f"WARC-Profile: {profile}")),
+        F.when(again & named, F.concat(F.lit("WARC-Refers-To: "), original)),
+        F.when(again, F.concat(F.lit("WARC-Refers-To-Target-URI: "), plain("first_url"))),
+        F.when(again, F.lit(f"WARC-Refers-To-Date: {date}")),
+    ]
     facts = F.concat(F.lit("page: "), F.to_json(F.struct("id", "url")), F.lit(CRLF))
     http = "Content-Type: application/http; msgtype="
     records = F.array(
@@ -129,7 +151,7 @@ def write_archives(
             capture,
             uri,
             date,
-            [digest, same, F.lit(f"{http}response")],
+            [digest, *same, F.lit(f"{http}response")],
             answer,
         ),
         _record(
@@ -209,8 +231,8 @@ def read_archives(spark: SparkSession, path: str, payload: bool = True) -> DataF
 def assemble(records: DataFrame) -> DataFrame:
     """One row per capture: `capture_id` and the structs `request`, `response` and `metadata`.
 
-    A capture is a response or revisit record with the records that are concurrent to it; of several of one kind the
-    first is taken, a missing one is NULL, and records concurrent to nothing that was read are left out. All meet by
+    A capture is a response or revisit record with the records that are concurrent to it; of several of one kind that
+    with the smallest record id is taken, a missing one is NULL, and records concurrent to nothing that was read are left out. All meet by
     the identifier in one shuffle.
     """
     parts = [F.struct(*records.columns).alias("record")]
@@ -218,7 +240,7 @@ def assemble(records: DataFrame) -> DataFrame:
     kind = F.col("record.type")
 
     def one(name: str, *kinds: str) -> Column:
-        return F.first(F.when(kind.isin(*kinds), F.col("record")), ignorenulls=True).alias(name)
+        return F.min(F.when(kind.isin(*kinds), F.struct("record.record_id", "record")))["record"].alias(name)
 
     whole = keyed.groupBy("capture_id").agg(
         one("request", "request"), one("response", "response", "revisit"), one("metadata", "metadata")
@@ -236,7 +258,7 @@ def page_captures(records: DataFrame, id_type: str = "long") -> DataFrame:
     fields = F.from_json(
         F.regexp_extract(F.col("metadata.payload").cast("string"), "(?s)page: (.*)\r\n", 1), f"id {id_type}, url string"
     )
-    captures = held(
+    captures = staged(
         assemble(records).select(
             "capture_id",
             fields["id"].alias("page_id"),
@@ -245,7 +267,8 @@ def page_captures(records: DataFrame, id_type: str = "long") -> DataFrame:
             F.col("response.declared_digest").alias("declared"),
             F.col("response.payload_bytes").alias("bytes"),
             F.col("response.payload_digest").alias("digest"),
-        )
+        ),
+        "warc-captures",
     )
     originals = captures.where("record_type = 'response'").groupBy("digest")
     originals = originals.agg(F.max("page_id").alias("original"), F.max("bytes").alias("whole"))

@@ -8,7 +8,7 @@ from bandwright.llm import common, mixing, neighbours, pii, quality_rules, secre
 from bandwright.llm.mixing import mix, mixed_rows
 from bandwright.llm.neighbours import with_next
 from bandwright.llm.quality_model import score_quality
-from bandwright.llm.warc import page_captures, read_archives, write_archives
+from bandwright.llm.warc import assemble, page_captures, read_archives, write_archives
 from pyspark.sql import functions as F
 
 LONG = "word%d other " * 4000 % tuple(range(4000)) + "mail me@example.com token=abcdefgh12345678\n" * 3
@@ -284,3 +284,33 @@ def test_next_of_hot_ids_is_spread(spark):
     got = neighbours.with_next(rows, ["text"]).collect()
     order = sorted(got, key=lambda r: (r.id is not None, r.id or 0, r.tie), reverse=True)
     assert [r.next_text for r in order] == [r.text for r in [*order[1:], order[0]]]
+
+
+def test_revisits_name_the_response_they_repeat(spark, tmp_path):
+    big, twice = "b" * 1500, "t" * 2000
+    pages = [(1, "http://a/ 1", big), (9, "http://a/9", big), (3, None, big), (None, "http://n", big),
+             (5, "http://x", twice), (8, "http://x", twice), (8, "http://x", twice), (8, "http://w", twice)]
+    df = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(3)
+    write_archives(df, str(tmp_path / "warc"))
+    records = read_archives(spark, str(tmp_path / "warc"))
+    rows = {r.record_id: r for r in records.collect()}
+    assert len(rows) == 3 * len(pages)
+    by_digest = {hashlib.sha1(x.encode()).hexdigest(): x for x in (big, twice)}
+    for row in rows.values():
+        if row.type == "revisit" and by_digest[row.declared_digest] == big:
+            assert rows[row.refers_to].type == "response" and rows[row.refers_to].target_uri == "http://a/9"
+        elif row.type == "revisit":
+            assert row.refers_to is None  # the response is there twice
+    assert sorted(r.page_id or 0 for r in page_captures(records).collect()) == [0, 1, 3, 5, 8, 8, 8, 9]
+    # Of several records of one kind the one with the smallest id counts, in whatever order they come.
+    extra = records.where("type = 'request'").limit(1).withColumn("record_id", F.lit("<urn:uuid:0>"))
+    for mixed in (records.unionByName(extra), extra.unionByName(records)):
+        capture = extra.first().concurrent_to
+        (row,) = assemble(mixed).where(F.col("capture_id") == capture).collect()
+        assert row.request.record_id == "<urn:uuid:0>"
+
+
+def test_empty_archives(spark, tmp_path):
+    none = spark.createDataFrame([], "page_id long, url string, html string")
+    write_archives(none, str(tmp_path / "none"))
+    assert page_captures(read_archives(spark, str(tmp_path / "none"))).count() == 0
