@@ -142,4 +142,74 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted
 """
 
-ORACLE: dict[str, str] = {"op1_mix_sources": OP1, "op4_warc": OP4, "op8_quality_rules": OP8}
+
+def _op11(k: int = 40, rounds: int = 5, dims: int = 64) -> str:
+    """Vectors and centroids as one row per component; each round assigns every vector, then moves the centroids."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+d{i} AS MATERIALIZED (
+  SELECT r, c, sum((v.x - m.x) * (v.x - m.x))::BIGINT AS d FROM components v JOIN c{i} m USING (p) GROUP BY r, c
+), a{i} AS MATERIALIZED (
+  SELECT r, c, d FROM d{i} QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, c) = 1
+)""")
+        if i < rounds:
+            steps.append(f"""
+s{i} AS (
+  SELECT c, p, sum(x)::BIGINT AS total, count(*) AS n FROM a{i} JOIN components USING (r) GROUP BY c, p
+), c{i + 1} AS MATERIALIZED (
+  SELECT o.c, o.p, CASE WHEN n IS NULL THEN o.x ELSE (total - ((total % n) + n) % n) // n END AS x
+  FROM c{i} o LEFT JOIN s{i} s ON o.c = s.c AND o.p = s.p
+)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE len(embedding) = {dims} AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), components AS MATERIALIZED (
+  SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS p FROM kept
+), first AS (
+  SELECT r, row_number() OVER (ORDER BY sha256('2:' || coalesce(vec_id::VARCHAR, 'null')), v) - 1 AS c FROM kept
+  QUALIFY c < {k}
+), c0 AS MATERIALIZED (
+  SELECT c, p, x FROM first JOIN components USING (r)
+),{",".join(steps)}, named AS (
+  SELECT c, sha256(string_agg(x::VARCHAR, ',' ORDER BY p)) AS centroid_sha256 FROM c{rounds} GROUP BY c
+)
+SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+       (sum(d) OVER ())::BIGINT AS inertia, centroid_sha256
+FROM a{rounds} JOIN kept USING (r) JOIN named USING (c)
+"""
+
+
+OP12 = r"""
+WITH docs AS (
+  SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS w FROM documents
+), windows AS (
+  SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM docs)
+), least AS (
+  SELECT win, min(doc_id) AS first FROM windows GROUP BY win HAVING count(DISTINCT doc_id) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i FROM windows JOIN least USING (win) WHERE doc_id > first
+), words AS (
+  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p FROM docs
+), placed AS (
+  -- A word is covered if the last repeated window that starts at it or before it reaches it.
+  SELECT x.doc_id, word, p, p - max(i) OVER (PARTITION BY x.doc_id ORDER BY p ROWS UNBOUNDED PRECEDING) < 50 AS covered
+  FROM words x LEFT JOIN gone ON x.doc_id = gone.doc_id AND p = i
+), kept AS (
+  SELECT doc_id, count(*) FILTER (WHERE covered) AS n, string_agg(word, ' ' ORDER BY p) FILTER (WHERE covered IS NOT TRUE) AS rest
+  FROM placed GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n, 0)::BIGINT AS n_removed, sha256(coalesce(rest, '')) AS kept_sha256
+FROM docs LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op1_mix_sources": OP1,
+    "op4_warc": OP4,
+    "op8_quality_rules": OP8,
+    "op11_centroid_clusters": _op11(),
+    "op12_substring_dedup": OP12,
+}
