@@ -64,8 +64,8 @@ def _store(
     if not noted:
         lake.record(spark, query, batch_id, loaded=as_of.isoformat())
     rows = with_load_columns(batch, as_of).withColumn(BATCH_ID, F.lit(batch_id).cast("long"))
-    if BRONZE not in lake.version(spark).tables:
-        lake.publish(spark, {BRONZE: (BRONZE, rows.schema)})
+    # Nothing is written if bronze has these columns already.
+    lake.publish(spark, {BRONZE: (BRONZE, rows.schema)})
     table, counts = lake.table(BRONZE, partition_by), Observation()
     if table:
         table.create(spark, rows.schema)

@@ -243,3 +243,17 @@ def test_read_files_are_archived_and_late_ones_come_in_once(spark, tmp_path, sco
     (source / "group_3.csv").write_text(text)
     counts = run()
     assert len(counts) == 6 and {row["count"] for row in counts} == {20}
+
+
+def test_bronze_takes_new_columns(spark, tmp_path):
+    lake = bw.Lake(str(tmp_path / "lake"))
+    ingest(bw.stream_csv(spark, five_turbines(tmp_path / "in"), SPEC.schema), lake)
+    number = lake.version(spark).number
+    (tmp_path / "in" / "wide.csv").write_text(
+        "timestamp,turbine_id,wind_speed,wind_direction,power_output,state\n2022-03-01T00:00:00,1,11.0,169,100.0,on\n"
+    )
+    wide = bw.stream_csv(spark, str(tmp_path / "in"), f"{SPEC.schema.simpleString()[7:-1].replace(':', ' ')}, state string")
+    ingest(wide, lake)
+    assert lake.version(spark).number == number + 1
+    bronze = lake.read(spark, "bronze")
+    assert [bronze.where(condition).count() for condition in ("state IS NULL", "state = 'on'")] == [20, 1]
