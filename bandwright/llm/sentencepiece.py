@@ -136,7 +136,7 @@ class _Window:
         # A later piece starts at `ready` or after it; what crosses it has started before.
         ends, starts = self.ends, self.starts
         cut = self._common({ready} | {starts[k] for k in range(ready + 1, len(ends)) if ends[k] != UNSEEN})
-        path = self._path(cut)
+        path = self.encoder._path(self.text, ends, starts, cut)
         self.fresh = False
         self.text, self.ends, self.starts = self.text[cut:], ends[cut:], [max(0, k - cut) for k in starts[cut:]]
         self.done = ready - cut
@@ -146,20 +146,10 @@ class _Window:
     def finish(self) -> list[int]:
         """The rest of the ids, at the end of the run; the window is then empty."""
         self.encoder._reach(self.text, self.ends, self.starts, self.done, len(self.text))
-        path = self._path(len(self.text))
+        path = self.encoder._path(self.text, self.ends, self.starts, len(self.text))
         self._clear()
         return path
 
-    def _path(self, at: int) -> list[int]:
-        path = []
-        while at > 0:
-            if self.ends[at] == OTHER:
-                path += [self.encoder.vocabulary.byte_ids[b] for b in reversed(self.text[at - 1].encode())]
-            else:
-                path.append(self.ends[at])
-            at = self.starts[at]
-        return path[::-1]
-
     def _common(self, alive: set[int]) -> int:
         """The last boundary on the paths of all boundaries in `alive`."""
         while len(alive) > 1:
@@ -201,6 +191,17 @@ class Encoder:
                     if known or known is None and agree(before, piece):
                         ends[end], starts[end] = piece, at
 
+    def _path(self, text: str, ends: list[int], starts: list[int], at: int) -> list[int]:
+        """Ids on the way back from a boundary to the start."""
+        path = []
+        while at > 0:
+            if ends[at] == OTHER:
+                path += [self.vocabulary.byte_ids[b] for b in reversed(text[at - 1].encode())]
+            else:
+                path.append(ends[at])
+            at = starts[at]
+        return path[::-1]
+
     def _committed(self, blocks: Iterable[str]) -> Iterator[list[int]]:
         """Ids of a marked text given in blocks, as far as each block settles them. Paths run through one boundary at the
         end of every run, over which no piece reaches, and now and then inside a run too long to be held; there they are
@@ -209,16 +210,19 @@ class Encoder:
         for block in blocks:
             # The open run's last character tells how it goes on.
             found = [tail + block] if runs is None else runs.findall(tail + block)
-            out, last = [], len(found) - 1
-            for k, run in enumerate(found):
-                if k == 0 and tail:
-                    out += window.feed(run[len(tail) :])
-                elif k < last:
-                    out += self._words.get(run) or self._run(run)
-                else:
-                    out += window.feed(run)
-                if k == 0 and tail and last:
-                    out += self._ended(window)
+            out, opened = [], found.pop() if found else ""
+            if tail and found:
+                out += window.feed(found.pop(0)[len(tail) :])
+                out += self._ended(window)
+                tail = ""
+            words = self._words
+            for run in found:
+                ids = words.get(run)
+                if ids is None:
+                    ids = self._run(run)
+                    words = self._words
+                out += ids
+            out += window.feed(opened[len(tail) :])
             yield out
             tail = block[-1:] or tail
         yield self._ended(window)
@@ -240,12 +244,15 @@ class Encoder:
         ids = self._words.get(run)
         if ids is not None:
             return ids
+        if len(run) > CACHED_LENGTH:
+            window = _Window(self)
+            return (*window.feed(run), *window.finish())
         ids = self._older.get(run)
         if ids is None:
-            window = _Window(self)
-            ids = (*window.feed(run), *window.finish())
-        if len(run) > CACHED_LENGTH:
-            return ids
+            # One window, open and closed at once.
+            ends, starts = [OTHER] + [UNSEEN] * len(run), [0] * (len(run) + 1)
+            self._reach(run, ends, starts, 0, len(run))
+            ids = tuple(self._path(run, ends, starts, len(run)))
         if len(self._words) >= CACHED_WORDS // 2:
             self._older, self._words = self._words, {}
         self._words[run] = ids
