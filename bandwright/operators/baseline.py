@@ -347,11 +347,19 @@ def join_bounds(
     hot = F.broadcast(hot)
     every = F.xxhash64(*(name for name, kind in df.dtypes if not kind.startswith("map")))
     # Rows without an entity find nothing, so any salt will do for them.
-    spread = F.when(F.col(key).isNull(), F.pmod(every, F.lit(1024))).otherwise(F.pmod(every, F.col(SALTS)))
-    readings = df.join(hot, key, "left").withColumn(SALT, F.coalesce(spread, F.lit(0)).cast("int")).drop(SALTS)
+    salt = F.when(F.col(SALTS).isNotNull(), F.pmod(every, F.col(SALTS)))
+    if how == "left":
+        salt = salt.when(F.col(key).isNull(), F.pmod(every, F.lit(1024)))
+    else:
+        df = df.where(F.col(key).isNotNull())
+    readings = df.join(hot, key, "left").withColumn(SALT, salt.otherwise(0).cast("int")).drop(SALTS)
     repeated = (
         bounds.join(hot, key, "left")
         .withColumn(SALT, F.explode(F.sequence(F.lit(0), F.coalesce(SALTS, F.lit(1)) - 1)))
         .drop(SALTS)
     )
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    if baseline.size_bytes <= partitions * broadcast_bytes // 4:
+        # A partition's share of the entities, as measured, is a small hash table, and the readings need no sort.
+        repeated = repeated.hint("shuffle_hash")
     return readings.join(repeated, [key, SALT], how).drop(SALT)
