@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import logging
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from ..functions.checks import require_columns, require_positive
 
@@ -47,11 +47,14 @@ def log_incomplete_groups(completeness: DataFrame, logger: logging.Logger, lines
 
     The log holds examples only; `incomplete_groups`, and the stored completeness, hold them all.
     """
-    failed = incomplete_groups(completeness)
-    total = failed.count()
+    group, count = completeness.columns[:2]
+    seen = Observation()
+    # One job: the first by name are picked from all that failed, so all are counted on the way.
+    failed = incomplete_groups(completeness).select(group, count)
+    first = failed.observe(seen, F.count(F.lit(1)).alias("groups")).sort(group).take(max(1, lines))
+    total = seen.get["groups"]
     if total:
-        group, count = completeness.columns[:2]
         logger.error("%d groups are incomplete or hold too much; the first %d:", total, min(total, lines))
-        for row in failed.sort(group).take(lines):
+        for row in first[:lines]:
             logger.error("%s %r holds %d distinct entities", group, row[group], row[count])
     return total
