@@ -10,10 +10,14 @@ starts make up the maximal repeat. The tree is never whole anywhere:
 2. An anchor of at most `MOST` stretches (consecutive windows of one anchor, less than two windows long) is the prefix of
    one group, of whose suffixes one task builds the subtree in memory (`deep_nodes`). Groups follow each other in a
    partition, sorted; one is held at a time.
-3. An anchor of more stretches is too short a prefix: its suffixes get the longest one, the window itself. What shares
-   that is one node, so partial aggregation finds its smallest document and no task gathers it.
-
-Equal texts are one text throughout. Nothing is sampled or capped, and no pair of documents is formed.
+3. An anchor of more stretches is too short a prefix. Equal stretches become one first, whose smallest document partial
+   aggregation finds: all others repeat it whole. If at most `MOST` are left, they are a group as in 2. If not, they are
+   cut into pieces by where the anchor lies in the windows, and the words that all windows of such a piece have in common
+   are a longer prefix; pieces are treated as the stretches were (`repeats_in`). The last cut leaves single windows, of
+   which those with one prefix are equal. So a passage of very many documents takes a row for each of its stretches, not
+   for each of its words, and no task gathers it.
+
+Equal texts and equal stretches are one throughout. Nothing is sampled or capped, and no pair of documents is formed.
 """
 
 from __future__ import annotations
@@ -36,11 +40,9 @@ TOGETHER = 1024
 _TIMES = np.random.default_rng(12).integers(0, 1 << 64, PREFIX + 1, np.uint64) | np.uint64(1)
 
 
-def anchors(words: list[bytes], window: int) -> np.ndarray:
-    """For every window of the words: its anchor, a hash."""
+def _shingles(words: list[bytes], window: int) -> np.ndarray:
+    """For every window of the words: the hashes of the shingles inside it."""
     size = min(PREFIX, window)
-    if len(words) < window:
-        return np.zeros(0, np.int64)
     hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
     mixed = np.zeros(len(words) - size + 1, np.uint64)
     for i in range(size):
@@ -48,7 +50,14 @@ def anchors(words: list[bytes], window: int) -> np.ndarray:
     mixed ^= mixed >> np.uint64(31)
     mixed *= _TIMES[PREFIX]
     mixed ^= mixed >> np.uint64(29)
-    return np.lib.stride_tricks.sliding_window_view(mixed, window - size + 1).min(axis=1).view(np.int64)
+    return np.lib.stride_tricks.sliding_window_view(mixed, window - size + 1)
+
+
+def anchors(words: list[bytes], window: int) -> np.ndarray:
+    """For every window of the words: its anchor, a hash."""
+    if len(words) < window:
+        return np.zeros(0, np.int64)
+    return _shingles(words, window).min(axis=1).view(np.int64)
 
 
 def stretches(anchor: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -80,18 +89,44 @@ def anchored(text: Column, window: int) -> Column:
     return arrow_function(of, "array<struct<anchor: long, n: long>>")(text)
 
 
-def _suffixes(words: list[bytes], window: int, few: np.ndarray, many: np.ndarray) -> tuple:
-    """The stretches of anchors in `few` (anchors, places, words), and the different windows with an anchor in `many`: their
-    hashes, one after the other, and the places of each. A place is that of the first word."""
+def _suffixes(words: list[bytes], window: int, *sets: np.ndarray) -> list[tuple]:
+    """For each set of anchors, their stretches: anchors, places of the first word and of the one after the last, words."""
     anchor = anchors(words, window)
     starts, ends = stretches(anchor, window)
-    chosen = np.isin(anchor[starts], few)
-    starts, ends = starts[chosen], ends[chosen]
-    bodies = [b" ".join(words[i : j + window]) for i, j in zip(starts.tolist(), ends.tolist())]
-    windows: dict[bytes, list[int]] = {}
-    for i in np.flatnonzero(np.isin(anchor, many)).tolist():
-        windows.setdefault(xxhash.xxh3_128_digest(b" ".join(words[i : i + window])), []).append(i)
-    return anchor[starts], starts, bodies, list(windows.values()), b"".join(windows)
+    ends += window
+    found = []
+    for some in sets:
+        chosen = np.isin(anchor[starts], some)
+        first, after = starts[chosen], ends[chosen]
+        bodies = [b" ".join(words[i:j]) for i, j in zip(first.tolist(), after.tolist())]
+        found.append((anchor[first], first, after, bodies))
+    return found
+
+
+def cells(window: int) -> list[int]:
+    """How many neighbouring places of the anchor in the window share a prefix, from cut to cut; 1 at last."""
+    found = [1]
+    while found[0] * 4 <= window - min(PREFIX, window):
+        found.insert(0, found[0] * 4)
+    return found
+
+
+def _pieces(words: list[bytes], window: int, cell: int) -> list[tuple[int, int, int, bytes]]:
+    """The pieces of a stretch: consecutive windows with the first anchor of each in one place and at a distance from the
+    window's start that is in one cell of that many distances. Prefix (a hash of what all windows of the cell have in
+    common), places of the first word and of the one after the last, words."""
+    inside = _shingles(words, window)
+    distance = inside.argmin(axis=1)
+    low = distance // cell * cell
+    high = np.minimum(low + cell - 1, inside.shape[1] - 1)
+    place = np.arange(len(inside)) + distance
+    starts = np.flatnonzero(np.r_[True, (place[1:] != place[:-1]) | (low[1:] != low[:-1])])
+    ends = np.r_[starts[1:], len(inside)] - 1 + window
+    found = []
+    for i, j in zip(starts.tolist(), ends.tolist()):
+        common = b" ".join(words[place[i] - low[i] : place[i] - high[i] + window])
+        found.append((xxhash.xxh3_64_intdigest(common, int(low[i])) - (1 << 63), i, j, b" ".join(words[i:j])))
+    return found
 
 
 def _nested(counts: list[int], fields: dict[str, pa.Array]) -> pa.ListArray:
@@ -99,23 +134,37 @@ def _nested(counts: list[int], fields: dict[str, pa.Array]) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *counts], dtype=np.int32)), inner)
 
 
+_STRETCHES = "array<struct<anchor: long, at: long, to: long, words: string>>"
+
+
+def _stretches(counts: list[int], anchor: pa.Array, at: pa.Array, to: pa.Array, words: list[bytes]) -> pa.ListArray:
+    fields = {"anchor": anchor, "at": at, "to": to, "words": pa.array(words, pa.binary()).cast(pa.string())}
+    return _nested(counts, fields)
+
+
 def _suffixes_of(text: Column, few: Column, many: Column, window: int) -> Column:
     def of(texts: pa.Array, few: pa.Array, many: pa.Array) -> pa.Array:
         rows = [
             _suffixes(_words(value), window, *(np.array(x.as_py() or [], np.int64) for x in sets))
             for value, *sets in zip(texts, few, many)
         ]
-        prefix, at, bodies, places, digests = zip(*rows) if rows else ((),) * 5
-        flat = lambda parts: pa.array(np.concatenate([*parts, np.zeros(0, np.int64)]))
-        halves = np.frombuffer(b"".join(digests), "<i8").reshape(-1, 2)
-        words = pa.array([body for part in bodies for body in part], pa.binary()).cast(pa.string())
-        stretches = {"anchor": flat(prefix), "at": flat(at), "words": words}
-        windows = {"w1": pa.array(halves[:, 0]), "w2": pa.array(halves[:, 1]), "at": pa.array([x for part in places for x in part], pa.list_(pa.int64()))}
-        lists = [_nested([len(x) for x in at], stretches), _nested([len(x) for x in places], windows)]
-        return pa.StructArray.from_arrays(lists, ["stretches", "windows"])
+        lists = []
+        for k in range(2):
+            *numbers, bodies = zip(*(row[k] for row in rows)) if rows else ((),) * 4
+            flat = [pa.array(np.concatenate([*parts, np.zeros(0, np.int64)])) for parts in numbers]
+            lists.append(_stretches([len(x) for x in bodies], *flat, [body for part in bodies for body in part]))
+        return pa.StructArray.from_arrays(lists, ["few", "many"])
+
+    return arrow_function(of, f"struct<few: {_STRETCHES}, many: {_STRETCHES}>")(text, few, many)
 
-    kind = "array<struct<anchor: long, at: long, words: string>>", "array<struct<w1: long, w2: long, at: array<long>>>"
-    return arrow_function(of, f"struct<stretches: {kind[0]}, windows: {kind[1]}>")(text, few, many)
+
+def _pieces_of(words: Column, window: int, cell: int) -> Column:
+    def of(batch: pa.Array) -> pa.Array:
+        rows = [_pieces(_words(value), window, cell) for value in batch]
+        *numbers, bodies = zip(*(piece for row in rows for piece in row)) if any(rows) else ((),) * 4
+        return _stretches([len(row) for row in rows], *(pa.array(x, pa.int64()) for x in numbers), bodies)
+
+    return arrow_function(of, _STRETCHES)(words)
 
 
 def deep_nodes(tokens: np.ndarray, ends: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
@@ -194,6 +243,57 @@ def _met(rows: DataFrame, facts: DataFrame, keys: list[str], width: int, how: st
     return rows.join(F.broadcast(facts) if facts.count() * width <= BROADCAST_BYTES else facts, keys, how)
 
 
+def _found(stretches: DataFrame, window: int) -> DataFrame:
+    """The spans of `repeated_spans`, one group per anchor."""
+    package_on_workers(stretches.sparkSession)
+    return (
+        stretches.repartition("anchor")
+        .sortWithinPartitions("anchor")
+        .mapInArrow(_subtrees(window), "a long, b long, start long, end long")
+    )
+
+
+def repeats_in(pieces: DataFrame, window: int, cuts: list[int]) -> DataFrame:
+    """Spans of words, `a b start end`, in windows that a piece of a smaller place has too.
+
+    `pieces` has the words from `at` to `to` of what `a` and `b` name: consecutive windows that meet all equal ones under
+    `anchor`. Any number may have one anchor, and any number of them the same words. `cuts` are the `cells` still to come.
+    """
+    pieces = staged(
+        pieces.select("*", F.xxhash64("words").alias("w1"), F.xxhash64(F.lit(1), "words").alias("w2")), "repeats-pieces"
+    )
+    bodies = staged(
+        pieces.groupBy("w1", "w2").agg(
+            F.min("place").alias("place"), F.first("anchor").alias("anchor"), F.first("words").alias("words"), F.count(F.lit(1)).alias("n")
+        ),
+        "repeats-bodies",
+    )
+    sizes = bodies.groupBy("anchor").agg(F.count(F.lit(1)).alias("bodies"))
+    sizes = staged(sizes.where("bodies > 1"), "repeats-sizes")
+    known = bodies.withColumnsRenamed({"w1": "a", "w2": "b"})
+    # Broadcast: at most one anchor for `MOST` bodies.
+    crowded = sizes.where(F.col("bodies") > MOST).select("anchor")
+    deeper = bool(cuts) and not crowded.isEmpty()
+    groups = known.join(F.broadcast(crowded), "anchor", "left_anti") if deeper else known
+    groups = _met(groups, sizes.select("anchor"), ["anchor"], 64)
+    found = _found(groups.select("a", "b", "place.id", "anchor", F.lit(0).cast("long").alias("at"), "words"), window)
+    if deeper:
+        cut = known.join(F.broadcast(crowded), "anchor", "left_semi")
+        cut = cut.select("a", "b", "place", F.explode(_pieces_of(F.col("words"), window, cuts[0])).alias("s"))
+        found = found.unionByName(repeats_in(cut.select("a", "b", "place", "s.*"), window, cuts[1:]))
+    span = F.struct("start", "end")
+    spans = found.groupBy(F.col("a").alias("w1"), F.col("b").alias("w2")).agg(F.collect_set(span).alias("spans"))
+    spans = staged(spans, "repeats-parts")
+    # The pieces of the smallest place have what was found for their words; all others go whole.
+    copied = bodies.where("n > 1").select("w1", "w2", F.col("place").alias("least"))
+    placed = _met(pieces.drop("anchor", "words"), copied, ["w1", "w2"], 128, "left")
+    later = F.coalesce(F.col("place") > F.col("least"), F.lit(False))
+    whole = placed.where(later).select("a", "b", F.col("at").alias("start"), F.col("to").alias("end"))
+    parts = _met(placed.where(~later), spans, ["w1", "w2"], 256).select("a", "b", "at", F.explode("spans").alias("s"))
+    at = F.col("at")
+    return whole.unionByName(parts.select("a", "b", (at + F.col("s.start")).alias("start"), (at + F.col("s.end")).alias("end")))
+
+
 def _keyed(docs: DataFrame, text: str, doc_id: str) -> tuple[DataFrame, dict[str, str]]:
     inner, names = shielded(docs, text, doc_id)
     body, key = F.coalesce(F.col(names[text]), F.lit("")), F.col(names[doc_id])
@@ -229,30 +329,29 @@ def repeated_words(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     # One row of each text is read again: that of its smallest id, or one of several that are equal.
     least = light.select("a", "b", F.col("least").alias("place"), "n")
     first = staged(wanted.join(least, ["a", "b"]), "repeats-first")
-    size = first.agg(F.count(F.lit(1)).alias("n"), F.sum(F.size("few") + F.size("many")).alias("m"), F.max("n").alias("most")).first()
+    size = first.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.size("few") + F.size("many")).alias("m"),
+        F.sum(F.size("many")).alias("many"),
+        F.max("n").alias("most"),
+    ).first()
     small = size.n * 96 + 8 * (size.m or 0) <= 2 * BROADCAST_BYTES
     texts = keyed.select("a", "b", "place", "body").join(F.broadcast(first) if small else first, ["a", "b", "place"])
     if (size.most or 0) > 1:
         texts = texts.dropDuplicates(["a", "b"])
     suffixes = staged(
-        texts.select("a", "b", "place.id", _suffixes_of(F.col("body"), F.col("few"), F.col("many"), window).alias("s"))
-        .select("a", "b", "id", "s.stretches", "s.windows"),
+        texts.select("a", "b", "place", _suffixes_of(F.col("body"), F.col("few"), F.col("many"), window).alias("s"))
+        .select("a", "b", "place", "s.few", "s.many"),
         "repeats-suffixes",
     )
-    stretches = suffixes.select("a", "b", "id", F.explode("stretches").alias("s")).select("a", "b", "id", "s.*")
-    package_on_workers(docs.sparkSession)
-    found = (
-        stretches.repartition("anchor")
-        .sortWithinPartitions("anchor")
-        .mapInArrow(_subtrees(window), "a long, b long, start long, end long")
+    rare, frequent = (
+        suffixes.select("a", "b", "place", F.explode(name).alias("s")).select("a", "b", "place", "s.*")
+        for name in ("few", "many")
     )
-    place = F.struct(F.col("id").isNull().alias("none"), "id").alias("place")
-    windows = suffixes.select("a", "b", place, F.explode("windows").alias("w")).select("a", "b", "place", "w.*")
-    nodes = staged(windows.groupBy("w1", "w2").agg(F.min("place").alias("least")), "repeats-nodes")
-    deep = _met(windows, nodes, ["w1", "w2"], 128).where(F.col("place") > F.col("least"))
+    spans = _found(rare.select("a", "b", "place.id", "anchor", "at", "words"), window)
+    if size.many:
+        spans = spans.unionByName(repeats_in(frequent, window, cells(window)))
     span = F.struct("start", "end")
-    deep = deep.select("a", "b", F.explode("at").alias("start"))
-    spans = found.unionByName(deep.select("a", "b", "start", (F.col("start") + window).alias("end")))
     spans = spans.groupBy("a", "b").agg(F.collect_set(span).alias("spans"))
     copied = light.where("least <> most OR (least IS NULL) <> (most IS NULL)").select("a", "b")
     known = spans.join(copied, ["a", "b"], "full").join(light.select("a", "b", "least"), ["a", "b"])

@@ -118,6 +118,62 @@ def test_repeats_of_copies_passages_and_odd_rows(spark, monkeypatch, most, broad
                    frame.limit(40).withColumn("doc_id", F.concat(F.lit("d"), F.lpad(F.col("doc_id").cast("string"), 3, "0"))), 9) if most == 2048 else None
 
 
+def _common_passages(n, ids, seed=3):
+    """Documents with one passage in other words each, near copies of one text, and lines said over and over."""
+    draw = random.Random(seed)
+    word = lambda: draw.choice("ab") if draw.random() < 0.3 else f"w{draw.randrange(10**6)}"
+    some = lambda k: [word() for _ in range(k)]
+    passage, base, line = some(70), some(260), some(5)
+    docs = []
+    for i in range(n):
+        near = list(base)
+        near[draw.randrange(len(near))] = word()
+        mixed = some(draw.randrange(60)) + passage[draw.randrange(9) :] + some(draw.randrange(60))
+        for w in (mixed, near, some(draw.randrange(4)) + line * draw.randrange(9, 25) + ["a"] * draw.randrange(40, 130)):
+            docs.append((ids(draw, len(docs)), " ".join(w)))
+    draw.shuffle(docs)
+    return docs
+
+
+@pytest.mark.parametrize("window, most, broadcast", [(50, 2, 1 << 24), (50, 5, 0), (24, 3, 1 << 24), (5, 2, 0)])
+def test_repeats_of_frequent_passages(spark, monkeypatch, window, most, broadcast):
+    monkeypatch.setattr(repeats, "MOST", most)
+    monkeypatch.setattr(repeats, "BROADCAST_BYTES", broadcast)
+    docs = _common_passages(14, lambda draw, i: draw.choice([i, i, i, 7, None]))
+    _same_as_brute(docs, spark.createDataFrame(docs, "doc_id long, text string"), window)
+
+
+def test_frequent_passages_take_no_row_for_each_word(spark, monkeypatch):
+    """Near copies under frequent anchors: spans are of stretches, and no table on the way has a row per window."""
+    monkeypatch.setattr(repeats, "MOST", 4)
+    made, keep = {}, repeats.staged
+    def counting(df, name):
+        out = keep(df, name)
+        made[name] = max(made.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(repeats, "staged", counting)
+    docs = [(i, text) for i, (_, text) in enumerate(_common_passages(40, lambda draw, i: i)) if len(text.split()) == 260]
+    windows = len(docs) * (260 - 49)
+    known = repeats.repeated_words(spark.createDataFrame(docs, "doc_id long, text string"), window=50)
+    assert known.agg(F.sum(F.size("spans"))).first()[0] < windows / 8
+    assert max(made.values()) < windows / 8, made
+
+
+@pytest.mark.parametrize("window, cell", [(w, c) for w in (3, 8, 9, 12, 24, 50) for c in repeats.cells(w)])
+def test_pieces_cover_windows_and_equal_windows_share_a_prefix(window, cell):
+    draw, prefixes = random.Random(window), {}
+    passage = [draw.choice("abc") for _ in range(2 * window)]
+    for _ in range(30):
+        words = [draw.choice("abc").encode() for _ in range(draw.randrange(9))] + [w.encode() for w in passage]
+        at = 0
+        for prefix, start, end, body in repeats._pieces(words, window, cell):
+            assert (start, body) == (at, b" ".join(words[start:end])) and end - start >= window
+            at = end - window + 1
+            for i in range(start, at):
+                assert prefixes.setdefault(tuple(words[i : i + window]), prefix) == prefix
+        assert at == len(words) - window + 1
+
+
 def test_repeats_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     out = remove_repeats(empty)
