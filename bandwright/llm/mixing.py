@@ -8,15 +8,16 @@ size is first taken whole, as often as it fits, and only the rest of the target
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from .common import WORD, attach, group_key, ranked, running, shielded, staged, uniform, unshielded, without
+from .common import BUCKETS, WORD, attach, group_key, ranked, running, shielded, staged, uniform, unshielded, without
 
 SYMBOLS = "#*$%&|<>"
 #: A source that ends farther from its target, as a share of it, is filled once more.
 NEAR = 0.01
+#: Documents of a source that are looked at in one round, once it has less room than one more document.
+STRETCH = 256
 
 
 def word_count(text: Column) -> Column:
@@ -55,63 +56,100 @@ def water_fill(sources: DataFrame, share: float, most: float) -> DataFrame:
     return sources.withColumn("target", target.cast("double"))
 
 
-def _union(parts: Sequence[DataFrame], like: DataFrame) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts) if parts else like.where("false")
+def _position() -> Column:
+    return F.col("key") / (1 + F.col("key"))
 
 
-def _filled(narrow: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Fill the `room` of each source: the rows with `chosen`, and how far each source ends from its room, `missed`."""
-    position = F.col("key") / (1 + F.col("key"))
-    order = [F.col("key"), F.col("a"), F.col("b")]
-    rooms, taken, passed = staged(rooms, "mixing-rooms"), [], []
+def _bucket() -> Column:
+    return F.least(F.floor(_position() * BUCKETS), F.lit(BUCKETS - 1)).cast("int")
+
+
+def _order(*names: str) -> Column:
+    return F.struct(*(F.col(name) for name in names or ("key", "a", "b")))
+
+
+def _is(row: str) -> Column:
+    """Whether this is the row a source names in a column, if it names one."""
+    return F.coalesce((F.col(f"{row}.a") == F.col("a")) & (F.col(f"{row}.b") == F.col("b")), F.lit(False))
+
+
+def _candidates(narrow: DataFrame, rooms: DataFrame) -> DataFrame:
+    """Rows that fit the `room` of their source, without its `head`, behind the row `at` if there is one."""
     rows = attach(narrow, rooms, "g", F.col("a"))
-    while True:
-        # What does not fit by now never will: room only shrinks.
-        fits = (F.col("size") > 0) & (F.col("size") <= F.col("room"))
-        passed.append(rows.where(~fits).drop("room"))
-        tried = rows.where(fits)
-        if tried.isEmpty():
-            break
-        tried = running(tried, "g", position, order, F.col("size"), "size")
-        now = F.col("size_before") + F.col("size") <= F.col("room")
-        tried = staged(tried.select(*narrow.columns, now.alias("now")), "mixing-tried")
-        taken.append(tried.where("now").drop("now"))
-        used = taken[-1].groupBy("g").agg(F.sum("size").alias("used"))
-        room = F.col("room") - F.coalesce("used", F.lit(0))
-        rooms = staged(rooms.join(used, "g", "left").select("g", room.alias("room")), "mixing-rooms")
-        rows = staged(attach(tried.where("NOT now").drop("now"), rooms, "g", F.col("a")), "mixing-left")
-    left = attach(_union(passed, narrow), rooms, "g", F.col("a"))
-    gap = F.abs(F.col("size") - F.col("room"))
-    last = left.where((F.col("size") > 0) & (gap < F.col("room"))).groupBy("g")
-    last = last.agg(F.min(F.struct(gap.alias("gap"), "key", "a", "b")).alias("last"))
-    last = staged(rooms.join(last, "g", "left").select("g", "room", "last"), "mixing-last")
-    is_last = (F.col("last.a") == F.col("a")) & (F.col("last.b") == F.col("b"))
-    ended = attach(left.drop("room"), last, "g", F.col("a"))
-    ended = ended.select(*narrow.columns, F.coalesce(is_last, F.lit(False)).alias("chosen"))
-    filled = _union(taken, narrow).select(*narrow.columns, F.lit(True).alias("chosen"))
-    return ended.unionByName(filled), last.select("g", F.coalesce("last.gap", "room").alias("missed"))
-
-
-def _nearer(narrow: DataFrame, far: DataFrame, state: DataFrame) -> DataFrame:
-    """`state` after another try for the sources in `far`: the first document by key that fits the whole room, but not
-    what those before it left, goes first."""
-    rows = attach(narrow, far.select("g", "room"), "g", F.col("a"))
-    rows = rows.where((F.col("size") > 0) & (F.col("size") <= F.col("room")))
-    position = F.col("key") / (1 + F.col("key"))
-    placed = running(rows, "g", position, [F.col("key"), F.col("a"), F.col("b")], F.col("size"), "size")
-    stopped = placed.where(F.col("size_before") + F.col("size") > F.col("room"))
-    heads = stopped.groupBy("g", "room").agg(F.min(F.struct("key", "a", "b", "size")).alias("head"))
-    heads = staged(heads, "mixing-heads")
-    is_head = (F.col("head.a") == F.col("a")) & (F.col("head.b") == F.col("b"))
-    marked = attach(narrow, heads.select("g", "head"), "g", F.col("a")).select(*narrow.columns, is_head.alias("chosen"))
-    marked = staged(marked, "mixing-again")
-    others, missed = _filled(
-        marked.where("NOT chosen").drop("chosen"), heads.select("g", (F.col("room") - F.col("head.size")).alias("room"))
+    behind = F.col("at").isNull() | (_order() > F.col("at"))
+    return rows.where((F.col("size") > 0) & (F.col("size") <= F.col("room")) & ~_is("head") & behind)
+
+
+def _walked(narrow: DataFrame, rooms: DataFrame) -> DataFrame:
+    """The next `STRETCH` candidates of each source, taken in key order while they fit: `room` left, the `taken` rows, and
+    the last row looked at, `at`, if others follow it. Sources without candidates are left out."""
+    rows = _candidates(narrow, rooms).withColumn("bucket", _bucket())
+    earlier = Window.partitionBy("g").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    counts = rows.groupBy("g", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.withColumn("before", F.coalesce(F.sum("n").over(earlier), F.lit(0)))
+    cuts = counts.groupBy("g").agg(
+        F.max(F.when(F.col("before") < STRETCH, F.col("bucket"))).alias("cut"), F.sum("n").alias("candidates")
     )
-    again = others.unionByName(marked.where("chosen"))
-    better = missed.withColumnRenamed("missed", "now").join(far.select("g", "missed"), "g").where("now < missed")
-    better = staged(better.select("g"), "mixing-better")
-    return state.join(better, "g", "left_anti").unionByName(attach(again, better, "g", F.col("a")))
+    cuts = staged(rooms.join(cuts, "g").select(*rooms.columns, "cut", "candidates"), "mixing-cuts")
+    near = _candidates(narrow, cuts).where(_bucket() <= F.col("cut"))
+    near = near.withColumn("nth", F.row_number().over(Window.partitionBy("g").orderBy("key", "a", "b")))
+    near = near.where(F.col("nth") <= STRETCH).groupBy("g", "room", "candidates")
+    near = near.agg(F.sort_array(F.collect_list(_order("key", "a", "b", "size"))).alias("rows"))
+    none = F.filter(F.transform("rows", lambda x: F.struct(x["a"].alias("a"), x["b"].alias("b"))), lambda x: F.lit(False))
+
+    def step(state: Column, row: Column) -> Column:
+        more = F.struct(
+            (state["room"] - row["size"]).alias("room"),
+            F.concat(state["taken"], F.array(F.struct(row["a"].alias("a"), row["b"].alias("b")))).alias("taken"),
+        )
+        return F.when(row["size"] <= state["room"], more).otherwise(state)
+
+    walk = F.aggregate("rows", F.struct(F.col("room").alias("room"), none.alias("taken")), step)
+    end = F.struct(*(F.element_at("rows", -1)[name].alias(name) for name in ("key", "a", "b")))
+    near = near.withColumn("walk", walk).withColumn("at", F.when(F.size("rows") < F.col("candidates"), end))
+    return near.select("g", "walk.room", "walk.taken", "at")
+
+
+def _filled(narrow: DataFrame, rooms: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Fill the `room` of each source, in which its `head`, if any, has its place already.
+
+    By source: `head`; `stop`, the first row by key that does not fit any more (what fits before it is taken); `last`, the
+    row that comes at the end; how far the source ends from its room, `missed`. And the rows `g`, `a`, `b` that are taken
+    behind `stop`, of which there are few: a source's room is smaller than one document by then.
+    """
+    rooms = rooms.select("g", "room", "head", F.lit(None).cast("struct<key: double, a: long, b: long>").alias("at"))
+    first = running(_candidates(narrow, rooms), "g", _position(), [F.col("key"), F.col("a"), F.col("b")], F.col("size"), "size")
+    over = F.col("size_before") + F.col("size") > F.col("room")
+    ends = first.groupBy("g").agg(
+        F.min(F.when(over, _order("key", "a", "b", "size"))).alias("stop"),
+        F.sum(F.when(~over, F.col("size"))).alias("used"),
+    )
+    left = (F.col("room") - F.coalesce("used", F.lit(0))).alias("left")
+    ends = staged(rooms.join(ends, "g", "left").select("g", "room", "head", "stop", left), "mixing-ends")
+    stop = F.struct("stop.key", "stop.a", "stop.b")
+    ahead = ends.where("stop IS NOT NULL").select("g", F.col("left").alias("room"), "head", stop.alias("at"))
+    taken, shrunk = ends.limit(0).select("g", F.lit(0).cast("long").alias("a"), F.lit(0).cast("long").alias("b")), ends.select("g", "left")
+    while not ahead.isEmpty():
+        walked = staged(_walked(narrow, ahead), "mixing-walked")
+        taken = taken.unionByName(walked.select("g", F.explode("taken").alias("row")).select("g", "row.a", "row.b"))
+        shrunk = shrunk.unionByName(walked.select("g", F.col("room").alias("left")))
+        ahead = walked.where("at IS NOT NULL").join(ends.select("g", "head"), "g").select("g", "room", "head", "at")
+    shrunk = shrunk.groupBy("g").agg(F.min("left").alias("left"))  # room only shrinks
+    ends = staged(ends.drop("left").join(shrunk, "g"), "mixing-filled")
+    gap = F.abs(F.col("size") - F.col("left"))
+    last = _chosen(narrow, ends, taken).where(~F.col("chosen") & (F.col("size") > 0) & (gap < F.col("left"))).groupBy("g")
+    last = last.agg(F.min(F.struct(gap.alias("gap"), "key", "a", "b")).alias("last"))
+    missed = F.coalesce("last.gap", "left").alias("missed")
+    return staged(ends.join(last, "g", "left").select("g", "room", "head", "stop", "last", missed), "mixing-last"), taken
+
+
+def _chosen(narrow: DataFrame, ends: DataFrame, taken: DataFrame) -> DataFrame:
+    """Every row with what its source's row in `ends` has, and whether it is `chosen`, not counting the last one."""
+    rows = attach(narrow, ends, "g", F.col("a"))
+    rows = rows.join(taken.withColumn("walked", F.lit(True)), ["g", "a", "b"], "left")
+    before = F.col("stop").isNull() | (_order("key", "a", "b") < F.struct("stop.key", "stop.a", "stop.b"))
+    first = (F.col("size") > 0) & (F.col("size") <= F.col("room")) & before
+    return rows.withColumn("chosen", first | _is("head") | F.coalesce("walked", F.lit(False))).drop("walked")
 
 
 def mix(
@@ -175,15 +213,22 @@ def mix(
         "mixing-sources",
     )
     narrow = units.select("g", "a", "b", "size", "n", "key")
-    state, missed = _filled(narrow, sources.select("g", "room"))
-    far = sources.join(missed, "g").where(F.col("missed") > NEAR * F.col("target")).select("g", "room", "missed")
-    far = staged(far, "mixing-far")
+    nothing = F.lit(None).cast("struct<key: double, a: long, b: long, size: long>").alias("head")
+    ends, taken = _filled(narrow, sources.select("g", "room", nothing))
+    far = sources.join(ends.select("g", "missed", "stop"), "g").where(F.col("missed") > NEAR * F.col("target"))
+    far = staged(far.where("stop IS NOT NULL").select("g", "room", "missed", "stop"), "mixing-far")
     if not far.isEmpty():
-        state = _nearer(narrow, far, state)
-    facts = sources.select("g", "source_size", "target", "epochs")
-    decided = attach(
-        state.select("g", "a", "b", F.expr("size div n").alias("size"), "chosen"), facts, "g", F.col("a")
-    )
+        again, taken_again = _filled(
+            narrow, far.select("g", (F.col("room") - F.col("stop.size")).alias("room"), F.col("stop").alias("head"))
+        )
+        better = again.select("g", F.col("missed").alias("now")).join(far, "g").where("now < missed")
+        better = staged(better.select("g"), "mixing-better")
+        ends = ends.join(better, "g", "left_anti").unionByName(again.join(better, "g", "left_semi"))
+        ends = staged(ends, "mixing-ends")
+        taken = taken.join(better, "g", "left_anti").unionByName(taken_again.join(better, "g", "left_semi"))
+    facts = ends.join(sources.select("g", "source_size", "target", "epochs"), "g")
+    decided = _chosen(narrow, staged(facts, "mixing-facts"), taken)
+    decided = decided.withColumns({"chosen": F.col("chosen") | _is("last"), "size": F.expr("size div n")})
     copies = F.when(F.col("size") > 0, F.col("epochs") + F.col("chosen").cast("long")).otherwise(0).cast("long")
     decided = staged(
         decided.select("g", "a", "b", "size", "source_size", "target", copies.alias("copies")), "mixing-decided"
