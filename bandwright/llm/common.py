@@ -9,9 +9,10 @@ position first, so the largest group is ordered by many tasks and only one row p
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from pathlib import Path
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions.checks import require_columns
@@ -44,6 +45,17 @@ def arrow_function(of: Callable, kind: str) -> Callable[[Column], Column]:
     return F.arrow_udf(of, kind)
 
 
+def blocks_of(column: pa.Array, size: int) -> Iterator[list[str]]:
+    """The texts in order, in blocks of about `size` characters; NULL as an empty text."""
+    held, texts = 0, []
+    for i, value in enumerate(column):
+        texts.append(value.as_py() or "")
+        held += len(texts[-1])
+        if held >= size or i + 1 == len(column):
+            yield texts
+            held, texts = 0, []
+
+
 def shielded(df: DataFrame, *required: str) -> tuple[DataFrame, dict[str, str]]:
     """The frame with columns c0, c1, ... and where each original name went (its first place if repeated)."""
     require_columns(df, required)

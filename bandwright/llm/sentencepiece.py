@@ -4,7 +4,8 @@ The model is of the BPE kind, whose pieces carry merge ranks and no probabilitie
 merging would give. A sequence of pieces is that one exactly if each two neighbours stay two pieces when merged by
 themselves. That makes merging a shortest-path problem: every boundary of the text has one piece that ends there and
 agrees with the piece before it, found by looking back no further than the longest piece. Ids are committed as soon
-as the backpointer paths of all boundaries that a later piece can reach run through one boundary.
+as the backpointer paths of all boundaries that a later piece can reach run through one boundary. Runs that begin alike
+share the boundaries of what they begin with.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import pyarrow as pa
 import sentencepiece
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import arrow_function, shielded, unshielded
+from .common import arrow_function, blocks_of, shielded, unshielded
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
@@ -29,8 +30,10 @@ CACHED_LENGTH = 48
 #: Pairs of pieces of which a worker remembers whether they agree, and the characters read at once.
 MOST_AGREED = 1_000_000
 BLOCK = 1 << 16
-#: What ends at a boundary, where it is no piece: a character outside the vocabulary or the start; not known yet.
-OTHER, UNSEEN = -1, -2
+#: Characters of texts whose new runs are encoded together.
+TOGETHER = 1 << 21
+#: What ends at a boundary, where it is no piece: a character outside the vocabulary or the start.
+OTHER = -1
 _LETTER = re.compile(r"[^\W\d_]")
 
 
@@ -45,16 +48,16 @@ class Vocabulary:
         self.byte_ids = [loaded.piece_to_id(f"<0x{b:02X}>") for b in range(256)]
         is_byte = set(self.byte_ids)
         self.ids = {p: i for i, p in enumerate(self.pieces) if not special[i] and i not in is_byte}
-        self.rank = {i: -loaded.get_score(i) for i in self.ids.values()}
+        self.rank_of = {piece: -loaded.get_score(i) for piece, i in self.ids.items()}
         self.longest = max(map(len, self.ids))
-        # A tree of all pieces: under each character the id of the piece that ends with it, if one does, and what
-        # may follow.
+        # A tree of all pieces, read from their ends: under each character the id of the piece that starts with it, if
+        # one does, and what may precede.
         self.tree: dict[str, list] = {}
         for piece, number in self.ids.items():
             node = self.tree
-            for character in piece[:-1]:
+            for character in piece[:0:-1]:
                 node = node.setdefault(character, [-1, {}])[1]
-            node.setdefault(piece[-1], [-1, {}])[0] = number
+            node.setdefault(piece[0], [-1, {}])[0] = number
         self.runs = self._runs()
         self.bytes_of = [b"" if s else p.replace(SPACE, " ").encode() for p, s in zip(self.pieces, special)]
         for value, i in enumerate(self.byte_ids):
@@ -86,19 +89,15 @@ class Vocabulary:
 
     def merged(self, text: str) -> list[str]:
         """The pieces of a short text by merging neighbours, best rank first, leftmost first."""
-        parts = list(text)
+        parts, rank = list(text), self.rank_of.get
         while True:
-            best = min(
-                (
-                    (self.rank[i], at)
-                    for at in range(len(parts) - 1)
-                    if (i := self.ids.get(parts[at] + parts[at + 1])) is not None
-                ),
-                default=None,
-            )
+            best, at = None, 0
+            for i in range(len(parts) - 1):
+                found = rank(parts[i] + parts[i + 1])
+                if found is not None and (best is None or found < best):
+                    best, at = found, i
             if best is None:
                 return parts
-            at = best[1]
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def agree(self, left: int, right: int) -> bool:
@@ -121,31 +120,33 @@ class _Window:
         self._clear()
 
     def _clear(self) -> None:
-        self.text, self.ends, self.starts, self.done = "", [OTHER], [0], 0
+        self.text, self.ends, self.starts = "", [OTHER], [0]
         self.limit, self.fresh = 8 * self.reach, True
 
+    def _read(self) -> None:
+        done, length = len(self.ends) - 1, len(self.text)
+        self.ends += [OTHER] * (length - done)
+        self.starts += range(done, length)
+        self.encoder._reach(self.text, self.ends, self.starts, done, length)
+
     def feed(self, characters: str) -> list[int]:
         """Take characters in; return the ids that are certain by now."""
         self.text += characters
-        self.ends += [UNSEEN] * len(characters)
-        self.starts += [0] * len(characters)
         if len(self.text) < self.limit:
             return []
-        ready = len(self.text) - self.reach
-        self.encoder._reach(self.text, self.ends, self.starts, self.done, ready)
-        # A later piece starts at `ready` or after it; what crosses it has started before.
+        self._read()
+        # A later piece starts at one of the last boundaries.
         ends, starts = self.ends, self.starts
-        cut = self._common({ready} | {starts[k] for k in range(ready + 1, len(ends)) if ends[k] != UNSEEN})
+        cut = self._common(set(range(len(self.text) - self.reach, len(ends))))
         path = self.encoder._path(self.text, ends, starts, cut)
         self.fresh = False
         self.text, self.ends, self.starts = self.text[cut:], ends[cut:], [max(0, k - cut) for k in starts[cut:]]
-        self.done = ready - cut
         self.limit = max(8 * self.reach, 2 * len(self.text))
         return path
 
     def finish(self) -> list[int]:
         """The rest of the ids, at the end of the run; the window is then empty."""
-        self.encoder._reach(self.text, self.ends, self.starts, self.done, len(self.text))
+        self._read()
         path = self.encoder._path(self.text, self.ends, self.starts, len(self.text))
         self._clear()
         return path
@@ -167,29 +168,25 @@ class Encoder:
         self._older: dict[str, tuple[int, ...]] = {}
 
     def _reach(self, window: str, ends: list[int], starts: list[int], first: int, last: int) -> None:
-        """From each boundary in [first, last), find the pieces that start there and agree with the one that ends there.
+        """For each boundary in (first, last], find the piece that ends there and agrees with the one before it.
 
-        Of all pieces that end at a boundary, one agrees with what comes before: a text has one encoding.
+        Of all pieces that end at a boundary, one agrees with what comes before: a text has one encoding. Short pieces are
+        tried first. `ends` says OTHER until a piece is found: outside the vocabulary there are bytes, whatever is beside.
         """
         vocabulary = self.vocabulary
         tree, agreed, agree = vocabulary.tree, vocabulary.agreed, vocabulary.agree
-        length = len(window)
-        for at in range(first, last):
-            before = ends[at]
-            known_after = agreed[before]
-            if window[at] not in tree:  # outside the vocabulary: bytes, whatever is beside it
-                ends[at + 1], starts[at + 1] = OTHER, at
-                continue
+        for end in range(first + 1, last + 1):
             node = tree
-            for end in range(at + 1, length + 1):
-                found = node.get(window[end - 1])
+            for start in range(end - 1, -1, -1):
+                found = node.get(window[start])
                 if found is None:
                     break
                 piece, node = found
-                if piece >= 0 and ends[end] == UNSEEN:
-                    known = known_after.get(piece)
-                    if known or known is None and agree(before, piece):
-                        ends[end], starts[end] = piece, at
+                if piece >= 0:
+                    known = agreed[ends[start]].get(piece)
+                    if known or known is None and agree(ends[start], piece):
+                        ends[end], starts[end] = piece, start
+                        break
 
     def _path(self, text: str, ends: list[int], starts: list[int], at: int) -> list[int]:
         """Ids on the way back from a boundary to the start."""
@@ -250,13 +247,58 @@ class Encoder:
         ids = self._older.get(run)
         if ids is None:
             # One window, open and closed at once.
-            ends, starts = [OTHER] + [UNSEEN] * len(run), [0] * (len(run) + 1)
+            ends, starts = [OTHER] * (len(run) + 1), [0, *range(len(run))]
             self._reach(run, ends, starts, 0, len(run))
             ids = tuple(self._path(run, ends, starts, len(run)))
+        self._remember(run, ids)
+        return ids
+
+    def _remember(self, run: str, ids: tuple[int, ...]) -> None:
         if len(self._words) >= CACHED_WORDS // 2:
             self._older, self._words = self._words, {}
         self._words[run] = ids
-        return ids
+
+    def _learn(self, runs: list[str]) -> None:
+        """Remember the ids of short runs. In their order each goes on from what it shares with the one before it."""
+        ends, starts, before = [OTHER], [0], ""
+        for run in sorted(runs):
+            shared = 0
+            for one, other in zip(before, run):
+                if one != other:
+                    break
+                shared += 1
+            del ends[shared + 1 :], starts[shared + 1 :]
+            ends += [OTHER] * (len(run) - shared)
+            starts += range(shared, len(run))
+            self._reach(run, ends, starts, shared, len(run))
+            self._remember(run, tuple(self._path(run, ends, starts, len(run))))
+            before = run
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        """All ids of each text. New short runs of texts of one block are encoded together."""
+        whole = self.vocabulary.runs
+        if whole is None:
+            return [self.encode(text) for text in texts]
+        found = [
+            whole.findall(SPACE + text.replace(" ", SPACE)) if 0 < len(text) < BLOCK else None for text in texts
+        ]
+        new = set().union(*(runs for runs in found if runs)).difference(self._words, self._older)
+        self._learn([run for run in new if len(run) <= CACHED_LENGTH])
+        encoded = []
+        for text, runs in zip(texts, found):
+            if runs is None:
+                encoded.append(self.encode(text))
+                continue
+            out: list[int] = []
+            words = self._words
+            for run in runs:
+                ids = words.get(run)
+                if ids is None:
+                    ids = self._run(run)
+                    words = self._words
+                out += ids
+            encoded.append(out)
+        return encoded
 
     def encode(self, text: str) -> list[int]:
         """All ids of a text; empty for an empty text."""
@@ -296,13 +338,13 @@ def encode(text: Column, model: bytes) -> Column:
 
     def of(batch: pa.Array) -> pa.Array:
         with_model = encoder(model)
-        parts, offsets = [np.zeros(0, np.int32)], np.zeros(len(batch) + 1, np.int32)
-        for i, value in enumerate(batch):
-            ids = with_model.encode(value.as_py()) if value.is_valid else []
-            parts.append(np.array(ids, np.int32))
-            offsets[i + 1] = offsets[i] + len(ids)
+        parts, offsets = [np.zeros(0, np.int32)], [0]
+        for texts in blocks_of(batch, TOGETHER):
+            for ids in with_model.encode_all(texts):
+                parts.append(np.array(ids, np.int32))
+                offsets.append(offsets[-1] + len(ids))
         flat = pa.array(np.concatenate(parts))
-        return pa.ListArray.from_arrays(pa.array(offsets), flat)
+        return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), flat)
 
     return arrow_function(of, "array<int>")(F.coalesce(text, F.lit("")))
 
