@@ -25,7 +25,7 @@ import sentencepiece
 import tiktoken
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from .common import arrow_function, group_key, package_on_workers, shielded, staged, unshielded
+from .common import arrow_function, blocks_of, package_on_workers, shielded, staged, unshielded
 
 BYTE_BPE = "/opt/tokenizers/byte_bpe_50k.json"
 PIECE_BPE = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,6 +36,8 @@ MOST_PAIRS = 8_000_000
 VECTORS, FAN, SLICE = 128, 16, 1 << 16
 #: Characters of the documents read at once, words known at most, entries of a task's counts before they are written.
 BLOCK, CACHED, HELD = 1 << 20, 300_000, 1 << 20
+#: New words that are encoded as one text.
+AT_ONCE = 200
 #: White space and what follows it, up to the next white space that a cut may precede.
 _WORDS = re.compile(r"\s*\S+(?:[^\S \t\n]\s*\S*)*|\s+")
 _INNER = re.compile(rf"[^{SPACE} \t\n][{SPACE} \t\n]")
@@ -126,7 +128,7 @@ class Aligner:
             return None
         return a, b[self.b_skip :]
 
-    def _ids(self, words: list[str]) -> tuple[list[np.ndarray], list[np.ndarray], list[str]] | None:
+    def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
         """Ids of the words one after the other, and the words in the order in which they were taken: those of letters
         that both of A's libraries know, the others, and one by one those that end in white space. None if a side does not
         give all of them back."""
@@ -136,12 +138,13 @@ class Aligner:
                 odd.append(word)
             else:
                 plain[word.isascii() or _STABLE.fullmatch(word) is not None].append(word)
-        parts = ["".join(plain[True]), "".join(plain[False]), *odd]
+        # In short texts: merging keeps a queue of all neighbours of its text.
+        parts = ["".join(side[at : at + AT_ONCE]) for side in (plain[True], plain[False]) for at in range(0, len(side), AT_ONCE)] + odd
         found = [self._of_both(part) for part in parts]
         if any(ids is None for ids in found):
             return None
-        a, b = zip(*found)
-        return [np.array(x, np.int64) for x in a], [np.array(x, np.int64) for x in b], plain[True] + plain[False] + odd
+        a, b = (np.array([i for ids in side for i in ids], np.int64) for side in (zip(*found) if found else ((), ())))
+        return a, b, plain[True] + plain[False] + odd
 
     def _signs(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> list[str]:
         """Ids as text, group by group, those of A first."""
@@ -152,15 +155,15 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Take in words that are not known yet."""
-        bad = [w for w in words if SPACE in w]
-        good = [w for w in words if SPACE not in w]
+        bad = [w for w in words if not w.isascii() and SPACE in w]
+        good = [w for w in words if w.isascii() or SPACE not in w] if bad else words
         found = self._ids(good)
         if found is None:
             same = [self._of_both(w) is not None for w in good]
             bad += [w for w, kept in zip(good, same) if not kept]
             found = self._ids([w for w, kept in zip(good, same) if kept])
-        a, b, good = np.concatenate(found[0]), np.concatenate(found[1]), found[2]
-        word_end = np.cumsum(np.array([len(w.encode()) for w in good], np.int64))
+        a, b, good = found
+        word_end = np.cumsum(np.array([len(w) if w.isascii() else len(w.encode()) for w in good], np.int64))
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         # Between two neighbouring ends of either side lies the overlap of exactly one token of each.
         ends = _distinct(np.concatenate([a_end, b_end]))
@@ -174,8 +177,8 @@ class Aligner:
         if self.writing:
             signs, cuts = self._signs(a, b, np.searchsorted(common, a_end), np.searchsorted(common, b_end)), np.cumsum(a_n + b_n).tolist()
             self.groups += ["".join(signs[i:j]) for i, j in zip([0, *cuts], cuts)] + [""] * len(bad)
-        for word in [*good, *bad]:
-            self.numbers[word] = len(self.numbers)
+        first = len(self.numbers)
+        self.numbers.update(zip([*good, *bad], range(first, first + n + len(bad))))
         sizes = np.zeros((5, n + len(bad)), np.int64)
         sizes[:, :n] = np.ones(n, np.int64), a_n, b_n, group_n, link_n
         self.sizes = np.concatenate([self.sizes, sizes], axis=1)
@@ -316,17 +319,6 @@ class PairIndex:
         return np.where((places >= 0) & (self.keys[places] == keys), places, -1)
 
 
-def _texts(column: pa.Array) -> Iterator[list[str]]:
-    """The texts in order, in blocks of about `BLOCK` characters."""
-    held, texts = 0, []
-    for i, value in enumerate(column):
-        texts.append(value.as_py() or "")
-        held += len(texts[-1])
-        if held >= BLOCK or i + 1 == len(column):
-            yield texts
-            held, texts = 0, []
-
-
 def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     different, at = np.unique(np.concatenate(keys), return_inverse=True)
     total = np.zeros(len(different), np.int64)
@@ -345,7 +337,7 @@ def _pairs_of(models):
             return pa.RecordBatch.from_arrays([pa.array(x) for x in _summed(keys, counts)], ["pair", "n"])
 
         for batch in batches:
-            for texts in _texts(batch.column(0)):
+            for texts in blocks_of(batch.column(0), BLOCK):
                 different, n = np.unique(Block.of(known, texts, False).pairs(known), return_counts=True)
                 keys.append(different)
                 counts.append(n)
@@ -443,7 +435,7 @@ def _structs(blocks: list[dict[str, pa.Array]], kinds: dict[str, pa.DataType]) -
 def _counted(models, pairs):
     def of(batch: pa.Array) -> pa.Array:
         known, counted, blocks = aligner(*models.value), pairs.value, []
-        for texts in _texts(batch):
+        for texts in blocks_of(batch, BLOCK):
             block = Block.of(known, texts)
             counts = known.counted(counted)
             best, total = np.where(block.whole, _sums(counts[:, block.words], block.ends), 0)
@@ -456,7 +448,7 @@ def _counted(models, pairs):
 def _linked(models):
     def of(batch: pa.Array) -> pa.Array:
         known, blocks, kind = aligner(*models.value), [], pa.list_(pa.int64())
-        for texts in _texts(batch):
+        for texts in blocks_of(batch, BLOCK):
             block = Block.of(known, texts)
             links, n = known.links_of(block.words)
             of_text = np.split(links, np.cumsum(_sums(n, block.ends))[:-1])
