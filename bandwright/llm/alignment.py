@@ -18,6 +18,7 @@ import os
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import compress
 
 import numpy as np
 import pyarrow as pa
@@ -86,6 +87,8 @@ class Aligner:
         ]
         self.a_length = np.array([len(x) for x in self.a_bytes], np.int64)
         self.b_length = np.array([len(x) for x in self.b_bytes], np.int64)
+        self.a_flat, self.b_flat = (np.frombuffer(b"".join(side), np.uint8) for side in (self.a_bytes, self.b_bytes))
+        self.a_at, self.b_at = (np.cumsum(n) - n for n in (self.a_length, self.b_length))
         # Ids of A with a comma or the bar after them, ids of B with a comma or the semicolon.
         ids = [(f"{i},", f"{i}|") for i in range(len(self.a_bytes))], [(f"{i},", f"{i};") for i in range(len(pieces))]
         self.signs = np.array([text for side in ids for entry in side for text in entry], object)
@@ -121,30 +124,27 @@ class Aligner:
             return self.fast.encode_ordinary(" a" + text)[self.a_skip :]
         return self.a.encode(" a" + text, add_special_tokens=False).ids[self.a_skip :]
 
-    def _of_both(self, text: str) -> tuple[list[int], list[int]] | None:
-        """Ids of a text that follows a sign; None if a side does not give it back."""
-        a, b = self._of_a(text), self.b.encode("a" + text)
-        if b"".join([self.a_bytes[i] for i in a]) != text.encode() or self.b.decode(b) != "a" + text:
-            return None
-        return a, b[self.b_skip :]
+    def _of_both(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of texts that each follow a sign, one text after the other; None if a side does not give all texts back."""
+        a = [np.array(self._of_a(part), np.int64) for part in parts]
+        b = [np.array(self.b.encode("a" + part), np.int64)[self.b_skip :] for part in parts]
+        a, b = (np.concatenate([np.zeros(0, np.int64), *side]) for side in (a, b))
+        wanted = np.frombuffer("".join(parts).encode(), np.uint8)
+        sides = (a, self.a_flat, self.a_at, self.a_length), (b, self.b_flat, self.b_at, self.b_length)
+        return (a, b) if all(_gives(*side, wanted) for side in sides) else None
 
     def _ids(self, words: list[str]) -> tuple[np.ndarray, np.ndarray, list[str]] | None:
         """Ids of the words one after the other, and the words in the order in which they were taken: those of letters
         that both of A's libraries know, the others, and one by one those that end in white space. None if a side does not
         give all of them back."""
-        plain, odd = ([], []), []
-        for word in words:
-            if word[-1].isspace():
-                odd.append(word)
-            else:
-                plain[word.isascii() or _STABLE.fullmatch(word) is not None].append(word)
+        odd = [word for word in words if word[-1].isspace()]
+        rest = [word for word in words if not word[-1].isspace()] if odd else words
+        known = [_STABLE.fullmatch(word) is not None for word in rest]
+        stable, other = list(compress(rest, known)), [] if all(known) else [w for w, k in zip(rest, known) if not k]
         # In short texts: merging keeps a queue of all neighbours of its text.
-        parts = ["".join(side[at : at + AT_ONCE]) for side in (plain[True], plain[False]) for at in range(0, len(side), AT_ONCE)] + odd
-        found = [self._of_both(part) for part in parts]
-        if any(ids is None for ids in found):
-            return None
-        a, b = (np.array([i for ids in side for i in ids], np.int64) for side in (zip(*found) if found else ((), ())))
-        return a, b, plain[True] + plain[False] + odd
+        parts = ["".join(side[at : at + AT_ONCE]) for side in (stable, other) for at in range(0, len(side), AT_ONCE)] + odd
+        found = self._of_both(parts)
+        return None if found is None else (*found, stable + other + odd)
 
     def _signs(self, a: np.ndarray, b: np.ndarray, a_group: np.ndarray, b_group: np.ndarray) -> list[str]:
         """Ids as text, group by group, those of A first."""
@@ -155,15 +155,17 @@ class Aligner:
 
     def learn(self, words: list[str]) -> None:
         """Take in words that are not known yet."""
-        bad = [w for w in words if not w.isascii() and SPACE in w]
-        good = [w for w in words if w.isascii() or SPACE not in w] if bad else words
+        bad = [w for w in words if SPACE in w]
+        good = [w for w in words if SPACE not in w] if bad else words
         found = self._ids(good)
         if found is None:
-            same = [self._of_both(w) is not None for w in good]
+            same = [self._of_both([w]) is not None for w in good]
             bad += [w for w, kept in zip(good, same) if not kept]
             found = self._ids([w for w, kept in zip(good, same) if kept])
         a, b, good = found
-        word_end = np.cumsum(np.array([len(w) if w.isascii() else len(w.encode()) for w in good], np.int64))
+        # Every byte but those that go on with a character starts one.
+        starts = np.flatnonzero(np.frombuffer("".join([*good, "."]).encode(), np.uint8) & 0xC0 != 0x80)
+        word_end = starts[np.cumsum(np.fromiter(map(len, good), np.int64, len(good)))]
         a_end, b_end = np.cumsum(self.a_length[a]), np.cumsum(self.b_length[b])
         # Between two neighbouring ends of either side lies the overlap of exactly one token of each.
         ends = _distinct(np.concatenate([a_end, b_end]))
@@ -229,6 +231,15 @@ def _distinct(values: np.ndarray) -> np.ndarray:
     return values[np.r_[True, values[1:] != values[:-1]][: len(values)]]
 
 
+def _gives(ids: np.ndarray, flat: np.ndarray, at: np.ndarray, length: np.ndarray, wanted: np.ndarray) -> bool:
+    """Whether the bytes of the ids, kept one entry after the other, are the wanted ones."""
+    n = length[ids]
+    ends = np.cumsum(n)
+    if (int(ends[-1]) if len(ends) else 0) != len(wanted):
+        return False
+    return np.array_equal(flat[np.repeat(at[ids] - (ends - n), n) + np.arange(len(wanted))], wanted)
+
+
 def _sums(values: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Sums of consecutive stretches (along the last axis) that end at `ends`; a stretch may be empty."""
     running = np.concatenate([np.zeros((*values.shape[:-1], 1), np.int64), np.cumsum(values, axis=-1)], axis=-1)
