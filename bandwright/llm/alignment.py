@@ -16,9 +16,10 @@ import functools
 import json
 import os
 import re
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import compress
+from itertools import compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -109,7 +110,10 @@ class Aligner:
 
     def forget(self, writing: bool = False) -> None:
         self.writing = writing
-        self.numbers: dict[str, int] = {}
+        #: Words as they are met, each with the next number, and by that number the one it has in the arrays.
+        self.numbers: defaultdict[str, int] = defaultdict()
+        self.numbers.default_factory = self.numbers.__len__
+        self.place = np.zeros(0, np.int64)
         self.groups: list[str] = []
         #: Per word: whether both sides give its bytes back, ids of A and B, groups, links.
         self.sizes = np.zeros((5, 0), np.int64)
@@ -154,7 +158,7 @@ class Aligner:
         return self.signs[signs[order]].tolist()
 
     def learn(self, words: list[str]) -> None:
-        """Take in words that are not known yet."""
+        """Take in words that have a number and nothing else yet."""
         bad = [w for w in words if SPACE in w]
         good = [w for w in words if SPACE not in w] if bad else words
         found = self._ids(good)
@@ -179,8 +183,8 @@ class Aligner:
         if self.writing:
             signs, cuts = self._signs(a, b, np.searchsorted(common, a_end), np.searchsorted(common, b_end)), np.cumsum(a_n + b_n).tolist()
             self.groups += ["".join(signs[i:j]) for i, j in zip([0, *cuts], cuts)] + [""] * len(bad)
-        first = len(self.numbers)
-        self.numbers.update(zip([*good, *bad], range(first, first + n + len(bad))))
+        taken = dict(zip([*good, *bad], range(len(self.place), len(self.numbers))))
+        self.place = np.concatenate([self.place, np.fromiter(map(taken.__getitem__, words), np.int64, len(words))])
         sizes = np.zeros((5, n + len(bad)), np.int64)
         sizes[:, :n] = np.ones(n, np.int64), a_n, b_n, group_n, link_n
         self.sizes = np.concatenate([self.sizes, sizes], axis=1)
@@ -190,18 +194,17 @@ class Aligner:
     def read(self, texts: list[str], writing: bool) -> tuple[np.ndarray, np.ndarray]:
         """Numbers of the words of the texts one after the other, and where each text ends. An empty text has none.
         `writing` says that their groups will be written."""
-        words, ends = [], []
-        for text in texts:
-            if text:
-                words += _WORDS.findall(" " + text)
-            ends.append(len(words))
         if len(self.numbers) > CACHED or writing > self.writing:
             self.forget(writing)
-        numbers = self.numbers
-        new = set(words).difference(numbers)
+        number, parts, ends = self.numbers.__getitem__, [np.zeros(0, np.int64)], [0]
+        for text in texts:
+            words = _WORDS.findall(" " + text) if text else []
+            parts.append(np.fromiter(map(number, words), np.int64, len(words)))
+            ends.append(ends[-1] + len(words))
+        new = len(self.numbers) - len(self.place)
         if new:
-            self.learn(list(new))
-        return np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)), np.array(ends, np.int64)
+            self.learn(list(islice(reversed(self.numbers), new))[::-1])
+        return self.place[np.concatenate(parts)], np.array(ends[1:], np.int64)
 
     def links_of(self, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Links of the words one after the other, and how many each has."""

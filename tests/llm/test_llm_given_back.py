@@ -43,3 +43,21 @@ def test_bytes_of_ids():
     for text, same in ((b"ebcda", True), (b"ebcdb", False), (b"ebcd", False), (b"ebcdae", False)):
         assert alignment._gives(some, flat, at, length, np.frombuffer(text, np.uint8)) is same
     assert alignment._gives(some[:0], flat, at, length, flat[:0])
+
+
+def test_words_of_a_block_that_failed_are_learned_with_the_next_one(known):
+    library = known.b
+
+    class Broken:
+        def encode(self, text):
+            raise RuntimeError
+
+    known.b = Broken()
+    with pytest.raises(RuntimeError):
+        alignment.Block.of(known, ["the cat"])
+    assert len(known.place) < len(known.numbers)
+    known.b = library
+    block = alignment.Block.of(known, ["a the cat", "", "the cat"])
+    assert block.whole.tolist() == [True, False, True] and len(known.place) == len(known.numbers)
+    for side, encode in ((0, lambda text: known.a.encode(" " + text, add_special_tokens=False).ids), (1, library.encode)):
+        assert block.sizes[side].tolist() == [len(encode("a the cat")), 0, len(encode("the cat"))]
