@@ -29,17 +29,21 @@ def _range_of(rows: DataFrame, n: int) -> Column:
     own = [max(1, drawn.count(cut) * whole // len(drawn)) for cut in cuts]
     starts = [sum(own[:j]) + j * between for j in range(len(cuts))]
     key = F.col("id").cast("double")
-    piece = F.lit(0)
-    for cut in cuts[1:]:
-        piece = piece + (key >= cut).cast("int")
 
-    def of_piece(values: list) -> Column:
-        return F.get(F.array(*(F.lit(value) for value in values)), piece)
+    def of_piece(piece: Column) -> Column:
+        def at(values: list) -> Column:
+            return F.get(F.array(*(F.lit(value) for value in values)), piece)
 
-    low, high = of_piece(cuts), of_piece([*cuts[1:], cuts[-1] + 1])
-    share = F.greatest(F.least(F.floor((key - low) / (high - low) * between), F.lit(between - 1)), F.lit(0))
-    inside = F.when(key == low, by_tie(of_piece(own))).otherwise(of_piece(own) + share)
-    return F.when(F.col("id").isNotNull(), of_piece(starts) + inside).otherwise(without).cast("long")
+        low, high = at(cuts), at([*cuts[1:], cuts[-1] + 1])
+        share = F.greatest(F.least(F.floor((key - low) / (high - low) * between), F.lit(between - 1)), F.lit(0))
+        return at(starts) + F.when(key == low, by_tie(at(own))).otherwise(at(own) + share)
+
+    # The piece is a lambda's argument, so it is found once and the cuts stay one literal: written out as a sum at each of
+    # its places, its code passes the 64 KB of a Java method, and the driver's heap fills with what the compiler makes of it.
+    later = F.array(*(F.lit(cut) for cut in cuts[1:])).cast("array<double>")
+    piece = F.size(F.filter(later, lambda cut: key >= cut))
+    placed = F.get(F.transform(F.array(piece), of_piece), F.lit(0))
+    return F.when(F.col("id").isNotNull(), placed).otherwise(without).cast("long")
 
 
 def with_next(rows: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -286,6 +286,23 @@ def test_next_of_hot_ids_is_spread(spark):
     assert [r.next_text for r in order] == [r.text for r in [*order[1:], order[0]]]
 
 
+def test_ranges_of_the_order_compile(spark):
+    ids = [None if i % 97 == 0 else (i * 7919) % 30011 - 9000 for i in range(3000)] + [77] * 300
+    rows = spark.createDataFrame(list(enumerate(ids)), "n long, id long").withColumn("tie", F.xxhash64("n"))
+    spark.conf.set("spark.sql.codegen.fallback", "false")  # code over 64 KB is an error, and is not left for slower code
+    try:
+        placed = rows.withColumn("range", neighbours._range_of(rows.select("id", "tie"), 512 * 200)).collect()
+        got = with_next(rows, ["n"]).collect()
+    finally:
+        spark.conf.unset("spark.sql.codegen.fallback")
+    order = sorted(placed, key=lambda r: (r.id is not None, r.id or 0, r.tie))
+    ranges = [r.range for r in order]
+    assert ranges == sorted(ranges) and len(set(ranges)) > 100
+    assert all((r.range < 0) == (r.id is None) for r in placed)
+    following = {r.n: r.next_n for r in got}
+    assert following == {r.n: order[i - 1].n for i, r in enumerate(order)}
+
+
 def test_revisits_name_the_response_they_repeat(spark, tmp_path):
     big, twice = "b" * 1500, "t" * 2000
     pages = [(1, "http://a/ 1", big), (9, "http://a/9", big), (3, None, big), (None, "http://n", big),
